@@ -1,0 +1,8 @@
+"""DuckDB oracle SQL for every query key that SQL can express."""
+
+
+def oracle_sql() -> dict[str, str]:
+    from .kpi_sql import SQL as kpi
+    out: dict[str, str] = {}
+    out.update(kpi)
+    return out
