@@ -3,6 +3,8 @@
 
 def oracle_sql() -> dict[str, str]:
     from .kpi_sql import SQL as kpi
+    from .quality_sql import SQL as quality
     out: dict[str, str] = {}
-    out.update(kpi)
+    for part in (kpi, quality):
+        out.update(part)
     return out
