@@ -4,7 +4,8 @@
 def oracle_sql() -> dict[str, str]:
     from .kpi_sql import SQL as kpi
     from .quality_sql import SQL as quality
+    from .report_sql import SQL as report
     out: dict[str, str] = {}
-    for part in (kpi, quality):
+    for part in (kpi, quality, report):
         out.update(part)
     return out
