@@ -4,8 +4,9 @@
 def oracle_sql() -> dict[str, str]:
     from .kpi_sql import SQL as kpi
     from .quality_sql import SQL as quality
+    from .measure_sql import SQL as measure
     from .report_sql import SQL as report
     out: dict[str, str] = {}
-    for part in (kpi, quality, report):
+    for part in (kpi, quality, report, measure):
         out.update(part)
     return out

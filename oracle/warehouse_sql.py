@@ -154,6 +154,8 @@ def with_warehouse(body: str) -> str:
     """Prefix ``body`` with every warehouse CTE."""
     ctes = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in CTES.items())
     stripped = body.lstrip()
+    if stripped.startswith(","):
+        return f"WITH {ctes}\n{stripped}"
     if stripped[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
