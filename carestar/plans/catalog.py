@@ -29,5 +29,5 @@ def wh_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules fills the registry
-    from . import queries_core, queries_measures, queries_quality, queries_report  # noqa: F401
+    from . import queries_core, queries_io, queries_measures, queries_quality, queries_report  # noqa: F401
     return dict(QUERIES)

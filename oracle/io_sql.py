@@ -1,0 +1,95 @@
+"""Oracle SQL for sources, sinks and streaming round trips."""
+
+from . import quality_sql  # noqa: F401  (registers the staging CTEs used below)
+from .warehouse_sql import STAY
+from .warehouse_sql import with_warehouse as W
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+LOADED = "CAST(TIMESTAMP '2000-12-31 00:00:00' AS TIMESTAMP)"
+Z1 = "'Z' || CAST(p.p_partkey % 90 AS VARCHAR) || ':Diag-' || CAST(p.p_partkey % 13 AS VARCHAR)"
+Z2 = "'Y' || CAST(p.p_partkey % 70 AS VARCHAR) || ':Diag-' || CAST(p.p_partkey % 17 AS VARCHAR)"
+COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES)
+
+SQL = {
+    "ingest_csv": W(f"""
+SELECT NULLIF(patient_id, '') AS patient_id, NULLIF(nom, '') AS nom, NULLIF(age, '') AS age, NULLIF(sexe, '') AS sexe,
+       NULLIF(date_naissance, '') AS date_naissance, NULLIF(ville, '') AS ville,
+       'patients.csv' AS source_file, {LOADED} AS loaded_at
+FROM stg_patients_raw WHERE NULLIF(patient_id, '') IS NOT NULL"""),
+    "ingest_json_envelope": W("""
+SELECT capteur_id, hopital_id, service_id, "date", heure, lits_occupes, lits_total, taux_occupation, alertes
+FROM fact_bed_occupancy"""),
+    "ingest_xml_documents": W(f"""
+SELECT CAST(a.admission_id AS VARCHAR) AS cr_id, CAST(a.admission_id AS VARCHAR) AS admission_id,
+       CAST(a.patient_id AS VARCHAR) AS patient_id, strftime(a.date_admission, '%Y-%m-%d') AS date_admission,
+       strftime(a.date_sortie, '%Y-%m-%d') AS date_sortie, CAST({STAY} AS VARCHAR) AS duree_sejour,
+       p.p_brand AS code_cim10_principal, p.p_name AS diagnostic_principal,
+       CASE a.service_id % 3 WHEN 0 THEN '' WHEN 1 THEN {Z1} ELSE {Z1} || '|' || {Z2} END AS diagnostics_secondaires,
+       CAST(p.p_partkey % 4 AS INTEGER) AS nb_actes, 'Dr ' || CAST(a.hopital_id AS VARCHAR) AS medecin_responsable,
+       CASE WHEN a.urgence = 1 THEN 'Urgences' ELSE 'Programmé' END AS mode_entree, 'Domicile' AS mode_sortie,
+       CAST(a.hopital_id AS VARCHAR) AS hopital_id, 'Observation ' || CAST(a.admission_id AS VARCHAR) AS observations
+FROM stg_admissions a JOIN part p ON a.maladie_id = p.p_partkey"""),
+    "xml_explode_acts": W("""
+SELECT CAST(a.admission_id AS VARCHAR) AS cr_id, 'ACT' || CAST((p.p_partkey + r.i) % 50 AS VARCHAR) AS code_acte,
+       'Acte ' || CAST((p.p_partkey + r.i) % 50 AS VARCHAR) AS libelle_acte
+FROM stg_admissions a JOIN part p ON a.maladie_id = p.p_partkey
+JOIN (SELECT range AS i FROM range(3)) r ON r.i < p.p_partkey % 4"""),
+    "staff_union": W(f"""
+SELECT 'MED' || CAST(c_custkey AS VARCHAR) AS medecin_id, CAST(NULL AS VARCHAR) AS infirmier_id, c_name AS nom,
+       'Prenom-' || CAST(c_custkey % 100 AS VARCHAR) AS prenom, CAST(1 + c_custkey % 7 AS VARCHAR) AS service_id,
+       CAST(c_custkey % 100 AS VARCHAR) AS hopital_id, c_mktsegment AS specialite,
+       CASE WHEN c_custkey % 4 = 0 THEN 'Senior' ELSE 'Junior' END AS grade, CAST(NULL AS VARCHAR) AS horaire,
+       'Medecins' AS source_file, {LOADED} AS loaded_at, 'medecin' AS type_personnel
+FROM customer WHERE c_custkey % 2 = 0
+UNION ALL
+SELECT NULL, 'INF' || CAST(c_custkey AS VARCHAR), c_name, 'Prenom-' || CAST(c_custkey % 100 AS VARCHAR),
+       CAST(1 + c_custkey % 7 AS VARCHAR), CAST(c_custkey % 100 AS VARCHAR), NULL,
+       CASE WHEN c_custkey % 3 = 0 THEN 'IDE' ELSE 'AS' END, CASE WHEN c_custkey % 4 = 1 THEN 'Nuit' ELSE 'Jour' END,
+       'Infirmiers', {LOADED}, 'infirmier'
+FROM customer WHERE c_custkey % 2 = 1"""),
+    "incremental_extract": W("""
+SELECT o_orderkey AS id, o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS date_admission,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS est_urgence,
+       o_orderdate AS updated_at,
+       CASE WHEN o_orderdate <= TIMESTAMP '1998-12-31 00:00:00' THEN 'initial' ELSE 'increment' END AS lot
+FROM orders"""),
+    "ingest_reference_payload": W("""
+SELECT p_partkey AS maladie_id, p_name AS nom_maladie, p_brand AS code_cim10, p_type AS categorie,
+       CAST(1 + p_size % 5 AS INTEGER) AS gravite,
+       CASE WHEN p_size % 9 = 0 THEN 0 WHEN p_size > 25 THEN 1 ELSE 0 END AS est_chronique
+FROM part"""),
+    "source_fallback": W("""
+SELECT CAST(region_id AS VARCHAR) AS region_id, nom_region, population, superficie, chef_lieu FROM dim_region"""),
+    "table_counts": W(f"""
+{COUNTS} UNION ALL SELECT 'stg_absente', CAST(NULL AS BIGINT)"""),
+    "lookup_by_id": W("SELECT * FROM dim_disease WHERE maladie_id = 42"),
+    "reload_by_source": W("""
+SELECT CASE WHEN TRY_CAST(patient_id AS BIGINT) % 2 = 0 THEN 'patients_a.csv' ELSE 'patients_b.csv' END
+         AS source_file, count(*) AS n
+FROM stg_patients_raw GROUP BY 1"""),
+    "export_manifest": W("""
+SELECT table_name, n_rows, 'carestar' AS project, '2000-12-31T00:00:00' AS exported_at FROM (
+  SELECT 'dim_region' AS table_name, count(*) AS n_rows FROM dim_region
+  UNION ALL SELECT 'dim_hopital', count(*) FROM dim_hospital
+  UNION ALL SELECT 'dim_service', count(*) FROM dim_service
+  UNION ALL SELECT 'dim_maladie', count(*) FROM dim_disease
+  UNION ALL SELECT 'fact_laboratoires', count(*) FROM fact_lab)"""),
+    "run_log_latest": W(f"""
+SELECT 'run-' || table_name AS run_id, 'ingestion' AS dag_name, 'extract_' || table_name AS task_name,
+       TIMESTAMP '2000-12-31 06:05:00' AS event_time, 'SUCCESS' AS status, n_rows AS records,
+       CAST(NULL AS VARCHAR) AS error, table_name AS source
+FROM ({COUNTS})"""),
+        "stream_incremental_ingest": W("""
+SELECT admission_id, patient_id, date_admission, date_sortie, urgence, hopital_id, service_id, maladie_id, loaded_at
+FROM stg_admissions"""),
+    "stream_bed_occupancy": W("""
+SELECT time_bucket(INTERVAL 4 HOUR, ts) AS window_start, time_bucket(INTERVAL 4 HOUR, ts) + INTERVAL 4 HOUR AS window_end,
+       hopital_id, round(avg(taux_occupation), 2) AS taux_moy, max(taux_occupation) AS taux_max,
+       CAST(sum(alertes) AS BIGINT) AS nb_alertes, count(*) AS nb_mesures
+FROM (SELECT e.user_id % 100 AS hopital_id, e.ts, f.taux_occupation, f.alertes
+      FROM events e JOIN fact_bed_occupancy f ON f.capteur_id = e.event_id)
+GROUP BY 1, 2, 3
+HAVING time_bucket(INTERVAL 4 HOUR, max(ts)) + INTERVAL 4 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""),
+}
+
+SQL["export_csv_roundtrip"] = quality_sql.SQL["analytics_mart"]
