@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import admission_mode, date_key, flag, int_or, to_date, to_number
@@ -22,9 +23,20 @@ def _cal(calendar: DataFrame) -> DataFrame:
     return calendar.select("temps_id", F.col("date").alias("date_key"))
 
 
+def as_date(df: DataFrame, col: str) -> Column:
+    """The cheapest expression giving ``col`` as a date: the column itself for
+    DATE, a cast for timestamps, the ISO-prefix parser only for text."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.DateType):
+        return F.col(col)
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.col(col).cast("date")
+    return date_key(col)
+
+
 def _with_date_key(df: DataFrame, calendar: DataFrame, source_col: str, how: str,
                    calendar_rows: int | None) -> DataFrame:
-    keyed = df.withColumn("date_key", date_key(source_col))
+    keyed = df.withColumn("date_key", as_date(df, source_col))
     return join_dim(keyed, _cal(calendar), on="date_key", how=how, bounded_rows=calendar_rows)
 
 
@@ -35,10 +47,12 @@ def hash_stay(admission_id) -> Column:
     return (F.lit(1) + h % 10).cast("int")
 
 
-def stay_days(date_admission: str, date_sortie: str, admission_id: str, impute: str | None = "hash") -> Column:
+def stay_days(date_admission, date_sortie, admission_id: str, impute: str | None = "hash") -> Column:
     """``max(1, discharge − admission)`` in days; missing/invalid dates -> imputed
-    (``impute="hash"``) or NULL (``impute=None``)."""
-    adm, out = to_date(date_admission), to_date(date_sortie)
+    (``impute="hash"``) or NULL (``impute=None``).  Column names are parsed as
+    text dates; pass Columns that are already dates to skip the parsing."""
+    adm = to_date(date_admission) if isinstance(date_admission, str) else date_admission
+    out = to_date(date_sortie) if isinstance(date_sortie, str) else date_sortie
     diff = F.datediff(out, adm)
     # greatest() skips NULLs, so guard it: a missing date must stay missing here
     days = F.when(diff.isNotNull(), F.greatest(F.lit(1), diff))
@@ -65,7 +79,8 @@ def fact_admissions(adm: DataFrame, calendar: DataFrame, discharges: DataFrame |
         df = df.withColumn("date_sortie", F.lit(None).cast("date"))
     if "service" not in df.columns:
         df = df.withColumn("service", F.lit(None).cast("string"))
-    df = df.withColumn("duree_sejour", stay_days("date_admission", "date_sortie", "admission_id", impute))
+    df = df.withColumn("duree_sejour", stay_days(as_date(df, "date_admission"), as_date(df, "date_sortie"),
+                                                 "admission_id", impute))
     df = _with_date_key(df, calendar, "date_admission", "inner", calendar_rows)
     urgent = int_or("urgence", 0)
     out = df.select(

@@ -27,6 +27,12 @@ def wh_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: build(Warehouse(spark, sf_dir))
 
 
+def bi_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
+    """A BI question: runs on the published warehouse build (built on first use)."""
+    from .pipeline import warehouse_for
+    QUERIES[name] = lambda spark, sf_dir: build(warehouse_for(spark, sf_dir))
+
+
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules fills the registry
     from . import queries_core, queries_io, queries_measures, queries_quality, queries_report  # noqa: F401

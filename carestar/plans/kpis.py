@@ -39,6 +39,18 @@ def in_month(col: str, as_of: dt.date) -> Column:
     return (F.col(col) >= _d(start)) & (F.col(col) < _d(nxt))
 
 
+def current_year(df: DataFrame, as_of: dt.date, col: str = "date_admission") -> DataFrame:
+    """Rows of ``as_of``'s year; on a build stored by year the partition
+    predicate prunes whole directories."""
+    out = df.filter(in_year(col, as_of))
+    return out.filter(F.col("annee_admission") == as_of.year) if "annee_admission" in df.columns else out
+
+
+def current_month(df: DataFrame, as_of: dt.date, col: str = "date_admission") -> DataFrame:
+    out = df.filter(in_month(col, as_of))
+    return out.filter(F.col("annee_admission") == as_of.year) if "annee_admission" in df.columns else out
+
+
 def last_days(col: str, as_of: dt.date, days: int = 30) -> Column:
     return F.col(col).between(_d(as_of - dt.timedelta(days=days)), _d(as_of))
 
@@ -67,7 +79,7 @@ def _calendar(wh: Warehouse, *cols: str) -> DataFrame:
 
 def kpi_bed_occupancy(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A1: admissions in the current month per hospital, % of bed capacity."""
-    fa = wh.fact_admissions.filter(in_month("date_admission", as_of)).select("hopital_id", "admission_id")
+    fa = current_month(wh.fact_admissions, as_of).select("hopital_id", "admission_id")
     h = wh.dim_hospital.select("hopital_id", "nom", "capacite_lits")
     g = (join_dim(fa, h, "hopital_id").groupBy("hopital_id", "nom", "capacite_lits")
          .agg(F.count("admission_id").alias("admissions_actives")))
@@ -77,7 +89,7 @@ def kpi_bed_occupancy(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> Dat
 
 def kpi_length_of_stay(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A2: length of stay per service in the current year."""
-    fa = wh.fact_admissions.filter(in_year("date_admission", as_of)).select("service_id", "duree_sejour")
+    fa = current_year(wh.fact_admissions, as_of).select("service_id", "duree_sejour")
     s = wh.dim_service.select("service_id", "nom_service")
     return (join_dim(fa, s, "service_id").groupBy("service_id", "nom_service")
             .agg(_avg1("duree_sejour").alias("dms_jours"), F.min("duree_sejour").alias("min_jours"),
@@ -94,7 +106,7 @@ def kpi_daily_admissions(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, day
 
 def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int = 10) -> DataFrame:
     """A4: top-k diseases of the current year with their share of all cases."""
-    fa = wh.fact_admissions.filter(in_year("date_admission", as_of)).select("maladie_id")
+    fa = current_year(wh.fact_admissions, as_of).select("maladie_id")
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite")
     g = (join_dim(fa, m, "maladie_id").groupBy("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite")
          .agg(_n().alias("nb_cas")))
@@ -104,7 +116,7 @@ def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int
 
 def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A5: admissions per patient region, rate per 100,000 inhabitants, mean stay."""
-    fa = wh.fact_admissions.filter(in_year("date_admission", as_of)).select("patient_id", "duree_sejour")
+    fa = current_year(wh.fact_admissions, as_of).select("patient_id", "duree_sejour")
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region", "population")
     j = join_dim(join_dim(fa, p, "patient_id"), r, "region_id")
@@ -172,7 +184,7 @@ def kpi_urgent_vs_planned(wh: Warehouse) -> DataFrame:
 
 def kpi_admissions_by_service(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """Admissions per service in the current year."""
-    fa = wh.fact_admissions.filter(in_year("date_admission", as_of)).select("service_id", "duree_sejour", "est_urgence")
+    fa = current_year(wh.fact_admissions, as_of).select("service_id", "duree_sejour", "est_urgence")
     s = wh.dim_service.select("service_id", "nom_service", "specialite", "nb_lits")
     return (join_dim(fa, s, "service_id").groupBy("service_id", "nom_service", "specialite", "nb_lits")
             .agg(_n().alias("nb_admissions"), _avg1("duree_sejour").alias("dms"),
@@ -207,7 +219,7 @@ def kpi_top_drugs(wh: Warehouse, k: int = 15) -> DataFrame:
 
 def kpi_incidence(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """Incidence per 100,000 by region × disease in the current year."""
-    fa = wh.fact_admissions.filter(in_year("date_admission", as_of)).select("patient_id", "maladie_id")
+    fa = current_year(wh.fact_admissions, as_of).select("patient_id", "maladie_id")
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region", "population")
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import kpis
-from .catalog import wh_query
+from .catalog import bi_query, wh_query
 
 # warehouse tables
 wh_query("dim_region", lambda wh: wh.dim_region)
@@ -19,20 +19,20 @@ wh_query("fact_bed_occupancy", lambda wh: wh.fact_bed_occupancy)
 wh_query("fact_pharmacy_stock", lambda wh: wh.fact_pharmacy_stock)
 
 # KPI library (A1–A15) and KPI cache
-wh_query("kpi_bed_occupancy", kpis.kpi_bed_occupancy)
-wh_query("kpi_length_of_stay", kpis.kpi_length_of_stay)
-wh_query("kpi_daily_admissions", kpis.kpi_daily_admissions)
-wh_query("kpi_top_diseases", kpis.kpi_top_diseases)
-wh_query("kpi_cases_by_region", kpis.kpi_cases_by_region)
-wh_query("kpi_age_split", kpis.kpi_age_split)
-wh_query("kpi_readmission_rate", kpis.kpi_readmission_rate)
-wh_query("kpi_emergency_wait", kpis.kpi_emergency_wait)
-wh_query("kpi_abnormal_labs", kpis.kpi_abnormal_labs)
-wh_query("kpi_urgent_vs_planned", kpis.kpi_urgent_vs_planned)
-wh_query("kpi_admissions_by_service", kpis.kpi_admissions_by_service)
-wh_query("kpi_monthly_trend", kpis.kpi_monthly_trend)
-wh_query("kpi_sex_split", kpis.kpi_sex_split)
-wh_query("kpi_top_drugs", kpis.kpi_top_drugs)
-wh_query("kpi_incidence", kpis.kpi_incidence)
-wh_query("kpi_cache", kpis.kpi_cache)
-wh_query("kpi_cache_top5", kpis.kpi_cache_top5)
+bi_query("kpi_bed_occupancy", kpis.kpi_bed_occupancy)
+bi_query("kpi_length_of_stay", kpis.kpi_length_of_stay)
+bi_query("kpi_daily_admissions", kpis.kpi_daily_admissions)
+bi_query("kpi_top_diseases", kpis.kpi_top_diseases)
+bi_query("kpi_cases_by_region", kpis.kpi_cases_by_region)
+bi_query("kpi_age_split", kpis.kpi_age_split)
+bi_query("kpi_readmission_rate", kpis.kpi_readmission_rate)
+bi_query("kpi_emergency_wait", kpis.kpi_emergency_wait)
+bi_query("kpi_abnormal_labs", kpis.kpi_abnormal_labs)
+bi_query("kpi_urgent_vs_planned", kpis.kpi_urgent_vs_planned)
+bi_query("kpi_admissions_by_service", kpis.kpi_admissions_by_service)
+bi_query("kpi_monthly_trend", kpis.kpi_monthly_trend)
+bi_query("kpi_sex_split", kpis.kpi_sex_split)
+bi_query("kpi_top_drugs", kpis.kpi_top_drugs)
+bi_query("kpi_incidence", kpis.kpi_incidence)
+bi_query("kpi_cache", kpis.kpi_cache)
+bi_query("kpi_cache_top5", kpis.kpi_cache_top5)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .catalog import wh_query
+from .catalog import bi_query
 from .measures import MEASURES, hospital_model, measure, month_over_month
 
 
@@ -10,24 +10,24 @@ def _m(keys, by=(), slicers=None):
     return lambda wh: measure(hospital_model(wh), MEASURES, keys, by=by, slicers=slicers)
 
 
-wh_query("measures_admissions", _m(["total_admissions", "patients_distincts", "dms_moyen", "cout_moyen_sejour",
+bi_query("measures_admissions", _m(["total_admissions", "patients_distincts", "dms_moyen", "cout_moyen_sejour",
                                     "cout_total", "pct_admissions_urgences", "admissions_programmees"], by=["annee"]))
-wh_query("measure_readmission", _m(["taux_readmission"], by=["annee"]))
-wh_query("measures_patients", _m(["age_moyen_patients", "patients_hommes", "patientes_femmes", "pct_femmes"],
+bi_query("measure_readmission", _m(["taux_readmission"], by=["annee"]))
+bi_query("measures_patients", _m(["age_moyen_patients", "patients_hommes", "patientes_femmes", "pct_femmes"],
                                  by=["nom_region"]))
-wh_query("measures_capacity", _m(["hopitaux_actifs", "capacite_totale_lits", "taux_occupation_moyen",
+bi_query("measures_capacity", _m(["hopitaux_actifs", "capacite_totale_lits", "taux_occupation_moyen",
                                   "pic_occupation", "alertes_capacite", "ratio_charge"], by=["type"]))
-wh_query("measures_disease", _m(["pathologies_distinctes", "maladies_chroniques", "pct_maladies_chroniques",
+bi_query("measures_disease", _m(["pathologies_distinctes", "maladies_chroniques", "pct_maladies_chroniques",
                                  "dms_chroniques", "dms_aigues"], by=["categorie"]))
-wh_query("measures_lab", _m(["total_analyses", "analyses_par_admission", "taux_anomalies"]))
-wh_query("measures_rx", _m(["total_prescriptions", "prescriptions_par_admission", "cout_medicaments_total"],
+bi_query("measures_lab", _m(["total_analyses", "analyses_par_admission", "taux_anomalies"]))
+bi_query("measures_rx", _m(["total_prescriptions", "prescriptions_par_admission", "cout_medicaments_total"],
                            by=["annee"]))
-wh_query("measures_stock", _m(["valeur_stock_total", "ruptures_stock", "pct_alerte_stock"], by=["annee"]))
-wh_query("measures_weekend", _m(["admissions_semaine", "admissions_weekend"], by=["annee"]))
-wh_query("measures_month_over_month", lambda wh: month_over_month(wh.fact_admissions, wh.dim_date))
+bi_query("measures_stock", _m(["valeur_stock_total", "ruptures_stock", "pct_alerte_stock"], by=["annee"]))
+bi_query("measures_weekend", _m(["admissions_semaine", "admissions_weekend"], by=["annee"]))
+bi_query("measures_month_over_month", lambda wh: month_over_month(wh.fact_admissions, wh.dim_date))
 # replace vs intersect: a year slicer and a mode slicer; "programmées" replaces the mode
 # slicer, "DMS chroniques" intersects it
-wh_query("measures_by_slicer", _m(["total_admissions", "admissions_programmees", "pct_admissions_urgences",
+bi_query("measures_by_slicer", _m(["total_admissions", "admissions_programmees", "pct_admissions_urgences",
                                    "dms_moyen", "dms_chroniques"], by=["nom_region"],
                                   slicers={"annee": [2000], "mode_admission": ["Urgence"]}))
-wh_query("measures_by_axis", _m(["total_admissions", "cout_total", "population", "taux_100k"], by=["nom_region"]))
+bi_query("measures_by_axis", _m(["total_admissions", "cout_total", "population", "taux_100k"], by=["nom_region"]))

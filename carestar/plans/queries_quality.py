@@ -12,7 +12,7 @@ from ..operators import dims as D
 from ..operators import quality as Q
 from ..operators.mart import analytics_mart
 from ..sources import binding as B
-from .catalog import wh_query
+from .catalog import bi_query, wh_query
 from .warehouse import Warehouse
 
 
@@ -29,8 +29,8 @@ wh_query("dim_date", lambda wh: D.calendar(D.year_bounds((wh.table("orders"), "o
 
 # Q1 / Q2: latest / earliest version of each admission
 wh_query("dedup_keep_last", lambda wh: wh.stg_admissions)
-wh_query("dedup_keep_first",
-         lambda wh: Q.dedup(wh.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER, keep="first"))
+wh_query("dedup_keep_first", lambda wh: B.admission_details(
+    Q.dedup(wh.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER, keep="first")))
 
 
 def dedup_stats(wh: Warehouse) -> DataFrame:
@@ -79,17 +79,17 @@ def validate_rules(wh: Warehouse) -> DataFrame:
 wh_query("validate_rules", validate_rules)
 
 # Q9: admissions whose patient is missing
-wh_query("orphan_check", lambda wh: Q.orphans(wh.fact_admissions, wh.dim_patient, "patient_id")
+bi_query("orphan_check", lambda wh: Q.orphans(wh.fact_admissions, wh.dim_patient, "patient_id")
          .agg(F.count(F.lit(1)).alias("orphelins")))
 
 # Q11: value counts
-wh_query("value_counts", lambda wh: Q.value_counts(wh.dim_patient, "tranche_age"))
+bi_query("value_counts", lambda wh: Q.value_counts(wh.dim_patient, "tranche_age"))
 
 # keys that are neither NULL nor empty
 wh_query("filter_blank_keys", lambda wh: _patients_raw(wh).filter(non_blank("patient_id")).select("patient_id", "nom"))
 
 # Computed product column
-wh_query("prescription_cost", lambda wh: wh.fact_prescriptions.select(
+bi_query("prescription_cost", lambda wh: wh.fact_prescriptions.select(
     "prescription_id", "quantite", "prix_unitaire",
     F.round(F.col("quantite") * F.col("prix_unitaire"), 2).alias("cout")))
 
@@ -123,9 +123,9 @@ wh_query("age_band_warehouse", lambda wh: _patients_raw(wh).select(
     "patient_id", "age", age_band_warehouse("age").alias("tranche_age")))
 wh_query("age_band_staging", lambda wh: _patients_raw(wh).select(
     "patient_id", "age", age_band_staging("age").alias("tranche_age")))
-wh_query("stay_class", lambda wh: wh.fact_admissions.select(
+bi_query("stay_class", lambda wh: wh.fact_admissions.select(
     "admission_id", "duree_sejour", stay_class("duree_sejour").alias("categorie_dms")))
-wh_query("occupancy_level", lambda wh: wh.fact_bed_occupancy.select(
+bi_query("occupancy_level", lambda wh: wh.fact_bed_occupancy.select(
     "capteur_id", "taux_occupation", occupancy_level("taux_occupation").alias("niveau_occupation")))
 
 
@@ -136,12 +136,12 @@ def flag_labels(wh: Warehouse) -> DataFrame:
                     flag_label("est_weekend", "Weekend", "Semaine").alias("type_jour")))
 
 
-wh_query("flag_labels", flag_labels)
-wh_query("disease_chronic_label", lambda wh: wh.dim_disease.select(
+bi_query("flag_labels", flag_labels)
+bi_query("disease_chronic_label", lambda wh: wh.dim_disease.select(
     "maladie_id", flag_label("est_chronique", "Oui", "Non").alias("chronique")))
 
 # Denormalised mart
-wh_query("analytics_mart", lambda wh: analytics_mart(wh.fact_admissions, wh.dim_patient, wh.dim_hospital,
+bi_query("analytics_mart", lambda wh: analytics_mart(wh.fact_admissions, wh.dim_patient, wh.dim_hospital,
                                                      wh.dim_region, wh.dim_disease, wh.dim_date,
                                                      calendar_rows=wh.calendar_rows))
 # Stay length and calendar key look-up on their own

@@ -41,8 +41,10 @@ class Warehouse:
 
     @cached_property
     def stg_admissions(self) -> DataFrame:
-        """Cleaned admissions: latest version of each admission (Q1)."""
-        return dedup(self.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER, keep="last")
+        """Cleaned admissions: latest version of each admission (Q1), with the
+        derived columns of the landed file."""
+        return B.admission_details(dedup(self.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER,
+                                         keep="last"))
 
     # dimensions ----------------------------------------------------------
     @cached_property

@@ -44,14 +44,12 @@ ADMISSION_DEDUP_ORDER = ["loaded_at", "maladie_id", "hopital_id", "l_quantity",
 
 
 def stg_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw admissions (duplicates included, as landed)."""
+    """Raw admissions (duplicates included, as landed): source columns only;
+    values derived from them are added after dedup by :func:`admission_details`,
+    so the dedup moves the narrowest possible rows."""
     li = read(spark, sf_dir, "lineitem")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    disposition = None
-    for code, label in RETURNFLAG_DISPOSITION:
-        c = F.col("l_returnflag") == code
-        disposition = F.when(c, label) if disposition is None else disposition.when(c, label)
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("admission_id"),
         F.col("o_custkey").alias("patient_id"),
@@ -61,16 +59,30 @@ def stg_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("hopital_id"),
         F.col("l_linenumber").alias("service_id"),
         F.col("l_partkey").alias("maladie_id"),
-        F.concat(F.lit("Service-"), F.col("l_linenumber").cast("string")).alias("service"),
-        (F.col("l_quantity") * 4).cast("int").alias("temps_attente_minutes"),
-        (F.lit(1) + F.col("l_linenumber") % 5).alias("niveau_urgence"),
-        disposition.otherwise(K.DISPOSITIONS[3]).alias("disposition"),
-        (F.lit(30) + F.col("l_partkey") % 91).cast("int").alias("duree_traitement_minutes"),
         F.col("l_shipdate").alias("loaded_at"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
 
 
+def admission_details(adm: DataFrame) -> DataFrame:
+    """Columns of the landed admission file that follow from its source columns:
+    service name and the emergency feed (wait, triage level, disposition,
+    treatment minutes)."""
+    disposition = None
+    for code, label in RETURNFLAG_DISPOSITION:
+        c = F.col("l_returnflag") == code
+        disposition = F.when(c, label) if disposition is None else disposition.when(c, label)
+    return adm.select(
+        *adm.columns[:adm.columns.index("loaded_at")],
+        F.concat(F.lit("Service-"), F.col("service_id").cast("string")).alias("service"),
+        (F.col("l_quantity") * 4).cast("int").alias("temps_attente_minutes"),
+        (F.lit(1) + F.col("service_id") % 5).alias("niveau_urgence"),
+        disposition.otherwise(K.DISPOSITIONS[3]).alias("disposition"),
+        (F.lit(30) + F.col("maladie_id") % 91).cast("int").alias("duree_traitement_minutes"),
+        *adm.columns[adm.columns.index("loaded_at"):],
+    )
+
+
 def patient_age(custkey_acctbal: str = "c_acctbal"):
     return F.floor((F.col(custkey_acctbal) + 1000.0) / 100.0).cast("int")
 
