@@ -31,6 +31,14 @@ class Warehouse:
         self.daily_rate = daily_rate
         self.default_region = default_region
 
+    def replace(self, **tables: DataFrame) -> Warehouse:
+        """A copy whose named tables are the given frames (e.g. a written staging
+        table read back); everything built on them follows."""
+        other = self.__class__.__new__(self.__class__)
+        other.__dict__.update({k: v for k, v in self.__dict__.items() if not isinstance(v, DataFrame)})
+        other.__dict__.update(tables)
+        return other
+
     def table(self, name: str) -> DataFrame:
         return B.read(self.spark, self.sf_dir, name)
 
