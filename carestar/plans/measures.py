@@ -238,7 +238,8 @@ def _eq(v) -> Pred:
 FA, FO, FL, FP, FS = "fact_admissions", "fact_bed_occupancy", "fact_lab", "fact_prescriptions", "fact_pharmacy_stock"
 DP, DH = "dim_patient", "dim_hospital"
 
-MEASURES: dict[str, Measure] = {m.key: m for m in [
+def _catalogue() -> list[Measure]:
+    return [
     # admissions & activity
     Measure("total_admissions", "Total Admissions", FA, count_rows),
     Measure("patients_distincts", "Patients Distincts", FA, distinct_count("patient_id")),
@@ -317,7 +318,30 @@ MEASURES: dict[str, Measure] = {m.key: m for m in [
     Measure("taux_100k", "Admissions pour 100 000 habitants",
             derive=lambda c: divide(c["total_admissions"], c["population"]) * 100000.0,
             deps=("total_admissions", "population")),
-]}
+]
+
+
+class _Catalogue(Mapping):
+    """The catalogue, built on first use (its Columns need an active session)."""
+
+    _items: dict[str, Measure] | None = None
+
+    def _all(self) -> dict[str, Measure]:
+        if self._items is None:
+            self._items = {m.key: m for m in _catalogue()}
+        return self._items
+
+    def __getitem__(self, key: str) -> Measure:
+        return self._all()[key]
+
+    def __iter__(self):
+        return iter(self._all())
+
+    def __len__(self) -> int:
+        return len(self._all())
+
+
+MEASURES: Mapping[str, Measure] = _Catalogue()
 
 
 def hospital_model(wh) -> Model:
