@@ -55,9 +55,15 @@ def last_days(col: str, as_of: dt.date, days: int = 30) -> Column:
     return F.col(col).between(_d(as_of - dt.timedelta(days=days)), _d(as_of))
 
 
-def share_of_total(agg: DataFrame, count_col: str, name: str, digits: int = 2) -> DataFrame:
-    """Add ``ROUND(count * 100 / total, digits)`` with the total as a scalar subquery."""
-    total = agg.select(F.sum(count_col)).scalar()
+def share_of_total(agg: DataFrame, count_col: str, name: str, digits: int = 2,
+                   rows: DataFrame | None = None) -> DataFrame:
+    """Add ``ROUND(count * 100 / total, digits)``; the total is a scalar subquery.
+
+    With ``rows`` (the frame that was grouped) the total is its row count — a
+    global partial/final count with no shuffle by group key — instead of a
+    second pass of the group-by.
+    """
+    total = (rows.select(F.count(F.lit(1))) if rows is not None else agg.select(F.sum(count_col))).scalar()
     return agg.withColumn(name, pct(F.col(count_col), total, digits))
 
 
@@ -108,9 +114,9 @@ def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int
     """A4: top-k diseases of the current year with their share of all cases."""
     fa = current_year(wh.fact_admissions, as_of).select("maladie_id")
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite")
-    g = (join_dim(fa, m, "maladie_id").groupBy("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite")
-         .agg(_n().alias("nb_cas")))
-    g = share_of_total(g, "nb_cas", "pct_total", 2)
+    j = join_dim(fa, m, "maladie_id")
+    g = j.groupBy("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite").agg(_n().alias("nb_cas"))
+    g = share_of_total(g, "nb_cas", "pct_total", 2, rows=j)
     return g.orderBy(F.desc("nb_cas"), F.asc("maladie_id")).limit(k)
 
 
@@ -130,10 +136,11 @@ def kpi_age_split(wh: Warehouse) -> DataFrame:
     """Admissions per age band with share of total."""
     fa = wh.fact_admissions.select("patient_id", "est_urgence", "duree_sejour")
     p = wh.dim_patient.select("patient_id", "tranche_age")
-    g = (join_dim(fa, p, "patient_id").groupBy("tranche_age")
+    j = join_dim(fa, p, "patient_id")
+    g = (j.groupBy("tranche_age")
          .agg(_n().alias("nb_admissions"), _sum_int("est_urgence").alias("nb_urgences"),
               _avg1("duree_sejour").alias("dms_moy")))
-    return share_of_total(g, "nb_admissions", "pct_total", 2)
+    return share_of_total(g, "nb_admissions", "pct_total", 2, rows=j)
 
 
 def kpi_readmission_rate(wh: Warehouse) -> DataFrame:
@@ -203,10 +210,11 @@ def kpi_sex_split(wh: Warehouse) -> DataFrame:
     """Admissions per sex with share of total."""
     fa = wh.fact_admissions.select("patient_id", "est_urgence", "duree_sejour")
     p = wh.dim_patient.select("patient_id", "sexe")
-    g = (join_dim(fa, p, "patient_id").groupBy("sexe")
+    j = join_dim(fa, p, "patient_id")
+    g = (j.groupBy("sexe")
          .agg(_n().alias("nb_admissions"), _avg1("duree_sejour").alias("dms_moy"),
               _sum_int("est_urgence").alias("nb_urgences")))
-    return share_of_total(g, "nb_admissions", "pct", 2)
+    return share_of_total(g, "nb_admissions", "pct", 2, rows=j)
 
 
 def kpi_top_drugs(wh: Warehouse, k: int = 15) -> DataFrame:

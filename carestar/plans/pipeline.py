@@ -41,8 +41,20 @@ MARKER = "_BUILD_OK"
 BUILD_VERSION = "1"
 
 
+def _code_hash() -> str:
+    """Hash of the package source: a code change never reuses an older build."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()
+
+
 def fingerprint(wh: Warehouse) -> str:
-    parts = [BUILD_VERSION, wh.sf_dir, str(wh.calendar_start), str(wh.calendar_end), str(wh.daily_rate),
+    parts = [BUILD_VERSION, _code_hash(), wh.sf_dir, str(wh.calendar_start), str(wh.calendar_end), str(wh.daily_rate),
              str(wh.default_region)]
     for t in B.TABLES:
         p = local_path(f"{wh.sf_dir.rstrip('/')}/{t}.parquet")
@@ -71,13 +83,14 @@ def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, par
     """
     spark = wh.spark
     base = path.rstrip("/")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     wh.stg_admissions.write.mode("overwrite").parquet(f"{base}/staging/stg_admissions")
     w = wh.replace(stg_admissions=spark.read.parquet(f"{base}/staging/stg_admissions"))
 
     def write_admissions() -> None:
         fa = w.fact_admissions_readmit.withColumn("annee_admission", F.year("date_admission"))
-        (fa.repartitionByRange(n, "date_admission").write.mode("overwrite")
+        # range partitions sized by AQE (or fixed by ``partitions``)
+        ranged = fa.repartitionByRange(partitions, "date_admission") if partitions else fa.repartitionByRange("date_admission")
+        (ranged.write.mode("overwrite")
          .partitionBy("annee_admission").parquet(f"{base}/fact_admissions"))
 
     def writer(name: str):
