@@ -144,8 +144,8 @@ bi_query("disease_chronic_label", lambda wh: wh.dim_disease.select(
 bi_query("analytics_mart", lambda wh: analytics_mart(wh.fact_admissions, wh.dim_patient, wh.dim_hospital,
                                                      wh.dim_region, wh.dim_disease, wh.dim_date,
                                                      calendar_rows=wh.calendar_rows))
-# Stay length and calendar key look-up on their own
-wh_query("stay_duration", lambda wh: wh.fact_admissions.select("admission_id", "duree_sejour"))
-wh_query("date_key_lookup", lambda wh: wh.fact_admissions.select("admission_id", "date_admission", "temps_id"))
-wh_query("readmission_flag", lambda wh: wh.fact_admissions_readmit.select(
+# Columns of the admissions fact, read from the published build
+bi_query("stay_duration", lambda wh: wh.fact_admissions.select("admission_id", "duree_sejour"))
+bi_query("date_key_lookup", lambda wh: wh.fact_admissions.select("admission_id", "date_admission", "temps_id"))
+bi_query("readmission_flag", lambda wh: wh.fact_admissions_readmit.select(
     "admission_id", "patient_id", "date_admission", "est_readmission"))
