@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -168,6 +169,7 @@ class BuiltWarehouse(Warehouse):
 
 
 _BUILDS: dict[tuple, str] = {}
+_LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> BuiltWarehouse:
@@ -176,8 +178,9 @@ def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> BuiltWarehouse:
     fp = fingerprint(raw)
     base = f"{checkpoint_dir(spark).rstrip('/')}/carestar-warehouse/{fp}"
     key = (spark.sparkContext.applicationId, base)
-    if key not in _BUILDS:
-        if not _exists(spark, f"{base}/{MARKER}"):
-            build_warehouse(raw, base)
-        _BUILDS[key] = base
+    with _LOCK:  # queries submitted from several threads share one build
+        if key not in _BUILDS:
+            if not _exists(spark, f"{base}/{MARKER}"):
+                build_warehouse(raw, base)
+            _BUILDS[key] = base
     return BuiltWarehouse(spark, sf_dir, _BUILDS[key], **kw)
