@@ -99,7 +99,10 @@ class Warehouse:
 
     @cached_property
     def fact_prescriptions(self) -> DataFrame:
-        return facts.fact_prescriptions(B.stg_prescriptions(self.spark, self.sf_dir, self.stg_admissions_raw),
+        """From the cleaned staging: prescriptions are deduped (latest version per
+        prescription) before the fact is built, and the build reuses the
+        written staging instead of joining the raw sources a second time."""
+        return facts.fact_prescriptions(B.stg_prescriptions(self.spark, self.sf_dir, self.stg_admissions),
                                         self.dim_date, calendar_rows=self.calendar_rows)
 
     @cached_property
