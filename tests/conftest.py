@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from carestar.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="carestar-test-ckpt-")
-    s = build_session("local[4]", app="carestar-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir comes from the environment when set; build_session
+    # picks a fresh local folder only when it is unset
+    s = build_session("local[4]", app="carestar-tests", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
