@@ -58,13 +58,34 @@ def fingerprint(wh: Warehouse) -> str:
     parts = [BUILD_VERSION, _code_hash(), wh.sf_dir, str(wh.calendar_start), str(wh.calendar_end), str(wh.daily_rate),
              str(wh.default_region)]
     for t in B.TABLES:
-        p = local_path(f"{wh.sf_dir.rstrip('/')}/{t}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+        parts.append(f"{t}:{_stat(wh.spark, f'{wh.sf_dir.rstrip(chr(47))}/{t}.parquet')}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _stat(spark: SparkSession, path: str) -> str:
+    """Size and modification time of an input (file or folder): ``os.stat`` for
+    local paths, the Hadoop file system's metadata calls otherwise (no data is
+    read)."""
+    p = local_path(path)
+    if "://" not in p:
+        if not os.path.exists(p):
+            return "absent"
+        st = os.stat(p)
+        if os.path.isdir(p):
+            sizes = [(os.path.getsize(os.path.join(d, f)), os.path.getmtime(os.path.join(d, f)))
+                     for d, _, fs in os.walk(p) for f in fs]
+            return f"{sum(s for s, _ in sizes)}:{int(max([m for _, m in sizes] or [st.st_mtime]))}"
+        return f"{st.st_size}:{int(st.st_mtime)}"
+    try:
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        summary = fs.getContentSummary(hp)
+        return f"{summary.getLength()}:{summary.getFileCount()}:{fs.getFileStatus(hp).getModificationTime()}"
+    except Exception:  # noqa: BLE001 — unreachable metadata: key on the path only
+        return "unknown"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.json(path)

@@ -51,8 +51,7 @@ def ingest_json_envelope(wh: Warehouse) -> DataFrame:
     """S3: sensor feed landed as envelopes of at most 500 readings -> one row per reading."""
     sensors = B.stg_sensors(wh.spark, wh.sf_dir).select(*[f.name for f in SENSOR_RECORD.fields])
     path = scratch_path(wh.spark, "sensors_json")
-    S.write_json_envelopes(sensors, path, bucket=F.floor(F.col("capteur_id") / 500), meta={"source": "capteurs_iot"},
-                           bools=["alertes"])
+    S.write_json_envelopes(sensors, path, per_envelope=500, meta={"source": "capteurs_iot"}, bools=["alertes"])
     return S.read_json_envelope(wh.spark, path, SENSOR_RECORD, bool_to_int=["alertes"], multi_line=False)
 
 
@@ -168,7 +167,7 @@ def ingest_reference_payload(wh: Warehouse) -> DataFrame:
                    F.when(F.col("p_size") % 9 == 0, None)
                     .otherwise(F.when(F.col("p_size") > 25, 1).otherwise(0)).alias("est_chronique"))
     path = scratch_path(wh.spark, "api_maladies")
-    S.write_json_envelopes(rec, path, bucket=F.floor(F.col("maladie_id") / 500), count_field="count")
+    S.write_json_envelopes(rec, path, per_envelope=500, count_field="count")
     return D.dim_disease(S.read_json_envelope(wh.spark, path, DISEASE_RECORD, multi_line=False))
 
 

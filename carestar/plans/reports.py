@@ -48,7 +48,8 @@ def report_hospitals(wh: Warehouse, k: int = 8) -> DataFrame:
 def report_regions(wh: Warehouse) -> DataFrame:
     """Per region of the hospital: admissions, distinct patients, mean cost."""
     fa = wh.fact_admissions.select("hopital_id", "patient_id", "cout_hospitalisation")
-    hr = _hospital_region(wh).filter(F.col("nom_region").isNotNull())
+    r = wh.dim_region.select("region_id", "nom_region")
+    hr = wh.dim_hospital.select("hopital_id", "region_id").join(r, "region_id", "inner")
     return (join_dim(fa, hr, "hopital_id").groupBy("nom_region")
             .agg(_n().alias("admissions"), F.count_distinct("patient_id").alias("patients_uniques"),
                  F.round(F.avg("cout_hospitalisation"), 0).alias("cout_moy")))
@@ -111,11 +112,16 @@ def occupancy_by_service(wh: Warehouse) -> DataFrame:
 def matrix_disease_region(wh: Warehouse) -> DataFrame:
     """Admissions per disease (rows) × patient region (columns).
 
-    The pivot values are the region names read from the (small) region
-    dimension, so the fact is scanned once; combinations without admissions
-    are 0.
+    The pivot values are the region names read from the region dimension, so
+    the fact is scanned once; combinations without admissions are 0.  A pivot
+    needs its column list on the driver, so the list is bounded explicitly by
+    Spark's pivot limit (``spark.sql.pivotMaxValues``) instead of trusted.
     """
-    regions = sorted(r[0] for r in wh.dim_region.select("nom_region").distinct().collect() if r[0] is not None)
+    limit = int(wh.spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+    names = [r[0] for r in wh.dim_region.select("nom_region").distinct().limit(limit + 1).collect()]
+    if len(names) > limit:
+        raise ValueError(f"more than {limit} regions: use the long form (category_trend-style) instead of a pivot")
+    regions = sorted(n for n in names if n is not None)
     fa = wh.fact_admissions.select("patient_id", "maladie_id")
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region")

@@ -72,17 +72,21 @@ def read_json_envelope(spark: SparkSession, path: str, record: T.StructType, boo
     return out
 
 
-def write_json_envelopes(records: DataFrame, path: str, bucket: Column, meta: dict | None = None,
+def write_json_envelopes(records: DataFrame, path: str, per_envelope: int = 500, meta: dict | None = None,
                          count_field: str = "nb_records", bools: Sequence[str] = ()) -> None:
-    """Land records as JSON Lines envelopes, one envelope per ``bucket`` value.
+    """Land records as JSON Lines envelopes of at most ``per_envelope`` records.
 
-    ``bucket`` must bound the records per envelope (e.g. ``id div 500``): an
-    envelope is one row, so its size must not grow with the data.
+    An envelope is one row, so its size must not grow with the data: records
+    are bucketed by their row position inside their input partition
+    (``monotonically_increasing_id``), which bounds every envelope by
+    construction whatever the values (a key repeated on a third of the rows
+    still spreads over many envelopes).
     """
     rec = records
     for c in bools:
         rec = rec.withColumn(c, F.col(c).cast("boolean"))
     cols = rec.columns
+    bucket = F.floor(F.monotonically_increasing_id() / F.lit(per_envelope))
     env = (rec.withColumn("__b", bucket).groupBy("__b")
            .agg(F.count(F.lit(1)).alias(count_field), F.collect_list(F.struct(*cols)).alias("data")))
     extra = [F.lit(v).alias(k) for k, v in (meta or {}).items()]
