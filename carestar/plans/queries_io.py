@@ -283,6 +283,23 @@ def stream_bed_occupancy_windows(wh: Warehouse) -> DataFrame:
     return wh.spark.read.parquet(out)
 
 
+def fact_admissions_from_csv(wh: Warehouse) -> DataFrame:
+    """S1 + X1–X6 end to end: admissions and discharges landed as separate text
+    files, read back all-string, discharges left-joined (keep-first per
+    admission), dates parsed from text, calendar key looked up."""
+    from ..operators.facts import fact_admissions
+    stg = wh.stg_admissions
+    adm_cols = ["admission_id", "patient_id", "date_admission", "urgence", "hopital_id", "service_id", "maladie_id",
+                "service"]
+    pa, ps = scratch_path(wh.spark, "admissions_csv"), scratch_path(wh.spark, "sorties_csv")
+    S.write_csv(stg.select(*adm_cols), pa)
+    S.write_csv(stg.filter(F.col("date_sortie").isNotNull()).select("admission_id", "date_sortie"), ps)
+    adm = S.read_csv_all_string(wh.spark, pa, keys=["admission_id"], source="admissions.csv", loaded_at=LOADED_AT)
+    sor = S.read_csv_all_string(wh.spark, ps, keys=["admission_id"], source="sorties.csv", loaded_at=LOADED_AT)
+    return fact_admissions(adm.drop("source_file", "loaded_at"), wh.dim_date, discharges=sor,
+                           calendar_rows=wh.calendar_rows)
+
+
 def lookup_by_id(wh: Warehouse) -> DataFrame:
     """F8: one disease by id."""
     return I.lookup(wh.dim_disease, "maladie_id", 42)
@@ -297,5 +314,6 @@ for _name, _fn in [("ingest_csv", ingest_csv), ("ingest_json_envelope", ingest_j
                    ("reload_by_source", reload_by_source), ("export_csv_roundtrip", export_csv_roundtrip),
                    ("export_manifest", export_manifest), ("run_log_latest", run_log_latest),
                    ("stream_incremental_ingest", stream_incremental_ingest),
+                   ("fact_admissions_from_csv", fact_admissions_from_csv),
                    ("stream_bed_occupancy", stream_bed_occupancy_windows)]:
     wh_query(_name, _fn)

@@ -62,6 +62,12 @@ FROM part"""),
 SELECT CAST(region_id AS VARCHAR) AS region_id, nom_region, population, superficie, chef_lieu FROM dim_region"""),
     "table_counts": W(f"""
 {COUNTS} UNION ALL SELECT 'stg_absente', CAST(NULL AS BIGINT)"""),
+    "fact_admissions_from_csv": W("""
+SELECT CAST(admission_id AS VARCHAR) AS admission_id, CAST(patient_id AS VARCHAR) AS patient_id, temps_id,
+       CAST(hopital_id AS VARCHAR) AS hopital_id, CAST(service_id AS VARCHAR) AS service_id,
+       CAST(maladie_id AS VARCHAR) AS maladie_id, duree_sejour, est_urgence, mode_admission, mode_sortie, service,
+       nb_lits_utilises, cout_hospitalisation, cout_sejour, date_admission
+FROM fact_admissions"""),
     "lookup_by_id": W("SELECT * FROM dim_disease WHERE maladie_id = 42"),
     "reload_by_source": W("""
 SELECT CASE WHEN TRY_CAST(patient_id AS BIGINT) % 2 = 0 THEN 'patients_a.csv' ELSE 'patients_b.csv' END
