@@ -2,6 +2,7 @@
 
     python -m carestar build  --sf /root/testdata/sf0.1            # publish the warehouse build
     python -m carestar query  --sf /root/testdata/sf0.1 kpi_sex_split [--out DIR] [--show N]
+    python -m carestar daily  --sf /root/testdata/sf0.1 --out DIR   # audit -> build -> mart -> KPIs -> exports
     python -m carestar list                                         # registered query keys
 
 The session comes from the environment (``spark-submit`` / cluster defaults);
@@ -26,6 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("names", nargs="+")
     q.add_argument("--out", default=None, help="write each result as Parquet below this folder")
     q.add_argument("--show", type=int, default=20)
+    d = sub.add_parser("daily")
+    d.add_argument("--sf", required=True)
+    d.add_argument("--out", required=True, help="shared folder for the mart, KPI cache, exports and run log")
     sub.add_parser("list")
     args = ap.parse_args(argv)
 
@@ -41,6 +45,10 @@ def main(argv: list[str] | None = None) -> int:
         wh = warehouse_for(spark, args.sf)
         print(json.dumps({"warehouse": wh.path}))
         return 0
+    if args.cmd == "daily":
+        from .plans.pipeline import run_daily
+        run_daily(spark, args.sf, args.out).select("task_name", "status", "records").show(truncate=False)
+        return 0
     qs = all_queries()
     for name in args.names:
         df = qs[name](spark, args.sf)

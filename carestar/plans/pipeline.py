@@ -205,3 +205,83 @@ def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> BuiltWarehouse:
                 build_warehouse(raw, base)
             _BUILDS[key] = base
     return BuiltWarehouse(spark, sf_dir, _BUILDS[key], **kw)
+
+
+def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of=None, computed_at: str | None = None,
+              **kw) -> DataFrame:
+    """The daily chain of the reference's schedule, as one job sequence:
+
+    audit staging -> quality gate -> publish the warehouse -> write the mart ->
+    write the KPI cache -> dated CSV exports of both.  Every step appends a
+    start and an end event (with the rows it wrote) to the run log below
+    ``out_dir``; the returned frame is the latest event per step.
+    """
+    import datetime as dt
+
+    from .. import constants as K
+    from ..operators import quality as Q
+    from ..operators.mart import analytics_mart
+    from ..sinks import writers as W
+    from ..sources.files import write_csv
+    from . import kpis
+    from .queries_quality import quality_audit
+
+    as_of = as_of or K.AS_OF_ADMISSIONS
+    computed_at = computed_at or K.COMPUTED_AT
+    base = out_dir.rstrip("/")
+    log_path = f"{base}/etl_log"
+    run = f"daily-{as_of.isoformat()}"
+
+    def event(task: str, status: str, records=None, error=None) -> None:
+        row = spark.range(1).select(
+            F.lit(f"{run}-{task}").alias("run_id"), F.lit("daily").alias("dag_name"), F.lit(task).alias("task_name"),
+            F.lit(dt.datetime.now()).cast("timestamp_ntz").alias("event_time"), F.lit(status).alias("status"),
+            F.lit(records).cast("bigint").alias("records"), F.lit(error).cast("string").alias("error"),
+            F.lit(sf_dir).alias("source"))
+        W.log_events(row, log_path)
+
+    def step(task: str, fn):
+        event(task, "RUNNING")
+        try:
+            n = fn()
+        except Exception as e:  # noqa: BLE001 — logged, then raised
+            event(task, "FAILED", error=str(e)[:1000])
+            raise
+        event(task, "SUCCESS", records=n)
+
+    raw = Warehouse(spark, sf_dir, **kw)
+    state: dict = {}
+
+    def audit() -> int:
+        W.replace(quality_audit(raw), f"{base}/quality_audit")
+        score = Q.quality_score(spark.read.parquet(f"{base}/quality_audit"))
+        W.replace(score, f"{base}/quality_score")
+        Q.assert_quality(spark.read.parquet(f"{base}/quality_score"))
+        return spark.read.parquet(f"{base}/quality_audit").count()
+
+    def publish() -> int:
+        state["wh"] = warehouse_for(spark, sf_dir, **kw)
+        return state["wh"].fact_admissions.count()
+
+    def mart() -> int:
+        wh = state["wh"]
+        W.replace(analytics_mart(wh.fact_admissions, wh.dim_patient, wh.dim_hospital, wh.dim_region,
+                                 wh.dim_disease, wh.dim_date, calendar_rows=wh.calendar_rows), f"{base}/analytics_mart")
+        return spark.read.parquet(f"{base}/analytics_mart").count()
+
+    def kpi_cache() -> int:
+        wh = state["wh"]
+        W.replace(kpis.kpi_cache(wh, computed_at).unionByName(kpis.kpi_cache_top5(wh, computed_at)),
+                  f"{base}/kpi_cache")
+        return spark.read.parquet(f"{base}/kpi_cache").count()
+
+    def export() -> int:
+        day = as_of.isoformat()
+        write_csv(spark.read.parquet(f"{base}/analytics_mart"), f"{base}/reports/analytics_mart_{day}")
+        write_csv(spark.read.parquet(f"{base}/kpi_cache"), f"{base}/reports/kpi_cache_{day}")
+        return 2
+
+    for task, fn in (("audit_qualite", audit), ("publier_entrepot", publish), ("creer_mart", mart),
+                     ("calculer_kpis", kpi_cache), ("export_csv", export)):
+        step(task, fn)
+    return W.latest_runs(spark.read.parquet(log_path))

@@ -54,3 +54,14 @@ def test_kpis_on_an_empty_fact(spark, wh):
     assert kpis.kpi_top_diseases(empty).count() == 0
     cache = {r["kpi"]: r["valeur"] for r in kpis.kpi_cache(empty).collect()}
     assert cache["nb_admissions_total"] == "0" and cache["dms_moyen"] == "N/A"
+
+
+def test_daily_chain_logs_every_step(spark, tmp_dir):
+    from carestar.plans.pipeline import run_daily
+    out = tmp_dir("daily")
+    log = {r["task_name"]: (r["status"], r["records"]) for r in run_daily(spark, SF_SMALL, out).collect()}
+    assert set(log) == {"audit_qualite", "publier_entrepot", "creer_mart", "calculer_kpis", "export_csv"}
+    assert all(s == "SUCCESS" for s, _ in log.values())
+    assert log["creer_mart"][1] == log["publier_entrepot"][1] > 0
+    assert log["calculer_kpis"][1] == 13
+    assert spark.read.option("header", True).csv(f"{out}/reports/kpi_cache_2000-12-31").count() == 13
