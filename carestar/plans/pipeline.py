@@ -9,10 +9,11 @@ cuts the lineage: a lost executor costs a re-read of Parquet, not a replay
 of the whole pipeline.
 
 Layout choices for scale:
-* ``fact_admissions`` (the big fact) is range-partitioned on the admission
-  date before writing and stored by year (``annee_admission``): year filters
-  prune directories, date filters skip row groups through Parquet min/max
-  statistics, and no task ever holds more than its share of a year.
+* ``fact_admissions`` (the big fact) is range-partitioned on (admission date,
+  admission id) before writing and stored by year (``annee_admission``): year
+  filters prune directories, date filters skip row groups through Parquet
+  min/max statistics, and even a date holding a third of all admissions is
+  split over many write tasks.
 * A build is published by a marker written last; a folder without the marker
   is never read (an interrupted build is simply rebuilt).
 * The folder name is a fingerprint of the inputs (paths, sizes, modification
@@ -110,8 +111,10 @@ def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, par
 
     def write_admissions() -> None:
         fa = w.fact_admissions_readmit.withColumn("annee_admission", F.year("date_admission"))
-        # range partitions sized by AQE (or fixed by ``partitions``)
-        ranged = fa.repartitionByRange(partitions, "date_admission") if partitions else fa.repartitionByRange("date_admission")
+        # range partitions sized by AQE (or fixed by ``partitions``); the id as second
+        # range key splits a date that holds a large share of all admissions
+        keys = ["date_admission", "admission_id"]
+        ranged = fa.repartitionByRange(partitions, *keys) if partitions else fa.repartitionByRange(*keys)
         (ranged.write.mode("overwrite")
          .partitionBy("annee_admission").parquet(f"{base}/fact_admissions"))
 
