@@ -69,3 +69,17 @@ def pct(num, den, digits: int = 2) -> Column:
 def flag(cond: Column) -> Column:
     """Boolean -> 0/1 int, NULL -> 0."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+
+
+def ntz(value) -> Column:
+    """A ``timestamp_ntz`` literal built from text: the wall-clock value is kept
+    whatever the session or Python process time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def literal_like(value, dtype) -> Column:
+    """``value`` as a literal of ``dtype``; datetimes go through text so that a
+    naive Python datetime compares as the same wall-clock value."""
+    if hasattr(value, "isoformat") and hasattr(value, "hour"):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)

@@ -222,6 +222,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of=None, comput
     import datetime as dt
 
     from .. import constants as K
+    from ..functions import ntz
     from ..operators import quality as Q
     from ..operators.mart import analytics_mart
     from ..sinks import writers as W
@@ -238,7 +239,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of=None, comput
     def event(task: str, status: str, records=None, error=None) -> None:
         row = spark.range(1).select(
             F.lit(f"{run}-{task}").alias("run_id"), F.lit("daily").alias("dag_name"), F.lit(task).alias("task_name"),
-            F.lit(dt.datetime.now()).cast("timestamp_ntz").alias("event_time"), F.lit(status).alias("status"),
+            ntz(dt.datetime.now()).alias("event_time"), F.lit(status).alias("status"),
             F.lit(records).cast("bigint").alias("records"), F.lit(error).cast("string").alias("error"),
             F.lit(sf_dir).alias("source"))
         W.log_events(row, log_path)

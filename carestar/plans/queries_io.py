@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import ntz
 from ..operators import dims as D
 from ..operators.facts import stay_days
 from ..operators.mart import analytics_mart
@@ -154,7 +155,7 @@ def incremental_extract(wh: Warehouse) -> DataFrame:
     appended, then the latest version per key."""
     src = _operational_admissions(wh)
     target = scratch_path(wh.spark, "adm_incremental")
-    K.replace(src.filter(F.col("updated_at") <= F.lit(INITIAL_LOAD_UNTIL)).withColumn("lot", F.lit("initial")), target)
+    K.replace(src.filter(F.col("updated_at") <= ntz(INITIAL_LOAD_UNTIL)).withColumn("lot", F.lit("initial")), target)
     mark = I.high_water_mark(wh.spark.read.parquet(target))
     K.append(I.extract_incremental(src, mark).withColumn("lot", F.lit("increment")), target)
     loaded = wh.spark.read.parquet(target)
@@ -236,10 +237,10 @@ def run_log_latest(wh: Warehouse) -> DataFrame:
     counts = table_counts(wh).filter(F.col("n_rows").isNotNull())
     start = counts.select(F.concat(F.lit("run-"), F.col("table_name")).alias("run_id"),
                           F.lit("ingestion").alias("dag_name"), F.concat(F.lit("extract_"), F.col("table_name")).alias("task_name"),
-                          F.lit(dt.datetime(2000, 12, 31, 6, 0)).cast("timestamp_ntz").alias("event_time"), F.lit("RUNNING").alias("status"),
+                          ntz(dt.datetime(2000, 12, 31, 6, 0)).alias("event_time"), F.lit("RUNNING").alias("status"),
                           F.lit(None).cast("bigint").alias("records"), F.lit(None).cast("string").alias("error"),
                           F.col("table_name").alias("source"))
-    end = (start.withColumn("event_time", F.lit(dt.datetime(2000, 12, 31, 6, 5)).cast("timestamp_ntz"))
+    end = (start.withColumn("event_time", ntz(dt.datetime(2000, 12, 31, 6, 5)))
            .withColumn("status", F.lit("SUCCESS")).drop("records")
            .join(counts.select(F.concat(F.lit("run-"), F.col("table_name")).alias("run_id"),
                                F.col("n_rows").alias("records")), "run_id"))

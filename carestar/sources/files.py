@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import clean_header
+from ..functions import clean_header, ntz
 
 
 def _lineage(df: DataFrame, source: str | None, loaded_at) -> DataFrame:
     src = F.lit(source) if source is not None else F.col("_metadata.file_name")
-    ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp_ntz")
+    ts = F.current_timestamp() if loaded_at is None else ntz(loaded_at)
     return df.withColumn("source_file", src).withColumn("loaded_at", ts)
 
 

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import literal_like
 from ..operators.quality import dedup
 
 
@@ -26,7 +27,9 @@ def high_water_mark(target: DataFrame | None, ts_col: str = "updated_at", as_of:
 
 def extract_incremental(source: DataFrame, mark, ts_col: str = "updated_at") -> DataFrame:
     """Rows changed after the mark (all rows when there is no mark)."""
-    return source if mark is None else source.filter(F.col(ts_col) > F.lit(mark))
+    if mark is None:
+        return source
+    return source.filter(F.col(ts_col) > literal_like(mark, source.schema[ts_col].dataType))
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str], ts_col: str = "updated_at") -> DataFrame:

@@ -5,6 +5,10 @@
 than the watermark are dropped as late.  Duplicate sensor readings inside the
 watermark are dropped by ``dropDuplicatesWithinWatermark``.  Append output
 to a file sink, exactly once through the checkpoint.
+
+Event time must be a TIMESTAMP (not NTZ) for a watermark; windows align on
+the epoch, so wall-clock 4-hour buckets are exact when the session time zone
+is UTC (or any offset that is a multiple of the window).
 """
 
 from __future__ import annotations
