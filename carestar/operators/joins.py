@@ -5,7 +5,8 @@ Policy
   row per day of a fixed range) is broadcast explicitly.
 * Every other dimension grows with the data (patients, hospitals, diseases…),
   so no hint is given: the planner broadcasts it only while its estimated size
-  is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a
+  is under ``spark.sql.autoBroadcastJoinThreshold`` (left at the cluster's
+  value, Spark's default 10 MB) and otherwise plans a
   shuffle join; AQE re-plans at run time from the real sizes and splits skewed
   partitions (``spark.sql.adaptive.skewJoin.enabled``).
 """

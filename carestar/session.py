@@ -22,11 +22,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a dimension is broadcast only when its estimated size is under this bound;
-    # bigger dimensions fall back to a shuffle join (and AQE may still demote /
-    # promote at run time from the real shuffle sizes)
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # spark.sql.autoBroadcastJoinThreshold is left to the cluster (Spark's 10 MB
+    # default): a data-derived dimension is broadcast only while its estimated
+    # size is under it, otherwise the join shuffles, and AQE re-plans from the
+    # real shuffle sizes.  Parquet estimates are compressed sizes, so the bound
+    # is kept conservative rather than raised.
 }
 
 
