@@ -1,7 +1,7 @@
 """Session construction and shared-storage scratch paths.
 
 On a cluster the session is created by the platform; ``configure`` only fills
-settings that are unset.  Scratch output (round trips, exports, streaming
+the checkpoint folder when it is unset.  Scratch output (round trips, exports, streaming
 checkpoints) always goes below ``spark.checkpoint.dir`` — the shared folder the
 cluster names — never to a machine-local temporary directory.  Only when that
 setting is unset (local tests) do we pick a folder ourselves.
@@ -15,8 +15,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings we rely on.  They are applied only when the session does not already
-# define them, so a cluster configuration always wins.
+# Settings for the sessions this package creates itself (tests, bench, CLI).
+# A session handed to us (a cluster's, the driver's) is used as configured:
+# Spark 4 already enables AQE, partition coalescing and skew-join splitting by
+# default, and the cluster owns sizing and time zone.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -34,6 +36,8 @@ def build_session(master: str | None = None, app: str = "carestar", shuffle_part
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session; used by tests, bench and the CLI only."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    for k, v in DEFAULT_CONF.items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
@@ -46,9 +50,8 @@ def build_session(master: str | None = None, app: str = "carestar", shuffle_part
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for k, v in DEFAULT_CONF.items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
+    """Prepare a session we did not create: only the shared checkpoint folder is
+    filled in, and only when the session has none."""
     checkpoint_dir(spark)
     return spark
 
