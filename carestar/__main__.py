@@ -41,12 +41,12 @@ def main(argv: list[str] | None = None) -> int:
     from .session import build_session
     spark = build_session(args.master)
     if args.cmd == "build":
-        from .plans.pipeline import warehouse_for
+        from .plans.build import warehouse_for
         wh = warehouse_for(spark, args.sf)
         print(json.dumps({"warehouse": wh.path}))
         return 0
     if args.cmd == "daily":
-        from .plans.pipeline import run_daily
+        from .plans.build import run_daily
         run_daily(spark, args.sf, args.out).select("task_name", "status", "records").show(truncate=False)
         return 0
     qs = all_queries()

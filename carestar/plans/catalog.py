@@ -29,7 +29,7 @@ def wh_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
 
 def bi_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
     """A BI question: runs on the published warehouse build (built on first use)."""
-    from .pipeline import warehouse_for
+    from .build import warehouse_for
     QUERIES[name] = lambda spark, sf_dir: build(warehouse_for(spark, sf_dir))
 
 

@@ -37,7 +37,7 @@ def landed(wh: Warehouse, name: str, write) -> str:
     fingerprint below the shared checkpoint folder (published by a marker
     written last).  Reader queries then time the reading, not the landing;
     sink and streaming queries still write on every run."""
-    from .pipeline import MARKER, _exists, fingerprint
+    from .build import MARKER, _exists, fingerprint
     base = f"{checkpoint_dir(wh.spark).rstrip('/')}/carestar-landing/{fingerprint(wh)}/{name}"
     with _LANDING_LOCK:
         if not _exists(wh.spark, f"{base}/{MARKER}"):

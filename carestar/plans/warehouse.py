@@ -1,9 +1,9 @@
 """The star schema assembled from the bound driver tables.
 
 ``Warehouse`` only builds lazy plans: nothing runs until a query acts on a
-frame.  In a scheduled pipeline the dims and facts would be written once
-(``carestar.sinks``) and read back; for the query library each query composes
-the plans it needs and Catalyst prunes everything else.
+frame.  ``carestar.plans.build`` writes the dims and facts once and serves
+them back (``BuiltWarehouse``); operator queries compose the plans they need
+from the raw tables and Catalyst prunes everything else.
 """
 
 from __future__ import annotations

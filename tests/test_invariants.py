@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from carestar.operators.mart import MART_COLUMNS, analytics_mart
 from carestar.plans import kpis, reports
-from carestar.plans.pipeline import warehouse_for
+from carestar.plans.build import warehouse_for
 from conftest import SF_SMALL
 
 
@@ -57,7 +57,7 @@ def test_kpis_on_an_empty_fact(spark, wh):
 
 
 def test_daily_chain_logs_every_step(spark, tmp_dir):
-    from carestar.plans.pipeline import run_daily
+    from carestar.plans.build import run_daily
     out = tmp_dir("daily")
     log = {r["task_name"]: (r["status"], r["records"]) for r in run_daily(spark, SF_SMALL, out).collect()}
     assert set(log) == {"audit_qualite", "publier_entrepot", "creer_mart", "calculer_kpis", "export_csv"}

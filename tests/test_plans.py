@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from carestar.plans.kpis import kpi_length_of_stay, kpi_sex_split
-from carestar.plans.pipeline import warehouse_for
+from carestar.plans.build import warehouse_for
 from carestar.plans.warehouse import Warehouse
 from conftest import SF_SMALL
 

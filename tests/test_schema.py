@@ -3,7 +3,7 @@ with the columns downstream queries rely on."""
 
 import pytest
 
-from carestar.plans.pipeline import DIMENSIONS, FACTS, warehouse_for
+from carestar.plans.build import DIMENSIONS, FACTS, warehouse_for
 from conftest import SF_SMALL
 
 EXPECTED = {
