@@ -37,6 +37,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the input has fewer splits than the cluster's
+    parallelism (e.g. a single-row-group file): round-robin repartition to the
+    default parallelism.  On real inputs (thousands of splits) this is a no-op.
+    Round-robin is made deterministic for task retries by Spark's local sort
+    before repartitioning."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 # Dedup order for admissions: latest load first, then every remaining source
 # column so that the order is total.
 ADMISSION_DEDUP_ORDER = ["loaded_at", "maladie_id", "hopital_id", "l_quantity", "l_extendedprice",
@@ -47,7 +57,7 @@ def stg_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw admissions (duplicates included, as landed): source columns only;
     values derived from them are added after dedup by :func:`admission_details`,
     so the dedup moves the narrowest possible rows."""
-    li = read(spark, sf_dir, "lineitem")
+    li = spread(read(spark, sf_dir, "lineitem"))
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
@@ -218,7 +228,7 @@ def stg_prescriptions(spark: SparkSession, sf_dir: str, admissions: DataFrame |
 
 
 def stg_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
+    li = spread(read(spark, sf_dir, "lineitem"))
     g = (li.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("date"))
          .agg(F.sum("l_quantity").alias("conso")))
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
