@@ -209,10 +209,12 @@ def measure(model: Model, registry: Mapping[str, Measure], keys: Sequence[str],
         for p in parts[1:]:
             out = _join_on_axes(out, p, axes)
     else:
-        # one row per part: the other parts enter as scalar subqueries
+        # one row per part: every other part enters as ONE struct-typed scalar
+        # subquery (evaluated once, its fields read from the struct)
         out = parts[0]
         for p in parts[1:]:
-            out = out.select("*", *[p.select(c).scalar().alias(c) for c in p.columns])
+            packed = p.select(F.struct(*p.columns).alias("s")).scalar()
+            out = out.select("*", *[packed.getField(c).alias(c) for c in p.columns])
 
     cols = {c: F.col(c) for c in out.columns}
     for m in plan:

@@ -76,3 +76,9 @@ def test_month_over_month_gap_safe(spark):
                "pct_croissance_admissions")
     # January 2, February empty (previous = 2), March 2 with an empty February, April after March
     assert out == [(1, 2, None, 2, 0.0), (2, None, 2, -2, -100.0), (3, 2, None, 2, 0.0), (4, None, 2, -2, -100.0)]
+
+
+def test_grand_total_parts_from_several_tables(spark):
+    m = _model(spark)
+    out = measure(m, MEASURES, ["total_admissions", "population", "taux_100k"]).collect()[0]
+    assert out["total_admissions"] == 4 and out["population"] == 1000.0 and out["taux_100k"] == 400.0
