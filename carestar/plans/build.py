@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..session import checkpoint_dir, local_path
+from ..session import cached_frame, checkpoint_dir, local_path
 from ..sources import binding as B
 from .warehouse import Warehouse
 
@@ -137,7 +137,10 @@ class BuiltWarehouse(Warehouse):
         self.path = path.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        # a published build never changes (new inputs or code get a new folder),
+        # so its relations are resolved once per session
+        path = f"{self.path}/{name}"
+        return cached_frame(self.spark, ("build", path), lambda: self.spark.read.parquet(path))
 
     @cached_property
     def dim_date(self) -> DataFrame:

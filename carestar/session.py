@@ -12,8 +12,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for the sessions this package creates itself (tests, bench, CLI).
 # A session handed to us (a cluster's, the driver's) is used as configured:
@@ -82,3 +84,31 @@ def ensure_dir(path: str) -> None:
     p = local_path(path)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+# Frames over immutable files, per session: a relation keeps its resolved file
+# listing and schema, so a repeated read skips the listing and footer jobs.
+_FRAMES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def cached_frame(spark: SparkSession, key: tuple, load: Callable[[], DataFrame]) -> DataFrame:
+    """``load()`` once per ``(spark, key)``; ``key`` must change whenever the
+    files behind the frame may have changed."""
+    frames = _FRAMES.setdefault(spark, {})
+    df = frames.get(key)
+    if df is None:
+        df = frames.setdefault(key, load())
+    return df
+
+
+def local_signature(path: str) -> str | None:
+    """Total size and latest modification time of a local file or folder, or
+    None for a remote path (those are read afresh every time)."""
+    p = local_path(path)
+    if "://" in p or not os.path.exists(p):
+        return None
+    if not os.path.isdir(p):
+        st = os.stat(p)
+        return f"{st.st_size}:{st.st_mtime_ns}"
+    stats = [os.stat(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs]
+    return f"{len(stats)}:{sum(s.st_size for s in stats)}:{max((s.st_mtime_ns for s in stats), default=0)}"

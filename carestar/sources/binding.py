@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import cached_frame, local_signature
 from ..operators.facts import sensor_measures, stock_measures
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -34,7 +35,13 @@ STOCK_THRESHOLD = 100
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  Local inputs are read once per session and content
+    signature (size, modification time); remote inputs are read every time."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    sig = local_signature(path)
+    if sig is None:
+        return spark.read.parquet(path)
+    return cached_frame(spark, ("input", path, sig), lambda: spark.read.parquet(path))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -134,3 +134,25 @@ def test_run_log_latest(spark, tmp_dir):
     K.log_events(ev, p)
     r = K.latest_runs(spark.read.parquet(p)).collect()
     assert [(x["status"], x["records"]) for x in r] == [("SUCCESS", 10)]
+
+
+def test_input_reads_follow_the_files(spark, tmp_dir):
+    """Driver tables are resolved once per session while unchanged; a rewritten
+    input gets a fresh read."""
+    from carestar.sources import binding as B
+    d = tmp_dir("inputs")
+    spark.range(3).withColumnRenamed("id", "r_regionkey").write.parquet(f"{d}/region.parquet")
+    first = B.read(spark, d, "region")
+    assert B.read(spark, d, "region") is first
+    spark.range(5).withColumnRenamed("id", "r_regionkey").write.mode("overwrite").parquet(f"{d}/region.parquet")
+    again = B.read(spark, d, "region")
+    assert again is not first
+    assert again.count() == 5
+
+
+def test_build_tables_resolved_once(spark):
+    from carestar.plans.build import warehouse_for
+    a = warehouse_for(spark, "/root/testdata/sf0.001")
+    b = warehouse_for(spark, "/root/testdata/sf0.001")
+    assert a.fact_admissions is b.fact_admissions
+    assert a.dim_date is b.dim_date
