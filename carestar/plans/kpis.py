@@ -10,6 +10,14 @@ wall clock.  Shape: fact ⋈ dims -> groupBy.agg -> (optional) top-k.
   single-partition window and no cross join are needed.
 * Top-k is ``orderBy(...).limit(k)`` with the group key as last tie-breaker,
   planned as a per-partition top-k plus merge (TakeOrderedAndProject).
+* Aggregate before joining: Catalyst does not push an aggregate below a join,
+  so a KPI grouped by a dimension is written as "fact -> groupBy(join key)
+  -> join dimension".  The fact is collapsed map-side to one row per key
+  before any shuffle, and the join (broadcast or shuffled, whichever the
+  dimension's size allows) sees one row per key instead of every fact row.
+  When the output is grouped by the key itself the aggregate is final at key
+  level; when it is coarser (region, age band, sex) the per-key parts are
+  re-added (counts, sums, and averages as sum / count).
 """
 
 from __future__ import annotations
@@ -79,27 +87,45 @@ def _avg1(c: str) -> Column:
     return F.round(F.avg(c), 1)
 
 
+def avg_parts(c: str) -> list[Column]:
+    """Sum and count of ``c``: the mergeable parts of ``avg(c)``."""
+    return [F.sum(c).alias(f"__sum_{c}"), F.count(c).alias(f"__cnt_{c}")]
+
+
+def merged_avg(c: str) -> Column:
+    """``avg(c)`` from per-key :func:`avg_parts` (NULL when no value)."""
+    return F.try_divide(F.sum(f"__sum_{c}").cast("double"), F.sum(f"__cnt_{c}").cast("double"))
+
+
+def per_patient(fa: DataFrame) -> DataFrame:
+    """Admissions collapsed to one row per patient (count, urgent count, stay
+    parts) before the patient dimension join."""
+    return fa.groupBy("patient_id").agg(_n().alias("__n"), F.sum("est_urgence").alias("__urg"),
+                                        *avg_parts("duree_sejour"))
+
+
 def _calendar(wh: Warehouse, *cols: str) -> DataFrame:
     return F.broadcast(wh.dim_date.select("temps_id", *cols))
 
 
 def kpi_bed_occupancy(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A1: admissions in the current month per hospital, % of bed capacity."""
-    fa = current_month(wh.fact_admissions, as_of).select("hopital_id", "admission_id")
+    per = (current_month(wh.fact_admissions, as_of).groupBy("hopital_id")
+           .agg(F.count("admission_id").alias("admissions_actives")))
     h = wh.dim_hospital.select("hopital_id", "nom", "capacite_lits")
-    g = (join_dim(fa, h, "hopital_id").groupBy("hopital_id", "nom", "capacite_lits")
-         .agg(F.count("admission_id").alias("admissions_actives")))
+    g = join_dim(per, h, "hopital_id")
     return g.select("hopital_id", F.col("nom").alias("hopital"), "capacite_lits", "admissions_actives",
                     pct("admissions_actives", "capacite_lits", 2).alias("taux_occupation_pct"))
 
 
 def kpi_length_of_stay(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A2: length of stay per service in the current year."""
-    fa = current_year(wh.fact_admissions, as_of).select("service_id", "duree_sejour")
+    per = (current_year(wh.fact_admissions, as_of).groupBy("service_id")
+           .agg(_avg1("duree_sejour").alias("dms_jours"), F.min("duree_sejour").alias("min_jours"),
+                F.max("duree_sejour").alias("max_jours"), _n().alias("nb_sejours")))
     s = wh.dim_service.select("service_id", "nom_service")
-    return (join_dim(fa, s, "service_id").groupBy("service_id", "nom_service")
-            .agg(_avg1("duree_sejour").alias("dms_jours"), F.min("duree_sejour").alias("min_jours"),
-                 F.max("duree_sejour").alias("max_jours"), _n().alias("nb_sejours")))
+    return join_dim(per, s, "service_id").select("service_id", "nom_service", "dms_jours", "min_jours",
+                                                 "max_jours", "nb_sejours")
 
 
 def kpi_daily_admissions(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, days: int = 30) -> DataFrame:
@@ -112,43 +138,42 @@ def kpi_daily_admissions(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, day
 
 def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int = 10) -> DataFrame:
     """A4: top-k diseases of the current year with their share of all cases."""
-    fa = current_year(wh.fact_admissions, as_of).select("maladie_id")
+    per = current_year(wh.fact_admissions, as_of).groupBy("maladie_id").agg(_n().alias("nb_cas"))
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite")
-    j = join_dim(fa, m, "maladie_id")
-    g = j.groupBy("maladie_id", "nom_maladie", "categorie", "code_cim10", "gravite").agg(_n().alias("nb_cas"))
-    g = share_of_total(g, "nb_cas", "pct_total", 2, rows=j)
+    g = join_dim(per, m, "maladie_id").select("maladie_id", "nom_maladie", "categorie", "code_cim10",
+                                              "gravite", "nb_cas")
+    g = share_of_total(g, "nb_cas", "pct_total", 2)
     return g.orderBy(F.desc("nb_cas"), F.asc("maladie_id")).limit(k)
 
 
 def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A5: admissions per patient region, rate per 100,000 inhabitants, mean stay."""
-    fa = current_year(wh.fact_admissions, as_of).select("patient_id", "duree_sejour")
+    per = per_patient(current_year(wh.fact_admissions, as_of))
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region", "population")
-    j = join_dim(join_dim(fa, p, "patient_id"), r, "region_id")
-    g = j.groupBy("region_id", "nom_region", "population").agg(_n().alias("nb_admissions"),
-                                                             _avg1("duree_sejour").alias("dms_moy"))
+    j = join_dim(join_dim(per, p, "patient_id"), r, "region_id")
+    g = j.groupBy("region_id", "nom_region", "population").agg(
+        F.sum("__n").alias("nb_admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"))
     rate = F.round(F.try_divide(F.col("nb_admissions") * 100000.0, F.nullif(F.col("population"), F.lit(0.0))), 1)
     return g.select("region_id", "nom_region", "population", "nb_admissions", rate.alias("taux_pour_100k"), "dms_moy")
 
 
 def kpi_age_split(wh: Warehouse) -> DataFrame:
     """Admissions per age band with share of total."""
-    fa = wh.fact_admissions.select("patient_id", "est_urgence", "duree_sejour")
     p = wh.dim_patient.select("patient_id", "tranche_age")
-    j = join_dim(fa, p, "patient_id")
+    j = join_dim(per_patient(wh.fact_admissions), p, "patient_id")
     g = (j.groupBy("tranche_age")
-         .agg(_n().alias("nb_admissions"), _sum_int("est_urgence").alias("nb_urgences"),
-              _avg1("duree_sejour").alias("dms_moy")))
-    return share_of_total(g, "nb_admissions", "pct_total", 2, rows=j)
+         .agg(F.sum("__n").alias("nb_admissions"), _sum_int("__urg").alias("nb_urgences"),
+              F.round(merged_avg("duree_sejour"), 1).alias("dms_moy")))
+    return share_of_total(g, "nb_admissions", "pct_total", 2)
 
 
 def kpi_readmission_rate(wh: Warehouse) -> DataFrame:
     """30-day readmission rate per service."""
-    fa = wh.fact_admissions_readmit.select("service_id", "est_readmission")
+    per = (wh.fact_admissions_readmit.groupBy("service_id")
+           .agg(_n().alias("total_admissions"), _sum_int("est_readmission").alias("nb_readmissions")))
     s = wh.dim_service.select("service_id", "nom_service")
-    g = (join_dim(fa, s, "service_id").groupBy("service_id", "nom_service")
-         .agg(_n().alias("total_admissions"), _sum_int("est_readmission").alias("nb_readmissions")))
+    g = join_dim(per, s, "service_id").select("service_id", "nom_service", "total_admissions", "nb_readmissions")
     return g.withColumn("taux_readmission_pct", pct("nb_readmissions", "total_admissions", 2))
 
 
@@ -156,13 +181,16 @@ def kpi_emergency_wait(wh: Warehouse) -> DataFrame:
     """Emergency waiting time per month and hospital."""
     fu = wh.fact_emergency.select("temps_id", "hopital_id", "temps_attente_minutes", "urgence_id", "est_hospitalise")
     h = wh.dim_hospital.select("hopital_id", "nom")
-    j = join_dim(fu.join(_calendar(wh, "annee", "mois", "nom_mois"), "temps_id"), h, "hopital_id")
-    g = (j.groupBy("annee", "mois", "nom_mois", "hopital_id", "nom")
-         .agg(F.round(F.avg("temps_attente_minutes"), 0).alias("attente_moy_min"),
+    # the calendar is a broadcast (no shuffle); the hospital name joins the
+    # per (month, hospital) rows
+    per = (fu.join(_calendar(wh, "annee", "mois", "nom_mois"), "temps_id")
+           .groupBy("annee", "mois", "nom_mois", "hopital_id")
+           .agg(F.round(F.avg("temps_attente_minutes"), 0).alias("attente_moy_min"),
               F.min("temps_attente_minutes").alias("attente_min"),
               F.max("temps_attente_minutes").alias("attente_max"),
               F.count("urgence_id").alias("nb_passages"),
               _sum_int("est_hospitalise").alias("nb_hospitalises")))
+    g = join_dim(per, h, "hopital_id")
     return g.select(F.col("nom_mois").alias("mois"), F.col("mois").alias("mois_num"), "annee", "hopital_id",
                     F.col("nom").alias("hopital"), "attente_moy_min", "attente_min", "attente_max",
                     "nb_passages", "nb_hospitalises")
@@ -191,11 +219,12 @@ def kpi_urgent_vs_planned(wh: Warehouse) -> DataFrame:
 
 def kpi_admissions_by_service(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """Admissions per service in the current year."""
-    fa = current_year(wh.fact_admissions, as_of).select("service_id", "duree_sejour", "est_urgence")
+    per = (current_year(wh.fact_admissions, as_of).groupBy("service_id")
+           .agg(_n().alias("nb_admissions"), _avg1("duree_sejour").alias("dms"),
+                _sum_int("est_urgence").alias("nb_urgences")))
     s = wh.dim_service.select("service_id", "nom_service", "specialite", "nb_lits")
-    return (join_dim(fa, s, "service_id").groupBy("service_id", "nom_service", "specialite", "nb_lits")
-            .agg(_n().alias("nb_admissions"), _avg1("duree_sejour").alias("dms"),
-                 _sum_int("est_urgence").alias("nb_urgences")))
+    return join_dim(per, s, "service_id").select("service_id", "nom_service", "specialite", "nb_lits",
+                                                 "nb_admissions", "dms", "nb_urgences")
 
 
 def kpi_monthly_trend(wh: Warehouse) -> DataFrame:
@@ -208,13 +237,12 @@ def kpi_monthly_trend(wh: Warehouse) -> DataFrame:
 
 def kpi_sex_split(wh: Warehouse) -> DataFrame:
     """Admissions per sex with share of total."""
-    fa = wh.fact_admissions.select("patient_id", "est_urgence", "duree_sejour")
     p = wh.dim_patient.select("patient_id", "sexe")
-    j = join_dim(fa, p, "patient_id")
+    j = join_dim(per_patient(wh.fact_admissions), p, "patient_id")
     g = (j.groupBy("sexe")
-         .agg(_n().alias("nb_admissions"), _avg1("duree_sejour").alias("dms_moy"),
-              _sum_int("est_urgence").alias("nb_urgences")))
-    return share_of_total(g, "nb_admissions", "pct", 2, rows=j)
+         .agg(F.sum("__n").alias("nb_admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"),
+              _sum_int("__urg").alias("nb_urgences")))
+    return share_of_total(g, "nb_admissions", "pct", 2)
 
 
 def kpi_top_drugs(wh: Warehouse, k: int = 15) -> DataFrame:
@@ -274,9 +302,10 @@ def kpi_cache(wh: Warehouse, computed_at: str = K.COMPUTED_AT) -> DataFrame:
 
 def kpi_cache_top5(wh: Warehouse, computed_at: str = K.COMPUTED_AT, k: int = 5) -> DataFrame:
     """``top_maladie_i`` = ``"<name> (<n> cas)"`` for the k most frequent disease names."""
-    fa = wh.fact_admissions.select("maladie_id")
+    per = wh.fact_admissions.groupBy("maladie_id").agg(_n().alias("nb"))
     m = wh.dim_disease.select("maladie_id", "nom_maladie")
-    g = join_dim(fa, m, "maladie_id").groupBy("nom_maladie").agg(_n().alias("nb"))
+    # several ids may share a name: the per-id counts are re-added per name
+    g = join_dim(per, m, "maladie_id").groupBy("nom_maladie").agg(F.sum("nb").alias("nb"))
     top = g.orderBy(F.desc("nb"), F.asc("nom_maladie")).limit(k)
     # numbering runs over the k rows kept by the top-k, never over the fact
     ranked = top.withColumn("rang", F.row_number().over(Window.orderBy(F.desc("nb"), F.asc("nom_maladie"))))

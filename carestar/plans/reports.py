@@ -1,7 +1,10 @@
 """Report aggregates (weekly report tables, BI visuals, API statistics).
 
-All are fact ⋈ dims -> groupBy.agg; top-k always breaks ties on the group key
-(ascending, NULL first) so the kept rows are deterministic.
+All are fact -> groupBy.agg with dimension attributes; top-k always breaks
+ties on the group key (ascending, NULL first) so the kept rows are
+deterministic.  As in the KPIs, the fact is aggregated to one row per join
+key before a dimension join wherever the result is grouped by that key or by
+attributes of it (counts and sums re-added, averages as sum / count).
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import occupancy_level
 from ..operators.joins import join_dim
+from .kpis import avg_parts, merged_avg
 from .warehouse import Warehouse
 
 
@@ -24,10 +28,10 @@ def _cal(wh: Warehouse, *cols: str) -> DataFrame:
 
 def report_diseases(wh: Warehouse, k: int = 10) -> DataFrame:
     """Top diseases (by name and category) with mean stay."""
-    fa = wh.fact_admissions.select("maladie_id", "duree_sejour")
+    per = wh.fact_admissions.groupBy("maladie_id").agg(_n().alias("__n"), *avg_parts("duree_sejour"))
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie")
-    g = (join_dim(fa, m, "maladie_id").groupBy("nom_maladie", "categorie")
-         .agg(_n().alias("admissions"), F.round(F.avg("duree_sejour"), 1).alias("dms_moy")))
+    g = (join_dim(per, m, "maladie_id").groupBy("nom_maladie", "categorie")
+         .agg(F.sum("__n").alias("admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy")))
     return g.orderBy(F.desc("admissions"), F.asc_nulls_first("nom_maladie"), F.asc_nulls_first("categorie")).limit(k)
 
 
@@ -38,10 +42,11 @@ def _hospital_region(wh: Warehouse) -> DataFrame:
 
 def report_hospitals(wh: Warehouse, k: int = 8) -> DataFrame:
     """R2: top hospitals with region, admissions, mean stay, mean cost."""
-    fa = wh.fact_admissions.select("hopital_id", "duree_sejour", "cout_hospitalisation")
-    g = (join_dim(fa, _hospital_region(wh), "hopital_id").groupBy("nom_hopital", "nom_region")
-         .agg(_n().alias("admissions"), F.round(F.avg("duree_sejour"), 1).alias("dms_moy"),
-              F.round(F.avg("cout_hospitalisation"), 0).alias("cout_moy")))
+    per = wh.fact_admissions.groupBy("hopital_id").agg(_n().alias("__n"), *avg_parts("duree_sejour"),
+                                                       *avg_parts("cout_hospitalisation"))
+    g = (join_dim(per, _hospital_region(wh), "hopital_id").groupBy("nom_hopital", "nom_region")
+         .agg(F.sum("__n").alias("admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"),
+              F.round(merged_avg("cout_hospitalisation"), 0).alias("cout_moy")))
     return g.orderBy(F.desc("admissions"), F.asc_nulls_first("nom_hopital"), F.asc_nulls_first("nom_region")).limit(k)
 
 
@@ -85,9 +90,9 @@ def report_occupancy(wh: Warehouse, k: int = 8) -> DataFrame:
 
 def cases_by_category(wh: Warehouse) -> DataFrame:
     """Admissions per disease category."""
-    fa = wh.fact_admissions.select("maladie_id")
+    per = wh.fact_admissions.groupBy("maladie_id").agg(_n().alias("__n"))
     m = wh.dim_disease.select("maladie_id", "categorie")
-    return join_dim(fa, m, "maladie_id").groupBy("categorie").agg(_n().alias("nb_cas"))
+    return join_dim(per, m, "maladie_id").groupBy("categorie").agg(F.sum("__n").alias("nb_cas"))
 
 
 def top_occupancy_hospitals(wh: Warehouse, k: int = 5) -> DataFrame:
@@ -133,25 +138,29 @@ def matrix_disease_region(wh: Warehouse) -> DataFrame:
 
 def category_trend(wh: Warehouse) -> DataFrame:
     """Monthly admissions per disease category."""
-    fa = wh.fact_admissions.select("temps_id", "maladie_id")
+    # the calendar is broadcast, so month and disease id are one map-side
+    # aggregate before the disease join
+    per = (wh.fact_admissions.select("temps_id", "maladie_id").join(_cal(wh, "annee", "mois"), "temps_id")
+           .groupBy("annee", "mois", "maladie_id").agg(_n().alias("__n")))
     m = wh.dim_disease.select("maladie_id", "categorie")
-    j = join_dim(fa, m, "maladie_id").join(_cal(wh, "annee", "mois"), "temps_id")
-    return j.groupBy("annee", "mois", "categorie").agg(_n().alias("admissions"))
+    j = join_dim(per, m, "maladie_id")
+    return j.groupBy("annee", "mois", "categorie").agg(F.sum("__n").alias("admissions"))
 
 
 def top_cities(wh: Warehouse, k: int = 10) -> DataFrame:
     """The k patient cities with most distinct admitted patients."""
-    fa = wh.fact_admissions.select("patient_id")
+    # distinct admitted patients first: the join sees each patient once
+    admitted = wh.fact_admissions.select("patient_id").distinct()
     p = wh.dim_patient.select("patient_id", "ville")
-    g = join_dim(fa, p, "patient_id").groupBy("ville").agg(F.count_distinct("patient_id").alias("patients"))
+    g = join_dim(admitted, p, "patient_id").groupBy("ville").agg(F.count_distinct("patient_id").alias("patients"))
     return g.orderBy(F.desc("patients"), F.asc_nulls_first("ville")).limit(k)
 
 
 def top_hospital(wh: Warehouse) -> DataFrame:
     """The hospital with most admissions."""
-    fa = wh.fact_admissions.select("hopital_id")
+    per = wh.fact_admissions.groupBy("hopital_id").agg(_n().alias("admissions"))
     h = wh.dim_hospital.select("hopital_id", "nom")
-    g = join_dim(fa, h, "hopital_id").groupBy("hopital_id", "nom").agg(_n().alias("admissions"))
+    g = join_dim(per, h, "hopital_id").select("hopital_id", "nom", "admissions")
     return g.orderBy(F.desc("admissions"), F.asc("hopital_id")).limit(1)
 
 

@@ -43,3 +43,29 @@ def test_year_filter_prunes_build_partitions(spark):
 def test_share_of_total_has_no_global_window(spark):
     plan = _plan(kpi_sex_split(warehouse_for(spark, SF_SMALL)))
     assert "Window" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _join_above_aggregate(df) -> bool:
+    """True when, in the optimized plan, every Join has an Aggregate below it on
+    its fact side (the dimension is joined to per-key rows, not fact rows)."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+
+    def walk(node, acc):
+        acc.append(node)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i), acc)
+        return acc
+
+    def has_agg(node) -> bool:
+        return any(n.nodeName() == "Aggregate" for n in walk(node, []))
+
+    joins = [n for n in walk(plan, []) if n.nodeName() == "Join"]
+    return bool(joins) and all(has_agg(j.children().apply(0)) for j in joins)
+
+
+@pytest.mark.parametrize("name", ["kpi_top_diseases", "kpi_length_of_stay", "kpi_bed_occupancy",
+                                  "kpi_sex_split", "kpi_cases_by_region", "report_diseases",
+                                  "cases_by_category", "top_hospital"])
+def test_fact_is_aggregated_before_dimension_joins(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert _join_above_aggregate(df)
