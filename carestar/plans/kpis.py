@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import pct
-from ..operators.joins import join_dim
+from ..operators.joins import fits_broadcast, join_dim
 from .warehouse import Warehouse
 
 
@@ -97,9 +97,21 @@ def merged_avg(c: str) -> Column:
     return F.try_divide(F.sum(f"__sum_{c}").cast("double"), F.sum(f"__cnt_{c}").cast("double"))
 
 
-def per_patient(fa: DataFrame) -> DataFrame:
-    """Admissions collapsed to one row per patient (count, urgent count, stay
-    parts) before the patient dimension join."""
+def per_patient(fa: DataFrame, patients: DataFrame) -> DataFrame:
+    """Admission parts for a patient-dimension join: count, urgent count and
+    stay sum / count, re-added per output group after the join.
+
+    The patient key has many values, so pre-aggregating on it costs a shuffle
+    of its own.  While the planner estimates ``patients`` under the broadcast
+    threshold, the join is a broadcast (no shuffle of the fact) and each
+    admission enters as its own part; beyond it the fact is collapsed to one
+    row per patient map-side, and only those rows meet the shuffled join.
+    """
+    if fits_broadcast(patients):
+        d = F.col("duree_sejour")
+        return fa.select("patient_id", F.lit(1).cast("bigint").alias("__n"), F.col("est_urgence").alias("__urg"),
+                         d.cast("bigint").alias("__sum_duree_sejour"),
+                         F.when(d.isNotNull(), 1).otherwise(0).cast("bigint").alias("__cnt_duree_sejour"))
     return fa.groupBy("patient_id").agg(_n().alias("__n"), F.sum("est_urgence").alias("__urg"),
                                         *avg_parts("duree_sejour"))
 
@@ -148,8 +160,8 @@ def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int
 
 def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A5: admissions per patient region, rate per 100,000 inhabitants, mean stay."""
-    per = per_patient(current_year(wh.fact_admissions, as_of))
     p = wh.dim_patient.select("patient_id", "region_id")
+    per = per_patient(current_year(wh.fact_admissions, as_of), p)
     r = wh.dim_region.select("region_id", "nom_region", "population")
     j = join_dim(join_dim(per, p, "patient_id"), r, "region_id")
     g = j.groupBy("region_id", "nom_region", "population").agg(
@@ -161,7 +173,7 @@ def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> D
 def kpi_age_split(wh: Warehouse) -> DataFrame:
     """Admissions per age band with share of total."""
     p = wh.dim_patient.select("patient_id", "tranche_age")
-    j = join_dim(per_patient(wh.fact_admissions), p, "patient_id")
+    j = join_dim(per_patient(wh.fact_admissions, p), p, "patient_id")
     g = (j.groupBy("tranche_age")
          .agg(F.sum("__n").alias("nb_admissions"), _sum_int("__urg").alias("nb_urgences"),
               F.round(merged_avg("duree_sejour"), 1).alias("dms_moy")))
@@ -238,7 +250,7 @@ def kpi_monthly_trend(wh: Warehouse) -> DataFrame:
 def kpi_sex_split(wh: Warehouse) -> DataFrame:
     """Admissions per sex with share of total."""
     p = wh.dim_patient.select("patient_id", "sexe")
-    j = join_dim(per_patient(wh.fact_admissions), p, "patient_id")
+    j = join_dim(per_patient(wh.fact_admissions, p), p, "patient_id")
     g = (j.groupBy("sexe")
          .agg(F.sum("__n").alias("nb_admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"),
               _sum_int("__urg").alias("nb_urgences")))

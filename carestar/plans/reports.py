@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import occupancy_level
-from ..operators.joins import join_dim
+from ..operators.joins import fits_broadcast, join_dim
 from .kpis import avg_parts, merged_avg
 from .warehouse import Warehouse
 
@@ -138,11 +138,13 @@ def matrix_disease_region(wh: Warehouse) -> DataFrame:
 
 def category_trend(wh: Warehouse) -> DataFrame:
     """Monthly admissions per disease category."""
-    # the calendar is broadcast, so month and disease id are one map-side
-    # aggregate before the disease join
-    per = (wh.fact_admissions.select("temps_id", "maladie_id").join(_cal(wh, "annee", "mois"), "temps_id")
-           .groupBy("annee", "mois", "maladie_id").agg(_n().alias("__n")))
+    # (month, disease id) pairs are nearly as many as admissions, so they are
+    # pre-aggregated only when the disease dimension is too large to broadcast
+    # (then the shuffled join sees one row per pair, not per admission)
     m = wh.dim_disease.select("maladie_id", "categorie")
+    rows = wh.fact_admissions.select("temps_id", "maladie_id").join(_cal(wh, "annee", "mois"), "temps_id")
+    per = (rows.select("annee", "mois", "maladie_id", F.lit(1).cast("bigint").alias("__n")) if fits_broadcast(m)
+           else rows.groupBy("annee", "mois", "maladie_id").agg(_n().alias("__n")))
     j = join_dim(per, m, "maladie_id")
     return j.groupBy("annee", "mois", "categorie").agg(F.sum("__n").alias("admissions"))
 

@@ -45,9 +45,9 @@ def test_share_of_total_has_no_global_window(spark):
     assert "Window" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def _join_above_aggregate(df) -> bool:
-    """True when, in the optimized plan, every Join has an Aggregate below it on
-    its fact side (the dimension is joined to per-key rows, not fact rows)."""
+def _joins_above_aggregate(df) -> list[bool]:
+    """Per Join of the optimized plan: is there an Aggregate below it on its
+    fact side (the dimension is joined to per-key rows, not fact rows)?"""
     plan = df._jdf.queryExecution().optimizedPlan()
 
     def walk(node, acc):
@@ -59,13 +59,30 @@ def _join_above_aggregate(df) -> bool:
     def has_agg(node) -> bool:
         return any(n.nodeName() == "Aggregate" for n in walk(node, []))
 
-    joins = [n for n in walk(plan, []) if n.nodeName() == "Join"]
-    return bool(joins) and all(has_agg(j.children().apply(0)) for j in joins)
+    return [has_agg(j.children().apply(0)) for j in walk(plan, []) if j.nodeName() == "Join"]
 
 
 @pytest.mark.parametrize("name", ["kpi_top_diseases", "kpi_length_of_stay", "kpi_bed_occupancy",
-                                  "kpi_sex_split", "kpi_cases_by_region", "report_diseases",
-                                  "cases_by_category", "top_hospital"])
+                                  "report_diseases", "cases_by_category", "top_hospital"])
 def test_fact_is_aggregated_before_dimension_joins(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    assert _join_above_aggregate(df)
+    flags = _joins_above_aggregate(E.queries()[name](spark, SF_SMALL))
+    assert flags and all(flags)
+
+
+@pytest.mark.parametrize("name", ["kpi_sex_split", "kpi_age_split", "kpi_cases_by_region", "category_trend"])
+def test_high_cardinality_keys_preaggregate_only_beyond_broadcast(spark, name):
+    """Patient / (month, disease) keys: row-level join while the dimension is
+    broadcast, per-key aggregate before a shuffled join otherwise; same rows."""
+    from conftest import rows
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    small = E.queries()[name](spark, SF_SMALL)
+    assert not any(_joins_above_aggregate(small))
+    expected = rows(small)
+    try:
+        spark.conf.set(key, "-1")
+        large = E.queries()[name](spark, SF_SMALL)
+        assert any(_joins_above_aggregate(large))
+        assert rows(large) == expected
+    finally:
+        spark.conf.set(key, before)
