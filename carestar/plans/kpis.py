@@ -116,6 +116,16 @@ def per_patient(fa: DataFrame, patients: DataFrame) -> DataFrame:
                                         *avg_parts("duree_sejour"))
 
 
+def patient_disease_counts(fa: DataFrame, patients: DataFrame) -> DataFrame:
+    """``(patient_id, maladie_id, __n)`` admission counts for a patient-dimension
+    join: one row per admission while ``patients`` is under the broadcast
+    threshold, one row per (patient, disease) pair beyond it (see
+    :func:`per_patient`)."""
+    if fits_broadcast(patients):
+        return fa.select("patient_id", "maladie_id", F.lit(1).cast("bigint").alias("__n"))
+    return fa.groupBy("patient_id", "maladie_id").agg(_n().alias("__n"))
+
+
 def _calendar(wh: Warehouse, *cols: str) -> DataFrame:
     return F.broadcast(wh.dim_date.select("temps_id", *cols))
 
@@ -267,13 +277,13 @@ def kpi_top_drugs(wh: Warehouse, k: int = 15) -> DataFrame:
 
 def kpi_incidence(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """Incidence per 100,000 by region × disease in the current year."""
-    fa = current_year(wh.fact_admissions, as_of).select("patient_id", "maladie_id")
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region", "population")
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie")
-    j = join_dim(join_dim(join_dim(fa, p, "patient_id"), r, "region_id"), m, "maladie_id")
+    j = join_dim(join_dim(join_dim(patient_disease_counts(current_year(wh.fact_admissions, as_of), p), p,
+                                   "patient_id"), r, "region_id"), m, "maladie_id")
     g = (j.groupBy("region_id", "nom_region", "maladie_id", "nom_maladie", "categorie", "population")
-         .agg(_n().alias("nb_cas")))
+         .agg(F.sum("__n").alias("nb_cas")))
     rate = F.round(F.try_divide(F.col("nb_cas") * 100000.0, F.nullif(F.col("population"), F.lit(0.0))), 2)
     return g.withColumn("taux_incidence_100k", rate)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import occupancy_level
 from ..operators.joins import fits_broadcast, join_dim
-from .kpis import avg_parts, merged_avg
+from .kpis import avg_parts, merged_avg, patient_disease_counts
 from .warehouse import Warehouse
 
 
@@ -127,12 +127,12 @@ def matrix_disease_region(wh: Warehouse) -> DataFrame:
     if len(names) > limit:
         raise ValueError(f"more than {limit} regions: use the long form (category_trend-style) instead of a pivot")
     regions = sorted(n for n in names if n is not None)
-    fa = wh.fact_admissions.select("patient_id", "maladie_id")
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region")
     m = wh.dim_disease.select("maladie_id", "nom_maladie")
-    j = join_dim(join_dim(join_dim(fa, p, "patient_id"), r, "region_id"), m, "maladie_id")
-    out = j.groupBy("nom_maladie").pivot("nom_region", regions).agg(_n())
+    per = patient_disease_counts(wh.fact_admissions, p)
+    j = join_dim(join_dim(join_dim(per, p, "patient_id"), r, "region_id"), m, "maladie_id")
+    out = j.groupBy("nom_maladie").pivot("nom_region", regions).agg(F.sum("__n"))
     return out.na.fill(0, subset=regions)
 
 
