@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import occupancy_level
 from ..operators.joins import fits_broadcast, join_dim
-from .kpis import avg_parts, merged_avg, patient_disease_counts
+from .kpis import avg_parts, merged_avg, patient_disease_counts, per_patient
 from .warehouse import Warehouse
 
 
@@ -71,11 +71,14 @@ def report_monthly(wh: Warehouse, k: int = 12) -> DataFrame:
 
 def report_sex(wh: Warehouse) -> DataFrame:
     """Per sex: admissions, mean age, mean stay."""
-    fa = wh.fact_admissions.select("patient_id", "duree_sejour")
     p = wh.dim_patient.select("patient_id", "sexe", "age")
-    return (join_dim(fa, p, "patient_id").groupBy("sexe")
-            .agg(_n().alias("admissions"), F.round(F.avg("age"), 1).alias("age_moyen"),
-                 F.round(F.avg("duree_sejour"), 1).alias("dms_moy")))
+    j = join_dim(per_patient(wh.fact_admissions, p), p, "patient_id")
+    # the mean age is over admissions: each patient's age weighs its admission count
+    n_known_age = F.when(F.col("age").isNotNull(), F.col("__n"))
+    mean_age = F.try_divide(F.sum(F.col("age") * F.col("__n")), F.sum(n_known_age).cast("double"))
+    return (j.groupBy("sexe")
+            .agg(F.sum("__n").alias("admissions"), F.round(mean_age, 1).alias("age_moyen"),
+                 F.round(merged_avg("duree_sejour"), 1).alias("dms_moy")))
 
 
 def report_occupancy(wh: Warehouse, k: int = 8) -> DataFrame:

@@ -70,7 +70,7 @@ def test_fact_is_aggregated_before_dimension_joins(spark, name):
 
 
 @pytest.mark.parametrize("name", ["kpi_sex_split", "kpi_age_split", "kpi_cases_by_region", "category_trend",
-                                  "kpi_incidence", "matrix_disease_region"])
+                                  "kpi_incidence", "matrix_disease_region", "report_sex"])
 def test_high_cardinality_keys_preaggregate_only_beyond_broadcast(spark, name):
     """Patient / (month, disease) keys: row-level join while the dimension is
     broadcast, per-key aggregate before a shuffled join otherwise; same rows."""
