@@ -9,9 +9,9 @@ groups of ``GROUP`` blocks, in two blocks of one group): documents that share
 such a key are candidates, and candidates are verified on their whole sets.
 
 Documents with equal sets are one node.  Candidates of a key are not paired all
-with all: first everyone with the smallest node, then, only where a key still
-holds several components, growing random subsets with everyone, until each key
-is one component or all its pairs were tried.
+with all.  Everyone is compared with the key's centre; two nodes around one
+centre that no link joins yet can only be linked if they share differences from
+it, and are found through their rarest ones.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import _slices
-from .bytewords import distinct, mixed, shingle_sets
+from .bytewords import mixed, shingle_sets
 from .common import text_of, written
 from .graph import components
 
@@ -38,7 +38,6 @@ GROUP = 4
 MISS = 1e-8
 # Index entries a task gathers before it hands them on, and members of one key it packs
 FLUSH, PACKED = 1_500_000, 4
-FIRST_PIVOTS = 16
 
 
 class Bands:
@@ -251,6 +250,76 @@ def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return joined.select("node", "text").mapInArrow(build, "node bigint, shingles array<bigint>")
 
 
+def _star(index: DataFrame, rows: DataFrame, one_each: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Every node of a key against the key's centre: ``centre, node, nc, nn, differ, linked``.
+
+    The centre is the node that shares most entries over all its keys, so that
+    the keys of one group of near copies agree on few centres.  ``differ`` holds
+    the shingles that only one of the two has.
+    """
+    size = index.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    weight = index.join(size, "key").groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = written(index.join(weight, "node"), "jaccard-weights")
+    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).getField("node").alias("centre"))
+    pairs = written(weighed.join(centre, "key").filter("node <> centre").select("centre", "node").distinct(),
+                    "jaccard-pairs")
+    wanted = (pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node")))
+              .distinct().join(one_each, "node"))
+    sets = written(_sets(rows, wanted, words), "jaccard-sets")
+    both = (pairs.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("sc")), "centre")
+            .join(sets.select("node", F.col("shingles").alias("sn")), "node")
+            .select("centre", "node", F.size("sc").cast("long").alias("nc"), F.size("sn").cast("long").alias("nn"),
+                    F.concat(F.array_except("sc", "sn"), F.array_except("sn", "sc")).alias("differ")))
+    return written(both.withColumn("linked", _linked(F.col("nc"), F.col("nn"), F.size("differ"), num, den)),
+                   "jaccard-star")
+
+
+def _linked(na, nb, differ, num: int, den: int):
+    """Similarity at least num / den, for sets of na and nb shingles with ``differ`` in only one of them."""
+    return (na + nb - differ) * den >= (na + nb + differ) * num
+
+
+def _between(star: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``a, b`` between nodes around one centre that no link joins yet.
+
+    If x and y differ from their centre in dx >= dy shingles and are linked, but
+    not both linked with the centre, they share at least (1 - r) dy / 2 of those
+    differences, r = (1 - t) / (1 + t).  So one of y's rarest dy - that + 1
+    differences is among x's, and rare ones are shared by few.
+    """
+    label = groups.select("node", F.col("component").alias("c"))
+    known = (star.join(label, "node", "left").withColumn("c", F.coalesce("c", "node"))
+             .join(label.select(F.col("node").alias("centre"), F.col("c").alias("cc")), "centre", "left")
+             .withColumn("cc", F.coalesce("cc", "centre")))
+    # only centres around which more than one component is left; the others cannot link anything new
+    left = (known.groupBy("centre").agg(F.min("c").alias("_l"), F.max("c").alias("_h"), F.min("cc").alias("cc"))
+            .filter("_l <> _h").select("centre"))
+    members = written(known.join(left, "centre").select(
+        "centre", "node", "c", "nn", F.size("differ").cast("long").alias("d"), "differ"), "jaccard-members")
+    tokens = members.select("centre", "node", "c", "d", F.explode("differ").alias("token"))
+    shared = (tokens.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often"), F.min("c").alias("_l"),
+                                                    F.max("c").alias("_h"))
+              .filter("_l <> _h").select("centre", "token", "often"))
+    tokens = written(tokens.join(shared, ["centre", "token"]), "jaccard-tokens")
+    by_node = Window.partitionBy("centre", "node")
+    r = F.lit(den - num) / F.lit(den + num)
+    prefix = F.col("d") - F.greatest(F.lit(1), F.ceil((F.lit(1) - r) * F.col("d") / 2 - 1e-9)) + 1
+    # differences that no other component has come first: they fill the prefix without being indexed
+    probe = (tokens.withColumn("_i", F.row_number().over(by_node.orderBy("often", "token")))
+             .withColumn("_alone", F.col("d") - F.count(F.lit(1)).over(by_node))
+             .filter(F.col("_i") <= prefix - F.col("_alone"))
+             .select("centre", "token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("d").alias("dy")))
+    found = (tokens.join(probe, ["centre", "token"])
+             .filter("c <> cy AND (dy < d OR (dy = d AND y < node))")
+             .select("centre", F.col("node").alias("x"), "y").distinct())
+    side = lambda n: members.select("centre", F.col("node").alias(n), F.col("nn").alias(f"n{n}"),
+                                    F.col("differ").alias(f"d{n}"))
+    pairs = found.join(side("x"), ["centre", "x"]).join(side("y"), ["centre", "y"])
+    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
+    return (pairs.filter(_linked(F.col("nx"), F.col("ny"), apart, num, den))
+            .select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
 def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int, int] = (80, 100),
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per input row.
@@ -278,43 +347,10 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
     index = written(packed.unionByName(many).distinct(), "jaccard-keys")
 
     one_each = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    links, groups, tried, step = None, None, 0, 0
-    while True:
-        if groups is None:
-            # everyone with the smallest node of the key
-            star = index.groupBy("key").agg(F.min("node").alias("a"))
-            pairs = index.join(star, "key").filter("node <> a").select("a", F.col("node").alias("b"))
-        else:
-            labelled = index.join(groups, "node", "left").select(
-                "key", "node", F.coalesce("component", "node").alias("c"),
-                (F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / (1 << 30)).alias("u"))
-            # keys with several components and pairs not tried yet
-            open_keys = (labelled.groupBy("key")
-                         .agg(F.min("c").alias("_l"), F.max("c").alias("_h"), F.count(F.lit(1)).alias("size"))
-                         .filter((F.col("_l") < F.col("_h")) & (F.col("size") > F.greatest(F.lit(2), F.lit(tried))))
-                         .select("key", "size"))
-            more = FIRST_PIVOTS * 4 ** (step - 1)
-            open_rows = written(labelled.join(open_keys, "key"), "jaccard-open")
-            if open_rows.isEmpty():
-                break
-            chosen = open_rows.filter((F.col("u") * F.col("size") >= tried) & (F.col("u") * F.col("size") < more))
-            pairs = (open_rows.select("key", "node", "c")
-                     .join(chosen.select("key", F.col("node").alias("a"), F.col("c").alias("_c")), "key")
-                     .filter("c <> _c").select("a", F.col("node").alias("b")))
-            tried = more
-        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-                        "jaccard-pairs")
-        wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-                  .distinct().join(one_each, "node"))
-        sets = written(_sets(rows, wanted, words), "jaccard-sets")
-        both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-                .select("a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"),
-                        F.size(F.array_intersect("sa", "sb")).cast("long").alias("i")))
-        good = both.filter(F.col("i") * den >= (F.col("na") + F.col("nb") - F.col("i")) * num).select("a", "b")
-        links = written(good if links is None else links.unionByName(good).distinct(), "jaccard-links")
-        groups = components(links)
-        step += 1
+    star = _star(index, rows, one_each, words, num, den)
+    links = written(star.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b")), "jaccard-links")
+    more = _between(star, components(links), num, den)
+    groups = components(links.unionByName(more))
 
     # the smallest doc_id of each component, by node, then for every document
     by_node = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("_d"), F.count(F.lit(1)).alias("_n"))

@@ -12,8 +12,11 @@ from .bpe import bpe_digests
 from .chat import chat_digests, format_chats
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
+from .lm_scores import lm_scores
 from .mixing import mix_sources
+from .pii import find_personal_data
 from .quality_rules import passes, rule_ledger
+from .suffix_dedup import remove_repeats
 from .token_counts import document_token_counts
 
 # A text full of the template's own control strings
@@ -57,6 +60,18 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), words=3, threshold=(90, 100))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -65,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_mix_sources": op6_mix_sources,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_lm_scores": op8_lm_scores,
+    "op9_personal_data": op9_personal_data,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
