@@ -30,6 +30,7 @@ from .bpe import _slices
 from .bytewords import mixed, shingle_sets
 from .common import text_of, written
 from .graph import components
+from .packing import pack, unpack
 
 _U = np.uint64
 GROUP = 4
@@ -137,6 +138,19 @@ def bands(num: int, den: int) -> Bands:
     return _bands[num, den]
 
 
+def _join(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def _split(blob: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(blob):
+        n = int.from_bytes(blob[at:at + 4], "little")
+        out.append(blob[at + 4:at + 4 + n])
+        at += 4 + n
+    return out
+
+
 def _pack(keys: list[np.ndarray], nodes: list[int], buckets: int) -> Iterator[tuple]:
     """(kind, bucket, key, node, blob) rows: kind 0 packs a bucket's entries, kind 1 is a member of a key many share."""
     key = np.concatenate(keys)
@@ -159,10 +173,16 @@ def _pack(keys: list[np.ndarray], nodes: list[int], buckets: int) -> Iterator[tu
     for b in range(buckets):
         i, j = int(cuts[b]), int(cuts[b + 1])
         if j > i:
-            yield 0, b, 0, 0, low[i:j].tobytes() + node[i:j].tobytes()
+            own, at = np.unique(node[i:j], return_inverse=True)
+            yield 0, b, 0, 0, _join(pack(low[i:j], ordered=True), own.tobytes(), pack(at.astype(np.uint32)))
+
 
+def full_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity sketch with at least two bits per shingle; its number of words is a power of two."""
+    return parity_sketch(shingles, 1 << max(0, (len(shingles) // 32 - 1).bit_length())).astype(np.int64)
 
-_INDEX = "kind int, doc_id {kind}, n bigint, bucket bigint, key bigint, node bigint, blob binary"
+
+_INDEX = "kind int, doc_id {kind}, n bigint, bucket bigint, key bigint, node bigint, blob binary, sketch array<bigint>"
 
 
 def _index(rows: DataFrame, words: int, num: int, den: int, buckets: int) -> DataFrame:
@@ -178,21 +198,23 @@ def _index(rows: DataFrame, words: int, num: int, den: int, buckets: int) -> Dat
                 kind, bucket, key, node, blob = zip(*found[at:at + 20_000])
                 yield out(kind, None, None, bucket, key, node, blob)
 
-        def out(kind, doc, n, bucket, key, node, blob) -> pa.RecordBatch:
+        def out(kind, doc, n, bucket, key, node, blob, sketch=None) -> pa.RecordBatch:
             size = len(kind)
             none = [None] * size
             return pa.RecordBatch.from_arrays([
                 pa.array(kind, pa.int32()), doc if doc is not None else pa.nulls(size, id_type),
                 pa.array(n or none, pa.int64()), pa.array(bucket or none, pa.int64()),
-                pa.array(key or none, pa.int64()), pa.array(node, pa.int64()), pa.array(blob or none, pa.binary())],
-                names=["kind", "doc_id", "n", "bucket", "key", "node", "blob"])
+                pa.array(key or none, pa.int64()), pa.array(node, pa.int64()), pa.array(blob or none, pa.binary()),
+                pa.array(sketch or none, pa.list_(pa.int64()))],
+                names=["kind", "doc_id", "n", "bucket", "key", "node", "blob", "sketch"])
 
         for batch in batches:
             id_type = batch.column("doc_id").type
             for part in _slices(batch):
                 sets = shingle_sets(part.column("text"), words)
                 prints = [fingerprint(s) for s in sets]
-                yield out([2] * len(sets), part.column("doc_id"), [len(s) for s in sets], None, None, prints, None)
+                yield out([2] * len(sets), part.column("doc_id"), [len(s) for s in sets], None, None, prints, None,
+                          [full_sketch(s) if len(s) else [] for s in sets])
                 for s, f in zip(sets, prints):
                     k = band.keys(s)
                     if len(k):
@@ -213,9 +235,9 @@ def _shared_keys(table: pa.Table) -> pa.Table:
     bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
     low, node = [], []
     for blob in table.column("blob").to_pylist():
-        n = len(blob) // 12
-        low.append(np.frombuffer(blob, np.uint32, n))
-        node.append(np.frombuffer(blob, np.int64, n, 4 * n))
+        keys, own, at = _split(blob)
+        low.append(unpack(keys, np.uint32, ordered=True))
+        node.append(np.frombuffer(own, np.int64)[unpack(at, np.uint32)])
     low, node = np.concatenate(low), np.concatenate(node)
     order = np.argsort(low, kind="stable")
     low, node = low[order], node[order]
@@ -250,28 +272,56 @@ def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return joined.select("node", "text").mapInArrow(build, "node bigint, shingles array<bigint>")
 
 
-def _star(index: DataFrame, rows: DataFrame, one_each: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Every node of a key against the key's centre: ``centre, node, nc, nn, differ, linked``.
-
-    The centre is the node that shares most entries over all its keys, so that
-    the keys of one group of near copies agree on few centres.  ``differ`` holds
-    the shingles that only one of the two has.
-    """
+def _centres(index: DataFrame) -> DataFrame:
+    """``key, node, centre``.  The centre of a key is the node that shares most entries over all its keys, so that
+    the keys of one group of near copies agree on few centres."""
     size = index.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     weight = index.join(size, "key").groupBy("node").agg(F.sum("size").alias("weight"))
-    weighed = written(index.join(weight, "node"), "jaccard-weights")
+    weighed = index.join(weight, "node")
     centre = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).getField("node").alias("centre"))
-    pairs = written(weighed.join(centre, "key").filter("node <> centre").select("centre", "node").distinct(),
-                    "jaccard-pairs")
-    wanted = (pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node")))
-              .distinct().join(one_each, "node"))
-    sets = written(_sets(rows, wanted, words), "jaccard-sets")
-    both = (pairs.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("sc")), "centre")
+    return written(index.join(centre, "key"), "jaccard-keyed")
+
+
+def _hamming(a: str, b: str):
+    """Hamming distance of two parity sketches; the longer one is folded to the shorter one's length."""
+    def fold(x: str, y: str) -> str:
+        step = f"CAST(size({x}) / greatest(least(size({x}), size({y})), 1) AS INT)"
+        return (f"transform(sequence(0, least(size({x}), size({y})) - 1), i -> "
+                f"aggregate(slice({x}, i * {step} + 1, {step}), 0L, (s, w) -> s ^ w))")
+    return F.expr(f"aggregate(zip_with({fold(a, b)}, {fold(b, a)}, (x, y) -> bit_count(x ^ y)), 0, (s, n) -> s + n)")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``centre, node, nc, nn, differ``: sizes, and the shingles that only one of the two has."""
+    return (pairs.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("sc")), "centre")
             .join(sets.select("node", F.col("shingles").alias("sn")), "node")
             .select("centre", "node", F.size("sc").cast("long").alias("nc"), F.size("sn").cast("long").alias("nn"),
                     F.concat(F.array_except("sc", "sn"), F.array_except("sn", "sc")).alias("differ")))
-    return written(both.withColumn("linked", _linked(F.col("nc"), F.col("nn"), F.size("differ"), num, den)),
-                   "jaccard-star")
+
+
+def _star(keyed: DataFrame, rows: DataFrame, one_each: DataFrame, words: int, num: int,
+          den: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` of nodes with the centres of their keys, and the sets that were needed.
+
+    The sketches decide first: a Hamming distance above the most a linked pair
+    can have rules the pair out.  The rest is verified on the whole sets.
+    """
+    sketch = one_each.select("node", "n", "sketch")
+    pairs = (keyed.filter("node <> centre").select("centre", "node").distinct()
+             .join(sketch, "node")
+             .join(sketch.select(F.col("node").alias("centre"), F.col("n").alias("nc"), F.col("sketch").alias("sc")),
+                   "centre"))
+    near = _linked(F.col("n"), F.col("nc"), _hamming("sketch", "sc"), num, den)
+    pairs = written(pairs.filter(near).select("centre", "node"), "jaccard-pairs")
+    sets = written(_sets(rows, _wanted(pairs, one_each), words), "jaccard-sets")
+    star = _differences(pairs, sets)
+    links = star.filter(_linked(F.col("nc"), F.col("nn"), F.size("differ"), num, den))
+    return written(links.select(F.col("centre").alias("a"), F.col("node").alias("b")), "jaccard-links"), sets
+
+
+def _wanted(pairs: DataFrame, one_each: DataFrame) -> DataFrame:
+    return (pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node"))).distinct()
+            .join(one_each.select("node", "doc_id"), "node"))
 
 
 def _linked(na, nb, differ, num: int, den: int):
@@ -279,7 +329,8 @@ def _linked(na, nb, differ, num: int, den: int):
     return (na + nb - differ) * den >= (na + nb + differ) * num
 
 
-def _between(star: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
+def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFrame, one_each: DataFrame, words: int,
+             num: int, den: int) -> DataFrame:
     """Links ``a, b`` between nodes around one centre that no link joins yet.
 
     If x and y differ from their centre in dx >= dy shingles and are linked, but
@@ -288,14 +339,17 @@ def _between(star: DataFrame, groups: DataFrame, num: int, den: int) -> DataFram
     differences is among x's, and rare ones are shared by few.
     """
     label = groups.select("node", F.col("component").alias("c"))
-    known = (star.join(label, "node", "left").withColumn("c", F.coalesce("c", "node"))
-             .join(label.select(F.col("node").alias("centre"), F.col("c").alias("cc")), "centre", "left")
-             .withColumn("cc", F.coalesce("cc", "centre")))
-    # only centres around which more than one component is left; the others cannot link anything new
-    left = (known.groupBy("centre").agg(F.min("c").alias("_l"), F.max("c").alias("_h"), F.min("cc").alias("cc"))
-            .filter("_l <> _h").select("centre"))
-    members = written(known.join(left, "centre").select(
-        "centre", "node", "c", "nn", F.size("differ").cast("long").alias("d"), "differ"), "jaccard-members")
+    known = (keyed.filter("node <> centre").join(label, "node", "left")
+             .select("key", "centre", "node", F.coalesce("c", "node").alias("c")))
+    # only keys that hold more than one component beside the centre can link anything new
+    open_keys = (known.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h")).filter("_l <> _h")
+                 .select("key"))
+    around = written(known.join(open_keys, "key").select("centre", "node", "c").distinct(), "jaccard-open")
+    missing = _wanted(around, one_each).join(sets.select("node"), "node", "left_anti")
+    more = written(_sets(rows, missing, words), "jaccard-sets") if not missing.isEmpty() else sets.limit(0)
+    members = _differences(around.select("centre", "node"), sets.unionByName(more)).join(around, ["centre", "node"])
+    members = written(members.select("centre", "node", "c", "nn", F.size("differ").cast("long").alias("d"), "differ"),
+                      "jaccard-members")
     tokens = members.select("centre", "node", "c", "d", F.explode("differ").alias("token"))
     shared = (tokens.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often"), F.min("c").alias("_l"),
                                                     F.max("c").alias("_h"))
@@ -340,17 +394,19 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = written(_index(rows, words, num, den, buckets), "jaccard-index")
-    nodes = table.filter("kind = 2").select("doc_id", "n", "node")
+    nodes = table.filter("kind = 2").select("doc_id", "n", "node", "sketch")
     packed = (table.filter("kind = 0").select("bucket", "blob").groupBy("bucket")
               .applyInArrow(_shared_keys, "key bigint, node bigint"))
     many = table.filter("kind = 1").select("key", "node").distinct()
     index = written(packed.unionByName(many).distinct(), "jaccard-keys")
 
-    one_each = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    star = _star(index, rows, one_each, words, num, den)
-    links = written(star.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b")), "jaccard-links")
-    more = _between(star, components(links), num, den)
-    groups = components(links.unionByName(more))
+    one_each = written(nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+                                                                 F.first("sketch").alias("sketch")), "jaccard-nodes")
+    nodes = nodes.drop("sketch")
+    keyed = _centres(index)
+    linked, sets = _star(keyed, rows, one_each, words, num, den)
+    more = _between(keyed, components(linked), sets, rows, one_each, words, num, den)
+    groups = components(linked.unionByName(more))
 
     # the smallest doc_id of each component, by node, then for every document
     by_node = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("_d"), F.count(F.lit(1)).alias("_n"))

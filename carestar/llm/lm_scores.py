@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 
 from .bytewords import combined, hash_words, mixed
 from .common import text_of
+from .packing import pack, unpack
 
 _U = np.uint64
-TILE_BYTES = 12 << 20
+TILE_BYTES = 8 << 20
 FOLDS = 7
 # The end of a text, and what stands before its first word
 _END, _START = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
 # Context buckets (0: never seen) and cells of one octave for the weights' likelihood
-BUCKETS, FINE = 34, 16
+BUCKETS, FINE = 34, 8
 _NEVER = -100_000
 ROUNDS = 60
 
@@ -101,9 +102,9 @@ def _request(buckets: int, held_out: int, deleted: int):
         at = [(b, int(i), int(j)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
         number = table.column("tile")[0].as_py()
         return pa.table([pa.array([b for b, _, _ in at], pa.int64()), pa.array([number] * len(at), pa.int64()),
-                         pa.array([_blob(tile.keys[i:j]) for _, i, j in at], pa.binary()),
-                         pa.array([_blob(kept[i:j]) for _, i, j in at], pa.binary()),
-                         pa.array([_blob(gone[i:j]) for _, i, j in at], pa.binary())],
+                         pa.array([pack(tile.keys[i:j], ordered=True) for _, i, j in at], pa.binary()),
+                         pa.array([pack(kept[i:j]) for _, i, j in at], pa.binary()),
+                         pa.array([pack(gone[i:j]) for _, i, j in at], pa.binary())],
                         names=["bucket", "tile", "keys", "kept", "deleted"])
     return count
 
@@ -112,7 +113,7 @@ def _answer(tiles: int):
     """Add up a bucket and give each tile its totals; the bucket's statistics go to one tile."""
     def add(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        parts = [[np.frombuffer(b, kind) for b in table.column(c).to_pylist()]
+        parts = [[unpack(b, kind, c == "keys") for b in table.column(c).to_pylist()]
                  for c, kind in (("keys", np.uint64), ("kept", np.uint32), ("deleted", np.uint32))]
         keys, kept, gone = (np.concatenate(p) for p in parts)
         order = np.argsort(keys)
@@ -132,8 +133,8 @@ def _answer(tiles: int):
         return pa.table([
             pa.array([*table.column("tile").to_pylist(), bucket % tiles], pa.int64()),
             pa.array([bucket] * (n + 1), pa.int64()),
-            pa.array([*(_blob(total[run[i:j]].astype(np.uint32)) for i, j in cut), None], pa.binary()),
-            pa.array([*(_blob(gone_sum[run[i:j]].astype(np.uint32)) for i, j in cut), None], pa.binary()),
+            pa.array([*(pack(total[run[i:j]].astype(np.uint32)) for i, j in cut), None], pa.binary()),
+            pa.array([*(pack(gone_sum[run[i:j]].astype(np.uint32)) for i, j in cut), None], pa.binary()),
             pa.array([*[None] * n, _blob(stats)], pa.binary())],
             names=["tile", "bucket", "total", "deleted", "stats"])
     return add
@@ -142,7 +143,7 @@ def _answer(tiles: int):
 def _totals(answers: pa.Table, column: str) -> np.ndarray:
     got = sorted((b, x) for b, x in zip(answers.column("bucket").to_pylist(), answers.column(column).to_pylist())
                  if x is not None)
-    return np.concatenate([np.frombuffer(x, np.uint32) for _, x in got]).astype(np.int64) if got else np.zeros(0, np.int64)
+    return np.concatenate([unpack(x, np.uint32) for _, x in got]).astype(np.int64) if got else np.zeros(0, np.int64)
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:

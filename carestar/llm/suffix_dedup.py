@@ -33,7 +33,7 @@ from .bytewords import _BASE, _INVERSE, _VALUE, _power, buffers, mixed
 from .common import text_of
 
 _U = np.uint64
-TILE_BYTES = 12 << 20
+TILE_BYTES = 8 << 20
 _PIECE = 1 << 19                       # positions handled at once
 _INDEX_BITS = _U((1 << 20) - 1)        # room for a position inside a piece
 _BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
