@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _slices
@@ -39,6 +39,8 @@ GROUP = 4
 MISS = 1e-8
 # Index entries a task gathers before it hands them on, and members of one key it packs
 FLUSH, PACKED = 1_500_000, 4
+# Words of the sketch of a node's differences from its centre
+SMALL = 4
 
 
 class Bands:
@@ -291,12 +293,20 @@ def _hamming(a: str, b: str):
     return F.expr(f"aggregate(zip_with({fold(a, b)}, {fold(b, a)}, (x, y) -> bit_count(x ^ y)), 0, (s, n) -> s + n)")
 
 
+def _small_sketch(column: str):
+    """Parity sketch of SMALL words."""
+    zero = "array(" + ", ".join(["0L"] * SMALL) + ")"
+    return F.expr(f"""aggregate({column}, {zero}, (s, x) -> transform(s, (w, k) ->
+        CASE WHEN k = CAST(shiftrightunsigned(x, 6) & {SMALL - 1} AS INT)
+             THEN w ^ shiftleft(1L, CAST(x & 63 AS INT)) ELSE w END))""")
+
+
 def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``centre, node, nc, nn, differ``: sizes, and the shingles that only one of the two has."""
     return (pairs.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("sc")), "centre")
             .join(sets.select("node", F.col("shingles").alias("sn")), "node")
             .select("centre", "node", F.size("sc").cast("long").alias("nc"), F.size("sn").cast("long").alias("nn"),
-                    F.concat(F.array_except("sc", "sn"), F.array_except("sn", "sc")).alias("differ")))
+                    F.concat(F.array_except("sn", "sc"), F.array_except("sc", "sn")).alias("differ")))
 
 
 def _star(keyed: DataFrame, rows: DataFrame, one_each: DataFrame, words: int, num: int,
@@ -333,10 +343,13 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
              num: int, den: int) -> DataFrame:
     """Links ``a, b`` between nodes around one centre that no link joins yet.
 
-    If x and y differ from their centre in dx >= dy shingles and are linked, but
-    not both linked with the centre, they share at least (1 - r) dy / 2 of those
-    differences, r = (1 - t) / (1 + t).  So one of y's rarest dy - that + 1
-    differences is among x's, and rare ones are shared by few.
+    Let x and y differ from their centre in dx >= dy shingles, r = (1 - t) / (1 + t),
+    and D the most by which linked sets of their sizes differ.  If they are
+    linked, but not both linked with the centre, they share at least one of these
+    differences, at least (1 - r) dy / 2, and at least (dx + dy - D) / 2 >= dx - D.
+    So, in one order for all, one of y's first dy - that + 1 differences is among
+    x's first D + 1.  Shingles the centre does not have come first: they are rare.
+    Parity sketches of the differences rule most pairs out inside the join.
     """
     label = groups.select("node", F.col("component").alias("c"))
     known = (keyed.filter("node <> centre").join(label, "node", "left")
@@ -348,25 +361,26 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     missing = _wanted(around, one_each).join(sets.select("node"), "node", "left_anti")
     more = written(_sets(rows, missing, words), "jaccard-sets") if not missing.isEmpty() else sets.limit(0)
     members = _differences(around.select("centre", "node"), sets.unionByName(more)).join(around, ["centre", "node"])
-    members = written(members.select("centre", "node", "c", "nn", F.size("differ").cast("long").alias("d"), "differ"),
-                      "jaccard-members")
-    tokens = members.select("centre", "node", "c", "d", F.explode("differ").alias("token"))
-    shared = (tokens.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often"), F.min("c").alias("_l"),
-                                                    F.max("c").alias("_h"))
-              .filter("_l <> _h").select("centre", "token", "often"))
-    tokens = written(tokens.join(shared, ["centre", "token"]), "jaccard-tokens")
-    by_node = Window.partitionBy("centre", "node")
+    members = written(members.select(
+        "centre", "node", "c", F.col("nn").alias("n"), F.size("differ").cast("long").alias("d"), "differ",
+        _small_sketch("differ").alias("s")), "jaccard-members")
     r = F.lit(den - num) / F.lit(den + num)
-    prefix = F.col("d") - F.greatest(F.lit(1), F.ceil((F.lit(1) - r) * F.col("d") / 2 - 1e-9)) + 1
-    # differences that no other component has come first: they fill the prefix without being indexed
-    probe = (tokens.withColumn("_i", F.row_number().over(by_node.orderBy("often", "token")))
-             .withColumn("_alone", F.col("d") - F.count(F.lit(1)).over(by_node))
-             .filter(F.col("_i") <= prefix - F.col("_alone"))
-             .select("centre", "token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("d").alias("dy")))
-    found = (tokens.join(probe, ["centre", "token"])
-             .filter("c <> cy AND (dy < d OR (dy = d AND y < node))")
-             .select("centre", F.col("node").alias("x"), "y").distinct())
-    side = lambda n: members.select("centre", F.col("node").alias(n), F.col("nn").alias(f"n{n}"),
+    # the most by which a linked node of any size can differ
+    most = F.floor(F.col("n") * (den - num) / num)
+    wide = F.least("d", most + 1)
+    narrow = F.least(F.col("d") - F.greatest(F.lit(1), F.ceil((F.lit(1) - r) * F.col("d") / 2 - 1e-9)) + 1,
+                     F.floor(most / 2) + 1)
+    first = lambda k: F.explode(F.slice("differ", F.lit(1), k.cast("int"))).alias("token")
+    there = members.select("centre", first(wide), F.col("node").alias("x"), "c", "n", "d", "s")
+    probe = members.select("centre", first(narrow), F.col("node").alias("y"), F.col("c").alias("cy"),
+                           F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("s").alias("t"))
+    apart = sum((F.bit_count(F.get("s", F.lit(k)).bitwiseXOR(F.get("t", F.lit(k)))) for k in range(SMALL)), F.lit(0))
+    found = (there.join(probe, ["centre", "token"])
+             .filter((F.col("c") != F.col("cy")) & F.expr("dy < d OR (dy = d AND y < x)")
+                     & _linked(F.col("n"), F.col("ny"), F.col("d") - F.col("dy"), num, den)
+                     & _linked(F.col("n"), F.col("ny"), apart, num, den))
+             .select("centre", "x", "y").distinct())
+    side = lambda n: members.select("centre", F.col("node").alias(n), F.col("n").alias(f"n{n}"),
                                     F.col("differ").alias(f"d{n}"))
     pairs = found.join(side("x"), ["centre", "x"]).join(side("y"), ["centre", "y"])
     apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
