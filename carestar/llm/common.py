@@ -40,4 +40,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``written`` that later steps, written themselves, no longer need."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

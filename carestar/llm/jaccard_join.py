@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .bpe import _slices
 from .bytewords import mixed, shingle_sets
-from .common import text_of, written
+from .common import discard, text_of, written
 from .graph import components
 from .packing import pack, unpack
 
@@ -384,8 +384,10 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
                                     F.col("differ").alias(f"d{n}"))
     pairs = found.join(side("x"), ["centre", "x"]).join(side("y"), ["centre", "y"])
     apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
-    return (pairs.filter(_linked(F.col("nx"), F.col("ny"), apart, num, den))
-            .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    links = written(pairs.filter(_linked(F.col("nx"), F.col("ny"), apart, num, den))
+                    .select(F.col("x").alias("a"), F.col("y").alias("b")), "jaccard-links")
+    discard(members)
+    return links
 
 
 def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int, int] = (80, 100),
@@ -408,18 +410,22 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = written(_index(rows, words, num, den, buckets), "jaccard-index")
-    nodes = table.filter("kind = 2").select("doc_id", "n", "node", "sketch")
+    nodes = written(table.filter("kind = 2").select("doc_id", "n", "node", "sketch"), "jaccard-documents")
     packed = (table.filter("kind = 0").select("bucket", "blob").groupBy("bucket")
               .applyInArrow(_shared_keys, "key bigint, node bigint"))
     many = table.filter("kind = 1").select("key", "node").distinct()
     index = written(packed.unionByName(many).distinct(), "jaccard-keys")
+    discard(table)
 
     one_each = written(nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                                  F.first("sketch").alias("sketch")), "jaccard-nodes")
     nodes = nodes.drop("sketch")
     keyed = _centres(index)
+    discard(index)
     linked, sets = _star(keyed, rows, one_each, words, num, den)
     more = _between(keyed, components(linked), sets, rows, one_each, words, num, den)
+    for table in (keyed, sets):
+        discard(table)
     groups = components(linked.unionByName(more))
 
     # the smallest doc_id of each component, by node, then for every document
