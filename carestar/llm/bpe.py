@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestar.session import ship_package
+
 # Pieces remembered by a worker, and the longest one remembered (characters)
 MEMO_PIECES, MEMO_CHARS = 400_000, 64
 
@@ -138,6 +140,7 @@ def bpe_encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     length is encoded whole; repeated rows are encoded each; an empty table
     gives an empty result; other input columns are ignored.
     """
+    ship_package(docs.sparkSession)
     file, pat = tokenizer_file or default_tokenizer(), pattern or default_pattern()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,6 +164,7 @@ def bpe_decode(tokens: DataFrame, *, tokenizer_file: str | None = None, pattern:
 
     A null list counts as empty.
     """
+    ship_package(tokens.sparkSession)
     file, pat = tokenizer_file or default_tokenizer(), pattern or default_pattern()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +186,7 @@ def bpe_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     moving the token arrays out of the worker.  ``n_split_chars``: tokens that
     start inside a character.  ``with_ids`` adds ``ids``.  Defined cases as for ``bpe_encode``.
     """
+    ship_package(docs.sparkSession)
     file, pat = tokenizer_file or default_tokenizer(), pattern or default_pattern()
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split_chars"] + ["ids"] * with_ids
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestar.session import ship_package
+
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
@@ -121,6 +123,7 @@ def format_chats(conversations: DataFrame, *, template: Template = turn_template
     an empty result; other input columns are ignored.  A conversation is one
     text and is formatted in one task.
     """
+    ship_package(conversations.sparkSession)
     rows = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
                                 F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                                 F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -148,6 +151,7 @@ def format_chats(conversations: DataFrame, *, template: Template = turn_template
 
 def chat_digests(formatted: DataFrame) -> DataFrame:
     """Read formatted conversations back: turns, loss text and lengths as digests."""
+    ship_package(formatted.sparkSession)
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

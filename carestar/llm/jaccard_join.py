@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestar.session import ship_package
+
 from .bpe import _slices
 from .bytewords import mixed, shingle_sets
 from .common import discard, text_of, written
@@ -405,6 +407,7 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
     unless nothing else is in it; rows that repeat are each returned; an empty
     table gives an empty result; other input columns are ignored.
     """
+    ship_package(docs.sparkSession)
     num, den = threshold
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))

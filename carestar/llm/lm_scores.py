@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carestar.session import ship_package
+
 from .bytewords import combined, hash_words, mixed
 from .common import text_of
 from .packing import pack, unpack
@@ -257,6 +259,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     empty result; other input columns are ignored.  A task holds a tile, at
     least one whole document.
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     tiles = max(4, -(-size // tile_bytes))

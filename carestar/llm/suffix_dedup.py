@@ -29,6 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestar.session import ship_package
+
 from .bytewords import _BASE, _INVERSE, _VALUE, _power, buffers, mixed
 from .common import text_of
 
@@ -284,6 +286,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id"
     others; an empty table gives an empty result; other input columns are
     ignored.  A task holds a tile, at least one whole document.
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     tiles = max(4, -(-size // tile_bytes))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carestar.session import scratch_path
+from carestar.session import scratch_path, ship_package
 
 from .bpe import _slices, _texts, byte_bpe, default_pattern, default_tokenizer
 from .common import written
@@ -51,6 +51,7 @@ def write_token_files(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     file that a lost or repeated task attempt left behind is in no row of it.
     Lengths are not recorded.  A null text counts as empty: only its end id is written.
     """
+    ship_package(docs.sparkSession)
     file, pat = tokenizer_file or default_tokenizer(), pattern or default_pattern()
     base = scratch_path(docs.sparkSession, "token-files")
 
@@ -83,6 +84,7 @@ def count_tokens(paths: DataFrame, *, end_id: int = END_OF_DOCUMENT, block_bytes
     at all.  ``block_bytes`` must be even.  Tokens after a file's last end id
     form one more document only if there are any; an empty file has none.
     """
+    ship_package(paths.sparkSession)
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("path").to_pylist()
