@@ -61,9 +61,6 @@ SCORE_FAIL_BELOW = 50
 # Run log statuses accepted
 RUN_STATUSES = ["RUNNING", "SUCCESS", "FAILED", "SKIPPED"]
 
-# Export limits
-EXCEL_MAX_CHARS = 32767
-
 # Readmission window (days between previous discharge and new admission)
 READMISSION_DAYS = 30
 

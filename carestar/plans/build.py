@@ -256,7 +256,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of=None, comput
         try:
             n = fn()
         except Exception as e:  # noqa: BLE001 — logged, then raised
-            event(task, "FAILED", error=str(e)[:1000])
+            event(task, "FAILED", error=str(e))
             raise
         event(task, "SUCCESS", records=n)
 

@@ -220,7 +220,7 @@ def export_csv_roundtrip(wh: Warehouse) -> DataFrame:
                           wh.dim_date, calendar_rows=wh.calendar_rows)
     path = scratch_path(wh.spark, "reports") + "/analytics_mart_2000-12-31"
     S.write_csv(mart, path)
-    return wh.spark.read.schema(mart.schema).option("header", True).csv(path)
+    return wh.spark.read.schema(mart.schema).option("header", True).option("escape", '"').csv(path)
 
 
 def export_manifest(wh: Warehouse) -> DataFrame:
@@ -268,9 +268,9 @@ def stream_incremental_ingest(wh: Warehouse) -> DataFrame:
     first = raw.filter(F.col("date_admission") < F.lit(dt.date(1998, 1, 1)))
     second = raw.filter(~(F.col("date_admission") < F.lit(dt.date(1998, 1, 1))))
     first.write.mode("append").parquet(land)
-    stream_ingest(wh.spark, land, out, ckpt, ADMISSION_LANDING, max_files_per_trigger=4)
+    stream_ingest(wh.spark, land, out, ckpt, ADMISSION_LANDING, max_files_per_trigger=None)
     second.write.mode("append").parquet(land)
-    stream_ingest(wh.spark, land, out, ckpt, ADMISSION_LANDING, max_files_per_trigger=4)
+    stream_ingest(wh.spark, land, out, ckpt, ADMISSION_LANDING, max_files_per_trigger=None)
     from ..operators.quality import dedup
     order = ["loaded_at", "maladie_id", "hopital_id", "patient_id", "date_admission", "date_sortie", "urgence",
              "service_id"]

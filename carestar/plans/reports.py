@@ -118,25 +118,17 @@ def occupancy_by_service(wh: Warehouse) -> DataFrame:
 
 
 def matrix_disease_region(wh: Warehouse) -> DataFrame:
-    """Admissions per disease (rows) × patient region (columns).
+    """Admissions per disease and patient region, one row per pair that occurs.
 
-    The pivot values are the region names read from the region dimension, so
-    the fact is scanned once; combinations without admissions are 0.  A pivot
-    needs its column list on the driver, so the list is bounded explicitly by
-    Spark's pivot limit (``spark.sql.pivotMaxValues``) instead of trusted.
+    The long form takes any number of regions, and those without a name, and
+    reads nothing to the driver; a fixed list of columns is one pivot away.
     """
-    limit = int(wh.spark.conf.get("spark.sql.pivotMaxValues", "10000"))
-    names = [r[0] for r in wh.dim_region.select("nom_region").distinct().limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} regions: use the long form (category_trend-style) instead of a pivot")
-    regions = sorted(n for n in names if n is not None)
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region")
     m = wh.dim_disease.select("maladie_id", "nom_maladie")
     per = patient_disease_counts(wh.fact_admissions, p)
     j = join_dim(join_dim(join_dim(per, p, "patient_id"), r, "region_id"), m, "maladie_id")
-    out = j.groupBy("nom_maladie").pivot("nom_region", regions).agg(F.sum("__n"))
-    return out.na.fill(0, subset=regions)
+    return j.groupBy("nom_maladie", "nom_region").agg(F.sum("__n").alias("n"))
 
 
 def category_trend(wh: Warehouse) -> DataFrame:

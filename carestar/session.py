@@ -9,10 +9,13 @@ setting is unset (local tests) do we pick a folder ourselves.
 
 from __future__ import annotations
 
+import io
 import os
+import re
 import tempfile
 import uuid
 import weakref
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set to a local folder only when unset (tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         d = tempfile.mkdtemp(prefix="carestar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -75,6 +81,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/carestar-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per context, through a zip in the shared folder."""
+    sc = spark.sparkContext
+    if _SHIPPED.get(sc) is not None:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(d, n), os.path.relpath(os.path.join(d, n), os.path.dirname(top)))
+    uri = scratch_path(spark, "package") + ".zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(uri)
+    _SHIPPED[sc] = uri
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for the few local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -88,6 +115,7 @@ def ensure_dir(path: str) -> None:
 
 # Frames over immutable files, per session: a relation keeps its resolved file
 # listing and schema, so a repeated read skips the listing and footer jobs.
+_SHIPPED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 _FRAMES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 

@@ -30,14 +30,12 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def for_export(df: DataFrame, max_chars: int = K.EXCEL_MAX_CHARS) -> DataFrame:
-    """Strings cut to ``max_chars``; booleans as 0/1."""
+def for_export(df: DataFrame) -> DataFrame:
+    """Booleans as 0/1; texts whole, whatever their length."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            c = F.substring(c, 1, max_chars)
-        elif isinstance(f.dataType, T.BooleanType):
+        if isinstance(f.dataType, T.BooleanType):
             c = c.cast("int")
         cols.append(c.alias(f.name))
     return df.select(*cols)
@@ -80,6 +78,6 @@ def log_events(events: DataFrame, path: str) -> None:
 
 def latest_runs(log: DataFrame) -> DataFrame:
     """Latest event per ``run_id`` — the "update by run id" of a row store,
-    expressed on an append-only log (hash aggregate, no window)."""
+    expressed on an append-only log (one aggregate, no window)."""
     from ..operators.quality import dedup
     return dedup(log, ["run_id"], ["event_time", "status"], keep="last")

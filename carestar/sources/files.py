@@ -26,15 +26,17 @@ def _lineage(df: DataFrame, source: str | None, loaded_at) -> DataFrame:
 
 def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                         keys: Sequence[str] = (), source: str | None = None,
-                        loaded_at: dt.datetime | None = None, sep: str = ",") -> DataFrame:
+                        loaded_at: dt.datetime | None = None, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """Delimited file(s) -> all-string frame with clean headers, rows with a NULL
     key dropped, lineage stamped (``source_file``, ``loaded_at``).
 
     With ``columns`` the header line is skipped and the names are positional
     (no pass over the file to read the header); without, the header names are
-    read and normalised (strip + lower).
+    read and normalised (strip + lower).  Quotes inside a quoted field are
+    doubled; ``multi_line`` reads fields with line breaks (one task per file).
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if columns is not None:
         schema = T.StructType([T.StructField(clean_header(c), T.StringType()) for c in columns])
         df = reader.schema(schema).option("enforceSchema", True).csv(path)
@@ -49,7 +51,7 @@ def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str] |
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV that keeps surrounding blanks and tells NULL from empty text."""
     (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(path))
+     .option("ignoreTrailingWhiteSpace", False).option("quote", '"').option("escape", '"').csv(path))
 
 
 def envelope_schema(record: T.StructType) -> T.StructType:
@@ -166,5 +168,5 @@ def write_discharge_xml(docs: DataFrame, path: str) -> None:
 
 def union_staff(doctors: DataFrame, nurses: DataFrame) -> DataFrame:
     """Doctors and nurses (different columns) in one table tagged ``type_personnel``."""
-    return (doctors.withColumn("type_personnel", F.lit("medecin"))
-            .unionByName(nurses.withColumn("type_personnel", F.lit("infirmier")), allowMissingColumns=True))
+    return (doctors.withColumn("type_personnel", F.lit("Médecin"))
+            .unionByName(nurses.withColumn("type_personnel", F.lit("Infirmier")), allowMissingColumns=True))

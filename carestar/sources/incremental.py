@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,9 @@ def table_counts(spark: SparkSession, tables: Mapping[str, str | DataFrame]) ->
         if isinstance(src, str):
             try:
                 df = spark.read.parquet(src)
-            except Exception:  # noqa: BLE001 — absent table
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
                 df = None
         if df is None:
             parts.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit(None).cast("bigint").alias("n_rows")))

@@ -39,13 +39,13 @@ SELECT 'MED' || CAST(c_custkey AS VARCHAR) AS medecin_id, CAST(NULL AS VARCHAR)
        'Prenom-' || CAST(c_custkey % 100 AS VARCHAR) AS prenom, CAST(1 + c_custkey % 7 AS VARCHAR) AS service_id,
        CAST(c_custkey % 100 AS VARCHAR) AS hopital_id, c_mktsegment AS specialite,
        CASE WHEN c_custkey % 4 = 0 THEN 'Senior' ELSE 'Junior' END AS grade, CAST(NULL AS VARCHAR) AS horaire,
-       'Medecins' AS source_file, {LOADED} AS loaded_at, 'medecin' AS type_personnel
+       'Medecins' AS source_file, {LOADED} AS loaded_at, 'Médecin' AS type_personnel
 FROM customer WHERE c_custkey % 2 = 0
 UNION ALL
 SELECT NULL, 'INF' || CAST(c_custkey AS VARCHAR), c_name, 'Prenom-' || CAST(c_custkey % 100 AS VARCHAR),
        CAST(1 + c_custkey % 7 AS VARCHAR), CAST(c_custkey % 100 AS VARCHAR), NULL,
        CASE WHEN c_custkey % 3 = 0 THEN 'IDE' ELSE 'AS' END, CASE WHEN c_custkey % 4 = 1 THEN 'Nuit' ELSE 'Jour' END,
-       'Infirmiers', {LOADED}, 'infirmier'
+       'Infirmiers', {LOADED}, 'Infirmier'
 FROM customer WHERE c_custkey % 2 = 1"""),
     "incremental_extract": W("""
 SELECT o_orderkey AS id, o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS date_admission,

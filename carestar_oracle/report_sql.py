@@ -49,10 +49,10 @@ GROUP BY heure"""),
 SELECT service_id, round(avg(taux_occupation), 2) AS taux_moy, count(*) AS nb_mesures FROM fact_bed_occupancy
 GROUP BY service_id"""),
     "matrix_disease_region": W("""
-WITH j AS (SELECT m.nom_maladie, r.nom_region
-        FROM fact_admissions f JOIN dim_patient p ON f.patient_id = p.patient_id
-        JOIN dim_region r ON p.region_id = r.region_id JOIN dim_disease m ON f.maladie_id = m.maladie_id)
-PIVOT j ON nom_region USING count(*) GROUP BY nom_maladie"""),
+SELECT m.nom_maladie, r.nom_region, count(*) AS n
+FROM fact_admissions f JOIN dim_patient p ON f.patient_id = p.patient_id
+JOIN dim_region r ON p.region_id = r.region_id JOIN dim_disease m ON f.maladie_id = m.maladie_id
+GROUP BY m.nom_maladie, r.nom_region"""),
     "category_trend": W("""
 SELECT t.annee, t.mois, m.categorie, count(*) AS admissions
 FROM fact_admissions f JOIN dim_disease m ON f.maladie_id = m.maladie_id JOIN dim_date t ON f.temps_id = t.temps_id

@@ -11,7 +11,9 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-SQL = E.oracle_sql()
+from carestar.plans.catalog import all_queries  # noqa: E402
+
+SQL = {k: v for k, v in E.oracle_sql().items() if k in all_queries()}
 
 
 def _canon(v):
@@ -36,7 +38,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(SQL)
+    assert set(all_queries()) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from carestar.plans.kpis import kpi_length_of_stay, kpi_sex_split
+from carestar.plans.catalog import all_queries
 from carestar.plans.build import warehouse_for
 from carestar.plans.warehouse import Warehouse
 from conftest import SF_SMALL
@@ -13,7 +14,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_python_udf_in_any_query(spark, name):
     if name.startswith(("stream_", "ingest_", "xml_", "staff_", "export_", "reload_", "incremental_",
                         "run_log", "source_fallback", "table_counts")):

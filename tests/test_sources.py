@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,7 +86,7 @@ def test_staff_union_allows_missing_columns(spark):
     doc = spark.createDataFrame([("M1", "Dupont", "Cardio")], "medecin_id string, nom string, specialite string")
     nur = spark.createDataFrame([("I1", "Martin", "Nuit")], "infirmier_id string, nom string, horaire string")
     got = {r["type_personnel"]: r for r in S.union_staff(doc, nur).collect()}
-    assert got["medecin"]["horaire"] is None and got["infirmier"]["specialite"] is None
+    assert got["Médecin"]["horaire"] is None and got["Infirmier"]["specialite"] is None
 
 
 def test_incremental_mark_and_upsert(spark, tmp_dir):
@@ -116,12 +118,12 @@ def test_table_counts_tolerates_missing(spark, tmp_dir):
     assert got == {"a": 5, "b": None}
 
 
-def test_export_cuts_strings_and_casts_bools(spark, tmp_dir):
+def test_export_keeps_texts_whole_and_casts_bools(spark, tmp_dir):
     df = spark.createDataFrame([("x" * 40000, True)], "s string, b boolean")
     man = K.export_tables(spark, {"t": df, "empty": df.limit(0)}, tmp_dir("exp"))
     assert [(r["table_name"], r["n_rows"]) for r in man.collect()] == [("t", 1)]
     r = K.for_export(df).collect()[0]
-    assert len(r["s"]) == 32767 and r["b"] == 1
+    assert len(r["s"]) == 40000 and r["b"] == 1
 
 
 def test_run_log_latest(spark, tmp_dir):
@@ -156,3 +158,19 @@ def test_build_tables_resolved_once(spark):
     b = warehouse_for(spark, "/root/testdata/sf0.001")
     assert a.fact_admissions is b.fact_admissions
     assert a.dim_date is b.dim_date
+
+
+def test_csv_keeps_doubled_quotes_and_separators(spark, tmp_dir):
+    p = tmp_dir("quoted")
+    spark.createDataFrame([('id,t',), ('1,"say ""hi"", ok"',)], "value string").coalesce(1).write.text(p)
+    assert [(r["id"], r["t"]) for r in S.read_csv_all_string(spark, p).collect()] == [("1", 'say "hi", ok')]
+    out = tmp_dir("lines")
+    S.write_csv(spark.createDataFrame([("1", 'a\nb "c", d')], "id string, t string"), out)
+    assert [r["t"] for r in S.read_csv_all_string(spark, out, multi_line=True).collect()] == ['a\nb "c", d']
+
+
+def test_table_counts_does_not_hide_unreadable_tables(spark, tmp_dir):
+    p = tmp_dir("broken")
+    spark.createDataFrame([("not parquet",)], "value string").write.text(p)
+    with pytest.raises(Exception):
+        I.table_counts(spark, {"a": p + "/*"}).collect()
