@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(df: DataFrame) -> None:
-    """Delete a table of ``written`` that later steps, written themselves, no longer need."""
+    """Delete a table of ``written`` that later steps, written themselves, no longer need.
+
+    Shuffle files of finished steps go when the driver's handles on them are
+    collected, so both collectors are asked to run.
+    """
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()

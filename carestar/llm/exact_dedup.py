@@ -49,7 +49,7 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int
             .select("_id", "_piece", "_hot", "_rank", "_best", "_n", F.sha2("_norm", 256).alias("_sha"),
                     F.when(F.col("_hot") & (F.col("_rank") == 1), F.col("_norm")).alias("_norm"),
                     F.when(F.col("_rank") == 1, F.col("_own")).alias("_own")))
-    return runs
+    return written(runs, "exact-dedup")
 
 
 def _first(keep: str):
@@ -80,7 +80,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     empty table gives an empty result; other columns of the input are ignored,
     whatever their names.
     """
-    runs = written(_runs(docs, id_col, text_col, keep, hot_share, []).drop("_own"), "exact-dedup")
+    runs = _runs(docs, id_col, text_col, keep, hot_share, []).drop("_own")
     out = [F.col("_id").alias("doc_id"), F.col("keep_id"), F.col("group_size"), F.col("kept"),
            F.col("_sha").alias("text_sha256")]
     plain = runs.filter(~F.col("_hot")).select(
@@ -93,12 +93,8 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
                       hot_share: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns unchanged.
-
-    Rows that are not of a hot text, and those that are, pass the shuffle once each.
-    """
-    runs = _runs(docs, id_col, text_col, keep, hot_share, docs.columns)
-    winners = written(_pieces(runs.drop("_own"), keep).filter("_winner = 1").select("_sha", "_piece"), "exact-dedup")
-    first = runs.filter("_rank = 1")
-    hot = first.filter("_hot").join(F.broadcast(winners), ["_sha", "_piece"]).select("_own")
-    return first.filter(~F.col("_hot")).select("_own").unionByName(hot).select("_own.*")
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns unchanged."""
+    runs = _runs(docs, id_col, text_col, keep, hot_share, docs.columns).filter("_rank = 1")
+    hot = (runs.filter("_hot").drop("_norm")
+           .join(F.broadcast(_pieces(runs, keep).filter("_winner = 1")), ["_sha", "_piece"]).select("_own"))
+    return runs.filter(~F.col("_hot")).select("_own").unionByName(hot).select("_own.*")
