@@ -38,23 +38,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor later costs a re-read of these files.
+    Shuffle files of the finished write go when the driver's handles on them are
+    collected, so both collectors are asked to run.
     """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _collect(spark)
     back = spark.read.schema(df.schema).parquet(path)
     back.written_at = path
     return back
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table of ``written`` that later steps, written themselves, no longer need.
+def _collect(spark: SparkSession) -> None:
+    gc.collect()
+    spark._jvm.System.gc()
 
-    Shuffle files of finished steps go when the driver's handles on them are
-    collected, so both collectors are asked to run.
-    """
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``written`` that later steps, written themselves, no longer need."""
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()

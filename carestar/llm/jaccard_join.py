@@ -8,6 +8,11 @@ allowed, so two linked documents agree in at least one whole block (or, in
 groups of ``GROUP`` blocks, in two blocks of one group): documents that share
 such a key are candidates, and candidates are verified on their whole sets.
 
+The blocks that make keys are 2^64 bits wide and nearly empty; each is held as
+the XOR of the codes of its set bits, in which a bit flipped twice cancels too.
+So wide blocks agree only where the shingles in them do, however many documents
+there are.  The sketches compared by distance have blocks of one word.
+
 Documents with equal sets are one node.  Candidates of a key are not paired all
 with all.  Everyone is compared with the key's centre; two nodes around one
 centre that no link joins yet can only be linked if they share differences from
@@ -61,7 +66,7 @@ class Bands:
 
     @lru_cache(maxsize=None)
     def plan(self, band: int) -> tuple[int, int, int]:
-        """(most differences, blocks in a group, least set bits of a key) for pairs whose smaller set is in ``band``."""
+        """(most differences, blocks in a group, least shingles of a key) for pairs whose smaller set is in ``band``."""
         num, den = self.num, self.den
         a = self.edges[band + 1] - 1
         b = a * den // num
@@ -77,7 +82,7 @@ class Bands:
             return 1 - sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(m))
 
         blocks = most + 1
-        for m in (4, 3):
+        for m in (4, 3, 2, 1):
             if (1 - math.exp(-most / blocks) * dense(shared / blocks, m)) ** blocks <= MISS:
                 return most, 1, m
         groups = -(-(most + 1) // (GROUP - 1))
@@ -99,17 +104,16 @@ class Bands:
             if most == 0:
                 continue
             groups = most + 1 if group == 1 else -(-(most + 1) // (group - 1))
-            sketch = parity_sketch(shingles, groups * group)
-            bits = np.bitwise_count(sketch)
+            sketch, held = wide_blocks(shingles, groups * group)
             salt = _U(band + 1) << _U(40)
             at = np.arange(groups, dtype=np.uint64)
             if group == 1:
-                sel = bits >= dense
+                sel = held >= dense
                 out.append(mixed(mixed(sketch[sel]) + salt + at[sel]))
             else:
-                sketch, bits = sketch.reshape(groups, group), bits.reshape(groups, group)
+                sketch, held = sketch.reshape(groups, group), held.reshape(groups, group)
                 for k, (i, j) in enumerate(combinations(range(group), 2)):
-                    sel = bits[:, i] + bits[:, j] >= dense
+                    sel = held[:, i] + held[:, j] >= dense
                     pair = mixed(sketch[sel, i]) * _U(3) + mixed(sketch[sel, j] + _U(1))
                     out.append(mixed(pair + salt + (_U(k + 1) << _U(32)) + at[sel]))
         return np.concatenate(out) if out else shingles[:0]
@@ -124,6 +128,15 @@ def parity_sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
     return sketch
 
 
+def wide_blocks(shingles: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of ``blocks`` wide blocks, and the shingles in each. ``shingles`` is sorted."""
+    block = (((shingles >> _U(32)) * _U(blocks)) >> _U(32)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    code = np.zeros(blocks, np.uint64)
+    code[block[first]] = np.bitwise_xor.reduceat(mixed(shingles + _U(29)), first)
+    return code, np.bincount(block, minlength=blocks)
+
+
 def fingerprint(shingles: np.ndarray) -> int:
     """64-bit identity of a set, as a signed number."""
     if not len(shingles):
@@ -352,6 +365,7 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     So, in one order for all, one of y's first dy - that + 1 differences is among
     x's first D + 1.  Shingles the centre does not have come first: they are rare.
     Parity sketches of the differences rule most pairs out inside the join.
+    ``keyed`` and ``sets`` are deleted as soon as the differences are written.
     """
     label = groups.select("node", F.col("component").alias("c"))
     known = (keyed.filter("node <> centre").join(label, "node", "left")
@@ -361,11 +375,13 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
                  .select("key"))
     around = written(known.join(open_keys, "key").select("centre", "node", "c").distinct(), "jaccard-open")
     missing = _wanted(around, one_each).join(sets.select("node"), "node", "left_anti")
-    more = written(_sets(rows, missing, words), "jaccard-sets") if not missing.isEmpty() else sets.limit(0)
+    more = written(_sets(rows, missing, words), "jaccard-sets")
     members = _differences(around.select("centre", "node"), sets.unionByName(more)).join(around, ["centre", "node"])
     members = written(members.select(
         "centre", "node", "c", F.col("nn").alias("n"), F.size("differ").cast("long").alias("d"), "differ",
         _small_sketch("differ").alias("s")), "jaccard-members")
+    for table in (keyed, around, sets, more):
+        discard(table)
     r = F.lit(den - num) / F.lit(den + num)
     # the most by which a linked node of any size can differ
     most = F.floor(F.col("n") * (den - num) / num)
@@ -377,11 +393,11 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     probe = members.select("centre", first(narrow), F.col("node").alias("y"), F.col("c").alias("cy"),
                            F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("s").alias("t"))
     apart = sum((F.bit_count(F.get("s", F.lit(k)).bitwiseXOR(F.get("t", F.lit(k)))) for k in range(SMALL)), F.lit(0))
-    found = (there.join(probe, ["centre", "token"])
-             .filter((F.col("c") != F.col("cy")) & F.expr("dy < d OR (dy = d AND y < x)")
-                     & _linked(F.col("n"), F.col("ny"), F.col("d") - F.col("dy"), num, den)
-                     & _linked(F.col("n"), F.col("ny"), apart, num, den))
-             .select("centre", "x", "y").distinct())
+    found = written(there.join(probe, ["centre", "token"])
+                    .filter((F.col("c") != F.col("cy")) & F.expr("dy < d OR (dy = d AND y < x)")
+                            & _linked(F.col("n"), F.col("ny"), F.col("d") - F.col("dy"), num, den)
+                            & _linked(F.col("n"), F.col("ny"), apart, num, den))
+                    .select("centre", "x", "y").distinct(), "jaccard-found")
     side = lambda n: members.select("centre", F.col("node").alias(n), F.col("n").alias(f"n{n}"),
                                     F.col("differ").alias(f"d{n}"))
     pairs = found.join(side("x"), ["centre", "x"]).join(side("y"), ["centre", "y"])
@@ -427,8 +443,6 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
     discard(index)
     linked, sets = _star(keyed, rows, one_each, words, num, den)
     more = _between(keyed, components(linked), sets, rows, one_each, words, num, den)
-    for table in (keyed, sets):
-        discard(table)
     groups = components(linked.unionByName(more))
 
     # the smallest doc_id of each component, by node, then for every document
