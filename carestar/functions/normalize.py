@@ -24,9 +24,9 @@ def postcode(c) -> Column:
     return F.substring(padded, 1, 5)
 
 
-def clean_header(name: str) -> str:
-    """Header normalisation applied to every source file: strip + lower."""
-    return name.strip().lower()
+def clean_header(name: str, blank: str = " ") -> str:
+    """Header normalisation applied to every source file: strip + lower; ``blank`` replaces inner blanks."""
+    return name.strip().lower().replace(" ", blank)
 
 
 def non_blank(c) -> Column:

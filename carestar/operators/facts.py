@@ -120,9 +120,9 @@ def with_readmission(fact: DataFrame, window_days: int = K.READMISSION_DAYS) ->
 
 def fact_emergency(adm: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
     """Emergency visits: the urgent subset of admissions (``urgence`` = 1 as text
-    or number).  Wait, triage level, disposition and treatment minutes are
+    or number, read as for the admissions).  Wait, triage level, disposition and treatment minutes are
     source columns (NULL when absent)."""
-    df = adm.filter(F.col("urgence").cast("string").try_cast("int") == 1)
+    df = adm.filter(int_or("urgence", 0) == 1)
     for c, t in (("temps_attente_minutes", "int"), ("niveau_urgence", "int"), ("disposition", "string"),
                  ("duree_traitement_minutes", "int")):
         if c not in df.columns:

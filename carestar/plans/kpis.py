@@ -137,7 +137,7 @@ def kpi_bed_occupancy(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> Dat
     h = wh.dim_hospital.select("hopital_id", "nom", "capacite_lits")
     g = join_dim(per, h, "hopital_id")
     return g.select("hopital_id", F.col("nom").alias("hopital"), "capacite_lits", "admissions_actives",
-                    pct("admissions_actives", "capacite_lits", 2).alias("taux_occupation_pct"))
+                    pct("admissions_actives", "capacite_lits", 2).alias("taux_occupation_pct")).orderBy(F.desc("taux_occupation_pct"), "hopital_id")
 
 
 def kpi_length_of_stay(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
@@ -146,8 +146,8 @@ def kpi_length_of_stay(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> Da
            .agg(_avg1("duree_sejour").alias("dms_jours"), F.min("duree_sejour").alias("min_jours"),
                 F.max("duree_sejour").alias("max_jours"), _n().alias("nb_sejours")))
     s = wh.dim_service.select("service_id", "nom_service")
-    return join_dim(per, s, "service_id").select("service_id", "nom_service", "dms_jours", "min_jours",
-                                                 "max_jours", "nb_sejours")
+    return join_dim(per, s, "service_id").select("service_id", "nom_service", "dms_jours", "min_jours", "max_jours",
+                                                 "nb_sejours").orderBy(F.desc("dms_jours"), "service_id")
 
 
 def kpi_daily_admissions(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, days: int = 30) -> DataFrame:
@@ -155,7 +155,8 @@ def kpi_daily_admissions(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, day
     fa = wh.fact_admissions.filter(last_days("date_admission", as_of, days)).select("temps_id", "est_urgence")
     j = fa.join(_calendar(wh, "date", "jour_semaine"), "temps_id")
     g = j.groupBy("date", "jour_semaine").agg(_n().alias("nb_admissions"), _sum_int("est_urgence").alias("nb_urgences"))
-    return g.withColumn("nb_programmees", F.col("nb_admissions") - F.col("nb_urgences"))
+    return (g.withColumn("nb_programmees", F.col("nb_admissions") - F.col("nb_urgences"))
+            .orderBy(F.desc("date")))
 
 
 def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int = 10) -> DataFrame:
@@ -177,7 +178,8 @@ def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> D
     g = j.groupBy("region_id", "nom_region", "population").agg(
         F.sum("__n").alias("nb_admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"))
     rate = F.round(F.try_divide(F.col("nb_admissions") * 100000.0, F.nullif(F.col("population"), F.lit(0.0))), 1)
-    return g.select("region_id", "nom_region", "population", "nb_admissions", rate.alias("taux_pour_100k"), "dms_moy")
+    return (g.select("region_id", "nom_region", "population", "nb_admissions", rate.alias("taux_pour_100k"), "dms_moy")
+            .orderBy(F.desc("nb_admissions"), "region_id"))
 
 
 def kpi_age_split(wh: Warehouse) -> DataFrame:
@@ -187,7 +189,7 @@ def kpi_age_split(wh: Warehouse) -> DataFrame:
     g = (j.groupBy("tranche_age")
          .agg(F.sum("__n").alias("nb_admissions"), _sum_int("__urg").alias("nb_urgences"),
               F.round(merged_avg("duree_sejour"), 1).alias("dms_moy")))
-    return share_of_total(g, "nb_admissions", "pct_total", 2)
+    return share_of_total(g, "nb_admissions", "pct_total", 2).orderBy("tranche_age")
 
 
 def kpi_readmission_rate(wh: Warehouse) -> DataFrame:
@@ -196,7 +198,8 @@ def kpi_readmission_rate(wh: Warehouse) -> DataFrame:
            .agg(_n().alias("total_admissions"), _sum_int("est_readmission").alias("nb_readmissions")))
     s = wh.dim_service.select("service_id", "nom_service")
     g = join_dim(per, s, "service_id").select("service_id", "nom_service", "total_admissions", "nb_readmissions")
-    return g.withColumn("taux_readmission_pct", pct("nb_readmissions", "total_admissions", 2))
+    return (g.withColumn("taux_readmission_pct", pct("nb_readmissions", "total_admissions", 2))
+            .orderBy(F.desc("taux_readmission_pct"), "service_id"))
 
 
 def kpi_emergency_wait(wh: Warehouse) -> DataFrame:
@@ -215,7 +218,7 @@ def kpi_emergency_wait(wh: Warehouse) -> DataFrame:
     g = join_dim(per, h, "hopital_id")
     return g.select(F.col("nom_mois").alias("mois"), F.col("mois").alias("mois_num"), "annee", "hopital_id",
                     F.col("nom").alias("hopital"), "attente_moy_min", "attente_min", "attente_max",
-                    "nb_passages", "nb_hospitalises")
+                    "nb_passages", "nb_hospitalises").orderBy(F.desc("annee"), F.desc("mois_num"), "hopital_id")
 
 
 def kpi_abnormal_labs(wh: Warehouse, as_of: dt.date = K.AS_OF_EVENTS) -> DataFrame:
@@ -223,7 +226,8 @@ def kpi_abnormal_labs(wh: Warehouse, as_of: dt.date = K.AS_OF_EVENTS) -> DataFra
     cal = F.broadcast(wh.dim_date.filter(F.col("annee") == as_of.year).select("temps_id"))
     fl = wh.fact_lab.select("temps_id", "type_test", "est_anormal").join(cal, "temps_id")
     g = fl.groupBy("type_test").agg(_n().alias("total_tests"), _sum_int("est_anormal").alias("nb_anormaux"))
-    return g.withColumn("taux_anomalie_pct", pct("nb_anormaux", "total_tests", 2))
+    return (g.withColumn("taux_anomalie_pct", pct("nb_anormaux", "total_tests", 2))
+            .orderBy(F.desc("taux_anomalie_pct"), "type_test"))
 
 
 def _monthly(wh: Warehouse) -> DataFrame:
@@ -236,7 +240,8 @@ def kpi_urgent_vs_planned(wh: Warehouse) -> DataFrame:
     g = (_monthly(wh).groupBy("annee", "mois", "nom_mois")
          .agg(_sum_int("est_urgence").alias("nb_urgences"), _n().alias("total")))
     return (g.withColumn("nb_programmees", F.col("total") - F.col("nb_urgences"))
-            .withColumn("pct_urgences", pct("nb_urgences", "total", 2)))
+            .withColumn("pct_urgences", pct("nb_urgences", "total", 2))
+            .orderBy(F.desc("annee"), F.desc("mois")))
 
 
 def kpi_admissions_by_service(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
@@ -246,7 +251,8 @@ def kpi_admissions_by_service(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS
                 _sum_int("est_urgence").alias("nb_urgences")))
     s = wh.dim_service.select("service_id", "nom_service", "specialite", "nb_lits")
     return join_dim(per, s, "service_id").select("service_id", "nom_service", "specialite", "nb_lits",
-                                                 "nb_admissions", "dms", "nb_urgences")
+                                                 "nb_admissions", "dms", "nb_urgences"
+                                                 ).orderBy(F.desc("nb_admissions"), "service_id")
 
 
 def kpi_monthly_trend(wh: Warehouse) -> DataFrame:
@@ -285,7 +291,7 @@ def kpi_incidence(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFra
     g = (j.groupBy("region_id", "nom_region", "maladie_id", "nom_maladie", "categorie", "population")
          .agg(F.sum("__n").alias("nb_cas")))
     rate = F.round(F.try_divide(F.col("nb_cas") * 100000.0, F.nullif(F.col("population"), F.lit(0.0))), 2)
-    return g.withColumn("taux_incidence_100k", rate)
+    return g.withColumn("taux_incidence_100k", rate).orderBy(F.desc("taux_incidence_100k"), "region_id", "maladie_id")
 
 
 # ---------------------------------------------------------------------------

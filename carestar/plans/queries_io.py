@@ -132,13 +132,65 @@ def staff_union(wh: Warehouse) -> DataFrame:
         F.concat(F.lit("INF"), k.cast("string")).alias("infirmier_id"), *common,
         F.when(k % 3 == 0, "IDE").otherwise("AS").alias("grade"),
         F.when(k % 4 == 1, "Nuit").otherwise("Jour").alias("horaire"))
-    pd_ = landed(wh, "medecins", lambda p: S.write_csv(doctors, p))
-    pn = landed(wh, "infirmiers", lambda p: S.write_csv(nurses, p))
-    d = S.read_csv_all_string(wh.spark, pd_, keys=["medecin_id"], source="Medecins", loaded_at=LOADED_AT)
-    n = S.read_csv_all_string(wh.spark, pn, keys=["infirmier_id"], source="Infirmiers", loaded_at=LOADED_AT)
+    d = _staff_sheet(wh, doctors, "Medecins", "medecin_id")
+    n = _staff_sheet(wh, nurses, "Infirmiers", "infirmier_id")
     return S.union_staff(d, n)
 
 
+def _staff_sheet(wh: Warehouse, rows: DataFrame, sheet: str, key: str) -> DataFrame:
+    """A sheet landed with headers such as ``Medecin Id`` and read back."""
+    heads = [c.replace("_", " ").title() for c in rows.columns]
+    path = landed(wh, f"sheet_{sheet.lower()}", lambda p: S.write_csv(rows.toDF(*heads), p))
+    return S.read_csv_all_string(wh.spark, path, keys=[key], source=sheet, loaded_at=LOADED_AT, header_blank="_")
+
+
+def shift_plan(wh: Warehouse) -> DataFrame:
+    """The shift plan sheet, all text: who works which shift on which day in which service."""
+    o = wh.table("orders")
+    k = F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    plan = o.select(
+        k.cast("string").alias("planning_id"),
+        F.concat(F.when(F.col("o_custkey") % 2 == 0, "MED").otherwise("INF"), F.col("o_custkey").cast("string"))
+         .alias("personnel_id"),
+        F.date_format(day, "yyyy-MM-dd").alias("date"),
+        F.when(k % 3 == 0, "Nuit").when(k % 3 == 1, "Matin").otherwise("Soir").alias("poste"),
+        (F.lit(1) + k % 7).cast("string").alias("service_id"))
+    return _staff_sheet(wh, plan, "Plannings", "planning_id")
+
+
+REGION_RECORD = T.StructType([
+    T.StructField("region_id", T.LongType()), T.StructField("nom_region", T.StringType()),
+    T.StructField("population", T.LongType()), T.StructField("nb_medecins", T.LongType()),
+    T.StructField("nb_hopitaux", T.LongType()), T.StructField("taux_mortalite", T.DoubleType()),
+])
+
+
+def regions_payload(wh: Warehouse) -> DataFrame:
+    """Regions as the reference API serves them; the mortality figure is the
+    customers with a negative balance per 100, to one decimal."""
+    pop = (wh.table("customer").groupBy("c_nationkey")
+           .agg(F.count(F.lit(1)).alias("population"),
+                F.round(F.sum(F.when(F.col("c_acctbal") < 0, 1).otherwise(0)) * 100.0 / F.count(F.lit(1)), 1)
+                .alias("taux_mortalite")))
+    hop = (B.stg_hospitals(wh.spark, wh.sf_dir).groupBy("region_id")
+           .agg(F.count(F.lit(1)).alias("nb_hopitaux"), F.sum("nb_medecins").alias("nb_medecins")))
+    n = wh.table("nation")
+    j = (n.join(pop, n["n_nationkey"] == pop["c_nationkey"], "left")
+         .join(hop, n["n_nationkey"] == hop["region_id"], "left").drop("region_id"))
+    return j.select(F.col("n_nationkey").cast("bigint").alias("region_id"), F.col("n_name").alias("nom_region"),
+                    *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                      for c in ("population", "nb_medecins", "nb_hopitaux")], "taux_mortalite")
+
+
+def ingest_regions_payload(wh: Warehouse) -> DataFrame:
+    """``{count, data:[…]}`` region payloads, one row per region, stamped with the source."""
+    path = landed(wh, "api_regions_json", lambda p: S.write_json_envelopes(
+        regions_payload(wh), p, per_envelope=500, count_field="count"))
+    return (S.read_json_envelope(wh.spark, path, REGION_RECORD, multi_line=False)
+            .withColumn("source_api", F.lit("mock_api")))
+
+
 INITIAL_LOAD_UNTIL = dt.datetime(1998, 12, 31)
 
 
@@ -210,7 +262,7 @@ def reload_by_source(wh: Warehouse) -> DataFrame:
     staged = raw.withColumn("source_file", src)
     path = scratch_path(wh.spark, "stg_patients")
     K.reload_by_source(staged, path)
-    K.reload_by_source(staged.filter(F.col("source_file") == "patients_a.csv"), path)
+    K.reload_by_source(staged.filter(F.col("source_file") == "patients_a.csv"), path, sources=["patients_a.csv"])
     return wh.spark.read.parquet(path).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -320,7 +372,8 @@ def lookup_by_id(wh: Warehouse) -> DataFrame:
 for _name, _fn in [("ingest_csv", ingest_csv), ("ingest_json_envelope", ingest_json_envelope),
                    ("ingest_xml_documents", ingest_xml_documents),
                    ("xml_explode_acts", lambda wh: S.explode_acts(_landed_xml(wh))),
-                   ("staff_union", staff_union), ("incremental_extract", incremental_extract),
+                   ("staff_union", staff_union), ("shift_plan", shift_plan),
+                   ("ingest_regions_payload", ingest_regions_payload), ("incremental_extract", incremental_extract),
                    ("ingest_reference_payload", ingest_reference_payload), ("source_fallback", source_fallback),
                    ("table_counts", table_counts), ("lookup_by_id", lookup_by_id),
                    ("reload_by_source", reload_by_source), ("export_csv_roundtrip", export_csv_roundtrip),

@@ -31,3 +31,14 @@ bi_query("measures_by_slicer", _m(["total_admissions", "admissions_programmees",
                                    "dms_moyen", "dms_chroniques"], by=["nom_region"],
                                   slicers={"annee": [2000], "mode_admission": ["Urgence"]}))
 bi_query("measures_by_axis", _m(["total_admissions", "cout_total", "population", "taux_100k"], by=["nom_region"]))
+# One key per remaining axis
+for _name, _keys, _by in [
+    ("measures_by_month", ["total_admissions", "pct_admissions_urgences"], ["annee", "mois"]),
+    ("measures_by_hospital", ["total_admissions", "dms_moyen"], ["hopital_id"]),
+    ("measures_by_sex", ["total_admissions", "dms_moyen"], ["sexe"]),
+    ("measures_by_age_band", ["total_admissions", "pct_admissions_urgences"], ["tranche_age"]),
+    ("measures_by_category", ["total_admissions", "dms_moyen"], ["categorie"]),
+    ("measures_by_chronic", ["total_admissions", "dms_moyen"], ["est_chronique"]),
+    ("measures_by_test_type", ["total_analyses", "taux_anomalies"], ["type_test"]),
+]:
+    bi_query(_name, _m(_keys, by=_by))

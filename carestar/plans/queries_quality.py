@@ -37,6 +37,7 @@ def dedup_stats(wh: Warehouse) -> DataFrame:
     return Q.dedup_stats({
         "stg_admissions": (wh.stg_admissions_raw, ["admission_id"]),
         "stg_patients": (_patients_raw(wh), ["patient_id"]),
+        "stg_hopitaux": (B.stg_hospitals(wh.spark, wh.sf_dir), ["hopital_id"]),
         "stg_laboratoires": (B.stg_labs(wh.spark, wh.sf_dir), ["labo_id"]),
         "stg_medicaments": (B.stg_prescriptions(wh.spark, wh.sf_dir, wh.stg_admissions_raw), ["prescription_id"]),
     })

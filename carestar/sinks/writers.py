@@ -7,7 +7,7 @@ re-landing one source replaces exactly that source's partition.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,31 @@ from pyspark.sql import types as T
 from .. import constants as K
 
 
-def reload_by_source(df: DataFrame, path: str, source_col: str = "source_file") -> None:
-    """Replace the partitions of the sources present in ``df``, keep the others."""
+def reload_by_source(df: DataFrame, path: str, source_col: str = "source_file",
+                     sources: Sequence[str] = ()) -> None:
+    """Replace the partitions of the sources present in ``df``, keep the others.
+
+    ``sources`` names the reloaded sources; one that has no row now loses its
+    partition, as its old rows are gone from it.
+    """
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(source_col).parquet(path))
+    if sources:
+        _drop_sources(df, path, source_col, sources)
+
+
+def _drop_sources(df: DataFrame, path: str, source_col: str, sources: Sequence[str]) -> None:
+    """Delete the partitions of those ``sources`` that ``df`` has no row of."""
+    spark = df.sparkSession
+    there = df.filter(F.col(source_col).isin(list(sources))).select(source_col).distinct()
+    empty = set(sources) - {r[0] for r in there.collect()}   # at most one row per named source
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not empty or not fs.exists(root):
+        return
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for name in sorted(empty):
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, escape(source_col, name)), True)
 
 
 def replace(df: DataFrame, path: str) -> None:

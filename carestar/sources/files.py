@@ -26,23 +26,24 @@ def _lineage(df: DataFrame, source: str | None, loaded_at) -> DataFrame:
 
 def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                         keys: Sequence[str] = (), source: str | None = None,
-                        loaded_at: dt.datetime | None = None, sep: str = ",", multi_line: bool = False) -> DataFrame:
+                        loaded_at: dt.datetime | None = None, sep: str = ",", multi_line: bool = False,
+                        header_blank: str = " ") -> DataFrame:
     """Delimited file(s) -> all-string frame with clean headers, rows with a NULL
     key dropped, lineage stamped (``source_file``, ``loaded_at``).
 
     With ``columns`` the header line is skipped and the names are positional
     (no pass over the file to read the header); without, the header names are
-    read and normalised (strip + lower).  Quotes inside a quoted field are
+    read and normalised (strip + lower, inner blanks to ``header_blank``).  Quotes inside a quoted field are
     doubled; ``multi_line`` reads fields with line breaks (one task per file).
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if columns is not None:
-        schema = T.StructType([T.StructField(clean_header(c), T.StringType()) for c in columns])
+        schema = T.StructType([T.StructField(clean_header(c, header_blank), T.StringType()) for c in columns])
         df = reader.schema(schema).option("enforceSchema", True).csv(path)
     else:
         df = reader.option("inferSchema", False).csv(path)
-        df = df.toDF(*[clean_header(c) for c in df.columns])
+        df = df.toDF(*[clean_header(c, header_blank) for c in df.columns])
     if keys:
         df = df.na.drop(subset=list(keys))
     return _lineage(df, source, loaded_at)
@@ -61,14 +62,18 @@ def envelope_schema(record: T.StructType) -> T.StructType:
 
 
 def read_json_envelope(spark: SparkSession, path: str, record: T.StructType, bool_to_int: Sequence[str] = (),
-                       multi_line: bool = True) -> DataFrame:
+                       multi_line: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """JSON documents that are either envelopes ``{…, data: [records]}`` or bare
-    lists of records -> one row per record; listed boolean fields -> 0/1 int."""
-    raw = spark.read.schema(envelope_schema(record)).option("multiLine", multi_line).json(path)
+    lists of records -> one row per record; listed boolean fields -> 0/1 int.
+
+    A malformed document fails the read, so none is lost unseen; with ``mode``
+    DROPMALFORMED it is left out.  The source is scanned once.
+    """
+    raw = (spark.read.schema(envelope_schema(record)).option("multiLine", multi_line).option("mode", mode)
+           .json(path))
     names = [f.name for f in record.fields]
-    wrapped = raw.filter(F.col("data").isNotNull()).select(F.inline("data"))
-    bare = raw.filter(F.col("data").isNull() & F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull())
-    out = wrapped.unionByName(bare.select(*names))
+    filled = F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()
+    out = raw.select(F.inline(F.coalesce("data", F.when(filled, F.array(F.struct(*names))))))
     for c in bool_to_int:
         out = out.withColumn(c, F.col(c).cast("int"))
     return out

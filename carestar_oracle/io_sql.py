@@ -47,6 +47,24 @@ SELECT NULL, 'INF' || CAST(c_custkey AS VARCHAR), c_name, 'Prenom-' || CAST(c_cu
        CASE WHEN c_custkey % 3 = 0 THEN 'IDE' ELSE 'AS' END, CASE WHEN c_custkey % 4 = 1 THEN 'Nuit' ELSE 'Jour' END,
        'Infirmiers', {LOADED}, 'Infirmier'
 FROM customer WHERE c_custkey % 2 = 1"""),
+    "shift_plan": W(f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS planning_id,
+       CASE WHEN o_custkey % 2 = 0 THEN 'MED' ELSE 'INF' END || CAST(o_custkey AS VARCHAR) AS personnel_id,
+       strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS "date",
+       CASE o_orderkey % 3 WHEN 0 THEN 'Nuit' WHEN 1 THEN 'Matin' ELSE 'Soir' END AS poste,
+       CAST(1 + o_orderkey % 7 AS VARCHAR) AS service_id, 'Plannings' AS source_file, {LOADED} AS loaded_at
+FROM orders"""),
+    "ingest_regions_payload": W("""
+, p AS (SELECT c_nationkey, count(*) AS population,
+               round(CAST(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*), 1) AS taux_mortalite
+        FROM customer GROUP BY c_nationkey),
+h AS (SELECT s_nationkey, count(*) AS nb_hopitaux,
+             sum(CASE WHEN s_suppkey % 7 <> 0 THEN 10 + s_suppkey % 90 END) AS nb_medecins
+      FROM supplier GROUP BY s_nationkey)
+SELECT CAST(n_nationkey AS BIGINT) AS region_id, n_name AS nom_region, COALESCE(population, 0) AS population,
+       CAST(COALESCE(nb_medecins, 0) AS BIGINT) AS nb_medecins, COALESCE(nb_hopitaux, 0) AS nb_hopitaux,
+       taux_mortalite, 'mock_api' AS source_api
+FROM nation LEFT JOIN p ON n_nationkey = c_nationkey LEFT JOIN h ON n_nationkey = s_nationkey"""),
     "incremental_extract": W("""
 SELECT o_orderkey AS id, o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS date_admission,
        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS est_urgence,

@@ -123,3 +123,21 @@ SELECT COALESCE(a.nom_region, b.nom_region) AS nom_region, total_admissions, rou
        round(population, 4) AS population, round({div("total_admissions", "population")} * 100000, 4) AS taux_100k
 FROM a FULL JOIN b ON a.nom_region IS NOT DISTINCT FROM b.nom_region"""),
 }
+
+URGENT = f"round({div(cnt("mode_admission = 'Urgence'"), cnt())} * 100, 4) AS pct_admissions_urgences"
+STAY_MEAN = f"round(avg({DMS}), 4) AS dms_moyen"
+BY_DATE = "fact_admissions f LEFT JOIN dim_date t ON f.temps_id = t.temps_id"
+BY_PATIENT = "fact_admissions f LEFT JOIN dim_patient p ON f.patient_id = p.patient_id"
+BY_DISEASE = "fact_admissions f LEFT JOIN dim_disease m ON f.maladie_id = m.maladie_id"
+for _name, _axes, _figure, _rows in [
+    ("measures_by_month", "t.annee, t.mois", URGENT, BY_DATE),
+    ("measures_by_hospital", "f.hopital_id", STAY_MEAN, "fact_admissions f"),
+    ("measures_by_sex", "p.sexe", STAY_MEAN, BY_PATIENT),
+    ("measures_by_age_band", "p.tranche_age", URGENT, BY_PATIENT),
+    ("measures_by_category", "m.categorie", STAY_MEAN, BY_DISEASE),
+    ("measures_by_chronic", "m.est_chronique", STAY_MEAN, BY_DISEASE),
+]:
+    SQL[_name] = W(f"SELECT {_axes}, {cnt()} AS total_admissions, {_figure} FROM {_rows} GROUP BY {_axes}")
+SQL["measures_by_test_type"] = W(f"""
+SELECT type_test, {cnt()} AS total_analyses, round({div(cnt("est_anormal = 1"), cnt())} * 100, 4) AS taux_anomalies
+FROM fact_lab GROUP BY type_test""")

@@ -91,6 +91,8 @@ SELECT table_name, avant, apres, avant - apres AS supprimes FROM (
   SELECT 'stg_patients', count(*), count(DISTINCT patient_id) + max(CASE WHEN patient_id IS NULL THEN 1 ELSE 0 END)
   FROM stg_patients_raw
   UNION ALL
+  SELECT 'stg_hopitaux', count(*), count(DISTINCT s_suppkey) FROM supplier
+  UNION ALL
   SELECT 'stg_laboratoires', count(*), count(DISTINCT event_id) FROM events
   UNION ALL
   SELECT 'stg_medicaments', count(*), count(DISTINCT admission_id)

@@ -111,6 +111,37 @@ def test_reload_by_source_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(p).count() == 3
 
 
+def test_reload_of_an_empty_source_drops_its_rows(spark, tmp_dir):
+    p = tmp_dir("reload-empty")
+    df = spark.createDataFrame([(1, "a b.csv"), (2, "a b.csv"), (3, "b.csv")], "id int, source_file string")
+    K.reload_by_source(df, p)
+    K.reload_by_source(df.limit(0), p, sources=["a b.csv"])
+    assert [r["id"] for r in spark.read.parquet(p).collect()] == [3]
+
+
+def test_malformed_json_is_not_lost_unseen(spark, tmp_dir):
+    d = tmp_dir("json-bad")
+    _write_text(d, "a.json", '{"data": [{"id": 1, "ok": true}]}\n{"data": [{"id"\n{"id": 3, "ok": true}\n{"data": null}\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        S.read_json_envelope(spark, d, REC, multi_line=False).collect()
+    kept = S.read_json_envelope(spark, d, REC, multi_line=False, mode="DROPMALFORMED")
+    assert sorted(r["id"] for r in kept.collect()) == [1, 3]
+
+
+def test_headers_with_inner_blanks(spark, tmp_dir):
+    d = tmp_dir("sheet")
+    _write_text(d, "s.csv", " Medecin ID ,Nom\nM1,A\n")
+    assert S.read_csv_all_string(spark, d, header_blank="_").columns[:2] == ["medecin_id", "nom"]
+
+
+def test_emergencies_read_urgency_as_admissions_do(spark):
+    from carestar.operators import facts
+    adm = spark.createDataFrame([(1, 1, "2024-01-01", "1.0", 1), (2, 1, "2024-01-01", "0", 1)],
+                                "admission_id int, patient_id int, date_admission string, urgence string, hopital_id int")
+    days = spark.sql("SELECT 1 AS temps_id, DATE '2024-01-01' AS date")
+    assert [r["urgence_id"] for r in facts.fact_emergency(adm, days).collect()] == ["URG-1"]
+
+
 def test_table_counts_tolerates_missing(spark, tmp_dir):
     p = tmp_dir("t")
     spark.range(5).write.parquet(p)
