@@ -239,6 +239,33 @@ def test_personal_data_base_and_bootstrap(spark):
     assert got[len(hard) - 1].spans == "phone:14:26"
 
 
+def test_personal_data_unknown_forms_of_each_kind(spark):
+    luhn = [f"41111111111111{i:02d}" for i in range(100)]
+    luhn = [c for c in luhn if sum(sum(divmod(int(x) * (2 - (k + 1) % 2), 10)) for k, x in enumerate(c[::-1])) % 10 == 0]
+    seeds = [t for i in range(60) for t in (f"call hotline: +44 20 7946 0{i:03d} now", f"write contact: joe{i}@example.org today",
+                                            f"the server: 10.0.0.{i} is up", f"paid card: {luhn[i % len(luhn)]} ok")]
+    new = {"phone": ["hotline: [020 7946 0018] now", "hotline: [0044 2079 460018], now", "hotline: [(020) 7946-0018].",
+                     "hotline: [020 7946 (0018)] x", "hotline: [911]!", "hotline: [7734] 10.0.0.1", "hotline:[020 - 7946] a"],
+           "email": ["contact: [joe[at]example.org] now", "contact: [admin@localhost], now", "contact: <[admin@localhost]>",
+                     "contact: [joe dot smith at example dot org].", "contact: [joe (at) example (dot) org] now",
+                     "contact: [joe @ example . org]", "contact: [joe_at_example_dot_org]", "contact: [user1234] now"],
+           "ip": ["server: [1.2.3] up", "server: [fe80::ab] up", "server: [10 dot 0 dot 0 dot 1] up", "server: [10[.]0[.]0[.]1] up"],
+           "card": ["card: [4111 1111 1111 1112] ok", "card: [12-34] ok"]}
+    docs, want = list(enumerate(seeds)), {}
+    for kind, texts in new.items():
+        for t in texts:
+            start, end = t.index("["), t.rindex("]") - 1
+            want[len(docs)] = f"{kind}:{start}:{end}"
+            docs.append((len(docs), t[:start] + t[start + 1:end + 1] + t[end + 2:]))
+    # of another kind than the pattern's, or after no confident pattern
+    for t in ("hotline: admin@localhost", "contact: 911 now", "then 020 7946 0018"):
+        want[len(docs)] = ""
+        docs.append((len(docs), t))
+    got = {r.doc_id: r.spans for r in find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, spans in want.items():
+        assert spans in got[i].split(",") if spans else got[i] == "", (docs[i], got[i])
+
+
 def test_repeats_equal_brute_force(spark):
     rnd, docs, length = random.Random(3), [], 40
     parts = ["".join(rnd.choice("abcdefghé ") for _ in range(rnd.randint(30, 200))) for _ in range(6)]
