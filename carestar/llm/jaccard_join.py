@@ -41,8 +41,9 @@ from .packing import pack, unpack
 
 _U = np.uint64
 GROUP = 4
-# Keys of sparse blocks are left out where a link at the threshold is then still
-# missed with at most this probability (over the shingle hash)
+# Empty blocks make keys where those of blocks with shingles alone would miss a link at
+# the threshold with more than this probability (over the shingle hash); elsewhere
+# further keys stand for the empty blocks (``Bands.keys``), and no link is missed
 MISS = 1e-8
 # Index entries a task gathers before it hands them on, and members of one key it packs
 FLUSH, PACKED = 1_500_000, 4
@@ -66,7 +67,7 @@ class Bands:
 
     @lru_cache(maxsize=None)
     def plan(self, band: int) -> tuple[int, int, int]:
-        """(most differences, blocks in a group, least shingles of a key) for pairs whose smaller set is in ``band``."""
+        """(most differences, blocks in a group, whether only blocks with shingles make keys) for pairs whose smaller set is in ``band``."""
         num, den = self.num, self.den
         a = self.edges[band + 1] - 1
         b = a * den // num
@@ -82,20 +83,22 @@ class Bands:
             return 1 - sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(m))
 
         blocks = most + 1
-        for m in (4, 3, 2, 1):
-            if (1 - math.exp(-most / blocks) * dense(shared / blocks, m)) ** blocks <= MISS:
-                return most, 1, m
-        groups = -(-(most + 1) // (GROUP - 1))
-        blocks = groups * GROUP
-        z = math.exp(-most / blocks)
-        two = 1 - (1 - z) ** GROUP - GROUP * z * (1 - z) ** (GROUP - 1)
-        for m in (2, 1):
-            if (1 - two * dense(2 * shared / blocks, m)) ** groups <= MISS:
-                return most, GROUP, m
+        if (1 - math.exp(-most / blocks) * dense(shared / blocks, 1)) ** blocks <= MISS:
+            return most, 1, 1
         return most, GROUP, 0
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """Index keys of a sorted set of shingle hashes."""
+        """Index keys of a sorted set of shingle hashes.
+
+        Where empty blocks make no keys, linked sets x and y may agree in empty blocks
+        alone.  Let e > 0 blocks be empty in both.  The others all differ, in at most
+        e - 1 shingles more than one each.  So at most e - 1 blocks differ in several
+        shingles, and only these and blocks of one shingle can be empty in the other
+        set.  Hence among the first e + (blocks of one shingle) non-empty blocks of
+        each set is one, the same for both, where one set has a single shingle that the
+        other lacks: the codes of these blocks less each shingle are keys too.  With
+        fewer non-empty blocks than that (then in both sets), every shingle is a key.
+        """
         if not len(shingles):
             return shingles
         own, out = self.of(len(shingles)), []
@@ -110,12 +113,20 @@ class Bands:
             if group == 1:
                 sel = held >= dense
                 out.append(mixed(mixed(sketch[sel]) + salt + at[sel]))
+                empty, first = int((held == 0).sum()), int((held == 0).sum() + (held == 1).sum())
+                if dense and empty:
+                    rank = np.cumsum(held > 0)
+                    block = _block(shingles, groups)
+                    sel = (rank[block] <= first) & (held[block] > 1)
+                    less = sketch[block[sel]] ^ mixed(shingles[sel] + _U(29))
+                    out.append(mixed(mixed(less) + salt + at[block[sel]]))
+                    if rank[-1] < first:
+                        out.append(mixed(mixed(shingles + _U(31)) + salt + _U(1 << 39)))
             else:
-                sketch, held = sketch.reshape(groups, group), held.reshape(groups, group)
+                sketch = sketch.reshape(groups, group)
                 for k, (i, j) in enumerate(combinations(range(group), 2)):
-                    sel = held[:, i] + held[:, j] >= dense
-                    pair = mixed(sketch[sel, i]) * _U(3) + mixed(sketch[sel, j] + _U(1))
-                    out.append(mixed(pair + salt + (_U(k + 1) << _U(32)) + at[sel]))
+                    pair = mixed(sketch[:, i]) * _U(3) + mixed(sketch[:, j] + _U(1))
+                    out.append(mixed(pair + salt + (_U(k + 1) << _U(32)) + at))
         return np.concatenate(out) if out else shingles[:0]
 
 
@@ -128,9 +139,13 @@ def parity_sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
     return sketch
 
 
+def _block(shingles: np.ndarray, blocks: int) -> np.ndarray:
+    return (((shingles >> _U(32)) * _U(blocks)) >> _U(32)).astype(np.int64)
+
+
 def wide_blocks(shingles: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of ``blocks`` wide blocks, and the shingles in each. ``shingles`` is sorted."""
-    block = (((shingles >> _U(32)) * _U(blocks)) >> _U(32)).astype(np.int64)
+    block = _block(shingles, blocks)
     first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
     code = np.zeros(blocks, np.uint64)
     code[block[first]] = np.bitwise_xor.reduceat(mixed(shingles + _U(29)), first)

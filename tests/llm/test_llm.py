@@ -20,7 +20,7 @@ from carestar.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from carestar.llm.chat import chat_digests, format_chats, read_back, render_incrementally, turn_template
 from carestar.llm.exact_dedup import drop_exact_copies, exact_dedup
 from carestar.llm.graph import components
-from carestar.llm.jaccard_join import jaccard_components
+from carestar.llm.jaccard_join import bands, jaccard_components
 from carestar.llm.lm_scores import lm_scores
 from carestar.llm.mixing import mix_sources, take_mix
 from carestar.llm.pii import find_personal_data
@@ -193,6 +193,33 @@ def test_near_copies_equal_brute_force(spark):
         assert got == brute_components(docs, n, num, 100)
 
 
+@pytest.mark.parametrize("size", [12, 40, 150, 600])
+def test_linked_sets_share_a_key(size):
+    """Also where they agree in empty blocks alone: each other block has one difference."""
+    band, rnd, tried = bands(80, 100), random.Random(size), 0
+    k = band.of(size)
+    most, group, _ = band.plan(k)
+    blocks = most + 1 if group == 1 else -(-(most + 1) // (group - 1)) * group
+
+    def shingle(b):
+        wide = (1 << 32) // blocks
+        return ((b << 32) // blocks + wide // 4 + rnd.randrange(wide // 2) << 32) + rnd.getrandbits(32)
+    for _ in range(60):
+        few = rnd.choice([0, 0, most // 9])
+        both = band.edges[k + 1] - 1 - few
+        differ = min(most, both // 4)
+        used = rnd.sample(range(blocks), rnd.randint(-(-differ * 9 // 10), differ))
+        x = {shingle(rnd.choice(used)) for _ in range(both)}
+        y = set(x)
+        for i, b in enumerate([*used, *rnd.choices(used, k=differ - len(used))]):
+            (x if i < few else y).add(shingle(b))
+        assert 100 * len(x & y) >= 80 * len(x | y)
+        if band.of(len(x)) == k and band.of(len(y)) in (k, k + 1):
+            tried += 1
+            assert np.intersect1d(*(band.keys(np.array(sorted(z), np.uint64)) for z in (x, y))).size
+    assert tried > 10
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 3), (5, 5), (7, 8), (None, 4)], "a long, b long")
     assert {r.node: r.component for r in components(links).collect()} == {1: 1, 2: 1, 3: 1, 9: 1, 7: 7, 8: 7}
