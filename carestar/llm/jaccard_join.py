@@ -218,7 +218,7 @@ _INDEX = "kind int, doc_id {kind}, n bigint, bucket bigint, key bigint, node big
 
 
 def _index(rows: DataFrame, words: int, num: int, den: int, buckets: int) -> DataFrame:
-    """Kind 2: one row per document; kinds 0 and 1: index entries."""
+    """Kind 2: one row per document, its mark as key; kinds 0 and 1: index entries."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band = bands(num, den)
         keys, nodes, held = [], [], 0
@@ -236,7 +236,7 @@ def _index(rows: DataFrame, words: int, num: int, den: int, buckets: int) -> Dat
             return pa.RecordBatch.from_arrays([
                 pa.array(kind, pa.int32()), doc if doc is not None else pa.nulls(size, id_type),
                 pa.array(n or none, pa.int64()), pa.array(bucket or none, pa.int64()),
-                pa.array(key or none, pa.int64()), pa.array(node, pa.int64()), pa.array(blob or none, pa.binary()),
+                pa.array(none if key is None else key, pa.int64()), pa.array(node, pa.int64()), pa.array(blob or none, pa.binary()),
                 pa.array(sketch or none, pa.list_(pa.int64()))],
                 names=["kind", "doc_id", "n", "bucket", "key", "node", "blob", "sketch"])
 
@@ -245,7 +245,7 @@ def _index(rows: DataFrame, words: int, num: int, den: int, buckets: int) -> Dat
             for part in _slices(batch):
                 sets = shingle_sets(part.column("text"), words)
                 prints = [fingerprint(s) for s in sets]
-                yield out([2] * len(sets), part.column("doc_id"), [len(s) for s in sets], None, None, prints, None,
+                yield out([2] * len(sets), part.column("doc_id"), [len(s) for s in sets], None, part.column("mark"), prints, None,
                           [full_sketch(s) if len(s) else [] for s in sets])
                 for s, f in zip(sets, prints):
                     k = band.keys(s)
@@ -423,28 +423,15 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     return links
 
 
-def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int, int] = (80, 100),
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per input row.
-
-    Two documents link when the Jaccard similarity of their sets of ``words``-word
-    shingles (A-Z lower-cased) is at least ``threshold``; the component is the
-    smallest doc_id reachable over links.  Shingles and sets are told apart by
-    64-bit hashes.
-
-    Defined cases: a text with fewer words is one shingle, its whole sequence; an
-    empty or null text has no shingle and links with nothing, so it is its own
-    component; texts with equal sets link; a null id never is a component's name
-    unless nothing else is in it; rows that repeat are each returned; an empty
-    table gives an empty result; other input columns are ignored.
-    """
+def _grouped(docs: DataFrame, words: int, threshold: tuple[int, int], id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, node, mark`` of every row (``mark``: a hash of the text), and ``node, component`` of linked nodes."""
     ship_package(docs.sparkSession)
     num, den = threshold
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = written(_index(rows, words, num, den, buckets), "jaccard-index")
-    nodes = written(table.filter("kind = 2").select("doc_id", "n", "node", "sketch"), "jaccard-documents")
+    table = written(_index(rows.withColumn("mark", F.xxhash64("text")), words, num, den, buckets), "jaccard-index")
+    nodes = written(table.filter("kind = 2").select("doc_id", "n", "node", F.col("key").alias("mark"), "sketch"), "jaccard-documents")
     packed = (table.filter("kind = 0").select("bucket", "blob").groupBy("bucket")
               .applyInArrow(_shared_keys, "key bigint, node bigint"))
     many = table.filter("kind = 1").select("key", "node").distinct()
@@ -458,7 +445,25 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
     discard(index)
     linked, sets = _star(keyed, rows, one_each, words, num, den)
     more = _between(keyed, components(linked), sets, rows, one_each, words, num, den)
-    groups = components(linked.unionByName(more))
+    return nodes, components(linked.unionByName(more))
+
+
+def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int, int] = (80, 100),
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id``, one row per input row.
+
+    Two documents link when the Jaccard similarity of their sets of ``words``-word
+    shingles (A-Z lower-cased) is at least ``threshold``; the component is the
+    smallest doc_id reachable over links.  Shingles and sets are told apart by
+    64-bit hashes.
+
+    Defined cases: a text with fewer words is one shingle, its whole sequence; an
+    empty or null text has no shingle and links with nothing, so it is its own
+    component; texts with equal sets link; a null id never is a component's name
+    unless nothing else is in it; rows that repeat are each returned; an empty
+    table gives an empty result; other input columns are ignored.
+    """
+    nodes, groups = _grouped(docs, words, threshold, id_col, text_col)
 
     # the smallest doc_id of each component, by node, then for every document
     by_node = nodes.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("_d"), F.count(F.lit(1)).alias("_n"))
@@ -473,8 +478,30 @@ def jaccard_components(docs: DataFrame, *, words: int = 5, threshold: tuple[int,
 
 def drop_near_copies(docs: DataFrame, *, words: int = 5, threshold: tuple[int, int] = (80, 100),
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group, columns unchanged."""
-    found = jaccard_components(docs, words=words, threshold=threshold, id_col=id_col, text_col=text_col)
-    lead = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_lead")).distinct())
-    return docs.join(lead, docs[id_col].eqNullSafe(lead["_lead"]), "left_semi")
+    """One row of ``docs`` of each group of linked rows, that of the smallest id, columns unchanged.
+
+    Defined cases: ids may be null or repeat; a null id stays only where its group
+    has no other; of rows with the same id and text any one stays, of different
+    texts under one id the one with the smallest hash; rows without a word link
+    with nothing and all stay.
+    """
+    nodes, groups = _grouped(docs, words, threshold, id_col, text_col)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    lead = (nodes.filter("n > 0").join(groups, "node", "left").groupBy(F.coalesce("component", "node").alias("c"))
+            .agg(F.min(key).alias("k")).select(F.col("k.doc_id").alias("_lead"), F.col("k.mark").alias("_mark")))
+    lead = written(lead, "jaccard-leads")
+    same = (nodes.filter("n > 0").join(lead, F.col("doc_id").eqNullSafe(F.col("_lead")) & (F.col("mark") == F.col("_mark")))
+            .groupBy("_lead", "_mark").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("_lead", "_mark"))
+    same = written(same, "jaccard-repeated")
+    mark = F.xxhash64(text_of(text_col))
+    is_lead = lambda t: docs[id_col].eqNullSafe(t["_lead"]) & (mark == t["_mark"])
+    empty = nodes.filter("n = 0").select(F.col("doc_id").alias("_lead"), F.col("mark").alias("_mark")).distinct()
+    if not same.head(1):
+        stay = lead.unionByName(empty)
+        return docs.join(stay, is_lead(stay), "left_semi")
+    once = lead.alias("l").join(same.alias("r"), F.col("l._lead").eqNullSafe(F.col("r._lead"))
+                                & (F.col("l._mark") == F.col("r._mark")), "left_anti").unionByName(empty)
+    some = (docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_d"), mark.alias("_m"))
+            .join(same, F.col("_d").eqNullSafe(F.col("_lead")) & (F.col("_m") == F.col("_mark")), "left_semi")
+            .groupBy("_d", "_m").agg(F.first("_row").alias("_row")).select("_row.*"))
+    return docs.join(once, is_lead(once), "left_semi").unionByName(some)

@@ -20,7 +20,7 @@ from carestar.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from carestar.llm.chat import chat_digests, format_chats, read_back, render_incrementally, turn_template
 from carestar.llm.exact_dedup import drop_exact_copies, exact_dedup
 from carestar.llm.graph import components
-from carestar.llm.jaccard_join import bands, jaccard_components
+from carestar.llm.jaccard_join import bands, drop_near_copies, jaccard_components
 from carestar.llm.lm_scores import lm_scores
 from carestar.llm.mixing import mix_sources, take_mix
 from carestar.llm.pii import find_personal_data
@@ -220,6 +220,22 @@ def test_linked_sets_share_a_key(size):
     assert tried > 10
 
 
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    other = " ".join(f"v{i}" for i in range(100))
+    rows = [(1, text, "a"), (None, text + " x", "b"), (None, other, "c"), (None, other + " y", "d"), (2, "lone words", "e"),
+            (3, "one more text", "f"), (3, "one more text", "g"), (4, "s " + text[5:], "h"), (None, "not linked", "i"),
+            (5, None, "j"), (5, "", "k"), (6, "q " + text.upper().replace("W", "z"), "l"), (6, text.replace("w", "z"), "m")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = drop_near_copies(df)
+    assert got.columns == df.columns
+    stay = [r.source for r in got.collect()]
+    groups = ["abh", "cd", "e", "fg", "i", "j", "k", "lm"]
+    assert sorted(next(g for g in groups if s in g) for s in stay) == groups and "a" in stay
+    alone = drop_near_copies(df.filter("source NOT IN ('f', 'g')")).collect()
+    assert sorted(next(g for g in groups if r.source in g) for r in alone) == [g for g in groups if g != "fg"]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 3), (5, 5), (7, 8), (None, 4)], "a long, b long")
     assert {r.node: r.component for r in components(links).collect()} == {1: 1, 2: 1, 3: 1, 9: 1, 7: 7, 8: 7}
