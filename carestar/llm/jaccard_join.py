@@ -47,6 +47,8 @@ GROUP = 4
 MISS = 1e-8
 # Index entries a task gathers before it hands them on, and members of one key it packs
 FLUSH, PACKED = 1_500_000, 4
+# Bytes of text to a bucket of keys, at most
+BUCKET_BYTES = 16 << 20
 # Words of the sketch of a node's differences from its centre
 SMALL = 4
 
@@ -423,13 +425,19 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     return links
 
 
+def bucket_count(size: int, partitions: int) -> int:
+    """Key buckets for ``size`` bytes of text: a task unpacks one whole bucket, so they grow with the text."""
+    return max(8, partitions, -(-size // BUCKET_BYTES))
+
+
 def _grouped(docs: DataFrame, words: int, threshold: tuple[int, int], id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n, node, mark`` of every row (``mark``: a hash of the text), and ``node, component`` of linked nodes."""
     ship_package(docs.sparkSession)
     num, den = threshold
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = bucket_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = written(_index(rows.withColumn("mark", F.xxhash64("text")), words, num, den, buckets), "jaccard-index")
     nodes = written(table.filter("kind = 2").select("doc_id", "n", "node", F.col("key").alias("mark"), "sketch"), "jaccard-documents")
     packed = (table.filter("kind = 0").select("bucket", "blob").groupBy("bucket")

@@ -15,7 +15,7 @@ import tiktoken
 from public_tokenizers import PATTERN, path
 
 import corpus_pipeline
-from carestar.llm import sql
+from carestar.llm import jaccard_join, sql
 from carestar.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from carestar.llm.chat import chat_digests, format_chats, read_back, render_incrementally, turn_template
 from carestar.llm.exact_dedup import drop_exact_copies, exact_dedup
@@ -220,6 +220,18 @@ def test_linked_sets_share_a_key(size):
     assert tried > 10
 
 
+def test_key_buckets_grow_with_the_text(spark, monkeypatch):
+    assert jaccard_join.bucket_count(0, 4) == 8 and jaccard_join.bucket_count(0, 200) == 200
+    assert jaccard_join.bucket_count(jaccard_join.BUCKET_BYTES * 1000 + 1, 4) == 1001
+    asked, index = [], jaccard_join._index
+    monkeypatch.setattr(jaccard_join, "_index", lambda *a: asked.append(a[-1]) or index(*a))
+    monkeypatch.setattr(jaccard_join, "BUCKET_BYTES", 1000)
+    docs = [(i, " ".join(f"w{i // 2}_{k}" for k in range(100))) for i in range(60)]
+    got = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert asked == [-(-sum(len(t) for _, t in docs) // 1000)] and asked[0] > 30
+    assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i in range(60)}
+
+
 def test_one_row_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(100))
     other = " ".join(f"v{i}" for i in range(100))
