@@ -1,22 +1,21 @@
-"""Removal of repeated byte strings by ranking positions at growing lengths.
+"""Removal of repeated byte strings by minimiser windows.
 
-Prefix doubling ranks every position by its first h bytes, then by pairs of such
-ranks at offset h, and goes on only where ranks are not unique yet, until the
-length in question.  Ranking all positions of a corpus in each round would move
-many times its size, so the first round ranks positions that the content itself
-chooses: in each window of ``length`` bytes, the start of the half-length string
-with the smallest hash.  Equal windows choose at equal offsets, so nothing is
-missed.
+This is not prefix doubling: nothing is ranked or sorted by pairs of ranks, as
+that would move many times the corpus in each round (an estimate, not measured).
+Strings of fixed lengths are counted by hash in three rounds instead.  The first
+counts at positions that the content itself chooses: in each window of ``length``
+bytes, the start of the half-length string with the smallest hash.  Equal windows
+choose at equal offsets, so nothing is missed.
 
 * Round 1, ``length / 2`` bytes: chosen positions whose string is unique drop out
   with all windows that chose them.
 * Round 2, all windows that chose a position, as one string: if that occurs twice
   at the same offset, all of these windows are repeated.
 * Round 3, ``length`` bytes: what is still undecided lies next to the ends of
-  repeated passages; there each window is ranked by itself.
+  repeated passages; there each window is counted by itself.
 
 Documents lie in tiles of bounded size.  In each round a tile sends each distinct
-rank key once, with its count, to the bucket that owns it, and gets totals back.
+key once, with its count, to the bucket that owns it, and gets totals back.
 """
 
 from __future__ import annotations
