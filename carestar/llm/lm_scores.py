@@ -1,8 +1,8 @@
 """Language-model scores by deleted interpolation.
 
-The model mixes the maximum-likelihood estimates of the bigram, the unigram and
-the uniform distribution.  The mixture weights depend on how often the context
-was seen (buckets by powers of two) and are learned by expectation-maximisation:
+The model mixes the maximum-likelihood estimates of the n-grams up to an order (3
+unless asked otherwise) and the uniform distribution.  The mixture weights depend
+on the longest context that was seen and on how often (buckets by powers of two) and are learned by expectation-maximisation:
 counts from most training documents, likelihood of a deleted part of them.  The
 scores then use the counts of all training documents.
 
@@ -32,7 +32,9 @@ FOLDS = 7
 _END, _START = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
 # Context buckets (0: never seen) and cells of one octave for the weights' likelihood
 BUCKETS, FINE = 34, 8
-_NEVER = -100_000
+# A cell's rounded log estimates, so many bits each; 0: never seen
+_BITS, _ZERO = 12, 1 << 11
+MAX_ORDER = 4
 ROUNDS = 60
 
 
@@ -44,7 +46,7 @@ def fold_of(doc_id: Column) -> Column:
 class _Tile:
     """Tokens of a tile's documents and its distinct n-grams, in key order."""
 
-    def __init__(self, texts: pa.ChunkedArray, grams: bool = True):
+    def __init__(self, texts: pa.ChunkedArray, order: int):
         words, at = hash_words(pa.concat_arrays(texts.cast(pa.large_string()).chunks)
                                if texts.num_chunks else pa.array([], pa.large_string()))
         n_docs = len(at) - 1
@@ -57,24 +59,27 @@ class _Tile:
         is_word[last] = False
         token[is_word] = words
         token[last] = _END
-        before = np.empty_like(token)
-        before[1:] = token[:-1]
-        before[self.first] = _START
-        # the lowest bit tells unigrams (0) from bigrams (1)
-        one = mixed(token) & ~_U(1)
-        two = combined([before, token]) | _U(1)
-        every = np.concatenate([one, two])
-        order = np.argsort(every)
-        ordered = every[order]
+        # the lowest bit tells unigrams (0) from longer n-grams (1)
+        parts, keys = [token], [mixed(token) & ~_U(1)]
+        for _ in range(1, order):
+            before = np.empty_like(token)
+            before[1:] = parts[0][:-1]
+            before[self.first] = _START
+            parts = [before, *parts]
+            keys.append(combined(parts) | _U(1))
+        every = np.concatenate(keys)
+        by_key = np.argsort(every)
+        ordered = every[by_key]
         new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, bool)
         self.keys = ordered[new]
         place = np.empty(len(every), np.int64)
-        place[order] = np.cumsum(new) - 1
-        self.one, self.two = place[:len(token)], place[len(token):]
-        end = int(self.one[last[0]]) if n_docs else 0
-        self.context = np.empty_like(self.one)
-        self.context[1:] = self.one[:-1]
-        self.context[self.first] = end   # a text starts as often as one ends
+        place[by_key] = np.cumsum(new) - 1
+        # by length: each token's n-gram, and the context of the next longer one
+        self.grams = place.reshape(order, len(token))
+        end = int(self.grams[0][last[0]]) if n_docs else 0
+        self.contexts = np.empty_like(self.grams[:-1])
+        self.contexts[:, 1:] = self.grams[:-1, :-1]
+        self.contexts[:, self.first] = end   # a text starts as often as one ends
 
     def cuts(self, buckets: int) -> np.ndarray:
         owner = (((self.keys >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
@@ -93,12 +98,11 @@ _REQUEST = "bucket bigint, tile bigint, keys binary, kept binary, deleted binary
 _ANSWER = "tile bigint, bucket bigint, total binary, deleted binary, stats binary"
 
 
-def _request(buckets: int, held_out: int, deleted: int):
+def _request(buckets: int, held_out: int, deleted: int, order: int):
     def count(table: pa.Table) -> pa.Table:
-        tile = _Tile(table.column("text"))
+        tile = _Tile(table.column("text"), order)
         fold = _fold(tile, table)
-        kept, gone = ((np.bincount(tile.one[sel], minlength=len(tile.keys))
-                       + np.bincount(tile.two[sel], minlength=len(tile.keys))).astype(np.uint32)
+        kept, gone = (np.bincount(tile.grams[:, sel].ravel(), minlength=len(tile.keys)).astype(np.uint32)
                       for sel in ((fold != held_out) & (fold != deleted), fold == deleted))
         cuts = tile.cuts(buckets)
         at = [(b, int(i), int(j)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
@@ -153,45 +157,57 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64) + 1, BUCKETS - 1), 0)
 
 
-_CELLS = "b int, q2 int, q1 int, mass bigint"
+def _buckets(contexts: list[np.ndarray], size: int) -> np.ndarray:
+    """Bucket of the longest context seen; those of each length follow on those of shorter ones."""
+    b = np.zeros(size, np.int64)
+    for k, context in enumerate(contexts):
+        b = np.where(context > 0, k * BUCKETS + _bucket(context), b)
+    return b
 
 
-def _cells(deleted: int):
+_CELLS = "b int, q bigint, mass bigint"
+
+
+def _cells(deleted: int, order: int):
     """The deleted tokens by context bucket and rounded log estimates, and the statistics (b = -1)."""
     def gather(docs: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         for s in answers.column("stats").to_pylist():
             if s is not None:
-                rows += [(-1, i, 0, int(x)) for i, x in enumerate(np.frombuffer(s, np.int64))]
+                rows += [(-1, i, int(x)) for i, x in enumerate(np.frombuffer(s, np.int64))]
         if docs.num_rows:
-            tile = _Tile(docs.column("text"))
+            tile = _Tile(docs.column("text"), order)
             kept = _totals(answers, "total") - _totals(answers, "deleted")
             sel = _fold(tile, docs) == deleted
-            context, both, word = kept[tile.context[sel]], kept[tile.two[sel]], kept[tile.one[sel]]
-            b = _bucket(context)
-            with np.errstate(divide="ignore"):
-                q2 = np.where(both > 0, np.rint(FINE * np.log2(np.maximum(both, 1) / np.maximum(context, 1))), _NEVER)
-                q1 = np.where(word > 0, np.rint(FINE * np.log2(np.maximum(word, 1))), _NEVER)
+            seen, contexts = kept[tile.grams[:, sel]], kept[tile.contexts[:, sel]]
+            b = _buckets(list(contexts), int(sel.sum()))
             if len(b):
-                cell = np.sort((b << 40) + ((q2.astype(np.int64) - _NEVER) << 20) + (q1.astype(np.int64) - _NEVER))
+                cell = b
+                for k in range(order):
+                    log = np.rint(FINE * np.log2(np.maximum(seen[k], 1) / (np.maximum(contexts[k - 1], 1) if k else 1)))
+                    cell = (cell << _BITS) + np.where(seen[k] > 0, np.clip(log, 1 - _ZERO, _ZERO - 1).astype(np.int64) + _ZERO, 0)
+                cell = np.sort(cell)
                 first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-                low = (1 << 20) - 1
-                rows += [(int(c >> 40), int((c >> 20) & low) + _NEVER, int(c & low) + _NEVER, int(n))
+                low = (1 << _BITS * order) - 1
+                rows += [(int(c >> _BITS * order), int(c & low), int(n))
                          for c, n in zip(cell[first], np.diff(np.append(first, len(cell))))]
-        cols = list(zip(*rows)) or [()] * 4
-        return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
-                         pa.array(cols[3], pa.int64())], names=["b", "q2", "q1", "mass"])
+        cols = list(zip(*rows)) or [()] * 3
+        return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())],
+                        names=["b", "q", "mass"])
     return gather
 
 
-def learn_weights(b: np.ndarray, p2: np.ndarray, p1: np.ndarray, p0: float, mass: np.ndarray) -> np.ndarray:
-    """Mixture weights (bigram, unigram, uniform) per context bucket, by expectation-maximisation.
+def learn_weights(b: np.ndarray, parts: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Mixture weights per context bucket, by expectation-maximisation.
 
-    A bucket without held-out tokens gets the weights of all buckets together.
+    ``parts``: by cell, the estimates of the unigram, the bigram and so on, and the
+    uniform one.  A bucket without held-out tokens gets the weights of all buckets
+    together, without the n-grams whose context it has not seen.
     """
+    order = parts.shape[1] - 1
+
     def fit(sel: np.ndarray, start: np.ndarray) -> np.ndarray:
-        w, m = start, mass[sel]
-        p = np.stack([p2[sel], p1[sel], np.full(sel.sum(), p0)], 1)
+        w, m, p = start, mass[sel], parts[sel]
         for _ in range(ROUNDS):
             share = p * w
             share /= share.sum(1, keepdims=True)
@@ -200,28 +216,39 @@ def learn_weights(b: np.ndarray, p2: np.ndarray, p1: np.ndarray, p0: float, mass
             w /= w.sum()
         return w
 
-    every = fit(mass > 0, np.full(3, 1 / 3)) if (mass > 0).any() else np.full(3, 1 / 3)
-    out = np.tile(every, (BUCKETS, 1))
-    for k in range(BUCKETS):
-        start = np.array([0, .5, .5]) if k == 0 else every
+    even = np.full(order + 1, 1 / (order + 1))
+    every = fit(mass > 0, even) if (mass > 0).any() else even
+    out = np.tile(every, (_bucket_total(order), 1))
+    for k in range(len(out)):
+        # in bucket 0 no context was seen, in those of a length none that is longer
+        longest = 1 if k == 0 else 2 + (k - 1) // BUCKETS
+        start = np.where((np.arange(order + 1) < longest) | (np.arange(order + 1) == order), every, 0.0)
+        start /= start.sum()
         sel = (b == k) & (mass > 0)
-        out[k] = fit(sel, start) if sel.any() else start * (start > 0) / start.sum()
+        out[k] = fit(sel, start) if sel.any() else start
     return out
 
 
-def _weights(table: pa.Table) -> pa.Table:
-    b, q2, q1, mass = (np.asarray(table.column(c)).astype(np.int64) for c in ("b", "q2", "q1", "mass"))
+def _bucket_total(order: int) -> int:
+    return (order - 1) * BUCKETS + 1
+
+
+def _weights(table: pa.Table, order: int) -> pa.Table:
+    b, q, mass = (np.asarray(table.column(c)).astype(np.int64) for c in ("b", "q", "mass"))
     stats = np.zeros(4, np.int64)
-    np.add.at(stats, q2[b == -1], mass[b == -1])
+    np.add.at(stats, q[b == -1], mass[b == -1])
     seen = b >= 0
-    b, q2, q1, mass = b[seen], q2[seen], q1[seen], mass[seen].astype(float)
-    p2 = np.where(q2 > _NEVER, np.exp2(np.minimum(q2, 0) / FINE), 0.0)
-    p1 = np.where(q1 > _NEVER, np.exp2(np.maximum(q1, 0) / FINE) / max(1, stats[2]), 0.0)
-    weights = learn_weights(b, p2, p1, 1 / (stats[3] + 1), mass)
+    b, q, mass = b[seen], q[seen], mass[seen].astype(float)
+    parts = np.full((len(b), order + 1), 1 / (stats[3] + 1))
+    for k in range(order):
+        log = (q >> _BITS * (order - 1 - k)) & ((1 << _BITS) - 1)
+        whole = 1 if k else max(1, stats[2])
+        parts[:, k] = np.where(log > 0, np.exp2((np.minimum(log - _ZERO, 0) if k else log - _ZERO) / FINE) / whole, 0.0)
+    weights = learn_weights(b, parts, mass)
     return pa.table({"model": pa.array([_blob(np.concatenate([stats[:2].astype(float), weights.ravel()]))], pa.binary())})
 
 
-def _score(id_type: pa.DataType, held_out: int):
+def _score(id_type: pa.DataType, held_out: int, order: int):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     kinds = [id_type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
@@ -229,12 +256,14 @@ def _score(id_type: pa.DataType, held_out: int):
         if not docs.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
         model = next(np.frombuffer(m, np.float64) for m in answers.column("model").to_pylist() if m is not None)
-        n, v, weights = model[0], model[1], model[2:].reshape(BUCKETS, 3)
-        tile = _Tile(docs.column("text"))
+        n, v, weights = model[0], model[1], model[2:].reshape(_bucket_total(order), order + 1)
+        tile = _Tile(docs.column("text"), order)
         total = _totals(answers, "total")
-        context, both, word = total[tile.context], total[tile.two], total[tile.one]
-        w = weights[_bucket(context)]
-        p = w[:, 0] * both / np.maximum(context, 1) + w[:, 1] * word / max(n, 1) + w[:, 2] / (v + 1)
+        word, contexts = total[tile.grams[0]], [total[c] for c in tile.contexts]
+        w = weights[_buckets(contexts, len(word))]
+        p = w[:, 0] * word / max(n, 1) + w[:, order] / (v + 1)
+        for k, context in enumerate(contexts, 1):
+            p += w[:, k] * total[tile.grams[k]] / np.maximum(context, 1)
         add = lambda x: np.add.reduceat(x, tile.first)
         size = docs.num_rows
         return pa.table([docs.column("doc_id"), pa.array(np.asarray(docs.column("fold")) == held_out),
@@ -245,12 +274,12 @@ def _score(id_type: pa.DataType, held_out: int):
 
 
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held_out: int = 2,
-              deleted: int = 3, tile_bytes: int = TILE_BYTES) -> DataFrame:
+              deleted: int = 3, order: int = 3, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one row per input row.
 
     Training documents are those whose fold (crc32 of the id, modulo 7) is not
     ``held_out``; the fold ``deleted`` is the part of them on which the weights
-    are learned.  ``score``: log10 probability of the text's words and its end;
+    are learned.  ``order``: words of the longest n-grams, 1 to ``MAX_ORDER``.  ``score``: log10 probability of the text's words and its end;
     ``base_score``: the same under unigrams with add-one smoothing.
 
     Defined cases: a null text is empty and holds just its end; a null id is in
@@ -259,6 +288,8 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     empty result; other input columns are ignored.  A task holds a tile, at
     least one whole document.
     """
+    if not 1 <= order <= MAX_ORDER:
+        raise ValueError(f"order must be from 1 to {MAX_ORDER}: {order}")
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -269,17 +300,17 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
     by_tile = rows.groupBy("tile")
-    asked = by_tile.applyInArrow(_request(tiles, held_out, deleted), _REQUEST)
+    asked = by_tile.applyInArrow(_request(tiles, held_out, deleted, order), _REQUEST)
     told = asked.groupBy("bucket").applyInArrow(_answer(tiles), _ANSWER)
-    cells = (by_tile.cogroup(told.groupBy("tile")).applyInArrow(_cells(deleted), _CELLS)
-             .groupBy("b", "q2", "q1").agg(F.sum("mass").alias("mass")))
-    # the cells lie on a fixed grid: their number does not grow with the corpus
+    cells = (by_tile.cogroup(told.groupBy("tile")).applyInArrow(_cells(deleted, order), _CELLS)
+             .groupBy("b", "q").agg(F.sum("mass").alias("mass")))
+    # the cells lie on a fixed grid, so their number is bounded; a larger corpus fills more of it
     model = cells.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(
-        lambda t: _weights(t), "model binary")
+        lambda t: _weights(t, order), "model binary")
     to_all = model.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("tile"), "model")
     answers = (told.filter("stats IS NULL").select("tile", "bucket", "total", F.lit(None).cast("binary").alias("model"))
                .unionByName(to_all.select("tile", F.lit(None).cast("bigint").alias("bucket"),
                                           F.lit(None).cast("binary").alias("total"), "model")))
     return by_tile.cogroup(answers.groupBy("tile")).applyInArrow(
-        _score(id_type, held_out), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+        _score(id_type, held_out, order), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
                                    "train_tokens bigint, base_score double, score double")

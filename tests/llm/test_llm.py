@@ -269,6 +269,20 @@ def test_lm_base_and_held_out_gain(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_order(spark):
+    # the word after "a" or "b" tells nothing; with the word before it is certain
+    rnd, docs = random.Random(5), []
+    for i in range(400):
+        docs.append((i, " ".join(rnd.choice(["x a one", "y a two", "x b two", "y b one"]) for _ in range(20))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    score = {k: {r.doc_id: r.score for r in (lm_scores(df, order=k) if k else lm_scores(df)).collect()} for k in (0, 1, 2, 3, 4)}
+    total = {k: sum(v.values()) for k, v in score.items()}
+    assert total[0] == pytest.approx(total[3]) and total[1] < total[2] < total[3]
+    # about one bit less for each of 20 words
+    assert (total[3] - total[2]) / 400 == pytest.approx(20 * math.log10(2), rel=0.1)
+    assert total[4] == pytest.approx(total[3], rel=0.05)
+
+
 def base_spans(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
