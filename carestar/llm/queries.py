@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .bpe import bpe_digests
+from .centroids import lloyd_clusters
 from .chat import chat_digests, format_chats
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
@@ -16,6 +17,7 @@ from .lm_scores import lm_scores
 from .mixing import mix_sources
 from .pii import find_personal_data
 from .quality_rules import passes, rule_ledger
+from .source_audit import source_divergence
 from .suffix_dedup import remove_repeats
 from .token_counts import document_token_counts
 
@@ -72,6 +74,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -83,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scores": op8_lm_scores,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op13_source_audit": op13_source_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -91,4 +103,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": sql.OP5,
     "op6_mix_sources": sql.OP6,
     "op7_jaccard_join": sql.OP7,
+    "op11_centroid_clusters": sql.OP11,
+    "op13_source_audit": sql.OP13,
 }

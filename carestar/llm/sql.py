@@ -101,3 +101,67 @@ WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER},
 SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(c, s.doc_id)) AS component_id
 FROM s LEFT JOIN c ON s.doc_id = c.x
 """
+
+_TERM = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+_P13 = "1 + (1000000000::HUGEINT * ({n} + 2)) // ({all_n} + 2 * {v})"
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER}, {_TERM}) AS w FROM documents),
+ gr AS (SELECT DISTINCT lang, source FROM d),
+ e AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+ k AS (SELECT lang, term FROM e GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+ v AS (SELECT g.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM gr) g LEFT JOIN k USING (lang) GROUP BY g.lang),
+ n AS (SELECT lang, source, term, count(*) AS n FROM e JOIN k USING (lang, term) GROUP BY lang, source, term),
+ a AS (SELECT gr.lang, gr.source, coalesce(any_value(v.v), 0) AS v, CAST(coalesce(sum(n.n), 0) AS BIGINT) AS all_n
+       FROM gr JOIN v USING (lang) LEFT JOIN n USING (lang, source) GROUP BY gr.lang, gr.source),
+ p AS (SELECT a.lang, a.source, k.term, coalesce(n.n, 0) AS n,
+              {_P13.format(n="coalesce(n.n, 0)", all_n="a.all_n", v="a.v")} AS p
+       FROM a JOIN k USING (lang) LEFT JOIN n ON n.lang = a.lang AND n.source = a.source AND n.term = k.term),
+ q AS (SELECT n.lang, n.term, {_P13.format(n="sum(n.n)", all_n="any_value(l.all_n)", v="any_value(l.v)")} AS q
+       FROM n JOIN (SELECT lang, sum(all_n) AS all_n, any_value(v) AS v FROM a GROUP BY lang) l USING (lang)
+       GROUP BY n.lang, n.term),
+ s AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+       FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3),
+ r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+       FROM gr x JOIN gr y ON x.lang = y.lang AND x.source <> y.source
+       LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+       UNION ALL
+       SELECT p.lang, p.source, 'term', p.term, CAST((p.p - q.q) * (p.p - q.q) // (p.p + q.q) AS BIGINT)
+       FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q),
+ t AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+       FROM r)
+SELECT * FROM t WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def _op11(rounds: int = 3, k: int = 16, dims: int = 64) -> str:
+    near = """ n{r} AS (SELECT rid, min(d) AS d, arg_min(cluster, (d, cluster)) AS cluster
+        FROM (SELECT v.rid, c.cluster, list_sum(list_transform(list_zip(v.xs, c.xs),
+                     lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{r} c) GROUP BY rid)"""
+    step = """ m{r} AS (SELECT cluster, list(m ORDER BY j) AS xs
+        FROM (SELECT cluster, j, (s - ((s % n) + n) % n) // n AS m
+              FROM (SELECT cluster, j, sum(x)::HUGEINT AS s, count(*) AS n
+                    FROM (SELECT n.cluster, unnest(v.xs) AS x, unnest(range({dims})) AS j
+                          FROM v JOIN n{r} n USING (rid)) GROUP BY cluster, j)) GROUP BY cluster),
+ c{next} AS (SELECT cluster, CAST(coalesce(m.xs, c.xs) AS BIGINT[]) AS xs FROM c{r} c LEFT JOIN m{r} m USING (cluster))"""
+    parts = []
+    for r in range(rounds):
+        parts += [near.format(r=r), step.format(r=r, next=r + 1, dims=dims)]
+    parts.append(near.format(r=rounds))
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id,
+                  list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS xs
+           FROM embeddings
+           WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+ c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), xs) - 1 AS cluster, xs
+        FROM v QUALIFY cluster < {k}),
+{",".join(parts)},
+ i AS (SELECT cluster, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM n{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, cluster_inertia,
+       CAST((SELECT sum(d) FROM n{rounds}) AS BIGINT) AS inertia, sha256(array_to_string(c.xs, ',')) AS centroid_sha256
+FROM n{rounds} JOIN v USING (rid) JOIN i USING (cluster) JOIN c{rounds} c USING (cluster)
+"""
+
+
+OP11 = _op11()

@@ -30,7 +30,7 @@ from carestar.llm.suffix_dedup import remove_repeats
 from carestar.llm.token_counts import count_tokens, document_token_counts
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "conversations")
+TABLES = ("documents", "conversations", "embeddings")
 
 # nulls, ties, repeated rows, clashing columns; null ids twice
 EDGE = [(1, None, None), (2, "", "a"), (3, "A b", "a"), (3, "A b", "a"), (4, "a B", None), (None, "a b", "b"),
