@@ -26,26 +26,3 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner", bounded_ro
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
 
-
-def fits_broadcast(dim: DataFrame) -> bool:
-    """True when the planner's size estimate of ``dim`` is under the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` (so a join with it is planned as a
-    broadcast, without shuffling the other side).  A disabled threshold
-    (-1) means never."""
-    spark = dim.sparkSession
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    threshold = _bytes(raw)
-    if threshold < 0:
-        return False
-    size = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # a Scala BigInt
-    return int(size if isinstance(size, int) else size.toString()) <= threshold
-
-
-def _bytes(text: str) -> int:
-    t = str(text).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-             "t": 1 << 40, "tb": 1 << 40}
-    for u in sorted(units, key=len, reverse=True):
-        if t.endswith(u) and t[:-len(u)].strip().lstrip("-").isdigit():
-            return int(t[:-len(u)]) * units[u]
-    return int(t)

@@ -17,7 +17,9 @@ wall clock.  Shape: fact ⋈ dims -> groupBy.agg -> (optional) top-k.
   dimension's size allows) sees one row per key instead of every fact row.
   When the output is grouped by the key itself the aggregate is final at key
   level; when it is coarser (region, age band, sex) the per-key parts are
-  re-added (counts, sums, and averages as sum / count).
+  re-added (counts, sums, and averages as sum / count).  That holds for every
+  dimension and at every size; only the calendar, whose rows are bounded by its
+  range, may be joined (broadcast) below the aggregate.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import pct
-from ..operators.joins import fits_broadcast, join_dim
+from ..operators.bitmaps import distinct_total
+from ..operators.joins import join_dim
 from .warehouse import Warehouse
 
 
@@ -97,33 +100,14 @@ def merged_avg(c: str) -> Column:
     return F.try_divide(F.sum(f"__sum_{c}").cast("double"), F.sum(f"__cnt_{c}").cast("double"))
 
 
-def per_patient(fa: DataFrame, patients: DataFrame) -> DataFrame:
-    """Admission parts for a patient-dimension join: count, urgent count and
-    stay sum / count, re-added per output group after the join.
+def per_key(fact: DataFrame, *keys: str) -> DataFrame:
+    """Admission parts, one row per key: count, urgent count, stay sum and count.
 
-    The patient key has many values, so pre-aggregating on it costs a shuffle
-    of its own.  While the planner estimates ``patients`` under the broadcast
-    threshold, the join is a broadcast (no shuffle of the fact) and each
-    admission enters as its own part; beyond it the fact is collapsed to one
-    row per patient map-side, and only those rows meet the shuffled join.
+    They are re-added per output group after the joins, so a dimension that
+    grows with the data meets one row per key; a hot key is collapsed on every
+    mapper before the shuffle.
     """
-    if fits_broadcast(patients):
-        d = F.col("duree_sejour")
-        return fa.select("patient_id", F.lit(1).cast("bigint").alias("__n"), F.col("est_urgence").alias("__urg"),
-                         d.cast("bigint").alias("__sum_duree_sejour"),
-                         F.when(d.isNotNull(), 1).otherwise(0).cast("bigint").alias("__cnt_duree_sejour"))
-    return fa.groupBy("patient_id").agg(_n().alias("__n"), F.sum("est_urgence").alias("__urg"),
-                                        *avg_parts("duree_sejour"))
-
-
-def patient_disease_counts(fa: DataFrame, patients: DataFrame) -> DataFrame:
-    """``(patient_id, maladie_id, __n)`` admission counts for a patient-dimension
-    join: one row per admission while ``patients`` is under the broadcast
-    threshold, one row per (patient, disease) pair beyond it (see
-    :func:`per_patient`)."""
-    if fits_broadcast(patients):
-        return fa.select("patient_id", "maladie_id", F.lit(1).cast("bigint").alias("__n"))
-    return fa.groupBy("patient_id", "maladie_id").agg(_n().alias("__n"))
+    return fact.groupBy(*keys).agg(_n().alias("__n"), F.sum("est_urgence").alias("__urg"), *avg_parts("duree_sejour"))
 
 
 def _calendar(wh: Warehouse, *cols: str) -> DataFrame:
@@ -172,11 +156,11 @@ def kpi_top_diseases(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS, k: int
 def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
     """A5: admissions per patient region, rate per 100,000 inhabitants, mean stay."""
     p = wh.dim_patient.select("patient_id", "region_id")
-    per = per_patient(current_year(wh.fact_admissions, as_of), p)
+    per = per_key(current_year(wh.fact_admissions, as_of), "patient_id")
     r = wh.dim_region.select("region_id", "nom_region", "population")
-    j = join_dim(join_dim(per, p, "patient_id"), r, "region_id")
-    g = j.groupBy("region_id", "nom_region", "population").agg(
+    g = join_dim(per, p, "patient_id").groupBy("region_id").agg(
         F.sum("__n").alias("nb_admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"))
+    g = join_dim(g, r, "region_id")
     rate = F.round(F.try_divide(F.col("nb_admissions") * 100000.0, F.nullif(F.col("population"), F.lit(0.0))), 1)
     return (g.select("region_id", "nom_region", "population", "nb_admissions", rate.alias("taux_pour_100k"), "dms_moy")
             .orderBy(F.desc("nb_admissions"), "region_id"))
@@ -185,7 +169,7 @@ def kpi_cases_by_region(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> D
 def kpi_age_split(wh: Warehouse) -> DataFrame:
     """Admissions per age band with share of total."""
     p = wh.dim_patient.select("patient_id", "tranche_age")
-    j = join_dim(per_patient(wh.fact_admissions, p), p, "patient_id")
+    j = join_dim(per_key(wh.fact_admissions, "patient_id"), p, "patient_id")
     g = (j.groupBy("tranche_age")
          .agg(F.sum("__n").alias("nb_admissions"), _sum_int("__urg").alias("nb_urgences"),
               F.round(merged_avg("duree_sejour"), 1).alias("dms_moy")))
@@ -266,7 +250,7 @@ def kpi_monthly_trend(wh: Warehouse) -> DataFrame:
 def kpi_sex_split(wh: Warehouse) -> DataFrame:
     """Admissions per sex with share of total."""
     p = wh.dim_patient.select("patient_id", "sexe")
-    j = join_dim(per_patient(wh.fact_admissions, p), p, "patient_id")
+    j = join_dim(per_key(wh.fact_admissions, "patient_id"), p, "patient_id")
     g = (j.groupBy("sexe")
          .agg(F.sum("__n").alias("nb_admissions"), F.round(merged_avg("duree_sejour"), 1).alias("dms_moy"),
               _sum_int("__urg").alias("nb_urgences")))
@@ -286,10 +270,10 @@ def kpi_incidence(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFra
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region", "population")
     m = wh.dim_disease.select("maladie_id", "nom_maladie", "categorie")
-    j = join_dim(join_dim(join_dim(patient_disease_counts(current_year(wh.fact_admissions, as_of), p), p,
-                                   "patient_id"), r, "region_id"), m, "maladie_id")
-    g = (j.groupBy("region_id", "nom_region", "maladie_id", "nom_maladie", "categorie", "population")
-         .agg(F.sum("__n").alias("nb_cas")))
+    per = current_year(wh.fact_admissions, as_of).groupBy("patient_id", "maladie_id").agg(_n().alias("__n"))
+    g = join_dim(per, p, "patient_id").groupBy("region_id", "maladie_id").agg(F.sum("__n").alias("nb_cas"))
+    g = join_dim(join_dim(g, r, "region_id"), m, "maladie_id").select(
+        "region_id", "nom_region", "maladie_id", "nom_maladie", "categorie", "population", "nb_cas")
     rate = F.round(F.try_divide(F.col("nb_cas") * 100000.0, F.nullif(F.col("population"), F.lit(0.0))), 2)
     return g.withColumn("taux_incidence_100k", rate).orderBy(F.desc("taux_incidence_100k"), "region_id", "maladie_id")
 
@@ -304,22 +288,23 @@ def _text(c: Column) -> Column:
 def kpi_cache(wh: Warehouse, computed_at: str = K.COMPUTED_AT) -> DataFrame:
     """Scalar KPIs as ``(kpi, valeur, date_calcul)`` text rows.
 
-    One aggregation pass per fact (the reference runs eight separate scans).
+    One aggregation pass per fact, and a scan of one column for each distinct
+    count: its ids become bitmaps on the mappers, so no row is expanded.
     """
     occ = wh.fact_bed_occupancy.agg(
         F.round(F.avg(F.try_divide(F.col("lits_occupes").cast("double"),
                                    F.nullif(F.col("lits_total").cast("double"), F.lit(0.0))) * 100.0), 1)
         .alias("taux_occupation_moyen"))
-    adm = wh.fact_admissions.agg(
+    fa = wh.fact_admissions
+    adm = fa.agg(
         F.round(F.avg(F.when(F.col("duree_sejour") > 0, F.col("duree_sejour"))), 1).alias("dms_moyen"),
         _n().alias("nb_admissions_total"),
-        F.count_distinct("patient_id").alias("nb_patients_distincts"),
         F.round(F.avg("cout_hospitalisation"), 2).alias("cout_moyen_sejour"),
-        F.count_distinct("maladie_id").alias("nb_maladies_distinctes"),
-        F.count_distinct("hopital_id").alias("nb_hopitaux_actifs"),
         F.round(F.try_divide(F.sum(F.when(F.col("mode_admission") == K.MODE_URGENT, 1).otherwise(0)) * 100.0,
                              F.nullif(_n().cast("double"), F.lit(0.0))), 1).alias("pct_mode_urgence"),
-    )
+    ).select("*", *[distinct_total(fa, c).scalar().alias(n) for c, n in
+                    (("patient_id", "nb_patients_distincts"), ("maladie_id", "nb_maladies_distinctes"),
+                     ("hopital_id", "nb_hopitaux_actifs"))])
     occ_long = occ.select(F.lit("taux_occupation_moyen").alias("kpi"), _text(F.col("taux_occupation_moyen")).alias("valeur"))
     names = ["dms_moyen", "nb_admissions_total", "nb_patients_distincts", "cout_moyen_sejour",
              "nb_maladies_distinctes", "nb_hopitaux_actifs", "pct_mode_urgence"]

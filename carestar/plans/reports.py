@@ -9,14 +9,20 @@ attributes of it (counts and sums re-added, averages as sum / count).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import AGE_BAND_WAREHOUSE, AGE_BAND_WAREHOUSE_ELSE
 from ..functions import occupancy_level
-from ..operators.joins import fits_broadcast, join_dim
-from .kpis import avg_parts, merged_avg, patient_disease_counts, per_patient
+from ..operators.joins import join_dim
+from ..operators.pivot import pivot_counts
+from .kpis import avg_parts, merged_avg, per_key
 from .warehouse import Warehouse
 
+AGE_BANDS = [label for _, label in AGE_BAND_WAREHOUSE] + [AGE_BAND_WAREHOUSE_ELSE]
+
 
 def _n() -> Column:
     return F.count(F.lit(1))
@@ -52,12 +58,13 @@ def report_hospitals(wh: Warehouse, k: int = 8) -> DataFrame:
 
 def report_regions(wh: Warehouse) -> DataFrame:
     """Per region of the hospital: admissions, distinct patients, mean cost."""
-    fa = wh.fact_admissions.select("hopital_id", "patient_id", "cout_hospitalisation")
+    per = (wh.fact_admissions.groupBy("hopital_id", "patient_id")
+           .agg(_n().alias("__n"), *avg_parts("cout_hospitalisation")))
     r = wh.dim_region.select("region_id", "nom_region")
     hr = wh.dim_hospital.select("hopital_id", "region_id").join(r, "region_id", "inner")
-    return (join_dim(fa, hr, "hopital_id").groupBy("nom_region")
-            .agg(_n().alias("admissions"), F.count_distinct("patient_id").alias("patients_uniques"),
-                 F.round(F.avg("cout_hospitalisation"), 0).alias("cout_moy")))
+    return (join_dim(per, hr, "hopital_id").groupBy("nom_region")
+            .agg(F.sum("__n").alias("admissions"), F.count_distinct("patient_id").alias("patients_uniques"),
+                 F.round(merged_avg("cout_hospitalisation"), 0).alias("cout_moy")))
 
 
 def report_monthly(wh: Warehouse, k: int = 12) -> DataFrame:
@@ -72,7 +79,7 @@ def report_monthly(wh: Warehouse, k: int = 12) -> DataFrame:
 def report_sex(wh: Warehouse) -> DataFrame:
     """Per sex: admissions, mean age, mean stay."""
     p = wh.dim_patient.select("patient_id", "sexe", "age")
-    j = join_dim(per_patient(wh.fact_admissions, p), p, "patient_id")
+    j = join_dim(per_key(wh.fact_admissions, "patient_id"), p, "patient_id")
     # the mean age is over admissions: each patient's age weighs its admission count
     n_known_age = F.when(F.col("age").isNotNull(), F.col("__n"))
     mean_age = F.try_divide(F.sum(F.col("age") * F.col("__n")), F.sum(n_known_age).cast("double"))
@@ -83,11 +90,12 @@ def report_sex(wh: Warehouse) -> DataFrame:
 
 def report_occupancy(wh: Warehouse, k: int = 8) -> DataFrame:
     """Top hospitals by mean sensor occupancy, with peak and alert count."""
-    fo = wh.fact_bed_occupancy.select("hopital_id", "taux_occupation", "alertes")
+    per = wh.fact_bed_occupancy.groupBy("hopital_id").agg(
+        *avg_parts("taux_occupation"), F.max("taux_occupation").alias("__max"), F.sum("alertes").alias("__alertes"))
     h = wh.dim_hospital.select("hopital_id", F.col("nom").alias("hopital"))
-    g = (join_dim(fo, h, "hopital_id").groupBy("hopital")
-         .agg(F.round(F.avg("taux_occupation"), 1).alias("taux_moy"), F.max("taux_occupation").alias("pic_max"),
-              F.sum("alertes").cast("bigint").alias("nb_alertes")))
+    g = (join_dim(per, h, "hopital_id").groupBy("hopital")
+         .agg(F.round(merged_avg("taux_occupation"), 1).alias("taux_moy"), F.max("__max").alias("pic_max"),
+              F.sum("__alertes").cast("bigint").alias("nb_alertes")))
     return g.orderBy(F.desc("taux_moy"), F.asc_nulls_first("hopital")).limit(k)
 
 
@@ -126,21 +134,31 @@ def matrix_disease_region(wh: Warehouse) -> DataFrame:
     p = wh.dim_patient.select("patient_id", "region_id")
     r = wh.dim_region.select("region_id", "nom_region")
     m = wh.dim_disease.select("maladie_id", "nom_maladie")
-    per = patient_disease_counts(wh.fact_admissions, p)
-    j = join_dim(join_dim(join_dim(per, p, "patient_id"), r, "region_id"), m, "maladie_id")
+    per = wh.fact_admissions.groupBy("patient_id", "maladie_id").agg(_n().alias("__n"))
+    g = join_dim(per, p, "patient_id").groupBy("region_id", "maladie_id").agg(F.sum("__n").alias("__n"))
+    j = join_dim(join_dim(g, r, "region_id"), m, "maladie_id")
     return j.groupBy("nom_maladie", "nom_region").agg(F.sum("__n").alias("n"))
 
 
+def pivot_disease_age_band(wh: Warehouse, bands: Sequence[str] = AGE_BANDS) -> DataFrame:
+    """R10 as a matrix: admissions per disease category, one column per age band of ``bands``.
+
+    The columns are the caller's list, so nothing is read to the driver to plan
+    the pivot; ``autres`` counts admissions whose band is not in the list or
+    unknown, so that a row always adds up to ``total``.
+    """
+    p = wh.dim_patient.select("patient_id", "tranche_age")
+    m = wh.dim_disease.select("maladie_id", "categorie")
+    per = wh.fact_admissions.groupBy("patient_id", "maladie_id").agg(_n().alias("__n"))
+    g = join_dim(per, p, "patient_id").groupBy("maladie_id", "tranche_age").agg(F.sum("__n").alias("__n"))
+    return pivot_counts(join_dim(g, m, "maladie_id"), ["categorie"], "tranche_age", bands, "__n")
+
+
 def category_trend(wh: Warehouse) -> DataFrame:
     """Monthly admissions per disease category."""
-    # (month, disease id) pairs are nearly as many as admissions, so they are
-    # pre-aggregated only when the disease dimension is too large to broadcast
-    # (then the shuffled join sees one row per pair, not per admission)
     m = wh.dim_disease.select("maladie_id", "categorie")
-    rows = wh.fact_admissions.select("temps_id", "maladie_id").join(_cal(wh, "annee", "mois"), "temps_id")
-    per = (rows.select("annee", "mois", "maladie_id", F.lit(1).cast("bigint").alias("__n")) if fits_broadcast(m)
-           else rows.groupBy("annee", "mois", "maladie_id").agg(_n().alias("__n")))
-    j = join_dim(per, m, "maladie_id")
+    per = wh.fact_admissions.groupBy("temps_id", "maladie_id").agg(_n().alias("__n"))
+    j = join_dim(per.join(_cal(wh, "annee", "mois"), "temps_id"), m, "maladie_id")
     return j.groupBy("annee", "mois", "categorie").agg(F.sum("__n").alias("admissions"))
 
 

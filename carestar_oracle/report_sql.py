@@ -53,6 +53,15 @@ SELECT m.nom_maladie, r.nom_region, count(*) AS n
 FROM fact_admissions f JOIN dim_patient p ON f.patient_id = p.patient_id
 JOIN dim_region r ON p.region_id = r.region_id JOIN dim_disease m ON f.maladie_id = m.maladie_id
 GROUP BY m.nom_maladie, r.nom_region"""),
+    "pivot_disease_age_band": W("""
+SELECT m.categorie,
+       count(*) FILTER (p.tranche_age = '0-17') AS "0-17", count(*) FILTER (p.tranche_age = '18-30') AS "18-30",
+       count(*) FILTER (p.tranche_age = '31-50') AS "31-50", count(*) FILTER (p.tranche_age = '51-65') AS "51-65",
+       count(*) FILTER (p.tranche_age = '65+') AS "65+",
+       count(*) FILTER (p.tranche_age IS NULL OR p.tranche_age NOT IN ('0-17', '18-30', '31-50', '51-65', '65+')) AS autres,
+       count(*) AS total
+FROM fact_admissions f JOIN dim_patient p ON f.patient_id = p.patient_id
+JOIN dim_disease m ON f.maladie_id = m.maladie_id GROUP BY m.categorie"""),
     "category_trend": W("""
 SELECT t.annee, t.mois, m.categorie, count(*) AS admissions
 FROM fact_admissions f JOIN dim_disease m ON f.maladie_id = m.maladie_id JOIN dim_date t ON f.temps_id = t.temps_id
