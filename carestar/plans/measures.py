@@ -19,9 +19,15 @@ Filter-context rules kept from the BI model:
   are aggregated per table and then joined on the axis keys (drill-across,
   never row to row).
 
-Everything is a DataFrame aggregation: per table one ``groupBy(by).agg`` with
-one conditional aggregate per measure (map-side partial aggregation keeps hot
-axis values cheap); two-level measures pre-aggregate on (axis, inner key).
+Every measure is split into mergeable parts.  When an axis, slicer or filter
+lies in a dimension that grows with the data, the parts are aggregated on the
+table's own columns (foreign keys, own axes) first, the dimensions join those
+rows, and the parts are merged under the measure's mask above the join: no
+table row meets such a dimension.  The calendar is bounded by its range and is
+joined (broadcast) below.  Distinct counts of whole-number ids are bitmaps where
+no growing dimension takes part, distinct (keys, id) rows otherwise; each has a
+plan of its own, so no row is expanded.  Two-level measures merge per (axis,
+inner key).
 """
 
 from __future__ import annotations
@@ -33,18 +39,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import bitmaps
+
 Pred = Callable[[Column], Column]
 
 
+@dataclass(frozen=True)
+class Aggregate:
+    """An aggregate in two steps: ``parts`` over table rows, ``merge(part, mask)`` over rows of parts.
+
+    ``part`` gives the column of a part by its name.  With ``distinct`` the
+    aggregate counts the distinct values of that column and has no parts.
+    """
+    parts: Mapping[str, Column]
+    merge: Callable[[Callable[[str], Column], Column], Column] | None = None
+    distinct: str | None = None
+
+
 @dataclass(frozen=True)
 class Measure:
     key: str
     label: str
     table: str | None = None
-    agg: Callable[[Column], Column] | None = None       # mask -> aggregate
+    agg: Aggregate | Callable[[Column], Column] | None = None   # two-level measures: inner value -> aggregate
     filters: Mapping[str, Pred] = field(default_factory=dict)    # replace slicers on these columns
     intersect: Mapping[str, Pred] = field(default_factory=dict)  # added to the slicers
-    inner: tuple[str, Callable[[Column], Column]] | None = None  # two-level: (key column, mask -> inner agg)
+    inner: tuple[str, Aggregate] | None = None  # two-level: (key column, inner aggregate)
     derive: Callable[[dict[str, Column]], Column] | None = None
     deps: tuple[str, ...] = ()
     uses: tuple[str, ...] = ()  # columns the aggregate reads from related dimensions
@@ -54,6 +74,27 @@ class Measure:
 class Model:
     tables: dict[str, DataFrame]
     relations: list[tuple[str, str, str, str]]  # (table, fk, dim, pk)
+    bounded: frozenset[str] = frozenset()  # dimensions whose rows are bounded by construction
+
+    def below(self, table: str, columns: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+        """``table`` joined with its bounded dimensions, and what its parts are grouped on:
+        the columns found there, and the foreign keys that lead to the others."""
+        here, away, keys = [], [], []
+        for c in columns:
+            path = self.path_to(table, c)
+            if path is None:
+                raise ValueError(f"column {c!r} is not reachable from table {table!r}")
+            if all(dim in self.bounded for _, dim, _ in path):
+                here.append(c)
+            else:
+                away.append(c)
+                if path[0][0] not in keys:
+                    keys.append(path[0][0])
+        return self.frame(table, here, broadcast=True), here, keys if away else []
+
+    def above(self, rows: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+        """Rows of parts of ``table`` with the columns of its growing dimensions."""
+        return Model({**self.tables, table: rows}, self.relations).frame(table, columns)
 
     def _edges(self, table: str):
         return [(fk, dim, pk) for t, fk, dim, pk in self.relations if t == table]
@@ -76,7 +117,7 @@ class Model:
             frontier = nxt
         return None
 
-    def frame(self, table: str, columns: Sequence[str]) -> DataFrame:
+    def frame(self, table: str, columns: Sequence[str], broadcast: bool = False) -> DataFrame:
         """``table`` with every requested column available under its bare name.
 
         Each hop is a left join of one dimension column on the relation key
@@ -98,7 +139,8 @@ class Model:
         for (_, fk, dim, pk), targets in sorted(hops.items(), key=lambda kv: kv[0][0]):
             missing = [t for t in targets if t not in df.columns]
             if missing:
-                df = df.join(self.tables[dim].select(F.col(pk).alias(fk), *missing), fk, "left")
+                side = self.tables[dim].select(F.col(pk).alias(fk), *missing)
+                df = df.join(F.broadcast(side) if broadcast else side, fk, "left")
         return df
 
 
@@ -109,30 +151,44 @@ def _and(preds: list[Column]) -> Column:
     return out
 
 
-def count_rows(mask: Column) -> Column:
-    return F.nullif(F.count(F.when(mask, F.lit(1))), F.lit(0))
+def _col(expr) -> Column:
+    return expr if isinstance(expr, Column) else F.col(expr)
+
 
+def count_rows() -> Aggregate:
+    return Aggregate({"n": F.count(F.lit(1))}, lambda p, m: F.nullif(F.coalesce(F.sum(F.when(m, p("n"))), F.lit(0)), F.lit(0)))
 
-def distinct_count(col: str) -> Callable[[Column], Column]:
-    return lambda mask: F.nullif(F.count_distinct(F.when(mask, F.col(col))), F.lit(0))
 
+def distinct_count(col: str) -> Aggregate:
+    return Aggregate({}, distinct=col)
 
-def sum_of(expr) -> Callable[[Column], Column]:
-    return lambda mask: F.sum(F.when(mask, expr if isinstance(expr, Column) else F.col(expr)))
 
+def sum_of(expr) -> Aggregate:
+    return Aggregate({"s": F.sum(_col(expr))}, lambda p, m: F.sum(F.when(m, p("s"))))
 
-def exact_sum(expr: Column, scale: int = 2) -> Callable[[Column], Column]:
+
+def exact_sum(expr: Column, scale: int = 2) -> Aggregate:
     """Money sum: each value rounded to ``scale`` decimals and summed as a decimal,
     so the total does not depend on the order in which partitions are added."""
-    return lambda mask: F.sum(F.when(mask, expr.cast(f"decimal(18,{scale})"))).cast("double")
+    return Aggregate({"s": F.sum(expr.cast(f"decimal(18,{scale})"))}, lambda p, m: F.sum(F.when(m, p("s"))).cast("double"))
+
+
+def avg_of(expr) -> Aggregate:
+    return Aggregate({"s": F.sum(_col(expr)), "c": F.count(_col(expr))}, lambda p, m: F.try_divide(
+        F.sum(F.when(m, p("s"))).cast("double"), F.sum(F.when(m, p("c"))).cast("double")))
 
 
-def avg_of(expr) -> Callable[[Column], Column]:
-    return lambda mask: F.avg(F.when(mask, expr if isinstance(expr, Column) else F.col(expr)))
+def avg_of_related(col: str) -> Aggregate:
+    """Mean of a dimension's column over the table's rows: weighted by the rows of each key."""
+    def merge(p, m):
+        known = m & F.col(col).isNotNull()
+        return F.try_divide(F.sum(F.when(known, F.col(col) * p("n"))).cast("double"),
+                            F.sum(F.when(known, p("n"))).cast("double"))
+    return Aggregate({"n": F.count(F.lit(1))}, merge)
 
 
-def max_of(expr) -> Callable[[Column], Column]:
-    return lambda mask: F.max(F.when(mask, expr if isinstance(expr, Column) else F.col(expr)))
+def max_of(expr) -> Aggregate:
+    return Aggregate({"m": F.max(_col(expr))}, lambda p, m: F.max(F.when(m, p("m"))))
 
 
 def divide(a: Column, b: Column) -> Column:
@@ -168,6 +224,56 @@ def _join_on_axes(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataF
                     *[c for c in right.columns if c not in by])
 
 
+def _bare(c: str) -> str:
+    return c.split(".", 1)[-1]
+
+
+def _part(model: Model, ms: list[Measure], by: Sequence[str], axes: Sequence[str], slicers: Mapping[str, Sequence]) -> DataFrame:
+    """The measures of one table (and one inner key, or one distinct count): a row per axis value."""
+    table, inner_key = ms[0].table, ms[0].inner[0] if ms[0].inner else None
+    replaced = {c for m in ms for c in m.filters}
+    cols = sorted(set(by) | set(slicers) | {c for m in ms for c in (*m.filters, *m.intersect, *m.uses)})
+    df, here, keys = model.below(table, cols)
+
+    def sliced(frame: DataFrame, columns) -> DataFrame:
+        common = [F.col(_bare(c)).isin(list(v)) for c, v in slicers.items() if c not in replaced and c in columns]
+        return frame.filter(_and(common)) if common else frame
+
+    def mask_of(m: Measure) -> Column:
+        preds = [F.col(_bare(c)).isin(list(v)) for c, v in slicers.items() if c in replaced and c not in m.filters]
+        preds += [p(F.col(_bare(c))) for c, p in (*m.filters.items(), *m.intersect.items())]
+        return _and(preds)
+
+    df, away = sliced(df, here), [c for c in cols if c not in here]
+    own = [_bare(c) for c in here]
+    group = list(dict.fromkeys([*own, *keys, *([inner_key] if inner_key else [])]))
+    aggs = [m.inner[1] if m.inner else m.agg for m in ms]
+
+    if inner_key is None and aggs[0].distinct:
+        m, col = ms[0], aggs[0].distinct
+        if not away and bitmaps.fits(df, col):
+            # the groups of the result are all kept, also those whose count is blank
+            maps = bitmaps.bitmaps(df, axes, col, mask_of(m))
+            found = bitmaps.count(maps, axes, m.key)
+            if not axes:
+                return found.select(F.nullif(m.key, F.lit(0)).alias(m.key))
+            return _join_on_axes(df.select(*axes).distinct(), found, axes)
+        rows = sliced(model.above(df.select(*dict.fromkeys([*group, col])).distinct(), table, away), away)
+        counted = F.nullif(F.count_distinct(F.when(mask_of(m), F.col(col))), F.lit(0)).alias(m.key)
+        return rows.groupBy(*axes).agg(counted) if axes else rows.agg(counted)
+
+    named = [c.alias(f"__{m.key}_{n}") for m, a in zip(ms, aggs) for n, c in a.parts.items()]
+    rows = df.groupBy(*group).agg(*named) if group else df.agg(*named)
+    rows = sliced(model.above(rows, table, away), away) if away else rows
+    merged = [a.merge(lambda n, m=m: F.col(f"__{m.key}_{n}"), mask_of(m)) for m, a in zip(ms, aggs)]
+    if inner_key is None:
+        out = [c.alias(m.key) for m, c in zip(ms, merged)]
+        return rows.groupBy(*axes).agg(*out) if axes else rows.agg(*out)
+    pre = rows.groupBy(*axes, inner_key).agg(*[c.alias(f"__in_{m.key}") for m, c in zip(ms, merged)])
+    out = [m.agg(F.col(f"__in_{m.key}").isNotNull()).alias(m.key) for m in ms]
+    return pre.groupBy(*axes).agg(*out) if axes else pre.agg(*out)
+
+
 def measure(model: Model, registry: Mapping[str, Measure], keys: Sequence[str], by: Sequence[str] = (),
             slicers: Mapping[str, Sequence] | None = None, digits: int | None = 4) -> DataFrame:
     slicers = dict(slicers or {})
@@ -177,33 +283,10 @@ def measure(model: Model, registry: Mapping[str, Measure], keys: Sequence[str],
     base = [m for m in plan if m.derive is None]
     groups: dict[tuple, list[Measure]] = {}
     for m in base:
-        groups.setdefault((m.table, m.inner[0] if m.inner else None), []).append(m)
-
-    parts: list[DataFrame] = []
-    for (table, inner_key), ms in groups.items():
-        replaced = {c for m in ms for c in m.filters}
-        cols = set(by) | set(slicers) | {c for m in ms for c in (*m.filters, *m.intersect, *m.uses)}
-        df = model.frame(table, sorted(cols))
-        common = [F.col(c.split(".", 1)[-1]).isin(list(v)) for c, v in slicers.items() if c not in replaced]
-        if common:
-            df = df.filter(_and(common))
-
-        def mask_of(m: Measure) -> Column:
-            preds = [F.col(c.split(".", 1)[-1]).isin(list(v)) for c, v in slicers.items()
-                     if c in replaced and c not in m.filters]
-            preds += [p(F.col(c.split(".", 1)[-1])) for c, p in m.filters.items()]
-            preds += [p(F.col(c.split(".", 1)[-1])) for c, p in m.intersect.items()]
-            return _and(preds)
-
-        if inner_key is None:
-            aggs = [m.agg(mask_of(m)).alias(m.key) for m in ms]
-            part = df.groupBy(*axes).agg(*aggs) if axes else df.agg(*aggs)
-        else:
-            pre = df.groupBy(*axes, inner_key).agg(*[m.inner[1](mask_of(m)).alias(f"__in_{m.key}") for m in ms])
-            aggs = [m.agg(F.col(f"__in_{m.key}").isNotNull()).alias(m.key) for m in ms]
-            part = pre.groupBy(*axes).agg(*aggs) if axes else pre.agg(*aggs)
-        parts.append(part)
+        alone = m.key if m.inner is None and m.agg.distinct else None
+        groups.setdefault((m.table, m.inner[0] if m.inner else None, alone), []).append(m)
 
+    parts = [_part(model, ms, by, axes, slicers) for ms in groups.values()]
     if axes:
         out = parts[0]
         for p in parts[1:]:
@@ -243,26 +326,26 @@ DP, DH = "dim_patient", "dim_hospital"
 def _catalogue() -> list[Measure]:
     return [
     # admissions & activity
-    Measure("total_admissions", "Total Admissions", FA, count_rows),
+    Measure("total_admissions", "Total Admissions", FA, count_rows()),
     Measure("patients_distincts", "Patients Distincts", FA, distinct_count("patient_id")),
     Measure("dms_moyen", "DMS Moyen", FA, avg_of(F.when(F.col("duree_sejour") > 0, F.col("duree_sejour")))),
     Measure("cout_moyen_sejour", "Coût Moyen Séjour", FA, avg_of("cout_hospitalisation")),
     Measure("cout_total", "Coût Total", FA, sum_of("cout_hospitalisation")),
-    Measure("admissions_urgence", "Admissions Urgence", FA, count_rows,
+    Measure("admissions_urgence", "Admissions Urgence", FA, count_rows(),
             filters={"mode_admission": _eq("Urgence")}),
     Measure("pct_admissions_urgences", "% Admissions Urgences",
             derive=lambda c: divide(c["admissions_urgence"], c["total_admissions"]) * 100.0,
             deps=("admissions_urgence", "total_admissions")),
-    Measure("admissions_programmees", "Admissions Programmées", FA, count_rows,
+    Measure("admissions_programmees", "Admissions Programmées", FA, count_rows(),
             filters={"mode_admission": _eq("Programmée")}),
     Measure("patients_multi_sejours", "Patients 2+ séjours", FA,
             agg=lambda present: F.nullif(F.count(F.when(present & (F.col("__in_patients_multi_sejours") >= 2), 1)), F.lit(0)),
-            inner=("patient_id", lambda mask: F.nullif(F.count(F.when(mask, 1)), F.lit(0)))),
+            inner=("patient_id", count_rows())),
     Measure("taux_readmission", "Taux Réadmission",
             derive=lambda c: divide(c["patients_multi_sejours"], c["patients_distincts"]) * 100.0,
             deps=("patients_multi_sejours", "patients_distincts")),
     # patients
-    Measure("age_moyen_patients", "Âge Moyen Patients", FA, avg_of("age"), uses=("age",)),
+    Measure("age_moyen_patients", "Âge Moyen Patients", FA, avg_of_related("age"), uses=("age",)),
     Measure("patients_hommes", "Patients Hommes", DP, distinct_count("patient_id"), filters={"sexe": _eq("M")}),
     Measure("patientes_femmes", "Patientes Femmes", DP, distinct_count("patient_id"), filters={"sexe": _eq("F")}),
     Measure("pct_femmes", "% Femmes",
@@ -272,7 +355,7 @@ def _catalogue() -> list[Measure]:
     Measure("hopitaux_actifs", "Hôpitaux Actifs", FA, distinct_count("hopital_id")),
     Measure("capacite_totale_lits", "Capacité Totale Lits", DH,
             agg=lambda present: F.sum(F.when(present, F.col("__in_capacite_totale_lits"))),
-            inner=("hopital_id", lambda mask: F.max(F.when(mask, F.col("capacite_lits"))))),
+            inner=("hopital_id", max_of("capacite_lits"))),
     Measure("taux_occupation_moyen", "Taux Occupation Moyen", FO, avg_of("taux_occupation")),
     Measure("pic_occupation", "Pic Occupation", FO, max_of("taux_occupation")),
     Measure("alertes_capacite", "Alertes Capacité", FO, sum_of("alertes")),
@@ -281,7 +364,7 @@ def _catalogue() -> list[Measure]:
             deps=("total_admissions", "capacite_totale_lits")),
     # diseases
     Measure("pathologies_distinctes", "Pathologies Distinctes", FA, distinct_count("maladie_id")),
-    Measure("maladies_chroniques", "Maladies Chroniques", FA, count_rows, filters={"est_chronique": _eq(1)}),
+    Measure("maladies_chroniques", "Maladies Chroniques", FA, count_rows(), filters={"est_chronique": _eq(1)}),
     Measure("pct_maladies_chroniques", "% Maladies Chroniques",
             derive=lambda c: divide(c["maladies_chroniques"], c["total_admissions"]) * 100.0,
             deps=("maladies_chroniques", "total_admissions")),
@@ -290,16 +373,16 @@ def _catalogue() -> list[Measure]:
     Measure("dms_aigues", "DMS Aiguës", FA, avg_of(F.when(F.col("duree_sejour") > 0, F.col("duree_sejour"))),
             intersect={"est_chronique": _eq(0)}),
     # laboratory
-    Measure("total_analyses", "Total Analyses", FL, count_rows),
+    Measure("total_analyses", "Total Analyses", FL, count_rows()),
     Measure("analyses_par_admission", "Analyses par Admission",
             derive=lambda c: divide(c["total_analyses"], c["total_admissions"]),
             deps=("total_analyses", "total_admissions")),
-    Measure("analyses_anormales", "Analyses anormales", FL, count_rows, filters={"est_anormal": _eq(1)}),
+    Measure("analyses_anormales", "Analyses anormales", FL, count_rows(), filters={"est_anormal": _eq(1)}),
     Measure("taux_anomalies", "Taux Anomalies",
             derive=lambda c: divide(c["analyses_anormales"], c["total_analyses"]) * 100.0,
             deps=("analyses_anormales", "total_analyses")),
     # prescriptions
-    Measure("total_prescriptions", "Total Prescriptions", FP, count_rows),
+    Measure("total_prescriptions", "Total Prescriptions", FP, count_rows()),
     Measure("prescriptions_par_admission", "Prescriptions par Admission",
             derive=lambda c: divide(c["total_prescriptions"], c["total_admissions"]),
             deps=("total_prescriptions", "total_admissions")),
@@ -307,14 +390,14 @@ def _catalogue() -> list[Measure]:
             exact_sum(F.col("quantite") * F.col("prix_unitaire"))),
     # pharmacy stock
     Measure("valeur_stock_total", "Valeur Stock Total", FS, exact_sum(F.col("valeur_stock"))),
-    Measure("ruptures_stock", "Ruptures Stock", FS, count_rows, filters={"sous_seuil_alerte": _eq(1)}),
-    Measure("lignes_stock", "Lignes stock", FS, count_rows),
+    Measure("ruptures_stock", "Ruptures Stock", FS, count_rows(), filters={"sous_seuil_alerte": _eq(1)}),
+    Measure("lignes_stock", "Lignes stock", FS, count_rows()),
     Measure("pct_alerte_stock", "% Alerte Stock",
             derive=lambda c: divide(c["ruptures_stock"], c["lignes_stock"]) * 100.0,
             deps=("ruptures_stock", "lignes_stock")),
     # calendar
-    Measure("admissions_semaine", "Admissions Semaine", FA, count_rows, filters={"est_weekend": _eq(0)}),
-    Measure("admissions_weekend", "Admissions Weekend", FA, count_rows, filters={"est_weekend": _eq(1)}),
+    Measure("admissions_semaine", "Admissions Semaine", FA, count_rows(), filters={"est_weekend": _eq(0)}),
+    Measure("admissions_weekend", "Admissions Weekend", FA, count_rows(), filters={"est_weekend": _eq(1)}),
     # reference tables
     Measure("population", "Population", "dim_region", sum_of("population")),
     Measure("taux_100k", "Admissions pour 100 000 habitants",
@@ -362,7 +445,24 @@ def hospital_model(wh) -> Model:
         (FP, "temps_id", "dim_date", "temps_id"), (FP, "hopital_id", DH, "hopital_id"),
         (FP, "service_id", "dim_service", "service_id"), (FS, "temps_id", "dim_date", "temps_id"),
     ]
-    return Model(tables, rel)
+    return Model(tables, rel, frozenset({"dim_date"}))
+
+
+def monthly_patient_bitmaps(fact: DataFrame, calendar: DataFrame, path: str) -> None:
+    """Store the patients of every month as bitmaps: ``annee, mois, bucket, bitmap``."""
+    cal = F.broadcast(calendar.select("temps_id", "annee", "mois"))
+    bitmaps.bitmaps(fact.join(cal, "temps_id"), ["annee", "mois"], "patient_id").write.mode("overwrite").parquet(path)
+
+
+def yearly_patients(monthly: DataFrame) -> DataFrame:
+    """Distinct patients per year from stored monthly bitmaps, next to the sum of the monthly counts.
+
+    Counts of months cannot be added (a patient may come in several); their
+    bitmaps merge without touching the fact again.
+    """
+    months = bitmaps.count(monthly, ["annee", "mois"], "n").groupBy("annee").agg(F.sum("n").alias("patients_mois_cumules"))
+    years = bitmaps.count(bitmaps.merge(monthly, ["annee"]), ["annee"], "patients_distincts")
+    return years.join(months, "annee").select("annee", "patients_distincts", "patients_mois_cumules")
 
 
 def month_over_month(fact: DataFrame, calendar: DataFrame) -> DataFrame:

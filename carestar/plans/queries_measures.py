@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from ..session import scratch_path
 from .catalog import bi_query
-from .measures import MEASURES, hospital_model, measure, month_over_month
+from .measures import MEASURES, hospital_model, measure, month_over_month, monthly_patient_bitmaps, yearly_patients
 
 
 def _m(keys, by=(), slicers=None):
@@ -42,3 +43,15 @@ for _name, _keys, _by in [
     ("measures_by_test_type", ["total_analyses", "taux_anomalies"], ["type_test"]),
 ]:
     bi_query(_name, _m(_keys, by=_by))
+
+
+def yearly_patients_from_months(wh):
+    """M2 rolled up: monthly bitmaps written once, years merged from what was written."""
+    path = scratch_path(wh.spark, "patient-bitmaps")
+    monthly_patient_bitmaps(wh.fact_admissions, wh.dim_date, path)
+    return yearly_patients(wh.spark.read.parquet(path))
+
+
+bi_query("measures_yearly_patients", yearly_patients_from_months)
+# several distinct counts next to each other: a bitmap plan for each, no expanded rows
+bi_query("measures_distinct", _m(["patients_distincts", "pathologies_distinctes", "hopitaux_actifs"], by=["annee"]))

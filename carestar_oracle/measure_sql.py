@@ -141,3 +141,14 @@ for _name, _axes, _figure, _rows in [
 SQL["measures_by_test_type"] = W(f"""
 SELECT type_test, {cnt()} AS total_analyses, round({div(cnt("est_anormal = 1"), cnt())} * 100, 4) AS taux_anomalies
 FROM fact_lab GROUP BY type_test""")
+SQL["measures_yearly_patients"] = W("""
+, m AS (SELECT t.annee, t.mois, count(DISTINCT f.patient_id) AS n
+        FROM fact_admissions f JOIN dim_date t ON f.temps_id = t.temps_id GROUP BY t.annee, t.mois),
+y AS (SELECT t.annee, count(DISTINCT f.patient_id) AS patients_distincts
+      FROM fact_admissions f JOIN dim_date t ON f.temps_id = t.temps_id GROUP BY t.annee)
+SELECT y.annee, y.patients_distincts, CAST(sum(m.n) AS BIGINT) AS patients_mois_cumules
+FROM y JOIN m ON y.annee = m.annee GROUP BY y.annee, y.patients_distincts""")
+SQL["measures_distinct"] = W("""
+SELECT t.annee, count(DISTINCT f.patient_id) AS patients_distincts, count(DISTINCT f.maladie_id) AS pathologies_distinctes,
+       count(DISTINCT f.hopital_id) AS hopitaux_actifs
+FROM fact_admissions f LEFT JOIN dim_date t ON f.temps_id = t.temps_id GROUP BY t.annee""")
