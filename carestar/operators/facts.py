@@ -4,11 +4,16 @@ Every fact resolves its date through the calendar (``temps_id``).  The calendar
 has one row per day of a fixed range, so it is the one join side broadcast
 unconditionally.  Rows whose date falls outside the calendar are dropped
 (inner join) for admissions, emergencies, labs and prescriptions, and kept with
-a NULL key (left join) for sensor and stock rows, as the reference does.
+a NULL key (left join) for sensor and stock rows, as the reference does.  With
+``bounds`` (first and last day of the calendar) no row is dropped: a column
+``rejet`` tells why a date has no day, and ``rejects.write_split`` separates and
+counts the rows while it writes them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +22,9 @@ from .. import constants as K
 from ..functions import admission_mode, date_key, flag, int_or, to_date, to_number
 from .joins import join_dim
 from .quality import dedup
+from .rejects import ACCEPTED, REASON, reason
+
+Bounds = tuple[dt.date, dt.date]
 
 
 def _cal(calendar: DataFrame) -> DataFrame:
@@ -35,9 +43,16 @@ def as_date(df: DataFrame, col: str) -> Column:
 
 
 def _with_date_key(df: DataFrame, calendar: DataFrame, source_col: str, how: str,
-                   calendar_rows: int | None) -> DataFrame:
+                   calendar_rows: int | None, bounds: Bounds | None = None) -> DataFrame:
     keyed = df.withColumn("date_key", as_date(df, source_col))
-    return join_dim(keyed, _cal(calendar), on="date_key", how=how, bounded_rows=calendar_rows)
+    if bounds is None:
+        return join_dim(keyed, _cal(calendar), on="date_key", how=how, bounded_rows=calendar_rows)
+    return (join_dim(keyed, _cal(calendar), on="date_key", how="left", bounded_rows=calendar_rows)
+            .withColumn(REASON, reason(F.col("date_key"), bounds)))
+
+
+def _reason_of(df: DataFrame) -> list[str]:
+    return [REASON] if REASON in df.columns else []
 
 
 def hash_stay(admission_id) -> Column:
@@ -63,7 +78,8 @@ def stay_days(date_admission, date_sortie, admission_id: str, impute: str | None
 
 def fact_admissions(adm: DataFrame, calendar: DataFrame, discharges: DataFrame | None = None,
                     daily_rate: float = K.DAILY_RATE, impute: str | None = "hash",
-                    unique: bool = False, calendar_rows: int | None = None) -> DataFrame:
+                    unique: bool = False, calendar_rows: int | None = None,
+                    bounds: Bounds | None = None) -> DataFrame:
     """Admissions fact.
 
     ``adm``: admission_id, patient_id, date_admission, urgence, hopital_id,
@@ -81,7 +97,7 @@ def fact_admissions(adm: DataFrame, calendar: DataFrame, discharges: DataFrame |
         df = df.withColumn("service", F.lit(None).cast("string"))
     df = df.withColumn("duree_sejour", stay_days(as_date(df, "date_admission"), as_date(df, "date_sortie"),
                                                  "admission_id", impute))
-    df = _with_date_key(df, calendar, "date_admission", "inner", calendar_rows)
+    df = _with_date_key(df, calendar, "date_admission", "inner", calendar_rows, bounds)
     urgent = int_or("urgence", 0)
     out = df.select(
         "admission_id", "patient_id", "temps_id", "hopital_id", "service_id", "maladie_id",
@@ -94,6 +110,7 @@ def fact_admissions(adm: DataFrame, calendar: DataFrame, discharges: DataFrame |
         (F.col("duree_sejour").cast("double") * F.lit(float(daily_rate))).alias("cout_hospitalisation"),
         (F.col("duree_sejour").cast("double") * F.lit(float(daily_rate))).alias("cout_sejour"),
         F.col("date_key").alias("date_admission"),
+        *_reason_of(df),
     )
     return out if unique else dedup(out, ["admission_id"], keep="first")
 
@@ -108,7 +125,9 @@ def with_readmission(fact: DataFrame, window_days: int = K.READMISSION_DAYS) ->
     even the hottest patient's window is bounded by the calendar length;
     (3) join back on (patient, day), where AQE splits skewed partitions.
     """
-    day = (fact.groupBy("patient_id", "date_admission")
+    # a rejected admission is no earlier stay of anybody
+    valid = fact.filter(F.col(REASON) == ACCEPTED) if REASON in fact.columns else fact
+    day = (valid.groupBy("patient_id", "date_admission")
            .agg(F.max(F.date_add("date_admission", F.col("duree_sejour"))).alias("last_out")))
     w = Window.partitionBy("patient_id").orderBy("date_admission").rowsBetween(Window.unboundedPreceding, -1)
     prev = day.select("patient_id", "date_admission", F.max("last_out").over(w).alias("prev_out"))
@@ -118,7 +137,7 @@ def with_readmission(fact: DataFrame, window_days: int = K.READMISSION_DAYS) ->
             .drop("prev_out"))
 
 
-def fact_emergency(adm: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
+def fact_emergency(adm: DataFrame, calendar: DataFrame, calendar_rows: int | None = None, bounds: Bounds | None = None) -> DataFrame:
     """Emergency visits: the urgent subset of admissions (``urgence`` = 1 as text
     or number, read as for the admissions).  Wait, triage level, disposition and treatment minutes are
     source columns (NULL when absent)."""
@@ -127,7 +146,7 @@ def fact_emergency(adm: DataFrame, calendar: DataFrame, calendar_rows: int | Non
                  ("duree_traitement_minutes", "int")):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast(t))
-    df = _with_date_key(df, calendar, "date_admission", "inner", calendar_rows)
+    df = _with_date_key(df, calendar, "date_admission", "inner", calendar_rows, bounds)
     wait = F.col("temps_attente_minutes").cast("int")
     return df.select(
         F.concat(F.lit("URG-"), F.col("admission_id").cast("string")).alias("urgence_id"),
@@ -137,11 +156,12 @@ def fact_emergency(adm: DataFrame, calendar: DataFrame, calendar_rows: int | Non
         "disposition",
         flag(F.col("disposition") == K.DISPOSITION_ADMITTED).alias("est_hospitalise"),
         (wait + F.col("duree_traitement_minutes").cast("int")).alias("duree_prise_en_charge"),
+        *_reason_of(df),
     )
 
 
-def fact_lab(labs: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
-    df = _with_date_key(labs, calendar, "date_test", "inner", calendar_rows)
+def fact_lab(labs: DataFrame, calendar: DataFrame, calendar_rows: int | None = None, bounds: Bounds | None = None) -> DataFrame:
+    df = _with_date_key(labs, calendar, "date_test", "inner", calendar_rows, bounds)
     return df.select(
         "labo_id", "patient_id", "temps_id", "hopital_id", "type_test",
         to_number("resultat").alias("resultat_numerique"),
@@ -149,18 +169,20 @@ def fact_lab(labs: DataFrame, calendar: DataFrame, calendar_rows: int | None = N
         int_or("est_anormal", 0).alias("est_anormal"),
         to_number("valeur_ref_min").alias("valeur_ref_min"),
         to_number("valeur_ref_max").alias("valeur_ref_max"),
+        *_reason_of(df),
     )
 
 
-def fact_prescriptions(rx: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
+def fact_prescriptions(rx: DataFrame, calendar: DataFrame, calendar_rows: int | None = None, bounds: Bounds | None = None) -> DataFrame:
     df = ensure_rx_columns(rx)
-    df = _with_date_key(df, calendar, "date_prescription", "inner", calendar_rows)
+    df = _with_date_key(df, calendar, "date_prescription", "inner", calendar_rows, bounds)
     return df.select(
         "prescription_id", "patient_id", "temps_id", "hopital_id", "service_id", "medicament", "dosage",
         int_or("duree_jours", K.DEFAULT_RX_DAYS).alias("duree_jours"),
         int_or("est_chronique", 0).alias("est_chronique"),
         to_number("quantite").alias("quantite"),
         to_number("prix_unitaire").alias("prix_unitaire"),
+        *_reason_of(df),
     )
 
 
@@ -179,14 +201,14 @@ def sensor_measures(sensors: DataFrame) -> DataFrame:
             .withColumn("alertes", flag(occ >= tot)))
 
 
-def fact_bed_occupancy(sensors: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
-    df = _with_date_key(sensors, calendar, "date", "left", calendar_rows)
+def fact_bed_occupancy(sensors: DataFrame, calendar: DataFrame, calendar_rows: int | None = None, bounds: Bounds | None = None) -> DataFrame:
+    df = _with_date_key(sensors, calendar, "date", "left", calendar_rows, bounds)
     return df.select("capteur_id", "hopital_id", "service_id", "temps_id", F.col("date_key").alias("date"),
                      F.col("heure").cast("int").alias("heure"),
                      F.col("lits_occupes").cast("int").alias("lits_occupes"),
                      F.col("lits_total").cast("int").alias("lits_total"),
                      F.col("taux_occupation").cast("double").alias("taux_occupation"),
-                     int_or("alertes", 0).alias("alertes"))
+                     int_or("alertes", 0).alias("alertes"), *_reason_of(df))
 
 
 def stock_measures(stock: DataFrame, threshold: int) -> DataFrame:
@@ -196,11 +218,11 @@ def stock_measures(stock: DataFrame, threshold: int) -> DataFrame:
             .withColumn("sous_seuil_alerte", flag(s < threshold)))
 
 
-def fact_pharmacy_stock(stock: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
-    df = _with_date_key(stock, calendar, "date", "left", calendar_rows)
+def fact_pharmacy_stock(stock: DataFrame, calendar: DataFrame, calendar_rows: int | None = None, bounds: Bounds | None = None) -> DataFrame:
+    df = _with_date_key(stock, calendar, "date", "left", calendar_rows, bounds)
     return df.select("stock_id", "temps_id", F.col("date_key").alias("date"), "code_medicament", "nom_medicament",
                      F.col("stock_disponible").cast("int").alias("stock_disponible"),
                      F.col("consommation_j").cast("bigint").alias("consommation_j"),
                      F.col("prix_unitaire").cast("double").alias("prix_unitaire"),
                      F.col("valeur_stock").cast("double").alias("valeur_stock"),
-                     int_or("sous_seuil_alerte", 0).alias("sous_seuil_alerte"))
+                     int_or("sous_seuil_alerte", 0).alias("sous_seuil_alerte"), *_reason_of(df))

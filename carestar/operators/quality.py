@@ -142,7 +142,12 @@ def run_log_rules() -> dict[str, Column]:
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Fact rows whose key has no dimension row (``LEFT JOIN … IS NULL``)."""
-    return fact.join(dim.select(key).distinct(), on=key, how="left_anti")
+    return fact.join(dim.select(key), on=key, how="left_anti")
+
+
+def orphan_counts(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """``key, n``: keys of the fact without a dimension row; the join meets one row per key."""
+    return orphans(fact.groupBy(key).agg(F.count(F.lit(1)).alias("n")), dim, key)
 
 
 def quality_score(audit_df: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ Layout choices for scale:
   year (``annee_admission``): year filters prune directories, date filters
   skip row groups through Parquet min/max statistics, and even a date holding
   a third of all admissions is split over many write tasks.
+* Rows without a calendar day are stored apart by reason and counted by
+  ``observe`` during the same write (``operators.rejects``).
 * A build is published by a marker written last; a folder without the marker
   is never read (an interrupted build is simply rebuilt).
 * The folder name is a fingerprint of the inputs (paths, sizes, modification
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..operators import facts, rejects
 from ..session import cached_frame, checkpoint_dir, local_path
 from ..sources import binding as B
 from .warehouse import Warehouse
@@ -39,8 +42,11 @@ from .warehouse import Warehouse
 DIMENSIONS = ["dim_date", "dim_region", "dim_hospital", "dim_service", "dim_disease", "dim_patient"]
 FACTS = ["fact_admissions", "fact_emergency", "fact_lab", "fact_prescriptions", "fact_bed_occupancy",
          "fact_pharmacy_stock"]
+# facts that keep rows without a calendar day (with a NULL key)
+UNDATED_KEPT = {"fact_bed_occupancy", "fact_pharmacy_stock"}
 MARKER = "_BUILD_OK"
-BUILD_VERSION = "1"
+REJECT_COUNTS = "reject_counts"
+BUILD_VERSION = "2"
 
 
 def _code_hash() -> str:
@@ -109,26 +115,32 @@ def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, par
     wh.stg_admissions.write.mode("overwrite").parquet(f"{base}/staging/stg_admissions")
     w = wh.replace(stg_admissions=spark.read.parquet(f"{base}/staging/stg_admissions"))
 
-    def write_admissions() -> None:
-        fa = w.fact_admissions_readmit.withColumn("annee_admission", F.year("date_admission"))
+    bounds = w.calendar_bounds
+
+    def write_admissions() -> list[tuple]:
+        fa = facts.with_readmission(w.dated("fact_admissions", bounds))
+        fa = fa.withColumn("annee_admission", F.year("date_admission"))
         # range partitions sized by AQE (or fixed by ``partitions``); the id as second
         # range key splits a date that holds a large share of all admissions
         keys = ["date_admission", "admission_id"]
         ranged = fa.repartitionByRange(partitions, *keys) if partitions else fa.repartitionByRange(*keys)
-        # the year-partitioned write sorts each task by year anyway; sorting by
-        # (year, date) instead costs the same and leaves every file ordered by
-        # date, so row-group min/max statistics skip date ranges
-        ranged = ranged.sortWithinPartitions("annee_admission", "date_admission")
-        (ranged.write.mode("overwrite")
-         .partitionBy("annee_admission").parquet(f"{base}/fact_admissions"))
-
-    def writer(name: str):
+        # the partitioned write sorts each task by reason and year anyway; sorting by
+        # the date too costs the same and leaves every file ordered by date, so
+        # row-group min/max statistics skip date ranges
+        return rejects.write_split(ranged, f"{base}/fact_admissions", "fact_admissions", then_by=["annee_admission"],
+                                   sort=["date_admission"])
+
+    def fact_writer(name: str):
+        return lambda: rejects.write_split(w.dated(name, bounds), f"{base}/{name}", name, keep=name in UNDATED_KEPT)
+
+    def dim_writer(name: str):
         return lambda: getattr(w, name).write.mode("overwrite").parquet(f"{base}/{name}")
 
-    jobs = [write_admissions] + [writer(t) for t in DIMENSIONS + FACTS[1:]]
+    jobs = [write_admissions] + [dim_writer(t) for t in DIMENSIONS] + [fact_writer(t) for t in FACTS[1:]]
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
+        counts = [row for f in [pool.submit(j) for j in jobs] for row in f.result() or []]
+    # a few rows per fact, observed while it was written
+    spark.createDataFrame(counts, rejects.COUNTS).coalesce(1).write.mode("overwrite").parquet(f"{base}/{REJECT_COUNTS}")
     spark.range(1).select(F.lit(BUILD_VERSION).alias("version")).write.mode("overwrite").json(f"{base}/{MARKER}")
     return base
 
@@ -144,7 +156,32 @@ class BuiltWarehouse(Warehouse):
         # a published build never changes (new inputs or code get a new folder),
         # so its relations are resolved once per session
         path = f"{self.path}/{name}"
-        return cached_frame(self.spark, ("build", path), lambda: self.spark.read.parquet(path))
+        if name not in FACTS:
+            return cached_frame(self.spark, ("build", path), lambda: self.spark.read.parquet(path))
+        path = rejects.accepted_path(path)
+        return cached_frame(self.spark, ("build", path), lambda: self._or_empty(
+            name, lambda: self.spark.read.parquet(path)))
+
+    def _or_empty(self, name: str, read) -> DataFrame:
+        """What ``read`` gives; a fact of which no row was written has no folder to read."""
+        try:
+            return read()
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        none = self.dated(name)
+        if name == FACTS[0]:
+            none = facts.with_readmission(none).withColumn("annee_admission", F.year("date_admission"))
+        return none.filter(F.lit(False))
+
+    @cached_property
+    def reject_counts(self) -> DataFrame:
+        """``table_name, motif, n_lignes, conserve`` of every fact, as observed when it was written."""
+        return self._read(REJECT_COUNTS)
+
+    def rejects(self, name: str) -> DataFrame:
+        """Rows of a fact whose date has no calendar day, with every column and the reason."""
+        return self._or_empty(name, lambda: rejects.read_rejects(self.spark, f"{self.path}/{name}"))
 
     @cached_property
     def dim_date(self) -> DataFrame:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..operators.rejects import REASON
 from . import kpis
-from .catalog import bi_query, wh_query
+from .build import FACTS, warehouse_for
+from .catalog import QUERIES, bi_query, wh_query
 
 # warehouse tables
 wh_query("dim_region", lambda wh: wh.dim_region)
@@ -36,3 +42,25 @@ bi_query("kpi_top_drugs", kpis.kpi_top_drugs)
 bi_query("kpi_incidence", kpis.kpi_incidence)
 bi_query("kpi_cache", kpis.kpi_cache)
 bi_query("kpi_cache_top5", kpis.kpi_cache_top5)
+
+
+# Rows beyond a calendar that ends in 2000, by table and reason
+def calendar_rejects(spark, sf_dir):
+    """What was observed during the build next to the rows that were stored apart.
+
+    Sensor and stock rows keep a NULL key in their fact (``conserve`` 1), so none of them is stored apart.
+    """
+    wh = warehouse_for(spark, sf_dir, calendar_end=dt.date(2000, 12, 31))
+    apart = None
+    for name in FACTS:
+        kept_apart = wh.rejects(name)
+        if REASON not in kept_apart.columns:    # a fact without any row
+            continue
+        rows = (kept_apart.groupBy(F.col(REASON).alias("motif")).agg(F.count(F.lit(1)).alias("n_apart"))
+                .withColumn("table_name", F.lit(name)))
+        apart = rows if apart is None else apart.unionByName(rows)
+    return (wh.reject_counts.join(apart, ["table_name", "motif"], "left")
+            .select("table_name", "motif", "n_lignes", "conserve", F.coalesce("n_apart", F.lit(0)).alias("n_apart")))
+
+
+QUERIES["calendar_rejects"] = calendar_rejects

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (age_band_staging, age_band_warehouse, flag_label, iso_date, non_blank, normalize_sex,
                          occupancy_level, postcode, stay_class)
+from ..operators import audit_state as A
 from ..operators import dims as D
 from ..operators import quality as Q
 from ..operators.mart import analytics_mart
+from ..session import scratch_path
 from ..sources import binding as B
 from .catalog import bi_query, wh_query
 from .warehouse import Warehouse
@@ -33,14 +37,23 @@ wh_query("dedup_keep_first", lambda wh: B.admission_details(
     Q.dedup(wh.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER, keep="first")))
 
 
+def _in_part(wh: Warehouse) -> DataFrame:
+    """Raw admissions with ``in_part``: those whose disease is in the part table (unique there) are prescriptions too.
+
+    One lineitem-orders join serves the audits of both tables.
+    """
+    part = wh.table("part").select(F.col("p_partkey").alias("maladie_id"), F.lit(True).alias("in_part"))
+    return _admissions_audited(wh).join(part, "maladie_id", "left")
+
+
 def dedup_stats(wh: Warehouse) -> DataFrame:
-    return Q.dedup_stats({
-        "stg_admissions": (wh.stg_admissions_raw, ["admission_id"]),
-        "stg_patients": (_patients_raw(wh), ["patient_id"]),
-        "stg_hopitaux": (B.stg_hospitals(wh.spark, wh.sf_dir), ["hopital_id"]),
-        "stg_laboratoires": (B.stg_labs(wh.spark, wh.sf_dir), ["labo_id"]),
-        "stg_medicaments": (B.stg_prescriptions(wh.spark, wh.sf_dir, wh.stg_admissions_raw), ["prescription_id"]),
-    })
+    hospitals, labs = B.stg_hospitals(wh.spark, wh.sf_dir), B.stg_labs(wh.spark, wh.sf_dir)
+    return A.duplicate_report(
+        A.audit_state(_in_part(wh), "admission_id", [A.Audited("stg_admissions"),
+                                                     A.Audited("stg_medicaments", where=F.col("in_part"))])
+        .unionByName(A.audit_state(_patients_raw(wh), "patient_id", [A.Audited("stg_patients")]))
+        .unionByName(A.audit_state(hospitals, "hopital_id", [A.Audited("stg_hopitaux")]))
+        .unionByName(A.audit_state(labs, "labo_id", [A.Audited("stg_laboratoires")])))
 
 
 wh_query("dedup_stats", dedup_stats)
@@ -57,15 +70,26 @@ wh_query("normalize_postcode", lambda wh: B.stg_hospitals(wh.spark, wh.sf_dir).s
 
 # Q7 / Q10: audit and quality score
 def quality_audit(wh: Warehouse) -> DataFrame:
-    labs = B.stg_labs(wh.spark, wh.sf_dir)
-    rx = B.stg_prescriptions(wh.spark, wh.sf_dir, wh.stg_admissions_raw)
-    return (Q.audit(_patients_raw(wh), "stg_patients", ["patient_id"], Q.patient_audit_metrics())
-            .unionByName(Q.audit(_admissions_audited(wh), "stg_admissions", ["admission_id"],
-                                 Q.admission_audit_metrics()))
-            .unionByName(Q.audit(labs, "stg_laboratoires", ["labo_id"], {"nulls_result": F.col("resultat").isNull()}))
-            .unionByName(Q.audit(rx, "stg_medicaments", ["prescription_id"], {})))
-
-
+    admissions = A.audit_state(_in_part(wh), "admission_id", [
+        A.Audited("stg_admissions", Q.admission_audit_metrics()),
+        A.Audited("stg_medicaments", where=F.col("in_part"))])
+    patients = A.audit_state(_patients_raw(wh), "patient_id", [A.Audited("stg_patients", Q.patient_audit_metrics())])
+    labs = A.audit_state(B.stg_labs(wh.spark, wh.sf_dir), "labo_id", [
+        A.Audited("stg_laboratoires", {"nulls_result": F.col("resultat").isNull()})])
+    return A.audit_report(admissions.unionByName(patients).unionByName(labs))
+
+
+def audit_by_load(wh: Warehouse) -> DataFrame:
+    """Two loads of admissions, each audited when it lands; the report merges what was stored."""
+    raw, path = _admissions_audited(wh), scratch_path(wh.spark, "audit-states")
+    cut = F.col("date_admission") < F.lit(dt.date(1998, 1, 1))
+    for load, rows in (("1", raw.filter(cut)), ("2", raw.filter(~cut | F.col("date_admission").isNull()))):
+        A.store_load(A.audit_state(rows, "admission_id", [A.Audited("stg_admissions", Q.admission_audit_metrics())]),
+                     path, load)
+    return A.audit_report(wh.spark.read.parquet(path).drop("load"))
+
+
+wh_query("audit_by_load", audit_by_load)
 wh_query("quality_audit", quality_audit)
 wh_query("quality_score", lambda wh: Q.quality_score(quality_audit(wh)))
 
@@ -80,8 +104,8 @@ def validate_rules(wh: Warehouse) -> DataFrame:
 wh_query("validate_rules", validate_rules)
 
 # Q9: admissions whose patient is missing
-bi_query("orphan_check", lambda wh: Q.orphans(wh.fact_admissions, wh.dim_patient, "patient_id")
-         .agg(F.count(F.lit(1)).alias("orphelins")))
+bi_query("orphan_check", lambda wh: Q.orphan_counts(wh.fact_admissions, wh.dim_patient, "patient_id")
+         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphelins")))
 
 # Q11: value counts
 bi_query("value_counts", lambda wh: Q.value_counts(wh.dim_patient, "tranche_age"))

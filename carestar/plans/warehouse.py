@@ -80,10 +80,34 @@ class Warehouse:
         return dims.dim_patient(B.stg_patients(self.spark, self.sf_dir), self.dim_region, self.default_region)
 
     # facts ---------------------------------------------------------------
+    def dated(self, name: str, bounds: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+        """A fact by name; with ``bounds`` it keeps every row and tells in ``rejet`` why a date has no day."""
+        cal = {"calendar_rows": self.calendar_rows, "bounds": bounds}
+        if name == "fact_admissions":
+            return facts.fact_admissions(self.stg_admissions, self.dim_date, daily_rate=self.daily_rate, unique=True, **cal)
+        if name == "fact_emergency":
+            return facts.fact_emergency(self.stg_admissions, self.dim_date, **cal)
+        if name == "fact_lab":
+            return facts.fact_lab(B.stg_labs(self.spark, self.sf_dir), self.dim_date, **cal)
+        if name == "fact_prescriptions":
+            # from the cleaned staging: prescriptions are deduped (latest version per
+            # prescription) before the fact is built, and the build reuses the written
+            # staging instead of joining the raw sources a second time
+            return facts.fact_prescriptions(B.stg_prescriptions(self.spark, self.sf_dir, self.stg_admissions),
+                                            self.dim_date, **cal)
+        if name == "fact_bed_occupancy":
+            return facts.fact_bed_occupancy(B.stg_sensors(self.spark, self.sf_dir), self.dim_date, **cal)
+        if name == "fact_pharmacy_stock":
+            return facts.fact_pharmacy_stock(B.stg_stock(self.spark, self.sf_dir), self.dim_date, **cal)
+        raise ValueError(f"no dated fact {name!r}")
+
+    @property
+    def calendar_bounds(self) -> tuple[dt.date, dt.date]:
+        return self.calendar_start, self.calendar_end
+
     @cached_property
     def fact_admissions(self) -> DataFrame:
-        return facts.fact_admissions(self.stg_admissions, self.dim_date, daily_rate=self.daily_rate,
-                                     unique=True, calendar_rows=self.calendar_rows)
+        return self.dated("fact_admissions")
 
     @cached_property
     def fact_admissions_readmit(self) -> DataFrame:
@@ -91,26 +115,30 @@ class Warehouse:
 
     @cached_property
     def fact_emergency(self) -> DataFrame:
-        return facts.fact_emergency(self.stg_admissions, self.dim_date, calendar_rows=self.calendar_rows)
+        return self.dated("fact_emergency")
 
     @cached_property
     def fact_lab(self) -> DataFrame:
-        return facts.fact_lab(B.stg_labs(self.spark, self.sf_dir), self.dim_date, calendar_rows=self.calendar_rows)
+        return self.dated("fact_lab")
 
     @cached_property
     def fact_prescriptions(self) -> DataFrame:
-        """From the cleaned staging: prescriptions are deduped (latest version per
-        prescription) before the fact is built, and the build reuses the
-        written staging instead of joining the raw sources a second time."""
-        return facts.fact_prescriptions(B.stg_prescriptions(self.spark, self.sf_dir, self.stg_admissions),
-                                        self.dim_date, calendar_rows=self.calendar_rows)
+        return self.dated("fact_prescriptions")
 
     @cached_property
     def fact_bed_occupancy(self) -> DataFrame:
-        return facts.fact_bed_occupancy(B.stg_sensors(self.spark, self.sf_dir), self.dim_date,
-                                        calendar_rows=self.calendar_rows)
+        return self.dated("fact_bed_occupancy")
 
     @cached_property
     def fact_pharmacy_stock(self) -> DataFrame:
-        return facts.fact_pharmacy_stock(B.stg_stock(self.spark, self.sf_dir), self.dim_date,
-                                         calendar_rows=self.calendar_rows)
+        return self.dated("fact_pharmacy_stock")
+
+
+def data_calendar(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date] | None:
+    """First and last day of the years that the sources' dates cover (one aggregate per source), None without dates.
+
+    ``Warehouse(spark, sf_dir, *data_calendar(...))`` rejects no dated row.
+    """
+    dated = [("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")]
+    row = dims.year_bounds(*[(B.read(spark, sf_dir, t), c) for t, c in dated]).first()
+    return (row["start"], row["end"]) if row["start"] is not None else None

@@ -141,3 +141,18 @@ SELECT 'top_maladie_' || CAST(row_number() OVER (ORDER BY nb DESC, nom_maladie A
 FROM (SELECT m.nom_maladie, count(*) AS nb FROM fact_admissions f JOIN dim_disease m ON f.maladie_id = m.maladie_id
       GROUP BY m.nom_maladie ORDER BY nb DESC, m.nom_maladie ASC LIMIT 5)"""),
 }
+
+# Every fact's rows by what their date is to a calendar of 1995 to 2000
+_DATED = [("fact_admissions", "date_admission", "stg_admissions", 0),
+          ("fact_emergency", "date_admission", "stg_admissions WHERE urgence = 1", 0),
+          ("fact_lab", "CAST(ts AS DATE)", "events", 0),
+          ("fact_prescriptions", "CAST(loaded_at AS DATE)", "stg_admissions a JOIN part p ON a.maladie_id = p.p_partkey", 0),
+          ("fact_bed_occupancy", "CAST(ts AS DATE)", "events", 1),
+          ("fact_pharmacy_stock", "d", "(SELECT DISTINCT l_partkey, CAST(l_shipdate AS DATE) AS d FROM lineitem JOIN part "
+                                       "ON l_partkey = p_partkey)", 1)]
+_MOTIFS = {"non": "BETWEEN DATE '1995-01-01' AND DATE '2000-12-31'", "date_absente": "IS NULL",
+           "avant_calendrier": "< DATE '1995-01-01'", "apres_calendrier": "> DATE '2000-12-31'"}
+SQL["calendar_rejects"] = W("SELECT *, CASE WHEN conserve = 1 OR motif = 'non' THEN 0 ELSE n_lignes END AS n_apart FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{m}' AS motif, count(*) FILTER ({d} {cond}) AS n_lignes, "
+    f"CAST({1 if keep or m == 'non' else 0} AS INTEGER) AS conserve FROM {rows}"
+    for t, d, rows, keep in _DATED for m, cond in _MOTIFS.items()) + ")")

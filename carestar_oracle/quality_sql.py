@@ -208,3 +208,6 @@ LEFT JOIN dim_date t ON f.temps_id = t.temps_id"""),
     "date_key_lookup": W("SELECT admission_id, date_admission, temps_id FROM fact_admissions"),
     "readmission_flag": W("SELECT admission_id, patient_id, date_admission, est_readmission FROM fact_admissions_readmit"),
 }
+
+SQL["audit_by_load"] = W("SELECT table_name, metric, CAST(value AS BIGINT) AS value FROM quality_audit "
+                         "WHERE table_name = 'stg_admissions'")

@@ -70,21 +70,45 @@ def test_fact_is_aggregated_before_dimension_joins(spark, name):
     assert flags and all(flags)
 
 
-@pytest.mark.parametrize("name", ["kpi_sex_split", "kpi_age_split", "kpi_cases_by_region", "category_trend",
-                                  "kpi_incidence", "matrix_disease_region", "report_sex"])
-def test_high_cardinality_keys_preaggregate_only_beyond_broadcast(spark, name):
-    """Patient / (month, disease) keys: row-level join while the dimension is
-    broadcast, per-key aggregate before a shuffled join otherwise; same rows."""
-    from conftest import rows
+def _nodes(node, acc=None):
+    acc = [] if acc is None else acc
+    acc.append(node)
+    for i in range(node.children().size()):
+        _nodes(node.children().apply(i), acc)
+    return acc
+
+
+def _joins_below_first_aggregate(df) -> list[str]:
+    """Joins under an Aggregate that has no Aggregate below it, except those with the bounded calendar."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    found = []
+    for node in _nodes(plan):
+        below = _nodes(node)[1:] if node.nodeName() == "Aggregate" else []
+        if below and not any(n.nodeName() == "Aggregate" for n in below):
+            found += [j.simpleString(200) for j in below if j.nodeName() == "Join" and "temps_id" not in j.simpleString(200)]
+    return found
+
+
+@pytest.mark.parametrize("name", [
+    "kpi_sex_split", "kpi_age_split", "kpi_cases_by_region", "kpi_incidence", "category_trend", "matrix_disease_region",
+    "pivot_disease_age_band", "report_sex", "report_regions", "report_occupancy", "measures_patients",
+    "measures_disease", "measures_by_sex", "measures_by_age_band", "measures_by_category", "measures_by_chronic",
+    "measures_by_axis", "measures_by_slicer", "measures_capacity"])
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_no_growing_dimension_meets_fact_rows(spark, name, threshold):
+    """The facts are aggregated below every dimension join, whatever the broadcast threshold."""
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
-    small = E.queries()[name](spark, SF_SMALL)
-    assert not any(_joins_above_aggregate(small))
-    expected = rows(small)
     try:
-        spark.conf.set(key, "-1")
-        large = E.queries()[name](spark, SF_SMALL)
-        assert any(_joins_above_aggregate(large))
-        assert rows(large) == expected
+        spark.conf.set(key, threshold)
+        assert _joins_below_first_aggregate(E.queries()[name](spark, SF_SMALL)) == []
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", ["kpi_cache", "measures_distinct", "measures_admissions", "measures_yearly_patients"])
+def test_distinct_counts_expand_no_row(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    below = [n for a in _nodes(df._jdf.queryExecution().optimizedPlan()) if a.nodeName() == "Aggregate" for n in _nodes(a)]
+    assert "bitmap" in _plan(df) or name == "measures_yearly_patients"     # there they are read from storage
+    assert not any(n.nodeName() == "Expand" for n in below)
