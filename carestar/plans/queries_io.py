@@ -20,11 +20,14 @@ from ..operators.facts import stay_days
 from ..operators.mart import analytics_mart
 from ..session import checkpoint_dir, scratch_path
 from ..sinks import writers as K
+from ..sinks.snapshots import SnapshotTable
 from ..sources import binding as B
 from ..sources import files as S
 from ..sources import incremental as I
 from ..streaming.ingest import stream_ingest
+from ..streaming.late import OccupancyStream
 from ..streaming.sensors import stream_bed_occupancy as run_sensor_stream
+from ..streaming.upsert import stream_upsert
 from .catalog import wh_query
 from .warehouse import Warehouse
 
@@ -256,14 +259,14 @@ def table_counts(wh: Warehouse) -> DataFrame:
 
 
 def reload_by_source(wh: Warehouse) -> DataFrame:
-    """K1: two sources landed, one re-landed — every row is counted once."""
+    """K1: two sources landed, one re-landed in one commit — every row is counted once."""
     raw = B.stg_patients_raw(wh.spark, wh.sf_dir)
     src = F.when(F.col("patient_id").cast("long") % 2 == 0, "patients_a.csv").otherwise("patients_b.csv")
     staged = raw.withColumn("source_file", src)
-    path = scratch_path(wh.spark, "stg_patients")
-    K.reload_by_source(staged, path)
-    K.reload_by_source(staged.filter(F.col("source_file") == "patients_a.csv"), path, sources=["patients_a.csv"])
-    return wh.spark.read.parquet(path).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    table = SnapshotTable(wh.spark, scratch_path(wh.spark, "stg_patients"), "source_file")
+    table.replace(staged)
+    table.replace(staged.filter(F.col("source_file") == "patients_a.csv"), ["patients_a.csv"])
+    return table.read().groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
 
 
 def export_csv_roundtrip(wh: Warehouse) -> DataFrame:
@@ -329,6 +332,21 @@ def stream_incremental_ingest(wh: Warehouse) -> DataFrame:
     return dedup(wh.spark.read.parquet(out).drop("batch_id"), ["admission_id"], order, keep="last")
 
 
+def stream_upsert_admissions(wh: Warehouse) -> DataFrame:
+    """T1 with K1: admissions merged by key in three drops; the second holds updates that
+    move stays to another month, the third repeats the first (older versions lose)."""
+    cols = [f.name for f in ADMISSION_LANDING.fields]
+    raw = wh.stg_admissions_raw.select(*cols)
+    moved = raw.filter(F.col("admission_id") % 5 == 0).withColumn(
+        "date_admission", F.date_add("date_admission", 45)).withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 30 DAYS"))
+    land, out, ckpt = (scratch_path(wh.spark, n) for n in ("landing_upsert", "adm_upsert", "ckpt_upsert"))
+    order = ["loaded_at", "maladie_id", "hopital_id", "patient_id", "date_admission", "date_sortie", "urgence", "service_id"]
+    for drop in (raw, moved, raw):
+        drop.write.mode("append").parquet(land)
+        table = stream_upsert(wh.spark, land, out, ckpt, ADMISSION_LANDING, ["admission_id"], order)
+    return table.read().select(*cols)
+
+
 SENSOR_STREAM = T.StructType([
     T.StructField("capteur_id", T.LongType()), T.StructField("hopital_id", T.LongType()),
     T.StructField("ts", T.TimestampType()), T.StructField("taux_occupation", T.DoubleType()),
@@ -347,6 +365,41 @@ def stream_bed_occupancy_windows(wh: Warehouse) -> DataFrame:
     return wh.spark.read.parquet(out)
 
 
+def stream_late_readings(wh: Warehouse) -> DataFrame:
+    """T2 in full: four drops in time order; every 41st reading comes one drop late, every 53rd
+    a second time with the next drop.  Windows, flushed windows and late rows in one result."""
+    s = (B.stg_sensors(wh.spark, wh.sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+         .select(*[f.name for f in SENSOR_STREAM.fields]))
+    day, base, ckpt = F.dayofmonth("ts"), scratch_path(wh.spark, "late"), scratch_path(wh.spark, "ckpt_late")
+    land = scratch_path(wh.spark, "landing_late")
+    drop = F.least(F.lit(3), F.floor((day - 1) / 8)).cast("int")
+    arrives = F.array(drop + F.when(F.col("capteur_id") % 41 == 0, 1).otherwise(0))
+    again = F.when(F.col("capteur_id") % 53 == 0, F.array(drop + 1)).otherwise(F.array().cast("array<int>"))
+    landed_in = s.withColumn("drop", F.explode(F.concat(arrives, again)))
+    stream = OccupancyStream(wh.spark, base)
+    for d in range(5):
+        landed_in.filter(F.col("drop") == d).drop("drop").write.mode("append").parquet(land)
+        stream.run(land, ckpt, SENSOR_STREAM)
+    late = stream.late().groupBy("hopital_id").agg(F.count(F.lit(1)).alias("nb_mesures"))
+    late = late.select(F.lit(None).cast("timestamp_ntz").alias("window_start"), F.lit(None).cast("timestamp_ntz").alias("window_end"),
+                       "hopital_id", F.lit(None).cast("double").alias("taux_moy"), F.lit(None).cast("double").alias("taux_max"),
+                       F.lit(None).cast("bigint").alias("nb_alertes"), "nb_mesures", F.lit("tardif").alias("cloture"))
+    return stream.windows().unionByName(stream.flush()).unionByName(late)
+
+
+def incremental_ties(wh: Warehouse) -> DataFrame:
+    """S6 with ties: rows that arrive later with the mark's own time are taken, none twice."""
+    src = _operational_admissions(wh)
+    target = scratch_path(wh.spark, "adm_ties")
+    late = (F.col("id") % 3 == 0) & (F.col("updated_at") >= ntz(INITIAL_LOAD_UNTIL - dt.timedelta(days=20)))
+    K.replace(src.filter((F.col("updated_at") <= ntz(INITIAL_LOAD_UNTIL)) & ~late).withColumn("lot", F.lit("initial")), target)
+    for _ in range(2):      # the second extract finds nothing new
+        loaded = wh.spark.read.parquet(target)
+        fresh = I.extract_since(src, loaded, ["id"], overlap=dt.timedelta(days=30))
+        K.append(fresh.withColumn("lot", F.lit("increment")), target)
+    return wh.spark.read.parquet(target)
+
+
 def fact_admissions_from_csv(wh: Warehouse) -> DataFrame:
     """S1 + X1–X6 end to end: admissions and discharges landed as separate text
     files, read back all-string, discharges left-joined (keep-first per
@@ -380,5 +433,7 @@ for _name, _fn in [("ingest_csv", ingest_csv), ("ingest_json_envelope", ingest_j
                    ("export_manifest", export_manifest), ("run_log_latest", run_log_latest),
                    ("stream_incremental_ingest", stream_incremental_ingest),
                    ("fact_admissions_from_csv", fact_admissions_from_csv),
+                   ("stream_upsert", stream_upsert_admissions), ("stream_late_readings", stream_late_readings),
+                   ("incremental_ties", incremental_ties),
                    ("stream_bed_occupancy", stream_bed_occupancy_windows)]:
     wh_query(_name, _fn)

@@ -117,3 +117,37 @@ HAVING time_bucket(INTERVAL 4 HOUR, max(ts)) + INTERVAL 4 HOUR <= (SELECT max(ts
 }
 
 SQL["export_csv_roundtrip"] = quality_sql.SQL["analytics_mart"]
+
+SQL["stream_upsert"] = W("""
+, v AS (SELECT admission_id, patient_id, date_admission, date_sortie, urgence, hopital_id, service_id, maladie_id, loaded_at
+        FROM stg_admissions_raw
+        UNION ALL
+        SELECT admission_id, patient_id, date_admission + 45, date_sortie, urgence, hopital_id, service_id, maladie_id,
+               loaded_at + INTERVAL 30 DAY FROM stg_admissions_raw WHERE admission_id % 5 = 0)
+SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY admission_id ORDER BY loaded_at DESC NULLS LAST,
+   maladie_id DESC NULLS LAST, hopital_id DESC NULLS LAST, patient_id DESC NULLS LAST, date_admission DESC NULLS LAST,
+   date_sortie DESC NULLS LAST, urgence DESC NULLS LAST, service_id DESC NULLS LAST) = 1""")
+
+SQL["stream_late_readings"] = W("""
+, r AS (SELECT e.event_id AS id, e.user_id % 100 AS hopital_id, e.ts, f.taux_occupation, f.alertes,
+               time_bucket(INTERVAL 4 HOUR, e.ts) + INTERVAL 4 HOUR AS w_end,
+               CAST(least(3, (day(e.ts) - 1) // 8) AS INTEGER) AS d
+        FROM events e JOIN fact_bed_occupancy f ON f.capteur_id = e.event_id),
+a AS (SELECT *, d + CASE WHEN id % 41 = 0 THEN 1 ELSE 0 END AS arrives FROM r
+      UNION ALL SELECT *, d + 1 FROM r WHERE id % 53 = 0),
+m AS (SELECT x.d, (SELECT max(ts) FROM a WHERE arrives < x.d) - INTERVAL 1 HOUR AS mark FROM (SELECT unnest(range(6)) AS d) x),
+l AS (SELECT a.*, coalesce(a.w_end <= m.mark, false) AS is_late FROM a JOIN m ON m.d = a.arrives),
+k AS (SELECT DISTINCT id, hopital_id, w_end, taux_occupation, alertes FROM l WHERE NOT is_late)
+SELECT w_end - INTERVAL 4 HOUR AS window_start, w_end AS window_end, hopital_id, round(avg(taux_occupation), 2) AS taux_moy,
+       max(taux_occupation) AS taux_max, CAST(sum(alertes) AS BIGINT) AS nb_alertes, count(*) AS nb_mesures,
+       CASE WHEN w_end <= (SELECT mark FROM m WHERE d = 5) THEN 'filigrane' ELSE 'fin' END AS cloture
+FROM k GROUP BY w_end, hopital_id
+UNION ALL
+SELECT NULL, NULL, hopital_id, NULL, NULL, NULL, count(*), 'tardif' FROM l WHERE is_late GROUP BY hopital_id""")
+
+SQL["incremental_ties"] = W("""
+SELECT o_orderkey AS id, o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS date_admission,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS est_urgence, o_orderdate AS updated_at,
+       CASE WHEN o_orderdate <= TIMESTAMP '1998-12-31 00:00:00'
+             AND NOT (o_orderkey % 3 = 0 AND o_orderdate >= TIMESTAMP '1998-12-11 00:00:00') THEN 'initial' ELSE 'increment' END AS lot
+FROM orders""")
