@@ -61,6 +61,9 @@ SCORE_FAIL_BELOW = 50
 # Run log statuses accepted
 RUN_STATUSES = ["RUNNING", "SUCCESS", "FAILED", "SKIPPED"]
 
+# Epidemic statuses that count as active
+EPIDEMIC_ACTIVE = ["Active", "Alerte"]
+
 # Readmission window (days between previous discharge and new admission)
 READMISSION_DAYS = 30
 

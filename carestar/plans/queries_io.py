@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as C
 from ..functions import ntz
 from ..operators import dims as D
 from ..operators.facts import stay_days
@@ -28,7 +29,9 @@ from ..streaming.ingest import stream_ingest
 from ..streaming.late import OccupancyStream
 from ..streaming.sensors import stream_bed_occupancy as run_sensor_stream
 from ..streaming.upsert import stream_upsert
-from .catalog import wh_query
+from . import kpis
+from . import reports as R
+from .catalog import bi_query, wh_query
 from .warehouse import Warehouse
 
 LOADED_AT = dt.datetime(2000, 12, 31, 0, 0, 0)
@@ -194,6 +197,58 @@ def ingest_regions_payload(wh: Warehouse) -> DataFrame:
             .withColumn("source_api", F.lit("mock_api")))
 
 
+EPIDEMIC_RECORD = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("maladie", T.StringType()), T.StructField("region", T.StringType()),
+    T.StructField("nb_cas", T.LongType()), T.StructField("date_debut", T.DateType()), T.StructField("date_fin", T.DateType()),
+    T.StructField("statut", T.StringType()),
+])
+# what the bound feed uses, in the order of the case count modulo 4
+EPIDEMIC_STATUSES = ["Active", "Contrôlée", "Alerte", "Terminée"]
+
+
+def epidemics_payload(wh: Warehouse) -> DataFrame:
+    """Epidemics: the events of one type in one region; over (with an end date) unless active."""
+    e, n = wh.table("events"), wh.table("nation").select((F.col("n_nationkey") % 25).alias("r"), F.col("n_name").alias("region"))
+    per = (e.groupBy("event_type", (F.col("user_id") % 25).alias("r"))
+           .agg(F.count(F.lit(1)).alias("nb_cas"), F.min("ts").cast("date").alias("date_debut"), F.max("ts").cast("date").alias("fin")))
+    status = F.element_at(F.array(*[F.lit(x) for x in EPIDEMIC_STATUSES]), (F.col("nb_cas") % 4 + 1).cast("int"))
+    j = per.join(n, "r").withColumn("statut", status)
+    return j.select(F.concat_ws("-", F.lit("EPI"), "event_type", F.col("r").cast("string")).alias("id"),
+                    F.col("event_type").alias("maladie"), "region", "nb_cas", "date_debut",
+                    F.when(~F.col("statut").isin(*C.EPIDEMIC_ACTIVE), F.col("fin")).alias("date_fin"), "statut")
+
+
+def ingest_epidemics_payload(wh: Warehouse) -> DataFrame:
+    """``{count, data:[…]}`` epidemic payloads, the id renamed, stamped with the source."""
+    path = landed(wh, "api_epidemies_json", lambda p: S.write_json_envelopes(
+        epidemics_payload(wh), p, per_envelope=500, count_field="count"))
+    return (S.read_json_envelope(wh.spark, path, EPIDEMIC_RECORD, multi_line=False)
+            .withColumnRenamed("id", "epidemie_id").withColumn("source_api", F.lit("mock_api")))
+
+
+def national_stats(wh: Warehouse) -> DataFrame:
+    """R14 with F7: six figures from the warehouse and the landed region and epidemic payloads."""
+    return R.national_stats(wh, ingest_regions_payload(wh), ingest_epidemics_payload(wh))
+
+
+STOCK_RECORD = T.StructType([
+    T.StructField("stock_id", T.StringType()), T.StructField("date", T.DateType()),
+    T.StructField("code_medicament", T.LongType()), T.StructField("nom_medicament", T.StringType()),
+    T.StructField("stock_disponible", T.IntegerType()), T.StructField("consommation_j", T.LongType()),
+    T.StructField("prix_unitaire", T.DoubleType()), T.StructField("valeur_stock", T.DoubleType()),
+    T.StructField("sous_seuil_alerte", T.BooleanType()),
+])
+
+
+def ingest_stock_json(wh: Warehouse) -> DataFrame:
+    """S3: pharmacy stock landed as envelopes -> one row per stock line, alert flag as 0/1, lineage stamped."""
+    stock = B.stg_stock(wh.spark, wh.sf_dir).select(*[f.name for f in STOCK_RECORD.fields])
+    path = landed(wh, "stock_json", lambda p: S.write_json_envelopes(
+        stock, p, per_envelope=500, meta={"source": "pharmacie"}, bools=["sous_seuil_alerte"]))
+    df = S.read_json_envelope(wh.spark, path, STOCK_RECORD, bool_to_int=["sous_seuil_alerte"], multi_line=False)
+    return df.withColumn("source_file", F.lit("stock_pharmacie.json")).withColumn("loaded_at", ntz(LOADED_AT))
+
+
 INITIAL_LOAD_UNTIL = dt.datetime(1998, 12, 31)
 
 
@@ -269,20 +324,28 @@ def reload_by_source(wh: Warehouse) -> DataFrame:
     return table.read().groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
 
 
-def export_csv_roundtrip(wh: Warehouse) -> DataFrame:
-    """K4: the mart exported as a dated CSV folder and read back with its schema."""
-    mart = analytics_mart(wh.fact_admissions, wh.dim_patient, wh.dim_hospital, wh.dim_region, wh.dim_disease,
+def _mart(wh: Warehouse) -> DataFrame:
+    return analytics_mart(wh.fact_admissions, wh.dim_patient, wh.dim_hospital, wh.dim_region, wh.dim_disease,
                           wh.dim_date, calendar_rows=wh.calendar_rows)
+
+
+def export_csv_roundtrip(wh: Warehouse) -> DataFrame:
+    """K4: the mart of the published build exported as a dated CSV folder and read back with its schema."""
+    mart = _mart(wh)
     path = scratch_path(wh.spark, "reports") + "/analytics_mart_2000-12-31"
     S.write_csv(mart, path)
-    return wh.spark.read.schema(mart.schema).option("header", True).option("escape", '"').csv(path)
+    return wh.spark.read.schema(mart.schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def export_manifest(wh: Warehouse) -> DataFrame:
-    """K5: one folder per non-empty table, manifest counted from the written data."""
-    tables = {"dim_region": wh.dim_region, "dim_hopital": wh.dim_hospital, "dim_service": wh.dim_service,
-              "dim_maladie": wh.dim_disease, "fact_laboratoires": wh.fact_lab,
-              "kpi_vide": wh.dim_region.filter(F.lit(False))}
+    """K5: the fourteen tables of the build, one folder each, counted while they are written."""
+    cache = kpis.kpi_cache(wh).unionByName(kpis.kpi_cache_top5(wh))
+    tables = {"dim_patient": wh.dim_patient, "dim_hopital": wh.dim_hospital, "dim_maladie": wh.dim_disease,
+              "dim_region": wh.dim_region, "dim_temps": wh.dim_date, "dim_service": wh.dim_service,
+              "fact_admissions": wh.fact_admissions, "fact_urgences": wh.fact_emergency,
+              "fact_laboratoires": wh.fact_lab, "fact_prescriptions": wh.fact_prescriptions,
+              "fact_occupation_lits": wh.fact_bed_occupancy, "fact_stock_pharmacie": wh.fact_pharmacy_stock,
+              "analytics_mart": _mart(wh), "kpi_cache": cache}
     return K.export_tables(wh.spark, tables, scratch_path(wh.spark, "powerbi_export"))
 
 
@@ -429,11 +492,16 @@ for _name, _fn in [("ingest_csv", ingest_csv), ("ingest_json_envelope", ingest_j
                    ("ingest_regions_payload", ingest_regions_payload), ("incremental_extract", incremental_extract),
                    ("ingest_reference_payload", ingest_reference_payload), ("source_fallback", source_fallback),
                    ("table_counts", table_counts), ("lookup_by_id", lookup_by_id),
-                   ("reload_by_source", reload_by_source), ("export_csv_roundtrip", export_csv_roundtrip),
-                   ("export_manifest", export_manifest), ("run_log_latest", run_log_latest),
+                   ("reload_by_source", reload_by_source), ("run_log_latest", run_log_latest),
+                   ("ingest_epidemics_payload", ingest_epidemics_payload), ("ingest_stock_json", ingest_stock_json),
                    ("stream_incremental_ingest", stream_incremental_ingest),
                    ("fact_admissions_from_csv", fact_admissions_from_csv),
                    ("stream_upsert", stream_upsert_admissions), ("stream_late_readings", stream_late_readings),
                    ("incremental_ties", incremental_ties),
                    ("stream_bed_occupancy", stream_bed_occupancy_windows)]:
     wh_query(_name, _fn)
+
+# what the build serves: exports, and statistics that also need the landed payloads
+for _name, _fn in [("export_csv_roundtrip", export_csv_roundtrip), ("export_manifest", export_manifest),
+                   ("national_stats", national_stats)]:
+    bi_query(_name, _fn)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import AGE_BAND_WAREHOUSE, AGE_BAND_WAREHOUSE_ELSE
+from ..constants import AGE_BAND_WAREHOUSE, AGE_BAND_WAREHOUSE_ELSE, EPIDEMIC_ACTIVE
 from ..functions import occupancy_level
 from ..operators.joins import join_dim
 from ..operators.pivot import pivot_counts
@@ -199,13 +199,16 @@ def abnormal_by_month(wh: Warehouse) -> DataFrame:
                                           _n().alias("nb_analyses"))
 
 
-def national_stats(wh: Warehouse) -> DataFrame:
-    """National totals from the region and hospital reference tables.
+def national_stats(wh: Warehouse, regions: DataFrame, epidemics: DataFrame) -> DataFrame:
+    """National totals from the reference tables and the landed payloads.
 
-    One aggregate per table; the hospital totals enter as scalar subqueries
-    (no join of the two one-row frames).
+    ``regions`` has ``taux_mortalite`` per region (mean to two decimals, regions
+    without a figure left out), ``epidemics`` a ``statut`` per epidemic: those in
+    ``EPIDEMIC_ACTIVE`` count.  One aggregate per table; all but the first enter as
+    scalar subqueries (no join of one-row frames).
     """
     h = wh.dim_hospital
+    active = F.sum(F.when(F.col("statut").isin(*EPIDEMIC_ACTIVE), 1).otherwise(0))
     return wh.dim_region.agg(
         F.sum("population").alias("population_totale"),
         F.count(F.lit(1)).alias("nb_regions"),
@@ -215,6 +218,8 @@ def national_stats(wh: Warehouse) -> DataFrame:
         h.select(F.sum("nb_medecins")).scalar().alias("nb_medecins"),
         h.select(F.sum("capacite_lits")).scalar().alias("capacite_totale"),
         "nb_regions",
+        regions.select(F.round(F.avg("taux_mortalite"), 2)).scalar().alias("taux_mortalite_moyen"),
+        F.coalesce(epidemics.select(active).scalar(), F.lit(0)).cast("bigint").alias("epidemies_actives"),
     )
 
 

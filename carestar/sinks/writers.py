@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,26 +62,36 @@ def for_export(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+MANIFEST = T.StructType([
+    T.StructField("table_name", T.StringType()), T.StructField("n_rows", T.LongType()),
+    T.StructField("project", T.StringType()), T.StructField("exported_at", T.StringType()),
+    T.StructField("nb_tables", T.LongType()), T.StructField("total_lignes", T.LongType()),
+])
+
+
 def export_tables(spark: SparkSession, tables: Mapping[str, DataFrame], path: str, project: str = "carestar",
                   exported_at: str = K.COMPUTED_AT) -> DataFrame:
-    """Write one Parquet folder per non-empty table and return the manifest
-    ``(table_name, n_rows, project, exported_at)`` counted from what was written.
+    """Write one Parquet folder per non-empty table and return the manifest, a
+    row per table with both totals (tables exported, rows in all of them).
 
-    The emptiness check reads at most one row per table.
+    Rows are counted by ``observe`` while they are written; no file is read
+    again.  A table without rows leaves no folder and no manifest row; without
+    any row the manifest is empty.  The manifest is stored as ``_manifest``.
     """
-    parts = []
-    base = path.rstrip("/")
+    base, counts = path.rstrip("/"), []
+    fs = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
     for name, df in tables.items():
-        if df.isEmpty():
-            continue
+        seen = Observation(f"export-{name}")
         target = f"{base}/{name}"
-        for_export(df).write.mode("overwrite").parquet(target)
-        parts.append(spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(name).alias("table_name"), "n_rows"))
-    manifest = parts[0]
-    for p in parts[1:]:
-        manifest = manifest.unionByName(p)
-    return manifest.withColumn("project", F.lit(project)).withColumn("exported_at", F.lit(exported_at))
+        for_export(df).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+        if n := seen.get["n"]:
+            counts.append((name, n))
+        else:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(target), True)
+    total = sum(n for _, n in counts)
+    rows = [(name, n, project, exported_at, len(counts), total) for name, n in counts]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{base}/_manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{base}/_manifest")
 
 
 RUN_LOG_SCHEMA = T.StructType([

@@ -26,24 +26,30 @@ def _lineage(df: DataFrame, source: str | None, loaded_at) -> DataFrame:
 
 def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                         keys: Sequence[str] = (), source: str | None = None,
-                        loaded_at: dt.datetime | None = None, sep: str = ",", multi_line: bool = False,
+                        loaded_at: dt.datetime | None = None, sep: str = ",", multi_line: bool = True,
                         header_blank: str = " ") -> DataFrame:
     """Delimited file(s) -> all-string frame with clean headers, rows with a NULL
     key dropped, lineage stamped (``source_file``, ``loaded_at``).
 
-    With ``columns`` the header line is skipped and the names are positional
-    (no pass over the file to read the header); without, the header names are
-    read and normalised (strip + lower, inner blanks to ``header_blank``).  Quotes inside a quoted field are
-    doubled; ``multi_line`` reads fields with line breaks (one task per file).
+    Names come from the header line (strip + lower, inner blanks to
+    ``header_blank``).  ``columns`` selects and orders them by name, wherever
+    they stand in the file; a name that the header lacks is an error.  A file
+    whose header differs from the first one's fails the read.  Quotes inside a
+    quoted field are doubled, and a quoted field may hold line breaks; a producer
+    that writes none can be read with ``multi_line=False``, which splits large files.
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
+    # the first line only; every file's header is then checked against it
+    found = reader.option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in found])
+    df = reader.schema(schema).option("enforceSchema", False).csv(path)
+    df = df.toDF(*[clean_header(c, header_blank) for c in found])
     if columns is not None:
-        schema = T.StructType([T.StructField(clean_header(c, header_blank), T.StringType()) for c in columns])
-        df = reader.schema(schema).option("enforceSchema", True).csv(path)
-    else:
-        df = reader.option("inferSchema", False).csv(path)
-        df = df.toDF(*[clean_header(c, header_blank) for c in df.columns])
+        wanted = [clean_header(c, header_blank) for c in columns]
+        if missing := [c for c in wanted if c not in df.columns]:
+            raise ValueError(f"{path}: no column {missing} in the header {df.columns}")
+        df = df.select(*[f"`{c}`" for c in wanted])
     if keys:
         df = df.na.drop(subset=list(keys))
     return _lineage(df, source, loaded_at)

@@ -1,6 +1,6 @@
 """Oracle SQL for sources, sinks and streaming round trips."""
 
-from . import quality_sql  # noqa: F401  (registers the staging CTEs used below)
+from . import kpi_sql, quality_sql  # (the latter registers the staging CTEs used below)
 from .warehouse_sql import STAY
 from .warehouse_sql import with_warehouse as W
 
@@ -91,13 +91,6 @@ FROM fact_admissions"""),
 SELECT CASE WHEN TRY_CAST(patient_id AS BIGINT) % 2 = 0 THEN 'patients_a.csv' ELSE 'patients_b.csv' END
          AS source_file, count(*) AS n
 FROM stg_patients_raw GROUP BY 1"""),
-    "export_manifest": W("""
-SELECT table_name, n_rows, 'carestar' AS project, '2000-12-31T00:00:00' AS exported_at FROM (
-  SELECT 'dim_region' AS table_name, count(*) AS n_rows FROM dim_region
-  UNION ALL SELECT 'dim_hopital', count(*) FROM dim_hospital
-  UNION ALL SELECT 'dim_service', count(*) FROM dim_service
-  UNION ALL SELECT 'dim_maladie', count(*) FROM dim_disease
-  UNION ALL SELECT 'fact_laboratoires', count(*) FROM fact_lab)"""),
     "run_log_latest": W(f"""
 SELECT 'run-' || table_name AS run_id, 'ingestion' AS dag_name, 'extract_' || table_name AS task_name,
        TIMESTAMP '2000-12-31 06:05:00' AS event_time, 'SUCCESS' AS status, n_rows AS records,
@@ -151,3 +144,32 @@ SELECT o_orderkey AS id, o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS d
        CASE WHEN o_orderdate <= TIMESTAMP '1998-12-31 00:00:00'
              AND NOT (o_orderkey % 3 = 0 AND o_orderdate >= TIMESTAMP '1998-12-11 00:00:00') THEN 'initial' ELSE 'increment' END AS lot
 FROM orders""")
+
+SQL["ingest_epidemics_payload"] = W("""
+SELECT 'EPI-' || e.event_type || '-' || CAST(e.r AS VARCHAR) AS epidemie_id, e.event_type AS maladie, n_name AS region,
+       e.n AS nb_cas, e.d1 AS date_debut, CASE WHEN e.n % 4 IN (1, 3) THEN e.d2 END AS date_fin,
+       CASE e.n % 4 WHEN 0 THEN 'Active' WHEN 1 THEN 'Contrôlée' WHEN 2 THEN 'Alerte' ELSE 'Terminée' END AS statut,
+       'mock_api' AS source_api
+FROM (SELECT event_type, user_id % 25 AS r, count(*) AS n, CAST(min(ts) AS DATE) AS d1, CAST(max(ts) AS DATE) AS d2
+      FROM events GROUP BY 1, 2) e JOIN nation ON n_nationkey % 25 = e.r""")
+
+SQL["ingest_stock_json"] = W(f"""
+SELECT stock_id, "date", code_medicament, nom_medicament, stock_disponible, consommation_j, prix_unitaire, valeur_stock,
+       sous_seuil_alerte, 'stock_pharmacie.json' AS source_file, {LOADED} AS loaded_at
+FROM fact_pharmacy_stock""")
+
+# K5: what each exported table holds
+_EXPORTED = {
+    "dim_patient": "dim_patient", "dim_hopital": "dim_hospital", "dim_maladie": "dim_disease", "dim_region": "dim_region",
+    "dim_temps": "dim_date", "dim_service": "dim_service", "fact_admissions": "fact_admissions_readmit",
+    "fact_urgences": "fact_emergency", "fact_laboratoires": "fact_lab", "fact_prescriptions": "fact_prescriptions",
+    "fact_occupation_lits": "fact_bed_occupancy", "fact_stock_pharmacie": "fact_pharmacy_stock",
+    "analytics_mart": f"({quality_sql.SQL['analytics_mart']})",
+    "kpi_cache": f"({kpi_sql.SQL['kpi_cache']} UNION ALL SELECT * FROM ({kpi_sql.SQL['kpi_cache_top5']}))",
+}
+_counts = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {rows} x" for name, rows in _EXPORTED.items())
+SQL["export_manifest"] = W(f"""
+, c AS ({_counts})
+SELECT table_name, n_rows, 'carestar' AS project, '2000-12-31T00:00:00' AS exported_at,
+       CAST((SELECT count(*) FROM c) AS BIGINT) AS nb_tables, CAST((SELECT sum(n_rows) FROM c) AS BIGINT) AS total_lignes
+FROM c WHERE n_rows > 0""")

@@ -89,7 +89,11 @@ SELECT (SELECT sum(population) FROM dim_region) AS population_totale,
        (SELECT count(*) FROM dim_hospital) AS nb_hopitaux,
        (SELECT sum(nb_medecins) FROM dim_hospital) AS nb_medecins,
        (SELECT sum(capacite_lits) FROM dim_hospital) AS capacite_totale,
-       (SELECT count(*) FROM dim_region) AS nb_regions"""),
+       (SELECT count(*) FROM dim_region) AS nb_regions,
+       (SELECT round(avg(t), 2) FROM (SELECT round(CAST(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*), 1) AS t
+                                      FROM customer GROUP BY c_nationkey)) AS taux_mortalite_moyen,
+       (SELECT count(*) FROM (SELECT count(*) AS n FROM events JOIN nation ON n_nationkey % 25 = user_id % 25
+                              GROUP BY event_type, n_nationkey) WHERE n % 4 IN (0, 2)) AS epidemies_actives"""),
     "hospital_scorecard": W("""
 SELECT COALESCE(a.hopital_id, o.hopital_id) AS hopital_id, a.admissions, a.dms_moy, a.cout_moy, o.taux_occupation_moy
 FROM (SELECT hopital_id, count(*) AS admissions, round(avg(duree_sejour), 2) AS dms_moy,

@@ -205,3 +205,31 @@ def test_table_counts_does_not_hide_unreadable_tables(spark, tmp_dir):
     spark.createDataFrame([("not parquet",)], "value string").write.text(p)
     with pytest.raises(Exception):
         I.table_counts(spark, {"a": p + "/*"}).collect()
+
+
+def test_csv_line_breaks_and_header_by_name(spark, tmp_dir):
+    out = tmp_dir("csv")
+    S.write_csv(spark.createDataFrame([("1", "a\nb"), ("2", "c")], "id string, t string"), out)
+    assert sorted((r["id"], r["t"]) for r in S.read_csv_all_string(spark, out).collect()) == [("1", "a\nb"), ("2", "c")]
+    swapped = tmp_dir("swapped")
+    S.write_csv(spark.createDataFrame([("x", "1")], "T string, ` Id ` string"), swapped)
+    got = S.read_csv_all_string(spark, swapped, columns=["id", "t"], keys=["id"])
+    assert [(r["id"], r["t"]) for r in got.collect()] == [("1", "x")]
+    with pytest.raises(ValueError):
+        S.read_csv_all_string(spark, swapped, columns=["id", "absent"])
+    # a second file with another header fails the read instead of swapping values
+    S.write_csv(spark.createDataFrame([("2", "y")], "` Id ` string, T string"), swapped, mode="append")
+    with pytest.raises(Exception):
+        S.read_csv_all_string(spark, swapped, columns=["id", "t"]).collect()
+
+
+def test_export_counts_while_writing(spark, tmp_dir):
+    from carestar.sinks.writers import export_tables
+    path = tmp_dir("export")
+    some, none = spark.range(5).withColumn("b", F.lit(True)), spark.range(0)
+    got = export_tables(spark, {"t": some, "vide": none, "u": spark.range(2)}, path)
+    assert sorted((r.table_name, r.n_rows, r.nb_tables, r.total_lignes) for r in got.collect()) == [("t", 5, 2, 7), ("u", 2, 2, 7)]
+    assert spark.read.parquet(f"{path}/t").filter("b = 1").count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{path}/vide").count()
+    assert export_tables(spark, {"vide": none}, tmp_dir("export2")).isEmpty()
