@@ -26,3 +26,7 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner", bounded_ro
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)
 
+
+def bounded(dim: DataFrame, rows: int) -> DataFrame:
+    """``dim`` with a broadcast hint while its proven row bound allows one."""
+    return F.broadcast(dim) if rows <= MAX_BROADCAST_ROWS else dim

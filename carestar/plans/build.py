@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators import facts, rejects
+from ..schemas import conform
 from ..session import cached_frame, checkpoint_dir, local_path
 from ..sources import binding as B
 from .warehouse import Warehouse
@@ -46,23 +47,12 @@ FACTS = ["fact_admissions", "fact_emergency", "fact_lab", "fact_prescriptions",
 UNDATED_KEPT = {"fact_bed_occupancy", "fact_pharmacy_stock"}
 MARKER = "_BUILD_OK"
 REJECT_COUNTS = "reject_counts"
-BUILD_VERSION = "2"
-
-
-def _code_hash() -> str:
-    """Hash of the package source: a code change never reuses an older build."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.sha1()
-    for dirpath, _, files in sorted(os.walk(root)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(dirpath, f), "rb") as fh:
-                    h.update(fh.read())
-    return h.hexdigest()
+# part of a build's key: raise it with every change of what a build or a landing holds
+BUILD_VERSION = "3"
 
 
 def fingerprint(wh: Warehouse) -> str:
-    parts = [BUILD_VERSION, _code_hash(), wh.sf_dir, str(wh.calendar_start), str(wh.calendar_end), str(wh.daily_rate),
+    parts = [BUILD_VERSION, wh.sf_dir, str(wh.calendar_start), str(wh.calendar_end), str(wh.daily_rate),
              str(wh.default_region)]
     for t in B.TABLES:
         parts.append(f"{t}:{_stat(wh.spark, f'{wh.sf_dir.rstrip(chr(47))}/{t}.parquet')}")
@@ -70,27 +60,22 @@ def fingerprint(wh: Warehouse) -> str:
 
 
 def _stat(spark: SparkSession, path: str) -> str:
-    """Size and modification time of an input (file or folder): ``os.stat`` for
-    local paths, the Hadoop file system's metadata calls otherwise (no data is
-    read)."""
+    """Size, file count and modification times of an input (file or folder), from the file
+    system's metadata; an input whose metadata cannot be read is an error, never an old build."""
     p = local_path(path)
     if "://" not in p:
         if not os.path.exists(p):
             return "absent"
-        st = os.stat(p)
-        if os.path.isdir(p):
-            sizes = [(os.path.getsize(os.path.join(d, f)), os.path.getmtime(os.path.join(d, f)))
-                     for d, _, fs in os.walk(p) for f in fs]
-            return f"{sum(s for s, _ in sizes)}:{int(max([m for _, m in sizes] or [st.st_mtime]))}"
-        return f"{st.st_size}:{int(st.st_mtime)}"
-    try:
-        jvm = spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        summary = fs.getContentSummary(hp)
-        return f"{summary.getLength()}:{summary.getFileCount()}:{fs.getFileStatus(hp).getModificationTime()}"
-    except Exception:  # noqa: BLE001 — unreachable metadata: key on the path only
-        return "unknown"
+        files = [os.path.join(d, f) for d, _, fs in os.walk(p) for f in fs] if os.path.isdir(p) else [p]
+        stats = [os.stat(f) for f in files]
+        return f"{sum(s.st_size for s in stats)}:{len(stats)}:{max((s.st_mtime_ns for s in stats), default=0)}"
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        return "absent"
+    files = fs.listStatus(hp)
+    return f"{sum(f.getLen() for f in files)}:{len(files)}:{max((f.getModificationTime() for f in files), default=0)}"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -119,7 +104,7 @@ def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, par
 
     def write_admissions() -> list[tuple]:
         fa = facts.with_readmission(w.dated("fact_admissions", bounds))
-        fa = fa.withColumn("annee_admission", F.year("date_admission"))
+        fa = conform(fa, "fact_admissions").withColumn("annee_admission", F.year("date_admission"))
         # range partitions sized by AQE (or fixed by ``partitions``); the id as second
         # range key splits a date that holds a large share of all admissions
         keys = ["date_admission", "admission_id"]
@@ -131,10 +116,10 @@ def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, par
                                    sort=["date_admission"])
 
     def fact_writer(name: str):
-        return lambda: rejects.write_split(w.dated(name, bounds), f"{base}/{name}", name, keep=name in UNDATED_KEPT)
+        return lambda: rejects.write_split(conform(w.dated(name, bounds), name), f"{base}/{name}", name, keep=name in UNDATED_KEPT)
 
     def dim_writer(name: str):
-        return lambda: getattr(w, name).write.mode("overwrite").parquet(f"{base}/{name}")
+        return lambda: conform(getattr(w, name), name).write.mode("overwrite").parquet(f"{base}/{name}")
 
     jobs = [write_admissions] + [dim_writer(t) for t in DIMENSIONS] + [fact_writer(t) for t in FACTS[1:]]
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
@@ -254,6 +239,27 @@ def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> BuiltWarehouse:
     return BuiltWarehouse(spark, sf_dir, _BUILDS[key], **kw)
 
 
+def retire_builds(spark: SparkSession, keep: int = 3) -> int:
+    """Delete all but the ``keep`` builds published last below the checkpoint folder; returns how many went.
+
+    A build that this session has in use is never deleted.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/carestar-warehouse")
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return 0
+    found = []
+    for f in fs.listStatus(root):
+        marker = jvm.org.apache.hadoop.fs.Path(f.getPath(), MARKER)
+        found.append((fs.getFileStatus(marker).getModificationTime() if fs.exists(marker) else -1, f.getPath()))
+    used = {base.rsplit("/", 1)[-1] for base in _BUILDS.values()}
+    old = [p for _, p in sorted(found, key=lambda x: -x[0])[keep:] if p.getName() not in used]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of=None, computed_at: str | None = None,
               **kw) -> DataFrame:
     """The daily chain of the reference's schedule, as one job sequence:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import pct
 from ..operators.bitmaps import distinct_total
-from ..operators.joins import join_dim
+from ..operators.joins import bounded, join_dim
 from .warehouse import Warehouse
 
 
@@ -111,7 +111,7 @@ def per_key(fact: DataFrame, *keys: str) -> DataFrame:
 
 
 def _calendar(wh: Warehouse, *cols: str) -> DataFrame:
-    return F.broadcast(wh.dim_date.select("temps_id", *cols))
+    return bounded(wh.dim_date.select("temps_id", *cols), wh.calendar_rows)
 
 
 def kpi_bed_occupancy(wh: Warehouse, as_of: dt.date = K.AS_OF_ADMISSIONS) -> DataFrame:
@@ -207,7 +207,7 @@ def kpi_emergency_wait(wh: Warehouse) -> DataFrame:
 
 def kpi_abnormal_labs(wh: Warehouse, as_of: dt.date = K.AS_OF_EVENTS) -> DataFrame:
     """Abnormal lab results per test type in the current year."""
-    cal = F.broadcast(wh.dim_date.filter(F.col("annee") == as_of.year).select("temps_id"))
+    cal = bounded(wh.dim_date.filter(F.col("annee") == as_of.year).select("temps_id"), wh.calendar_rows)
     fl = wh.fact_lab.select("temps_id", "type_test", "est_anormal").join(cal, "temps_id")
     g = fl.groupBy("type_test").agg(_n().alias("total_tests"), _sum_int("est_anormal").alias("nb_anormaux"))
     return (g.withColumn("taux_anomalie_pct", pct("nb_anormaux", "total_tests", 2))

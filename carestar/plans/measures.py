@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import bitmaps
+from ..operators.joins import MAX_BROADCAST_ROWS
 
 Pred = Callable[[Column], Column]
 
@@ -445,12 +446,13 @@ def hospital_model(wh) -> Model:
         (FP, "temps_id", "dim_date", "temps_id"), (FP, "hopital_id", DH, "hopital_id"),
         (FP, "service_id", "dim_service", "service_id"), (FS, "temps_id", "dim_date", "temps_id"),
     ]
-    return Model(tables, rel, frozenset({"dim_date"}))
+    # the calendar has a row per day of its range; beyond the broadcast bound it is joined like the others
+    return Model(tables, rel, frozenset({"dim_date"} if wh.calendar_rows <= MAX_BROADCAST_ROWS else ()))
 
 
 def monthly_patient_bitmaps(fact: DataFrame, calendar: DataFrame, path: str) -> None:
     """Store the patients of every month as bitmaps: ``annee, mois, bucket, bitmap``."""
-    cal = F.broadcast(calendar.select("temps_id", "annee", "mois"))
+    cal = calendar.select("temps_id", "annee", "mois")
     bitmaps.bitmaps(fact.join(cal, "temps_id"), ["annee", "mois"], "patient_id").write.mode("overwrite").parquet(path)
 
 
@@ -472,7 +474,7 @@ def month_over_month(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     (a ``lag`` would skip months without admissions).  A month that only
     follows an active month appears with blank admissions.
     """
-    cal = F.broadcast(calendar.select("temps_id", "annee", "mois"))
+    cal = calendar.select("temps_id", "annee", "mois")
     monthly = (fact.select("temps_id").join(cal, "temps_id")
                .groupBy(F.make_date("annee", "mois", F.lit(1)).alias("mois_debut"))
                .agg(F.count(F.lit(1)).alias("total_admissions")))

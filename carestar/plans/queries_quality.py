@@ -13,6 +13,7 @@ from ..functions import (age_band_staging, age_band_warehouse, flag_label, iso_d
 from ..operators import audit_state as A
 from ..operators import dims as D
 from ..operators import quality as Q
+from ..operators.joins import bounded
 from ..operators.mart import analytics_mart
 from ..session import scratch_path
 from ..sources import binding as B
@@ -155,7 +156,7 @@ bi_query("occupancy_level", lambda wh: wh.fact_bed_occupancy.select(
 
 
 def flag_labels(wh: Warehouse) -> DataFrame:
-    cal = F.broadcast(wh.dim_date.select("temps_id", "est_weekend"))
+    cal = bounded(wh.dim_date.select("temps_id", "est_weekend"), wh.calendar_rows)
     return (wh.fact_lab.join(cal, "temps_id")
             .select("labo_id", flag_label("est_anormal", "Anormal", "Normal").alias("statut_resultat"),
                     flag_label("est_weekend", "Weekend", "Semaine").alias("type_jour")))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..constants import AGE_BAND_WAREHOUSE, AGE_BAND_WAREHOUSE_ELSE, EPIDEMIC_ACTIVE
 from ..functions import occupancy_level
-from ..operators.joins import join_dim
+from ..operators.joins import bounded, join_dim
 from ..operators.pivot import pivot_counts
 from .kpis import avg_parts, merged_avg, per_key
 from .warehouse import Warehouse
@@ -29,7 +29,7 @@ def _n() -> Column:
 
 
 def _cal(wh: Warehouse, *cols: str) -> DataFrame:
-    return F.broadcast(wh.dim_date.select("temps_id", *cols))
+    return bounded(wh.dim_date.select("temps_id", *cols), wh.calendar_rows)
 
 
 def report_diseases(wh: Warehouse, k: int = 10) -> DataFrame:
