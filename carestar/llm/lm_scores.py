@@ -6,23 +6,29 @@ on the longest context that was seen and on how often (buckets by powers of two)
 counts from most training documents, likelihood of a deleted part of them.  The
 scores then use the counts of all training documents.
 
-Words are 64-bit hashes.  Documents lie in tiles of bounded size.  A tile sends
+Words are 64-bit hashes.  Documents lie in tiles of bounded size: the next rows of
+a task's input, so that no document travels before it is counted.  A tile sends
 each distinct n-gram once, with its counts, to the bucket that owns it; the
-bucket adds up and sends the totals back in the same order.  So n-gram tables
-are never joined token by token, and grow with the corpus in buckets only.
+bucket adds up and answers with the totals in the same order.  So n-gram tables
+are never joined token by token, and grow with the corpus in buckets only.  The
+answers are written, which frees the requests; a second pass deals the documents
+into the same tiles, and each tile checks that its answers are for its n-grams.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from carestar.session import ship_package
 
 from .bytewords import combined, hash_words, mixed
-from .common import text_of
+from .common import text_of, written
 from .packing import pack, unpack
 
 _U = np.uint64
@@ -95,28 +101,72 @@ def _blob(x: np.ndarray) -> bytes:
 
 
 _REQUEST = "bucket bigint, tile bigint, keys binary, kept binary, deleted binary"
-_ANSWER = "tile bigint, bucket bigint, total binary, deleted binary, stats binary"
-
-
-def _request(buckets: int, held_out: int, deleted: int, order: int):
-    def count(table: pa.Table) -> pa.Table:
-        tile = _Tile(table.column("text"), order)
-        fold = _fold(tile, table)
-        kept, gone = (np.bincount(tile.grams[:, sel].ravel(), minlength=len(tile.keys)).astype(np.uint32)
-                      for sel in ((fold != held_out) & (fold != deleted), fold == deleted))
-        cuts = tile.cuts(buckets)
-        at = [(b, int(i), int(j)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
-        number = table.column("tile")[0].as_py()
-        return pa.table([pa.array([b for b, _, _ in at], pa.int64()), pa.array([number] * len(at), pa.int64()),
-                         pa.array([pack(tile.keys[i:j], ordered=True) for _, i, j in at], pa.binary()),
-                         pa.array([pack(kept[i:j]) for _, i, j in at], pa.binary()),
-                         pa.array([pack(gone[i:j]) for _, i, j in at], pa.binary())],
-                        names=["bucket", "tile", "keys", "kept", "deleted"])
+_ANSWER = "tile bigint, bucket bigint, total binary, deleted binary, check bigint, stats binary"
+
+
+def _tiles(batches: Iterator[pa.RecordBatch], tile_bytes: int) -> Iterator[tuple[int, pa.Table]]:
+    """A task's rows in runs of about ``tile_bytes`` of text, numbered apart from those of other tasks."""
+    from pyspark import TaskContext
+
+    from .bpe import _slices
+
+    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in batches:
+        for part in _slices(batch, tile_bytes // 8):
+            held.append(part)
+            size += part.column("text").nbytes
+            if size >= tile_bytes:
+                yield number, pa.Table.from_batches(held)
+                number, held, size = number + 1, [], 0
+    if held:
+        yield number, pa.Table.from_batches(held)
+
+
+def _request(buckets: int, held_out: int, deleted: int, order: int, tile_bytes: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in _tiles(batches, tile_bytes):
+            tile = _Tile(table.column("text"), order)
+            fold = _fold(tile, table)
+            kept, gone = (np.bincount(tile.grams[:, sel].ravel(), minlength=len(tile.keys)).astype(np.uint32)
+                          for sel in ((fold != held_out) & (fold != deleted), fold == deleted))
+            cuts = tile.cuts(buckets)
+            at = [(b, int(i), int(j)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _, _ in at], pa.int64()), pa.array([number] * len(at), pa.int64()),
+                 pa.array([pack(tile.keys[i:j], ordered=True) for _, i, j in at], pa.binary()),
+                 pa.array([pack(kept[i:j]) for _, i, j in at], pa.binary()),
+                 pa.array([pack(gone[i:j]) for _, i, j in at], pa.binary())],
+                names=["bucket", "tile", "keys", "kept", "deleted"])
     return count
 
 
-def _answer(tiles: int):
-    """Add up a bucket and give each tile its totals; the bucket's statistics go to one tile."""
+def _deal(tile_bytes: int):
+    """The documents with the number of their tile."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, table in _tiles(batches, tile_bytes):
+            for part in table.to_batches():
+                yield pa.RecordBatch.from_arrays([pa.array([tile] * part.num_rows, pa.int64()), *part.columns],
+                                                 names=["tile", *part.schema.names])
+    return number
+
+
+# Plans that give the same rows to the same tasks each time they run
+_STEADY = {"Project", "Filter", "LogicalRelation", "LocalRelation", "LogicalRDD", "Union", "Range"}
+
+
+def _steady(df: DataFrame) -> bool:
+    """True when a second pass over ``df`` deals its rows like the first: scans, projections and filters only."""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() not in _STEADY:
+            return False
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return True
+
+
+def _answer():
+    """Add up a bucket and give each tile its totals; one row more (tile -1) has the bucket's statistics."""
     def add(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         parts = [[unpack(b, kind, c == "keys") for b in table.column(c).to_pylist()]
@@ -137,19 +187,30 @@ def _answer(tiles: int):
         cut = list(zip([0, *ends[:-1].tolist()], ends.tolist()))
         n = len(cut)
         return pa.table([
-            pa.array([*table.column("tile").to_pylist(), bucket % tiles], pa.int64()),
+            pa.array([*table.column("tile").to_pylist(), -1], pa.int64()),
             pa.array([bucket] * (n + 1), pa.int64()),
-            pa.array([*(pack(total[run[i:j]].astype(np.uint32)) for i, j in cut), None], pa.binary()),
-            pa.array([*(pack(gone_sum[run[i:j]].astype(np.uint32)) for i, j in cut), None], pa.binary()),
+            pa.array([*(pack(total[run[i:j]].astype(np.uint64)) for i, j in cut), None], pa.binary()),
+            pa.array([*(pack(gone_sum[run[i:j]].astype(np.uint64)) for i, j in cut), None], pa.binary()),
+            pa.array([*(_check(keys[i:j]) for i, j in cut), 0], pa.int64()),
             pa.array([*[None] * n, _blob(stats)], pa.binary())],
-            names=["tile", "bucket", "total", "deleted", "stats"])
+            names=["tile", "bucket", "total", "deleted", "check", "stats"])
     return add
 
 
-def _totals(answers: pa.Table, column: str) -> np.ndarray:
-    got = sorted((b, x) for b, x in zip(answers.column("bucket").to_pylist(), answers.column(column).to_pylist())
+def _check(keys: np.ndarray) -> int:
+    """A sum that tells whether totals are for these n-grams."""
+    return int((keys * _U(0x9E3779B97F4A7C15) ^ keys >> _U(29)).sum(dtype=np.uint64).astype(np.int64))
+
+
+def _totals(tile: _Tile, answers: pa.Table, column: str) -> np.ndarray:
+    got = sorted((b, x, c) for b, x, c in zip(*(answers.column(n).to_pylist() for n in ("bucket", column, "check")))
                  if x is not None)
-    return np.concatenate([unpack(x, np.uint32) for _, x in got]).astype(np.int64) if got else np.zeros(0, np.int64)
+    out = np.concatenate([unpack(x, np.uint64) for _, x, _ in got]).astype(np.int64) if got else np.zeros(0, np.int64)
+    # sums wrap around at 64 bits
+    asked, told = _check(tile.keys), sum(c for _, _, c in got)
+    if len(out) != len(tile.keys) or (asked - told) % (1 << 64):
+        raise RuntimeError("the second pass met the documents in other tasks than the first; write the input before scoring")
+    return out
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -169,15 +230,12 @@ _CELLS = "b int, q bigint, mass bigint"
 
 
 def _cells(deleted: int, order: int):
-    """The deleted tokens by context bucket and rounded log estimates, and the statistics (b = -1)."""
+    """The deleted tokens by context bucket and rounded log estimates."""
     def gather(docs: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
-        for s in answers.column("stats").to_pylist():
-            if s is not None:
-                rows += [(-1, i, int(x)) for i, x in enumerate(np.frombuffer(s, np.int64))]
         if docs.num_rows:
             tile = _Tile(docs.column("text"), order)
-            kept = _totals(answers, "total") - _totals(answers, "deleted")
+            kept = _totals(tile, answers, "total") - _totals(tile, answers, "deleted")
             sel = _fold(tile, docs) == deleted
             seen, contexts = kept[tile.grams[:, sel]], kept[tile.contexts[:, sel]]
             b = _buckets(list(contexts), int(sel.sum()))
@@ -197,6 +255,15 @@ def _cells(deleted: int, order: int):
     return gather
 
 
+def _stat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets' statistics as cells (b = -1)."""
+    for batch in batches:
+        rows = [(-1, i, int(x)) for s in batch.column("stats").to_pylist() for i, x in enumerate(np.frombuffer(s, np.int64))]
+        cols = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())],
+                                         names=["b", "q", "mass"])
+
+
 def learn_weights(b: np.ndarray, parts: np.ndarray, mass: np.ndarray) -> np.ndarray:
     """Mixture weights per context bucket, by expectation-maximisation.
 
@@ -258,7 +325,7 @@ def _score(id_type: pa.DataType, held_out: int, order: int):
         model = next(np.frombuffer(m, np.float64) for m in answers.column("model").to_pylist() if m is not None)
         n, v, weights = model[0], model[1], model[2:].reshape(_bucket_total(order), order + 1)
         tile = _Tile(docs.column("text"), order)
-        total = _totals(answers, "total")
+        total = _totals(tile, answers, "total")
         word, contexts = total[tile.grams[0]], [total[c] for c in tile.contexts]
         w = weights[_buckets(contexts, len(word))]
         p = w[:, 0] * word / max(n, 1) + w[:, order] / (v + 1)
@@ -292,25 +359,29 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError(f"order must be from 1 to {MAX_ORDER}: {order}")
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    rows = rows.withColumn("fold", fold_of(F.col("doc_id")))
+    if not _steady(rows):
+        rows = written(rows, "lm-rows")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    tiles = max(4, -(-size // tile_bytes))
-    rows = (rows.withColumn("fold", fold_of(F.col("doc_id")))
-            .withColumn("tile", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(tiles))))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-    by_tile = rows.groupBy("tile")
-    asked = by_tile.applyInArrow(_request(tiles, held_out, deleted, order), _REQUEST)
-    told = asked.groupBy("bucket").applyInArrow(_answer(tiles), _ANSWER)
-    cells = (by_tile.cogroup(told.groupBy("tile")).applyInArrow(_cells(deleted, order), _CELLS)
-             .groupBy("b", "q").agg(F.sum("mass").alias("mass")))
+    buckets = max(4, -(-size // tile_bytes))
+    id_type = rows.schema["doc_id"].dataType
+    kind = id_type.simpleString()
+
+    asked = rows.mapInArrow(_request(buckets, held_out, deleted, order, tile_bytes), _REQUEST)
+    told = written(asked.groupBy("bucket").applyInArrow(_answer(), _ANSWER), "lm-answers")
+
+    by_tile = rows.mapInArrow(_deal(tile_bytes), f"tile bigint, doc_id {kind}, text string, fold int").groupBy("tile")
+    answers = told.filter("tile >= 0")
+    cells = by_tile.cogroup(answers.select("tile", "bucket", "total", "deleted", "check").groupBy("tile")).applyInArrow(
+        _cells(deleted, order), _CELLS)
+    stats = told.filter("tile < 0").select("stats").mapInArrow(_stat_rows, _CELLS)
     # the cells lie on a fixed grid, so their number is bounded; a larger corpus fills more of it
-    model = cells.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(
-        lambda t: _weights(t, order), "model binary")
-    to_all = model.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))).alias("tile"), "model")
-    answers = (told.filter("stats IS NULL").select("tile", "bucket", "total", F.lit(None).cast("binary").alias("model"))
-               .unionByName(to_all.select("tile", F.lit(None).cast("bigint").alias("bucket"),
-                                          F.lit(None).cast("binary").alias("total"), "model")))
-    return by_tile.cogroup(answers.groupBy("tile")).applyInArrow(
-        _score(id_type, held_out, order), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+    model = (cells.unionByName(stats).groupBy("b", "q").agg(F.sum("mass").alias("mass")).withColumn("all", F.lit(0))
+             .groupBy("all").applyInArrow(lambda t: _weights(t, order), "model binary"))
+    to_all = answers.select("tile").distinct().withColumn("model", model.scalar())
+    full = (answers.select("tile", "bucket", "total", "check", F.lit(None).cast("binary").alias("model"))
+            .unionByName(to_all.select("tile", F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("total"),
+                                       F.lit(None).cast("bigint").alias("check"), "model")))
+    return by_tile.cogroup(full.groupBy("tile")).applyInArrow(
+        _score(to_arrow_type(id_type), held_out, order), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
                                    "train_tokens bigint, base_score double, score double")
