@@ -370,11 +370,12 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     asked = rows.mapInArrow(_request(buckets, held_out, deleted, order, tile_bytes), _REQUEST)
     told = written(asked.groupBy("bucket").applyInArrow(_answer(), _ANSWER), "lm-answers")
 
+    # written before the documents are dealt: the driver lets go of the requests' shuffle when a later job has ended
+    stats = written(told.filter("tile < 0").select("stats").mapInArrow(_stat_rows, _CELLS), "lm-stats")
     by_tile = rows.mapInArrow(_deal(tile_bytes), f"tile bigint, doc_id {kind}, text string, fold int").groupBy("tile")
     answers = told.filter("tile >= 0")
     cells = by_tile.cogroup(answers.select("tile", "bucket", "total", "deleted", "check").groupBy("tile")).applyInArrow(
         _cells(deleted, order), _CELLS)
-    stats = told.filter("tile < 0").select("stats").mapInArrow(_stat_rows, _CELLS)
     # the cells lie on a fixed grid, so their number is bounded; a larger corpus fills more of it
     model = (cells.unionByName(stats).groupBy("b", "q").agg(F.sum("mass").alias("mass")).withColumn("all", F.lit(0))
              .groupBy("all").applyInArrow(lambda t: _weights(t, order), "model binary"))
