@@ -32,7 +32,7 @@ from .common import text_of, written
 from .packing import pack, unpack
 
 _U = np.uint64
-TILE_BYTES = 8 << 20
+TILE_BYTES = 5 << 20
 FOLDS = 7
 # The end of a text, and what stands before its first word
 _END, _START = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
