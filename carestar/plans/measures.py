@@ -229,8 +229,12 @@ def _bare(c: str) -> str:
     return c.split(".", 1)[-1]
 
 
-def _part(model: Model, ms: list[Measure], by: Sequence[str], axes: Sequence[str], slicers: Mapping[str, Sequence]) -> DataFrame:
-    """The measures of one table (and one inner key, or one distinct count): a row per axis value."""
+def _part(model: Model, ms: list[Measure], by: Sequence[str], axes: Sequence[str], slicers: Mapping[str, Sequence],
+          all_axes: bool = True) -> DataFrame:
+    """The measures of one table (and one inner key, or one distinct count): a row per axis value.
+
+    Without ``all_axes`` a distinct count may leave out the axis values where it is blank.
+    """
     table, inner_key = ms[0].table, ms[0].inner[0] if ms[0].inner else None
     replaced = {c for m in ms for c in m.filters}
     cols = sorted(set(by) | set(slicers) | {c for m in ms for c in (*m.filters, *m.intersect, *m.uses)})
@@ -253,12 +257,11 @@ def _part(model: Model, ms: list[Measure], by: Sequence[str], axes: Sequence[str
     if inner_key is None and aggs[0].distinct:
         m, col = ms[0], aggs[0].distinct
         if not away and bitmaps.fits(df, col):
-            # the groups of the result are all kept, also those whose count is blank
             maps = bitmaps.bitmaps(df, axes, col, mask_of(m))
             found = bitmaps.count(maps, axes, m.key)
             if not axes:
                 return found.select(F.nullif(m.key, F.lit(0)).alias(m.key))
-            return _join_on_axes(df.select(*axes).distinct(), found, axes)
+            return _join_on_axes(df.select(*axes).distinct(), found, axes) if all_axes else found
         rows = sliced(model.above(df.select(*dict.fromkeys([*group, col])).distinct(), table, away), away)
         counted = F.nullif(F.count_distinct(F.when(mask_of(m), F.col(col))), F.lit(0)).alias(m.key)
         return rows.groupBy(*axes).agg(counted) if axes else rows.agg(counted)
@@ -287,7 +290,9 @@ def measure(model: Model, registry: Mapping[str, Measure], keys: Sequence[str],
         alone = m.key if m.inner is None and m.agg.distinct else None
         groups.setdefault((m.table, m.inner[0] if m.inner else None, alone), []).append(m)
 
-    parts = [_part(model, ms, by, axes, slicers) for ms in groups.values()]
+    # without slicers, plain measures of a table bring every axis value that its distinct counts can have
+    plain = set() if slicers else {table for table, inner_key, alone in groups if inner_key is None and alone is None}
+    parts = [_part(model, ms, by, axes, slicers, all_axes=table not in plain) for (table, _, _), ms in groups.items()]
     if axes:
         out = parts[0]
         for p in parts[1:]:
