@@ -28,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestar.session import ship_package
@@ -49,7 +49,7 @@ MISS = 1e-8
 FLUSH, PACKED = 1_500_000, 4
 # Bytes of text to a bucket of keys, at most
 BUCKET_BYTES = 16 << 20
-# Words of the sketch of a node's differences from its centre
+# Words of the smallest sketch, and of those compared inside a join
 SMALL = 4
 
 
@@ -212,8 +212,8 @@ def _pack(keys: list[np.ndarray], nodes: list[int], buckets: int) -> Iterator[tu
 
 
 def full_sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parity sketch with at least two bits per shingle; its number of words is a power of two."""
-    return parity_sketch(shingles, 1 << max(0, (len(shingles) // 32 - 1).bit_length())).astype(np.int64)
+    """Parity sketch with more than a bit per shingle; its number of words is a power of two, at least SMALL."""
+    return parity_sketch(shingles, max(SMALL, 1 << max(0, (len(shingles) // 32 - 1).bit_length()))).astype(np.int64)
 
 
 _INDEX = "kind int, doc_id {kind}, n bigint, bucket bigint, key bigint, node bigint, blob binary, sketch array<bigint>"
@@ -325,12 +325,11 @@ def _hamming(a: str, b: str):
     return F.expr(f"aggregate(zip_with({fold(a, b)}, {fold(b, a)}, (x, y) -> bit_count(x ^ y)), 0, (s, n) -> s + n)")
 
 
-def _small_sketch(column: str):
-    """Parity sketch of SMALL words."""
-    zero = "array(" + ", ".join(["0L"] * SMALL) + ")"
-    return F.expr(f"""aggregate({column}, {zero}, (s, x) -> transform(s, (w, k) ->
-        CASE WHEN k = CAST(shiftrightunsigned(x, 6) & {SMALL - 1} AS INT)
-             THEN w ^ shiftleft(1L, CAST(x & 63 AS INT)) ELSE w END))""")
+def _folded(sketch: str):
+    """A sketch folded to SMALL words."""
+    step = f"CAST(size({sketch}) / {SMALL} AS INT)"
+    return F.expr(f"transform(sequence(0, {SMALL - 1}), i -> "
+                  f"aggregate(slice({sketch}, i * {step} + 1, {step}), 0L, (s, w) -> s ^ w))")
 
 
 def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -356,9 +355,13 @@ def _star(keyed: DataFrame, rows: DataFrame, one_each: DataFrame, words: int, nu
     near = _linked(F.col("n"), F.col("nc"), _hamming("sketch", "sc"), num, den)
     pairs = written(pairs.filter(near).select("centre", "node"), "jaccard-pairs")
     sets = written(_sets(rows, _wanted(pairs, one_each), words), "jaccard-sets")
-    star = _differences(pairs, sets)
-    links = star.filter(_linked(F.col("nc"), F.col("nn"), F.size("differ"), num, den))
-    return written(links.select(F.col("centre").alias("a"), F.col("node").alias("b")), "jaccard-links"), sets
+    return _verified(pairs, sets, num, den), sets
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The links ``a, b`` among pairs ``centre, node``, by their whole sets."""
+    links = _differences(pairs, sets).filter(_linked(F.col("nc"), F.col("nn"), F.size("differ"), num, den))
+    return written(links.select(F.col("centre").alias("a"), F.col("node").alias("b")), "jaccard-links")
 
 
 def _wanted(pairs: DataFrame, one_each: DataFrame) -> DataFrame:
@@ -381,8 +384,10 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     differences, at least (1 - r) dy / 2, and at least (dx + dy - D) / 2 >= dx - D.
     So, in one order for all, one of y's first dy - that + 1 differences is among
     x's first D + 1.  Shingles the centre does not have come first: they are rare.
-    Parity sketches of the differences rule most pairs out inside the join.
-    ``keyed`` and ``sets`` are deleted as soon as the differences are written.
+    Only these first differences are kept, and of them those that nodes of several
+    components have.  Parity sketches rule most pairs out, folded ones inside the
+    join and whole ones after it; what is left is verified on the whole sets.
+    ``keyed`` and ``sets`` are deleted.
     """
     label = groups.select("node", F.col("component").alias("c"))
     known = (keyed.filter("node <> centre").join(label, "node", "left")
@@ -391,37 +396,49 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     open_keys = (known.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h")).filter("_l <> _h")
                  .select("key"))
     around = written(known.join(open_keys, "key").select("centre", "node", "c").distinct(), "jaccard-open")
+    discard(keyed)
     missing = _wanted(around, one_each).join(sets.select("node"), "node", "left_anti")
     more = written(_sets(rows, missing, words), "jaccard-sets")
-    members = _differences(around.select("centre", "node"), sets.unionByName(more)).join(around, ["centre", "node"])
-    members = written(members.select(
-        "centre", "node", "c", F.col("nn").alias("n"), F.size("differ").cast("long").alias("d"), "differ",
-        _small_sketch("differ").alias("s")), "jaccard-members")
-    for table in (keyed, around, sets, more):
-        discard(table)
+    have = sets.unionByName(more)
     r = F.lit(den - num) / F.lit(den + num)
     # the most by which a linked node of any size can differ
     most = F.floor(F.col("n") * (den - num) / num)
     wide = F.least("d", most + 1)
     narrow = F.least(F.col("d") - F.greatest(F.lit(1), F.ceil((F.lit(1) - r) * F.col("d") / 2 - 1e-9)) + 1,
                      F.floor(most / 2) + 1)
-    first = lambda k: F.explode(F.slice("differ", F.lit(1), k.cast("int"))).alias("token")
-    there = members.select("centre", first(wide), F.col("node").alias("x"), "c", "n", "d", "s")
-    probe = members.select("centre", first(narrow), F.col("node").alias("y"), F.col("c").alias("cy"),
-                           F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("s").alias("t"))
+    members = (_differences(around.select("centre", "node"), have)
+               .select("centre", "node", F.col("nn").alias("n"), F.size("differ").cast("long").alias("d"), "differ")
+               .select("centre", "node", "n", "d", narrow.alias("narrow"),
+                       F.slice("differ", F.lit(1), wide.cast("int")).alias("first")))
+    members = written(members, "jaccard-members")
+    small = one_each.select("node", _folded("sketch").alias("s"))
+    tokens = (members.join(around, ["centre", "node"]).join(small, "node")
+              .select("centre", "node", "c", "n", "d", "s", "narrow", F.posexplode("first").alias("at", "token")))
+    same = Window.partitionBy("centre", "token")
+    tokens = (tokens.withColumn("_l", F.min("c").over(same)).withColumn("_h", F.max("c").over(same))
+              .filter("_l <> _h").drop("_l", "_h"))
+    tokens = written(tokens, "jaccard-tokens")
+    for table in (members, around):
+        discard(table)
+    there = tokens.select("centre", "token", F.col("node").alias("x"), "c", "n", "d", "s")
+    probe = tokens.filter("at < narrow").select(
+        "centre", "token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"),
+        F.col("d").alias("dy"), F.col("s").alias("t"))
     apart = sum((F.bit_count(F.get("s", F.lit(k)).bitwiseXOR(F.get("t", F.lit(k)))) for k in range(SMALL)), F.lit(0))
-    found = written(there.join(probe, ["centre", "token"])
-                    .filter((F.col("c") != F.col("cy")) & F.expr("dy < d OR (dy = d AND y < x)")
-                            & _linked(F.col("n"), F.col("ny"), F.col("d") - F.col("dy"), num, den)
-                            & _linked(F.col("n"), F.col("ny"), apart, num, den))
-                    .select("centre", "x", "y").distinct(), "jaccard-found")
-    side = lambda n: members.select("centre", F.col("node").alias(n), F.col("n").alias(f"n{n}"),
-                                    F.col("differ").alias(f"d{n}"))
-    pairs = found.join(side("x"), ["centre", "x"]).join(side("y"), ["centre", "y"])
-    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
-    links = written(pairs.filter(_linked(F.col("nx"), F.col("ny"), apart, num, den))
-                    .select(F.col("x").alias("a"), F.col("y").alias("b")), "jaccard-links")
-    discard(members)
+    found = (there.join(probe, ["centre", "token"])
+             .filter((F.col("c") != F.col("cy")) & F.expr("dy < d OR (dy = d AND y < x)")
+                     & _linked(F.col("n"), F.col("ny"), F.col("d") - F.col("dy"), num, den)
+                     & _linked(F.col("n"), F.col("ny"), apart, num, den))
+             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    side = lambda n: one_each.select(F.col("node").alias(n), F.col("n").alias(f"n{n}"),
+                                     F.col("sketch").alias(f"s{n}"))
+    found = written(found.join(side("x"), "x").join(side("y"), "y")
+                    .filter(_linked(F.col("nx"), F.col("ny"), _hamming("sx", "sy"), num, den))
+                    .select(F.col("x").alias("centre"), F.col("y").alias("node")), "jaccard-found")
+    discard(tokens)
+    links = _verified(found, have, num, den)
+    for table in (sets, more):
+        discard(table)
     return links
 
 
