@@ -20,6 +20,11 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots, for ``F.col``."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)

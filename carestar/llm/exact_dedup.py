@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, text_of, written
+from .common import lower_ascii, quoted, text_of, written
 
 # A piece of a group never holds fewer rows than this, however small the input
 MIN_PIECE_ROWS = 500
@@ -27,7 +27,7 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int
         raise ValueError(f"keep must be 'min' or 'max', not {keep!r}")
     best = F.min if keep == "min" else F.max
 
-    own = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(True)
+    own = F.struct(*[F.col(quoted(c)) for c in carry]) if carry else F.lit(True)
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), own.alias("_own"))
     rows = rows.withColumn("_hash", F.xxhash64(lower_ascii(F.col("_text"))))
     limit = max(MIN_PIECE_ROWS, docs.select(F.lit(1)).count() // hot_share)
@@ -93,7 +93,11 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
                       hot_share: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns unchanged."""
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with their columns unchanged.
+
+    Defined cases: as in ``exact_dedup``; a very long text is compared whole; a
+    kept row keeps its nulls; columns may have any names, with dots too.
+    """
     runs = _runs(docs, id_col, text_col, keep, hot_share, docs.columns).filter("_rank = 1")
     hot = (runs.filter("_hot").drop("_norm")
            .join(F.broadcast(_pieces(runs, keep).filter("_winner = 1")), ["_sha", "_piece"]).select("_own"))

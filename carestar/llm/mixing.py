@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, text_of, written
+from .common import count_words, quoted, text_of, written
 
 HASH_BITS, LEVEL_BITS = 60, 15
 
@@ -111,10 +111,15 @@ def take_mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "sour
     """The rows of ``docs``, each as often as ``mix_sources`` takes it, with their columns unchanged.
 
     The plan has one row per source and is joined to the documents as they lie.
+
+    Defined cases: as in ``mix_sources``; a row is taken with its own null text,
+    null source or null id, and a very long text whole; an empty table gives an
+    empty result; columns may have any names, with dots or those of the plan too.
     """
     plan = mix_plan(_narrow(docs, id_col, source_col, text_col), weights, share, most)
-    plan = plan.select(F.col("source").alias("_src"), F.col("base").alias("_base"), F.col("below").alias("_below"))
-    copies = F.col("_base") + F.when(mix_hash(F.col(id_col)) < F.col("_below"), 1).otherwise(0)
-    return (docs.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("_src")))
-            .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), copies.cast("int"))))
-            .select(*docs.columns))
+    copies = F.col("base") + F.when(mix_hash(F.col("id")) < F.col("below"), 1).otherwise(0)
+    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"),
+                       F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("from"))
+    return (rows.join(plan, F.col("from").eqNullSafe(F.col("source")))
+            .select("row", F.explode(F.array_repeat(F.lit(True), copies.cast("int"))))
+            .select("row.*"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, text_of
+from .common import SPACES, quoted, text_of
 
 # Rules in bit order: name -> SQL condition over the measurements that marks a failure.
 # Bits are never reused; a changed rule gets a new name and bit.
@@ -82,13 +82,13 @@ def rule_ledger(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Words are runs of non-space characters (space, tab to carriage return).
     8-word windows are told apart by a 64-bit hash within one document.
-    ``carry`` keeps the named input columns beside them (for a filter).
+    ``carry`` keeps the named input columns beside them, by number (for a filter).
 
     Defined cases: a null text has no word and no line; repeated rows are
     measured each; an empty table gives an empty result; other input columns
     are ignored, whatever their names.
     """
-    kept = [F.col(c).alias(f"_in_{c}") for c in carry or []]
+    kept = [F.col(quoted(c)).alias(f"_in_{k}") for k, c in enumerate(carry or [])]
     base = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"), *kept)
     names = [c for c in base.columns if c.startswith("_in_")]
     measured = base.select(
@@ -128,6 +128,12 @@ def ablations(ledger: DataFrame, policy: str) -> DataFrame:
 
 def filter_quality(docs: DataFrame, policy: str = "web-1", *, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that a policy keeps, with their columns unchanged."""
+    """The rows of ``docs`` that a policy keeps, with their columns unchanged.
+
+    Defined cases: a null or empty text has no word and fails every policy with
+    ``few_words``; a very long text is measured whole; rows that repeat are kept or
+    dropped alike; an empty table gives an empty result; columns may have any
+    names, with dots too.
+    """
     ledger = rule_ledger(docs, id_col=id_col, text_col=text_col, carry=docs.columns)
-    return ledger.filter(passes(policy)).select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+    return ledger.filter(passes(policy)).select(*[F.col(f"_in_{k}").alias(c) for k, c in enumerate(docs.columns)])

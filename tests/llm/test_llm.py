@@ -24,7 +24,7 @@ from carestar.llm.jaccard_join import bands, drop_near_copies, jaccard_component
 from carestar.llm.lm_scores import lm_scores
 from carestar.llm.mixing import mix_sources, take_mix
 from carestar.llm.pii import find_personal_data
-from carestar.llm.quality_rules import ablations, rule_ledger
+from carestar.llm.quality_rules import ablations, filter_quality, passes, rule_ledger
 from carestar.llm.queries import ORACLE_SQL, QUERIES
 from carestar.llm.suffix_dedup import remove_repeats
 from carestar.llm.token_counts import count_tokens, document_token_counts
@@ -374,3 +374,31 @@ def test_pipeline_equals_brute_force(spark, enc):
         want[i, len(enc.encode_ordinary(texts[i]))] += taken // size
     got = Counter((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, SF).collect())
     assert got == +want
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    names = ["doc_id", "text", "source", "_below", "base", "_copy", "row", "a.b", "source_size"]
+    rows = [(1, "one two three", "x", 5, 6, False, "r", "d", 9), (2, None, None, 5, 6, False, "r", "d", 9),
+            (None, "", "x", 5, 6, None, "r", "d", 9), (4, "word " * 5000, "y", 5, 6, False, None, None, 9)]
+    schema = "doc_id long, text string, source string, _below long, base long, _copy boolean, row string, `a.b` string, source_size long"
+    df = spark.createDataFrame(rows, schema)
+    taken = {r["doc_id"]: r["copies"] for r in mix_sources(df).collect()}
+    mixed = take_mix(df)
+    assert mixed.columns == names
+    want = Counter({r: taken[r[0]] for r in rows if taken[r[0]]})
+    assert Counter(tuple(r) for r in mixed.collect()) == want
+    assert take_mix(df.limit(0)).collect() == []
+    for keep, left in ((drop_exact_copies, {1, 2, 4}), (filter_quality, set())):
+        out = keep(df)
+        assert out.columns == names
+        assert {r["doc_id"] for r in out.collect()} == left
+
+
+def test_filter_quality_keeps_what_the_ledger_passes(spark):
+    good = " ".join(f"word{i} and text" for i in range(20))
+    rows = [(1, good), (1, good), (None, good), (2, None), (3, ""), (4, "same " * 400), (5, "short text"), (6, good + " x" * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    passed = Counter(r["doc_id"] for r in rule_ledger(df).filter(passes("web-1")).collect())
+    got = filter_quality(df)
+    assert Counter(r["doc_id"] for r in got.collect()) == passed == Counter([1, 1, None, 6])
+    assert filter_quality(df.limit(0)).collect() == []
