@@ -25,6 +25,8 @@ from .common import written
 # Free in the vocabulary; ids up to it fit in two bytes
 END_OF_DOCUMENT = 50256
 BLOCK_BYTES = 4 << 20
+# The largest id that two bytes hold
+MOST_ID = 65535
 
 
 def _open(path: str, mode: str):
@@ -50,7 +52,10 @@ def write_token_files(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     documents (``path, ordinal, doc_id``), read back from the shared folder; a
     file that a lost or repeated task attempt left behind is in no row of it.
     Lengths are not recorded.  A null text counts as empty: only its end id is written.
+    A token id that two bytes cannot hold, or that is the end id, fails the job.
     """
+    if not 0 <= end_id <= MOST_ID:
+        raise ValueError(f"end_id must be from 0 to {MOST_ID}, not {end_id}")
     ship_package(docs.sparkSession)
     file, pat = tokenizer_file or default_tokenizer(), pattern or default_pattern()
     base = scratch_path(docs.sparkSession, "token-files")
@@ -63,7 +68,10 @@ def write_token_files(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             for part in _slices(batch):
                 out = out or _open(path, "w")
                 for text in part.column("text").to_pylist():
-                    out.write(np.frombuffer(bpe.ids(text), "<u4").astype("<u2").tobytes() + end)
+                    ids = np.frombuffer(bpe.ids(text), "<u4")
+                    if len(ids) and (ids.max() > MOST_ID or (ids == end_id).any()):
+                        raise ValueError(f"token ids must be at most {MOST_ID} and not the end id {end_id}")
+                    out.write(ids.astype("<u2").tobytes() + end)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * n), pa.array(np.arange(at, at + n)), part.column("doc_id")],
@@ -137,8 +145,9 @@ def count_tokens(paths: DataFrame, *, end_id: int = END_OF_DOCUMENT, block_bytes
 def document_token_counts(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, n_tokens`` for every row of ``docs``: write token files, scan them, give counts back.
 
-    Defined cases: a null text has 0 tokens; repeated rows are counted each; an
-    empty table gives an empty result.
+    Defined cases: a null text has 0 tokens; repeated rows are counted each; a very
+    long text is one run over as many blocks as it takes; an empty table gives an
+    empty result; other input columns are ignored, whatever their names.
     """
     order = write_token_files(docs, **options)
     counts = count_tokens(order.select("path"), end_id=options.get("end_id", END_OF_DOCUMENT))

@@ -402,3 +402,14 @@ def test_filter_quality_keeps_what_the_ledger_passes(spark):
     got = filter_quality(df)
     assert Counter(r["doc_id"] for r in got.collect()) == passed == Counter([1, 1, None, 6])
     assert filter_quality(df.limit(0)).collect() == []
+
+
+def test_token_files_refuse_ids_they_cannot_hold(spark, enc):
+    df = spark.createDataFrame([(1, "a word"), (2, None)], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        document_token_counts(df, end_id=70000)
+    ids = enc.encode_ordinary("a word")
+    with pytest.raises(Exception, match="not the end id"):
+        document_token_counts(df, end_id=ids[0]).collect()
+    clash = df.selectExpr("*", "1 AS path", "2 AS ordinal", "3 AS n_tokens")
+    assert {r["doc_id"]: r["n_tokens"] for r in document_token_counts(clash).collect()} == {1: len(ids), 2: 0}
