@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from carestar.session import ship_package
 
@@ -282,8 +283,9 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id"
 
     Defined cases: a null text is empty; a text shorter than ``length`` stays
     whole; rows that repeat count as repeats of each other; null ids are ids like
-    others; an empty table gives an empty result; other input columns are
-    ignored.  A task holds a tile, at least one whole document.
+    others, and ids may be of any atomic type; an empty table gives an empty
+    result; other input columns are ignored.  A task holds a tile, at least one
+    whole document.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
@@ -291,7 +293,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id"
     tiles = max(4, -(-size // tile_bytes))
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(tiles)))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(rows.schema["doc_id"].dataType)
 
     by_tile = rows.groupBy("tile")
     told = by_tile.applyInArrow(_rounds_1_and_2(length, tiles), _PACKET).groupBy("bucket").applyInArrow(

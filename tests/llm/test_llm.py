@@ -413,3 +413,18 @@ def test_token_files_refuse_ids_they_cannot_hold(spark, enc):
         document_token_counts(df, end_id=ids[0]).collect()
     clash = df.selectExpr("*", "1 AS path", "2 AS ordinal", "3 AS n_tokens")
     assert {r["doc_id"]: r["n_tokens"] for r in document_token_counts(clash).collect()} == {1: len(ids), 2: 0}
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(20,0)"])
+def test_repeats_with_ids_of_any_type(spark, kind):
+    passage = "".join(chr(97 + i * i % 26) for i in range(401))
+    rows = [(1, "x" + passage), (2, "y" + passage + "z"), (None, "short"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(f"CAST(doc_id AS {kind}) AS doc_id", "text")
+    got = {r["doc_id"] and int(r["doc_id"]): (r["n_bytes"], r["n_removed"]) for r in remove_repeats(df).collect()}
+    brute = {}
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    starts = Counter(t[k:k + 400] for _, t in texts for k in range(len(t) - 399))
+    for i, t in texts:
+        gone = {b for k in range(len(t) - 399) if starts[t[k:k + 400]] > 1 for b in range(k, k + 400)}
+        brute[i] = (len(t), len(gone))
+    assert got == brute and brute[1][1] > 400
