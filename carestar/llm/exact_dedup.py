@@ -2,7 +2,10 @@
 
 Sampled splitters range-partition the normalised text, the external sort of
 each partition places equal texts next to each other, and neighbouring rows are
-compared on the whole text.  One row of each run stays.
+compared on the whole text.  One row of each run stays.  A splitter holds the
+first characters of a text and a hash of all of it, so the sample that the
+driver sees does not grow with the texts; texts that share both stay in one
+partition, where the sort tells them apart.
 
 Texts shared by more than ``1 / hot_share`` of all rows (at most ``hot_share``
 such texts) are found beforehand with a partially aggregated count and dealt
@@ -19,6 +22,8 @@ from .common import lower_ascii, quoted, text_of, written
 
 # A piece of a group never holds fewer rows than this, however small the input
 MIN_PIECE_ROWS = 500
+# Characters of a text in a splitter
+LEAD_CHARS = 32
 
 
 def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int, carry: list[str]) -> DataFrame:
@@ -28,8 +33,8 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int
     best = F.min if keep == "min" else F.max
 
     own = F.struct(*[F.col(quoted(c)) for c in carry]) if carry else F.lit(True)
-    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), own.alias("_own"))
-    rows = rows.withColumn("_hash", F.xxhash64(lower_ascii(F.col("_text"))))
+    rows = docs.select(F.col(id_col).alias("_id"), lower_ascii(text_of(text_col)).alias("_norm"), own.alias("_own"))
+    rows = rows.withColumn("_hash", F.xxhash64("_norm"))
     limit = max(MIN_PIECE_ROWS, docs.select(F.lit(1)).count() // hot_share)
     # at most hot_share hashes can each own more than 1 / hot_share of the rows
     hot = (rows.groupBy("_hash").count().filter(F.col("count") > limit)
@@ -38,11 +43,11 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int
             .withColumn("_piece", F.when(F.col("_pieces").isNotNull(),
                                          F.pmod(F.xxhash64("_id", F.lit(7)), F.col("_pieces")).cast("int"))
                         .otherwise(F.lit(0)))
-            .select("_id", "_text", "_own", "_piece", F.col("_pieces").isNotNull().alias("_hot")))
+            .select(F.substring("_norm", 1, LEAD_CHARS).alias("_lead"), "_hash", "_piece", "_norm", "_id", "_own",
+                    F.col("_pieces").isNotNull().alias("_hot")))
 
-    run = Window.partitionBy("_norm", "_piece")
-    runs = (rows.repartitionByRange(lower_ascii(F.col("_text")), "_piece")
-            .withColumn("_norm", lower_ascii(F.col("_text")))
+    run = Window.partitionBy("_lead", "_hash", "_piece", "_norm")
+    runs = (rows.repartitionByRange("_lead", "_hash", "_piece")
             .withColumn("_rank", F.row_number().over(run.orderBy(_first(keep)("_id"))))
             .withColumn("_best", best("_id").over(run))
             .withColumn("_n", F.count(F.lit(1)).over(run))

@@ -4,7 +4,8 @@ A token file is a bare run of little-endian 16-bit ids in which each document
 ends with the end-of-document id; nothing says where documents start.  Files are
 cut into blocks of equal size; each block is searched for separators with one
 vectorised comparison, and a prefix scan over a file's blocks stitches the
-documents that cross block boundaries.
+documents that cross block boundaries.  The scan sees three numbers of a block;
+its separators stay where they were found until they are joined back by block.
 """
 
 from __future__ import annotations
@@ -120,17 +121,17 @@ def count_tokens(paths: DataFrame, *, end_id: int = END_OF_DOCUMENT, block_bytes
              .mapInArrow(sizes, "path string, bytes bigint").filter("bytes > 0"))
     blocks = files.select("path", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("bytes") - 1) / block_bytes).cast("long"))).alias("block"))
-    found = blocks.repartition("path", "block").mapInArrow(
-        scan, "path string, block bigint, upto bigint, ends array<bigint>")
+    found = written(blocks.repartition("path", "block").mapInArrow(
+        scan, "path string, block bigint, upto bigint, ends array<bigint>"), "token-ends")
     # prefix scan over the blocks of a file: documents ended so far, and where the last one ended
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy("path")
-    stitched = found.select(
-        "path", "block", "ends", "upto",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("_ordinal"),
-        F.coalesce(F.max(F.element_at(F.when(F.size("ends") > 0, F.col("ends")), -1)).over(before),
-                   F.lit(-1).cast("long")).alias("_last"),
-        F.max("block").over(every).alias("_final"))
+    scanned = (found.select("path", "block", F.size("ends").alias("_n"), F.get("ends", F.size("ends") - 1).alias("_at"))
+               .select("path", "block",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ordinal"),
+                       F.coalesce(F.max("_at").over(before), F.lit(-1).cast("long")).alias("_last"),
+                       F.max("block").over(every).alias("_final")))
+    stitched = found.join(scanned.hint("merge"), ["path", "block"])
     # the end of the file closes a document without end id
     stitched = stitched.withColumn("_end", F.when(F.size("ends") > 0, F.element_at("ends", -1))
                                    .otherwise(F.col("_last")))
@@ -151,4 +152,5 @@ def document_token_counts(docs: DataFrame, **options) -> DataFrame:
     """
     order = write_token_files(docs, **options)
     counts = count_tokens(order.select("path"), end_id=options.get("end_id", END_OF_DOCUMENT))
-    return order.join(counts, ["path", "ordinal"]).select("doc_id", "n_tokens")
+    # both sides grow with the documents, and their compressed sizes mislead the planner
+    return order.join(counts.hint("merge"), ["path", "ordinal"]).select("doc_id", "n_tokens")

@@ -15,6 +15,7 @@ import tiktoken
 from public_tokenizers import PATTERN, path
 
 import corpus_pipeline
+from carestar.llm import exact_dedup as exact_dedup_module
 from carestar.llm import jaccard_join, sql
 from carestar.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from carestar.llm.chat import chat_digests, format_chats, read_back, render_incrementally, turn_template
@@ -95,6 +96,26 @@ def test_exact_dedup_ties_and_hot_texts(spark, edge):
     assert sorted(drop_exact_copies(edge).columns) == sorted(edge.columns) and drop_exact_copies(edge).count() == len(by)
 
 
+def test_exact_dedup_of_texts_that_share_their_beginning(spark):
+    lead = "The same Beginning of Many pages, longer than a splitter. "
+    texts = {i: lead + "x" * (i % 7) + ("Tail" if i % 3 else "tail") for i in range(300)} | {300: lead, 301: lead[:20], 302: None}
+    low = {i: (t or "").lower() for i, t in texts.items()}
+    ids = {t: [i for i in low if low[i] == t] for t in low.values()}
+    got = exact_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), keep="max").collect()
+    assert ({(r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got} ==
+            {(i, max(ids[t]), len(ids[t]), i == max(ids[t]), hashlib.sha256(t.encode()).hexdigest()) for i, t in low.items()})
+
+
+def test_exact_dedup_splitters_hold_no_whole_text(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(exact_dedup_module, "written", lambda df, name: plans.append(df) or df)
+    exact_dedup(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string"))
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"rangepartitioning\((\w+?)#\d+ ASC NULLS FIRST, (\w+?)#\w+ ASC NULLS FIRST, (\w+?)#", plan) == [
+        ("_lead", "_hash", "_piece")]
+    assert "hashpartitioning(_norm" not in plan and "hashpartitioning(_lead" not in plan
+
+
 def test_chat_round_trip_and_rewrites(spark):
     talks = [(1, 0, "user", "\\### x: </turn>"), (1, 1, "assistant", "\\\\</turn>\n### user: "), (1, 1, "assistant", None),
              (1, None, None, "n"), (None, 0, "a:b\\", ""), (2, 5, "assistant", "</turn")]
