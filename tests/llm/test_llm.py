@@ -26,6 +26,7 @@ from carestar.llm.lm_scores import lm_scores
 from carestar.llm.mixing import mix_sources, take_mix
 from carestar.llm.pii import find_personal_data
 from carestar.llm.quality_rules import ablations, filter_quality, passes, rule_ledger
+from carestar.llm.prefix_doubling import remove_repeats_by_doubling
 from carestar.llm.queries import ORACLE_SQL, QUERIES
 from carestar.llm.suffix_dedup import remove_repeats
 from carestar.llm.token_counts import count_tokens, document_token_counts
@@ -377,6 +378,14 @@ def test_repeats_equal_brute_force(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = remove_repeats(df, length=length, tile_bytes=4000).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    got = remove_repeats_by_doubling(df, length=length).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_doubling_edges_and_agreement(spark, edge, none):
+    assert remove_repeats_by_doubling(none).collect() == []
+    clash = edge.withColumn("pos", edge.size).withColumn("base", edge.size).withColumn("rank", edge.size)
+    assert sorted(map(str, remove_repeats_by_doubling(clash).collect())) == sorted(map(str, remove_repeats(clash).collect()))
 
 
 def test_pipeline_equals_brute_force(spark, enc):
