@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master)
     if args.cmd == "build":
         from .plans.build import warehouse_for
-        wh = warehouse_for(spark, args.sf)
+        wh = warehouse_for(spark, args.sf).publish()
         print(json.dumps({"warehouse": wh.path}))
         return 0
     if args.cmd == "daily":

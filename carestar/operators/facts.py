@@ -79,13 +79,14 @@ def stay_days(date_admission, date_sortie, admission_id: str, impute: str | None
 def fact_admissions(adm: DataFrame, calendar: DataFrame, discharges: DataFrame | None = None,
                     daily_rate: float = K.DAILY_RATE, impute: str | None = "hash",
                     unique: bool = False, calendar_rows: int | None = None,
-                    bounds: Bounds | None = None) -> DataFrame:
+                    bounds: Bounds | None = None, attributes: bool = True) -> DataFrame:
     """Admissions fact.
 
     ``adm``: admission_id, patient_id, date_admission, urgence, hopital_id,
     service_id, maladie_id, service, [date_sortie].  ``discharges`` (optional):
     admission_id, date_sortie — left-joined after a keep-first dedup.  ``unique``
     declares ``adm`` already one row per admission (skips the dedup shuffle).
+    Without ``attributes``, ``admission_attributes`` is left to the caller (after its shuffles).
     """
     df = adm
     if discharges is not None:
@@ -98,21 +99,28 @@ def fact_admissions(adm: DataFrame, calendar: DataFrame, discharges: DataFrame |
     df = df.withColumn("duree_sejour", stay_days(as_date(df, "date_admission"), as_date(df, "date_sortie"),
                                                  "admission_id", impute))
     df = _with_date_key(df, calendar, "date_admission", "inner", calendar_rows, bounds)
-    urgent = int_or("urgence", 0)
     out = df.select(
         "admission_id", "patient_id", "temps_id", "hopital_id", "service_id", "maladie_id",
-        "duree_sejour",
-        urgent.alias("est_urgence"),
-        admission_mode(urgent).alias("mode_admission"),
+        "duree_sejour", int_or("urgence", 0).alias("est_urgence"), "service",
+        F.col("date_key").alias("date_admission"), *_reason_of(df))
+    out = out if unique else dedup(out, ["admission_id"], keep="first")
+    return admission_attributes(out, daily_rate) if attributes else out
+
+
+def admission_attributes(fact: DataFrame, daily_rate: float = K.DAILY_RATE) -> DataFrame:
+    """Add the columns of the admissions fact that follow from its others."""
+    cost = F.col("duree_sejour").cast("double") * F.lit(float(daily_rate))
+    first = ["admission_id", "patient_id", "temps_id", "hopital_id", "service_id", "maladie_id", "duree_sejour", "est_urgence"]
+    return fact.select(
+        *first,
+        admission_mode(F.col("est_urgence")).alias("mode_admission"),
         F.lit(K.DISCHARGE_MODE).alias("mode_sortie"),
         "service",
         F.lit(1).alias("nb_lits_utilises"),
-        (F.col("duree_sejour").cast("double") * F.lit(float(daily_rate))).alias("cout_hospitalisation"),
-        (F.col("duree_sejour").cast("double") * F.lit(float(daily_rate))).alias("cout_sejour"),
-        F.col("date_key").alias("date_admission"),
-        *_reason_of(df),
+        cost.alias("cout_hospitalisation"),
+        cost.alias("cout_sejour"),
+        *[c for c in fact.columns if c not in first and c != "service"],
     )
-    return out if unique else dedup(out, ["admission_id"], keep="first")
 
 
 def with_readmission(fact: DataFrame, window_days: int = K.READMISSION_DAYS) -> DataFrame:
@@ -132,8 +140,10 @@ def with_readmission(fact: DataFrame, window_days: int = K.READMISSION_DAYS) ->
     w = Window.partitionBy("patient_id").orderBy("date_admission").rowsBetween(Window.unboundedPreceding, -1)
     prev = day.select("patient_id", "date_admission", F.max("last_out").over(w).alias("prev_out"))
     gap = F.datediff(F.col("date_admission"), F.col("prev_out"))
+    # only the days that are readmissions travel to the join
+    prev = prev.filter(gap.between(0, window_days))
     return (fact.join(prev, ["patient_id", "date_admission"], "left")
-            .withColumn("est_readmission", flag(gap.between(0, window_days)))
+            .withColumn("est_readmission", flag(F.col("prev_out").isNotNull()))
             .drop("prev_out"))
 
 

@@ -4,9 +4,10 @@ This is the reference's lifecycle (extract -> clean -> star schema -> KPIs)
 as Spark jobs.  ``build_warehouse`` writes every dimension and fact as
 Parquet below the shared ``spark.checkpoint.dir``; BI queries (KPIs, reports,
 measures, mart) then read those tables instead of recomputing the dedup and
-the joins of the raw sources for every question.  Writing the tables also
-cuts the lineage: a lost executor costs a re-read of Parquet, not a replay
-of the whole pipeline.
+the joins of the raw sources for every question.  A query on a
+``BuiltWarehouse`` publishes the tables it reads that no one published before,
+and no others.  Writing the tables also cuts the lineage: a lost executor costs
+a re-read of Parquet, not a replay of the whole pipeline.
 
 Layout choices for scale:
 * ``fact_admissions`` (the big fact) is range-partitioned on (admission date,
@@ -16,7 +17,7 @@ Layout choices for scale:
   a third of all admissions is split over many write tasks.
 * Rows without a calendar day are stored apart by reason and counted by
   ``observe`` during the same write (``operators.rejects``).
-* A build is published by a marker written last; a folder without the marker
+* A table is published by a mark written after it; a folder without its mark
   is never read (an interrupted build is simply rebuilt).
 * The folder name is a fingerprint of the inputs (paths, sizes, modification
   times) and of the build parameters, so changed inputs get a new build.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -45,10 +47,14 @@ FACTS = ["fact_admissions", "fact_emergency", "fact_lab", "fact_prescriptions",
          "fact_pharmacy_stock"]
 # facts that keep rows without a calendar day (with a NULL key)
 UNDATED_KEPT = {"fact_bed_occupancy", "fact_pharmacy_stock"}
+# facts that are made from the cleaned admissions
+FROM_STAGING = {"fact_admissions", "fact_emergency", "fact_prescriptions"}
+STAGING = "staging/stg_admissions"
 MARKER = "_BUILD_OK"
+TABLE_MARKS = "_tables"
 REJECT_COUNTS = "reject_counts"
 # part of a build's key: raise it with every change of what a build or a landing holds
-BUILD_VERSION = "3"
+BUILD_VERSION = "4"
 
 
 def fingerprint(wh: Warehouse) -> str:
@@ -86,58 +92,96 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, parallel: int = 4) -> str:
-    """Write every dimension and fact below ``path``; returns ``path``.
-
-    1. the cleaned admissions staging is written once (its dedup is the costly
-       shuffle) and read back by both admission facts;
+def _write_table(wh: Warehouse, base: str, name: str, partitions: int | None) -> None:
+    """Write one table below ``base``, with its counts if it is a fact, then its mark."""
+    spark = wh.spark
+    if name in FACTS:
+        counts = _write_admissions(wh, base, partitions) if name == FACTS[0] else rejects.write_split(
+            conform(wh.dated(name, wh.calendar_bounds), name), f"{base}/{name}", name, keep=name in UNDATED_KEPT)
+        # a few rows per fact, observed while it was written
+        (spark.createDataFrame(counts, rejects.COUNTS).coalesce(1).write.mode("overwrite")
+         .parquet(f"{base}/{REJECT_COUNTS}/{name}"))
+    elif name == STAGING:
+        wh.stg_admissions.write.mode("overwrite").parquet(f"{base}/{STAGING}")
+    else:
+        conform(getattr(wh, name), name).write.mode("overwrite").parquet(f"{base}/{name}")
+    _mark(spark, f"{base}/{TABLE_MARKS}/{name}")
+
+
+def _write_admissions(wh: Warehouse, base: str, partitions: int | None) -> list[tuple]:
+    fa = facts.with_readmission(wh.dated_admissions(wh.calendar_bounds))
+    # range partitions sized by AQE (or fixed by ``partitions``); the id as second
+    # range key splits a date that holds a large share of all admissions
+    keys = ["date_admission", "admission_id"]
+    ranged = fa.repartitionByRange(partitions, *keys) if partitions else fa.repartitionByRange(*keys)
+    # columns that follow from others are added after the last shuffle
+    out = conform(facts.admission_attributes(ranged, wh.daily_rate), FACTS[0])
+    # the partitioned write sorts each task by reason and year anyway; sorting by
+    # the date too costs the same and leaves every file ordered by date, so
+    # row-group min/max statistics skip date ranges
+    return rejects.write_split(out.withColumn("annee_admission", F.year("date_admission")), f"{base}/{FACTS[0]}", FACTS[0],
+                               then_by=["annee_admission"], sort=["date_admission"])
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    spark.range(1).select(F.lit(BUILD_VERSION).alias("version")).write.mode("overwrite").json(path)
+
+
+def publish(wh: Warehouse, path: str, names: Sequence[str], partitions: int | None = None, parallel: int = 4) -> None:
+    """Write those of the tables ``names`` that ``path`` does not hold yet.
+
+    1. the cleaned admissions staging is written once, before the first table that
+       needs it (its join is the costly shuffle), and read back by those tables;
     2. dimensions and facts are independent jobs, submitted concurrently so
        small tables do not wait for each other;
-    3. the marker is written last.
+    3. each table's mark is written after it.
     """
-    spark = wh.spark
+    spark, base = wh.spark, path.rstrip("/")
+    app = spark.sparkContext.applicationId
+
+    def there(name: str) -> bool:
+        key = (app, base, name)
+        if key not in _PUBLISHED and _exists(spark, f"{base}/{TABLE_MARKS}/{name}"):
+            _PUBLISHED.add(key)
+        return key in _PUBLISHED
+
+    with _LOCK:  # queries submitted from several threads share one build
+        todo = [n for n in names if not there(n)]
+        if not todo:
+            return
+        if FROM_STAGING.intersection(todo):
+            if not there(STAGING):
+                _write_table(wh, base, STAGING, partitions)
+            wh = wh.replace(stg_admissions=spark.read.parquet(f"{base}/{STAGING}"))
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for f in [pool.submit(_write_table, wh, base, n, partitions) for n in todo]:
+                f.result()
+        _PUBLISHED.update((app, base, n) for n in todo)
+        _mark(spark, f"{base}/{MARKER}")
+
+
+def build_warehouse(wh: Warehouse, path: str, partitions: int | None = None, parallel: int = 4) -> str:
+    """Write every dimension and fact below ``path``; returns ``path``."""
     base = path.rstrip("/")
-    wh.stg_admissions.write.mode("overwrite").parquet(f"{base}/staging/stg_admissions")
-    w = wh.replace(stg_admissions=spark.read.parquet(f"{base}/staging/stg_admissions"))
-
-    bounds = w.calendar_bounds
-
-    def write_admissions() -> list[tuple]:
-        fa = facts.with_readmission(w.dated("fact_admissions", bounds))
-        fa = conform(fa, "fact_admissions").withColumn("annee_admission", F.year("date_admission"))
-        # range partitions sized by AQE (or fixed by ``partitions``); the id as second
-        # range key splits a date that holds a large share of all admissions
-        keys = ["date_admission", "admission_id"]
-        ranged = fa.repartitionByRange(partitions, *keys) if partitions else fa.repartitionByRange(*keys)
-        # the partitioned write sorts each task by reason and year anyway; sorting by
-        # the date too costs the same and leaves every file ordered by date, so
-        # row-group min/max statistics skip date ranges
-        return rejects.write_split(ranged, f"{base}/fact_admissions", "fact_admissions", then_by=["annee_admission"],
-                                   sort=["date_admission"])
-
-    def fact_writer(name: str):
-        return lambda: rejects.write_split(conform(w.dated(name, bounds), name), f"{base}/{name}", name, keep=name in UNDATED_KEPT)
-
-    def dim_writer(name: str):
-        return lambda: conform(getattr(w, name), name).write.mode("overwrite").parquet(f"{base}/{name}")
-
-    jobs = [write_admissions] + [dim_writer(t) for t in DIMENSIONS] + [fact_writer(t) for t in FACTS[1:]]
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        counts = [row for f in [pool.submit(j) for j in jobs] for row in f.result() or []]
-    # a few rows per fact, observed while it was written
-    spark.createDataFrame(counts, rejects.COUNTS).coalesce(1).write.mode("overwrite").parquet(f"{base}/{REJECT_COUNTS}")
-    spark.range(1).select(F.lit(BUILD_VERSION).alias("version")).write.mode("overwrite").json(f"{base}/{MARKER}")
+    publish(wh, base, [FACTS[0], *DIMENSIONS, *FACTS[1:]], partitions, parallel)
     return base
 
 
 class BuiltWarehouse(Warehouse):
-    """A :class:`Warehouse` whose dimensions and facts are read from a build."""
+    """A :class:`Warehouse` whose dimensions and facts are read from a build (written there on first use)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, path: str, **kw):
         super().__init__(spark, sf_dir, **kw)
         self.path = path.rstrip("/")
+        self._raw = Warehouse(spark, sf_dir, **kw)
+
+    def publish(self, names: Sequence[str] = (*DIMENSIONS, *FACTS)) -> BuiltWarehouse:
+        """Write the named tables (all by default) unless they are there."""
+        publish(self._raw, self.path, names)
+        return self
 
     def _read(self, name: str) -> DataFrame:
+        self.publish([name])
         # a published build never changes (new inputs or code get a new folder),
         # so its relations are resolved once per session
         path = f"{self.path}/{name}"
@@ -162,10 +206,12 @@ class BuiltWarehouse(Warehouse):
     @cached_property
     def reject_counts(self) -> DataFrame:
         """``table_name, motif, n_lignes, conserve`` of every fact, as observed when it was written."""
-        return self._read(REJECT_COUNTS)
+        self.publish(FACTS)
+        return self.spark.read.schema(rejects.COUNTS).parquet(*[f"{self.path}/{REJECT_COUNTS}/{t}" for t in FACTS])
 
     def rejects(self, name: str) -> DataFrame:
         """Rows of a fact whose date has no calendar day, with every column and the reason."""
+        self.publish([name])
         return self._or_empty(name, lambda: rejects.read_rejects(self.spark, f"{self.path}/{name}"))
 
     @cached_property
@@ -222,21 +268,17 @@ class BuiltWarehouse(Warehouse):
 
 
 _BUILDS: dict[tuple, str] = {}
-_LOCK = threading.Lock()
+_PUBLISHED: set[tuple] = set()      # (application, build, table)
+_LOCK = threading.RLock()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> BuiltWarehouse:
-    """The published build for ``sf_dir`` (built on first use)."""
-    raw = Warehouse(spark, sf_dir, **kw)
-    fp = fingerprint(raw)
+    """The build for ``sf_dir``; its tables are published on first use."""
+    fp = fingerprint(Warehouse(spark, sf_dir, **kw))
     base = f"{checkpoint_dir(spark).rstrip('/')}/carestar-warehouse/{fp}"
-    key = (spark.sparkContext.applicationId, base)
-    with _LOCK:  # queries submitted from several threads share one build
-        if key not in _BUILDS:
-            if not _exists(spark, f"{base}/{MARKER}"):
-                build_warehouse(raw, base)
-            _BUILDS[key] = base
-    return BuiltWarehouse(spark, sf_dir, _BUILDS[key], **kw)
+    with _LOCK:
+        _BUILDS[spark.sparkContext.applicationId, base] = base
+    return BuiltWarehouse(spark, sf_dir, base, **kw)
 
 
 def retire_builds(spark: SparkSession, keep: int = 3) -> int:
@@ -314,7 +356,7 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of=None, comput
         return spark.read.parquet(f"{base}/quality_audit").count()
 
     def publish() -> int:
-        state["wh"] = warehouse_for(spark, sf_dir, **kw)
+        state["wh"] = warehouse_for(spark, sf_dir, **kw).publish()
         return state["wh"].fact_admissions.count()
 
     def mart() -> int:

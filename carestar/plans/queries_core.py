@@ -50,7 +50,7 @@ def calendar_rejects(spark, sf_dir):
 
     Sensor and stock rows keep a NULL key in their fact (``conserve`` 1), so none of them is stored apart.
     """
-    wh = warehouse_for(spark, sf_dir, calendar_end=dt.date(2000, 12, 31))
+    wh = warehouse_for(spark, sf_dir, calendar_end=dt.date(2000, 12, 31)).publish(FACTS)
     apart = None
     for name in FACTS:
         kept_apart = wh.rejects(name)

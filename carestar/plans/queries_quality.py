@@ -34,8 +34,7 @@ wh_query("dim_date", lambda wh: D.calendar(D.year_bounds((wh.table("orders"), "o
 
 # Q1 / Q2: latest / earliest version of each admission
 wh_query("dedup_keep_last", lambda wh: wh.stg_admissions)
-wh_query("dedup_keep_first", lambda wh: B.admission_details(
-    Q.dedup(wh.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER, keep="first")))
+wh_query("dedup_keep_first", lambda wh: B.admission_details(B.one_per_admission(wh.spark, wh.sf_dir, keep="first")))
 
 
 def _in_part(wh: Warehouse) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
 from ..operators import dims, facts
-from ..operators.quality import dedup
 from ..sources import binding as B
 
 
@@ -51,8 +50,7 @@ class Warehouse:
     def stg_admissions(self) -> DataFrame:
         """Cleaned admissions: latest version of each admission (Q1), with the
         derived columns of the landed file."""
-        return B.admission_details(dedup(self.stg_admissions_raw, ["admission_id"], B.ADMISSION_DEDUP_ORDER,
-                                         keep="last"))
+        return B.admission_details(B.one_per_admission(self.spark, self.sf_dir, keep="last"))
 
     # dimensions ----------------------------------------------------------
     @cached_property
@@ -84,7 +82,7 @@ class Warehouse:
         """A fact by name; with ``bounds`` it keeps every row and tells in ``rejet`` why a date has no day."""
         cal = {"calendar_rows": self.calendar_rows, "bounds": bounds}
         if name == "fact_admissions":
-            return facts.fact_admissions(self.stg_admissions, self.dim_date, daily_rate=self.daily_rate, unique=True, **cal)
+            return facts.admission_attributes(self.dated_admissions(bounds), self.daily_rate)
         if name == "fact_emergency":
             return facts.fact_emergency(self.stg_admissions, self.dim_date, **cal)
         if name == "fact_lab":
@@ -101,6 +99,11 @@ class Warehouse:
             return facts.fact_pharmacy_stock(B.stg_stock(self.spark, self.sf_dir), self.dim_date, **cal)
         raise ValueError(f"no dated fact {name!r}")
 
+    def dated_admissions(self, bounds: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+        """The admissions fact without the columns that follow from its others."""
+        return facts.fact_admissions(self.stg_admissions, self.dim_date, unique=True, attributes=False,
+                                     calendar_rows=self.calendar_rows, bounds=bounds)
+
     @property
     def calendar_bounds(self) -> tuple[dt.date, dt.date]:
         return self.calendar_start, self.calendar_end

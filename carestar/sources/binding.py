@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..session import cached_frame, local_signature
 from ..operators.facts import sensor_measures, stock_measures
+from ..operators.quality import dedup
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -60,7 +61,7 @@ ADMISSION_DEDUP_ORDER = ["loaded_at", "maladie_id", "hopital_id", "l_quantity",
                          "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def stg_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_admissions(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
     """Raw admissions (duplicates included, as landed): source columns only;
     values derived from them are added after dedup by :func:`admission_details`,
     so the dedup moves the narrowest possible rows."""
@@ -78,9 +79,28 @@ def stg_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("maladie_id"),
         F.col("l_shipdate").alias("loaded_at"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+        *(["l_orderkey"] if with_order else []),
     )
 
 
+def ids_name_orders(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether all line numbers have one digit, so that an admission id tells its order: one pass over that column."""
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    digit = F.coalesce(F.col("l_linenumber").between(0, 9), F.lit(False))
+    found = lambda: read(spark, sf_dir, "lineitem").agg(F.bool_and(digit)).first()[0] is not False
+    sig = local_signature(path)
+    return found() if sig is None else cached_frame(spark, ("digits", path, sig), found)
+
+
+def one_per_admission(spark: SparkSession, sf_dir: str, keep: str = "last") -> DataFrame:
+    """One version of each admission.  Where ids tell orders, rows are grouped by order and id: the
+    join has already dealt them by order, so that the dedup needs no shuffle of its own."""
+    if not ids_name_orders(spark, sf_dir):
+        return dedup(stg_admissions(spark, sf_dir), ["admission_id"], ADMISSION_DEDUP_ORDER, keep)
+    raw = stg_admissions(spark, sf_dir, with_order=True)
+    return dedup(raw, ["l_orderkey", "admission_id"], ADMISSION_DEDUP_ORDER, keep).drop("l_orderkey")
+
+
 def admission_details(adm: DataFrame) -> DataFrame:
     """Columns of the landed admission file that follow from its source columns:
     service name and the emergency feed (wait, triage level, disposition,
