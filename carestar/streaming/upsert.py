@@ -44,8 +44,8 @@ def merge_batch(table: SnapshotTable, batch: DataFrame, batch_id: int, keys: Seq
     if base.schema is not None:
         rows = table.read(base.number, touched).unionByName(new)
     merged = dedup(rows, [*keys, BUCKET], order_by, keep="last").select(*new.columns)
-    # a bucket is one partition of the shuffle and one folder of the table
-    folders = table.write_parts(merged.repartition(len(touched), BUCKET))
+    # a bucket is one folder of the table, written by as many tasks as its rows need
+    folders = table.write_parts(merged.hint("rebalance", BUCKET))
     table.commit(base, merged.schema, folders, batch=(stream, batch_id))
     return True
 

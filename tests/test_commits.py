@@ -1,6 +1,7 @@
 """Reloads and stream merges that are one commit: interrupted, replayed, concurrent."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,21 @@ def test_rows_with_the_marks_own_time_are_taken_once(spark):
     assert extract_since(src, loaded.filter("false"), ["id"]).count() == 6
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and F is not None
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_dir):
+    path = tmp_dir("large")
+    t = SnapshotTable(spark, path, BUCKET)
+    batch = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(4)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        assert merge_batch(t, batch, 0, ["id"], ["v"], 2)
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    folders = t.manifest().folders
+    files = [len([f for f in os.listdir(f"{path}/{folder}") if f.endswith(".parquet")]) for folder in folders.values()]
+    assert len(folders) == 2 and min(files) > 1
+    assert t.read().count() == 40_000 == t.read().select("id").distinct().count()
