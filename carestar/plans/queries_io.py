@@ -35,6 +35,8 @@ from .catalog import bi_query, wh_query
 from .warehouse import Warehouse
 
 LOADED_AT = dt.datetime(2000, 12, 31, 0, 0, 0)
+# how text files as large as the admissions are packed
+PACKED = "gzip"
 _LANDING_LOCK = threading.Lock()
 
 
@@ -114,7 +116,7 @@ def discharge_documents(wh: Warehouse) -> DataFrame:
 
 
 def _landed_xml(wh: Warehouse) -> DataFrame:
-    path = landed(wh, "comptes_rendus_xml", lambda p: S.write_discharge_xml(discharge_documents(wh), p))
+    path = landed(wh, "comptes_rendus_xml", lambda p: S.write_discharge_xml(discharge_documents(wh), p, PACKED))
     return S.read_discharge_xml(wh.spark, path)
 
 
@@ -468,12 +470,14 @@ def fact_admissions_from_csv(wh: Warehouse) -> DataFrame:
     files, read back all-string, discharges left-joined (keep-first per
     admission), dates parsed from text, calendar key looked up."""
     from ..operators.facts import fact_admissions
-    stg = wh.stg_admissions
     adm_cols = ["admission_id", "patient_id", "date_admission", "urgence", "hopital_id", "service_id", "maladie_id",
                 "service"]
-    pa = landed(wh, "admissions_csv", lambda p: S.write_csv(stg.select(*adm_cols), p))
+    # both files come from one pass over the sources
+    clean = landed(wh, "admissions_clean", lambda p: wh.stg_admissions.select(*adm_cols, "date_sortie").write.mode("overwrite").parquet(p))
+    stg = wh.spark.read.parquet(clean)
+    pa = landed(wh, "admissions_csv", lambda p: S.write_csv(stg.select(*adm_cols), p, compression=PACKED))
     ps = landed(wh, "sorties_csv", lambda p: S.write_csv(
-        stg.filter(F.col("date_sortie").isNotNull()).select("admission_id", "date_sortie"), p))
+        stg.filter(F.col("date_sortie").isNotNull()).select("admission_id", "date_sortie"), p, compression=PACKED))
     adm = S.read_csv_all_string(wh.spark, pa, keys=["admission_id"], source="admissions.csv", loaded_at=LOADED_AT)
     sor = S.read_csv_all_string(wh.spark, ps, keys=["admission_id"], source="sorties.csv", loaded_at=LOADED_AT)
     return fact_admissions(adm.drop("source_file", "loaded_at"), wh.dim_date, discharges=sor,

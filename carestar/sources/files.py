@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,12 +55,24 @@ def read_csv_all_string(spark: SparkSession, path: str, columns: Sequence[str] |
     return _lineage(df, source, loaded_at)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV that keeps surrounding blanks and tells NULL from empty text."""
-    (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
+# Rows of one compressed file at most: it is read by one task
+PACKED_ROWS = 500_000
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """Header CSV that keeps surrounding blanks and tells NULL from empty text.
+
+    With a ``compression`` files hold at most ``PACKED_ROWS`` rows; readers tell it by the file name.
+    """
+    (_packed(df, compression).mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).option("quote", '"').option("escape", '"').csv(path))
 
 
+def _packed(df: DataFrame, compression: str) -> DataFrameWriter:
+    rows = 0 if compression == "none" else PACKED_ROWS
+    return df.write.option("compression", compression).option("maxRecordsPerFile", rows)
+
+
 def envelope_schema(record: T.StructType) -> T.StructType:
     """An envelope ``{…, data: [record]}`` or a bare record (element of a list);
     envelope metadata (``source``, ``count``…) is not needed to read the records."""
@@ -170,8 +182,8 @@ def explode_acts(docs: DataFrame) -> DataFrame:
             .select("cr_id", F.trim(F.col("a._code")).alias("code_acte"), F.trim(F.col("a._VALUE")).alias("libelle_acte")))
 
 
-def write_discharge_xml(docs: DataFrame, path: str) -> None:
-    (docs.write.mode("overwrite").format("xml").option("rowTag", "compte_rendu")
+def write_discharge_xml(docs: DataFrame, path: str, compression: str = "none") -> None:
+    (_packed(docs, compression).mode("overwrite").format("xml").option("rowTag", "compte_rendu")
      .option("rootTag", "comptes_rendus").save(path))
 
 
