@@ -33,7 +33,7 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
 
 # Chunks of documents that a task counts together before it sends them on
-HELD_CHUNKS = 3_000_000
+HELD_CHUNKS = 1_000_000
 # Cells of the block of terms by sources that is compared at once
 BLOCK_CELLS = 1_000_000
 

@@ -156,3 +156,8 @@ def test_toxicity_edges(spark, insulted):
     assert score[1] == score[2] and len(set(score[3])) == 2 and max(score[3]) > 0.5
     assert score[6][0] > score[7][0]                                     # the end of a long text counts, letters apart too
     assert toxicity_scores(df.filter("false"), labels).count() == 0
+
+
+def test_chunks_held_by_a_task_are_bounded():
+    # each takes about a hundred bytes while its task sorts them, next to those of the executor's other tasks
+    assert source_audit.HELD_CHUNKS <= 1_000_000
