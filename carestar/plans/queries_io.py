@@ -335,7 +335,7 @@ def export_csv_roundtrip(wh: Warehouse) -> DataFrame:
     """K4: the mart of the published build exported as a dated CSV folder and read back with its schema."""
     mart = _mart(wh)
     path = scratch_path(wh.spark, "reports") + "/analytics_mart_2000-12-31"
-    S.write_csv(mart, path)
+    S.write_csv(mart, path, compression=PACKED)
     return wh.spark.read.schema(mart.schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
