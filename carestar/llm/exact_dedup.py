@@ -27,7 +27,12 @@ LEAD_CHARS = 32
 
 
 def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int, carry: list[str]) -> DataFrame:
-    """One row per input row: its place in the run of equal texts of its piece; the first row carries the columns."""
+    """One row per input row: its place in the run of equal texts of its piece.
+
+    With columns to ``carry`` only the first row of each run, with these columns.
+    The result of ``drop_exact_copies`` reads this table as long as anything reads
+    that result, so no other row's text is in it.
+    """
     if keep not in ("min", "max"):
         raise ValueError(f"keep must be 'min' or 'max', not {keep!r}")
     best = F.min if keep == "min" else F.max
@@ -54,6 +59,8 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int
             .select("_id", "_piece", "_hot", "_rank", "_best", "_n", F.sha2("_norm", 256).alias("_sha"),
                     F.when(F.col("_hot") & (F.col("_rank") == 1), F.col("_norm")).alias("_norm"),
                     F.when(F.col("_rank") == 1, F.col("_own")).alias("_own")))
+    if carry:
+        runs = runs.filter("_rank = 1").withColumn("_sha", F.when(F.col("_hot"), F.col("_sha")))
     return written(runs, "exact-dedup")
 
 
@@ -103,7 +110,7 @@ def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Defined cases: as in ``exact_dedup``; a very long text is compared whole; a
     kept row keeps its nulls; columns may have any names, with dots too.
     """
-    runs = _runs(docs, id_col, text_col, keep, hot_share, docs.columns).filter("_rank = 1")
+    runs = _runs(docs, id_col, text_col, keep, hot_share, docs.columns)
     hot = (runs.filter("_hot").drop("_norm")
            .join(F.broadcast(_pieces(runs, keep).filter("_winner = 1")), ["_sha", "_piece"]).select("_own"))
     return runs.filter(~F.col("_hot")).select("_own").unionByName(hot).select("_own.*")

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -51,6 +51,8 @@ FLUSH, PACKED = 1_500_000, 4
 BUCKET_BYTES = 16 << 20
 # Words of the smallest sketch, and of those compared inside a join
 SMALL = 4
+# Rounds in which nodes are compared around their centres, at most
+ROUNDS = 16
 
 
 class Bands:
@@ -333,10 +335,11 @@ def _folded(sketch: str):
 
 
 def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``centre, node, nc, nn, differ``: sizes, and the shingles that only one of the two has."""
-    return (pairs.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("sc")), "centre")
+    """The columns of ``pairs``, ``nc, nn, differ``: sizes, and the shingles that only one of centre and node has."""
+    centres = sets.join(pairs.select(F.col("centre").alias("node")).distinct(), "node", "left_semi")
+    return (pairs.join(centres.select(F.col("node").alias("centre"), F.col("shingles").alias("sc")), "centre")
             .join(sets.select("node", F.col("shingles").alias("sn")), "node")
-            .select("centre", "node", F.size("sc").cast("long").alias("nc"), F.size("sn").cast("long").alias("nn"),
+            .select(*pairs.columns, F.size("sc").cast("long").alias("nc"), F.size("sn").cast("long").alias("nn"),
                     F.concat(F.array_except("sn", "sc"), F.array_except("sc", "sn")).alias("differ")))
 
 
@@ -374,6 +377,34 @@ def _linked(na, nb, differ, num: int, den: int):
     return (na + nb - differ) * den >= (na + nb + differ) * num
 
 
+def rounds_for(pairs: int, nodes: int) -> int:
+    """Rounds for ``pairs`` of a node and a centre: each moves about as many sets as there are nodes."""
+    return min(ROUNDS, max(1, -(-pairs // max(1, nodes))))
+
+
+def _tokens(around: DataFrame, have: DataFrame, one_each: DataFrame, num: int, den: int) -> DataFrame:
+    """The first differences from their centre of nodes ``centre, node, c``, those that several components have."""
+    small = one_each.select("node", _folded("sketch").alias("s"))
+    r = F.lit(den - num) / F.lit(den + num)
+    # the most by which a linked node of any size can differ
+    most = F.floor(F.col("n") * (den - num) / num)
+    wide = F.least("d", most + 1)
+    narrow = F.least(F.col("d") - F.greatest(F.lit(1), F.ceil((F.lit(1) - r) * F.col("d") / 2 - 1e-9)) + 1,
+                     F.floor(most / 2) + 1)
+    members = (_differences(around.join(small, "node"), have)
+               .select("centre", "node", "c", "s", F.col("nn").alias("n"), F.size("differ").cast("long").alias("d"), "differ")
+               .select("centre", "node", "c", "s", "n", "d", narrow.alias("narrow"),
+                       F.slice("differ", F.lit(1), wide.cast("int")).alias("first")))
+    members = written(members, "jaccard-members")
+    same = Window.partitionBy("centre", "token")
+    tokens = (members.select("centre", "node", "c", "n", "d", "s", "narrow", F.posexplode("first").alias("at", "token"))
+              .withColumn("_l", F.min("c").over(same)).withColumn("_h", F.max("c").over(same))
+              .filter("_l <> _h").drop("_l", "_h"))
+    tokens = written(tokens, "jaccard-tokens")
+    discard(members)
+    return tokens
+
+
 def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFrame, one_each: DataFrame, words: int,
              num: int, den: int) -> DataFrame:
     """Links ``a, b`` between nodes around one centre that no link joins yet.
@@ -387,7 +418,8 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     Only these first differences are kept, and of them those that nodes of several
     components have.  Parity sketches rule most pairs out, folded ones inside the
     join and whole ones after it; what is left is verified on the whole sets.
-    ``keyed`` and ``sets`` are deleted.
+    A node has many centres, and its set goes to each; so the centres take turns,
+    some in each round (``rounds_for``).  ``keyed`` and ``sets`` are deleted.
     """
     label = groups.select("node", F.col("component").alias("c"))
     known = (keyed.filter("node <> centre").join(label, "node", "left")
@@ -400,26 +432,11 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     missing = _wanted(around, one_each).join(sets.select("node"), "node", "left_anti")
     more = written(_sets(rows, missing, words), "jaccard-sets")
     have = sets.unionByName(more)
-    r = F.lit(den - num) / F.lit(den + num)
-    # the most by which a linked node of any size can differ
-    most = F.floor(F.col("n") * (den - num) / num)
-    wide = F.least("d", most + 1)
-    narrow = F.least(F.col("d") - F.greatest(F.lit(1), F.ceil((F.lit(1) - r) * F.col("d") / 2 - 1e-9)) + 1,
-                     F.floor(most / 2) + 1)
-    members = (_differences(around.select("centre", "node"), have)
-               .select("centre", "node", F.col("nn").alias("n"), F.size("differ").cast("long").alias("d"), "differ")
-               .select("centre", "node", "n", "d", narrow.alias("narrow"),
-                       F.slice("differ", F.lit(1), wide.cast("int")).alias("first")))
-    members = written(members, "jaccard-members")
-    small = one_each.select("node", _folded("sketch").alias("s"))
-    tokens = (members.join(around, ["centre", "node"]).join(small, "node")
-              .select("centre", "node", "c", "n", "d", "s", "narrow", F.posexplode("first").alias("at", "token")))
-    same = Window.partitionBy("centre", "token")
-    tokens = (tokens.withColumn("_l", F.min("c").over(same)).withColumn("_h", F.max("c").over(same))
-              .filter("_l <> _h").drop("_l", "_h"))
-    tokens = written(tokens, "jaccard-tokens")
-    for table in (members, around):
-        discard(table)
+    rounds = rounds_for(*around.agg(F.count(F.lit(1)), F.count_distinct("node")).first())
+    turn = F.pmod(F.xxhash64("centre"), F.lit(rounds))
+    parts = [_tokens(around.filter(turn == k), have, one_each, num, den) for k in range(rounds)]
+    discard(around)
+    tokens = reduce(DataFrame.unionByName, parts)
     there = tokens.select("centre", "token", F.col("node").alias("x"), "c", "n", "d", "s")
     probe = tokens.filter("at < narrow").select(
         "centre", "token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"),
@@ -435,7 +452,8 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     found = written(found.join(side("x"), "x").join(side("y"), "y")
                     .filter(_linked(F.col("nx"), F.col("ny"), _hamming("sx", "sy"), num, den))
                     .select(F.col("x").alias("centre"), F.col("y").alias("node")), "jaccard-found")
-    discard(tokens)
+    for table in parts:
+        discard(table)
     links = _verified(found, have, num, den)
     for table in (sets, more):
         discard(table)
@@ -470,6 +488,7 @@ def _grouped(docs: DataFrame, words: int, threshold: tuple[int, int], id_col: st
     discard(index)
     linked, sets = _star(keyed, rows, one_each, words, num, den)
     more = _between(keyed, components(linked), sets, rows, one_each, words, num, den)
+    discard(one_each)
     return nodes, components(linked.unionByName(more))
 
 

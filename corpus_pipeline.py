@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carestar.llm.bpe import bpe_digests
-from carestar.llm.common import written
+from carestar.llm.common import discard, written
 from carestar.llm.exact_dedup import drop_exact_copies
 from carestar.llm.jaccard_join import drop_near_copies
 from carestar.llm.mixing import take_mix
@@ -54,8 +54,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written before the next one reads it."""
+    """All stages over ``documents``; what a stage returns is written before the next one reads it, and then deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        last, docs = docs, written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            discard(last)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import math
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -19,6 +21,7 @@ from carestar.llm import exact_dedup as exact_dedup_module
 from carestar.llm import jaccard_join, sql
 from carestar.llm.bpe import bpe_decode, bpe_digests, bpe_encode
 from carestar.llm.chat import chat_digests, format_chats, read_back, render_incrementally, turn_template
+from carestar.llm.common import written
 from carestar.llm.exact_dedup import drop_exact_copies, exact_dedup
 from carestar.llm.graph import components
 from carestar.llm.jaccard_join import bands, drop_near_copies, jaccard_components
@@ -254,6 +257,58 @@ def test_key_buckets_grow_with_the_text(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i in range(60)}
 
 
+def test_nodes_around_their_centres_take_turns(spark, monkeypatch):
+    """The centres are dealt into rounds, and links between nodes of one round are all found."""
+    assert [jaccard_join.rounds_for(*x) for x in ((0, 0), (7, 7), (8, 7), (70, 7), (10**6, 7))] == [1, 1, 2, 10, jaccard_join.ROUNDS]
+    asked, seen, tokens = [], [], jaccard_join._tokens
+    monkeypatch.setattr(jaccard_join, "rounds_for", lambda *x: asked.append(x) or 3)
+    monkeypatch.setattr(jaccard_join, "_tokens", lambda around, *a: seen.append(around.count()) or tokens(around, *a))
+    rnd, docs = random.Random(5), []
+    for g in range(12):
+        base = [f"g{g}_{k}" for k in range(120)]
+        for v in range(6):
+            # halves of one text: far from the others of the group, near each other
+            t = base[:60] + [f"g{g}_{v}_{k}" for k in range(60)]
+            for _ in range(2):
+                t[rnd.randrange(60, 120)] = rnd.choice("xyz")
+                docs.append((len(docs), " ".join(t)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in jaccard_components(df, words=5, threshold=(80, 100)).collect())
+    assert got == brute_components(docs, 5, 80, 100)
+    assert len(seen) == 3 and sum(seen) == asked[0][0] > 0
+
+
+def test_a_finished_write_leaves_no_shuffle_files(spark):
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {n for d in dirs for _, _, names in os.walk(d) for n in names if n.startswith("shuffle_")}
+    written(spark.range(3), "before")
+    old = files()
+    back = written(spark.range(1000).repartition(3), "shuffled")
+    end = time.time() + 10
+    while files() - old and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - old
+    assert back.count() == 1000
+
+
+def test_exact_dedup_writes_only_rows_that_stay(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(exact_dedup_module, "written", lambda *a: tables.append(written(*a)) or tables[-1])
+    docs = spark.createDataFrame([(i, f"text {i % 30}") for i in range(300)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in drop_exact_copies(docs).collect()) == list(range(30))
+    assert [t.count() for t in tables] == [30]
+
+
+def test_pipeline_deletes_what_no_stage_reads_any_more(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(corpus_pipeline, "written", lambda *a: tables.append(written(*a)) or tables[-1])
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda spark, docs, sf_dir: docs.filter("doc_id >= 0")) for n in "abc"])
+    there = lambda t: os.path.exists(t.written_at.removeprefix("file:"))
+    got = corpus_pipeline.run(spark, SF)
+    assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id >= 0").count() > 0
+    assert [there(t) for t in tables] == [False, True]
+
+
 def test_one_row_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(100))
     other = " ".join(f"v{i}" for i in range(100))
