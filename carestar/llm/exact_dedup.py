@@ -29,7 +29,8 @@ LEAD_CHARS = 32
 def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int, carry: list[str]) -> DataFrame:
     """One row per input row: its place in the run of equal texts of its piece.
 
-    With columns to ``carry`` only the first row of each run, with these columns.
+    With columns to ``carry`` only the first row of each run, with these columns; the
+    text is moved once, among them, and normalised again behind the shuffle.
     The result of ``drop_exact_copies`` reads this table as long as anything reads
     that result, so no other row's text is in it.
     """
@@ -52,8 +53,11 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: str, hot_share: int
                     F.col("_pieces").isNotNull().alias("_hot")))
 
     run = Window.partitionBy("_lead", "_hash", "_piece", "_norm")
-    runs = (rows.repartitionByRange("_lead", "_hash", "_piece")
-            .withColumn("_rank", F.row_number().over(run.orderBy(_first(keep)("_id"))))
+    rows = (rows.drop("_norm") if carry else rows).repartitionByRange("_lead", "_hash", "_piece")
+    if carry:
+        own_text = F.coalesce(F.col("_own").getField(text_col).cast("string"), F.lit(""))
+        rows = rows.withColumn("_norm", lower_ascii(own_text))
+    runs = (rows.withColumn("_rank", F.row_number().over(run.orderBy(_first(keep)("_id"))))
             .withColumn("_best", best("_id").over(run))
             .withColumn("_n", F.count(F.lit(1)).over(run))
             .select("_id", "_piece", "_hot", "_rank", "_best", "_n", F.sha2("_norm", 256).alias("_sha"),

@@ -13,10 +13,14 @@ the XOR of the codes of its set bits, in which a bit flipped twice cancels too.
 So wide blocks agree only where the shingles in them do, however many documents
 there are.  The sketches compared by distance have blocks of one word.
 
-Documents with equal sets are one node.  Candidates of a key are not paired all
-with all.  Everyone is compared with the key's centre; two nodes around one
-centre that no link joins yet can only be linked if they share differences from
-it, and are found through their rarest ones.
+Documents with equal sets are one node.  Everyone is compared with the centre of
+its keys.  Nodes of one key that no link joins yet are then compared by their
+sketches, pair by pair, where the key has few of them.  Candidates of a key that
+many share are not paired all with all: two nodes around one centre can only be
+linked if they share differences from it, and are found through their rarest ones.
+
+A table of texts is not shuffled for the sake of a few: rows that a bitmap of the
+wanted ids rules out stay where they are.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from carestar.session import ship_package
 
 from .bpe import _slices
 from .bytewords import mixed, shingle_sets
-from .common import discard, text_of, written
+from .common import discard, quoted, text_of, written
 from .graph import components
 from .packing import pack, unpack
 
@@ -51,6 +55,10 @@ FLUSH, PACKED = 1_500_000, 4
 BUCKET_BYTES = 16 << 20
 # Words of the smallest sketch, and of those compared inside a join
 SMALL = 4
+# Nodes beside the centre of a key up to which they are compared pair by pair
+PAIRED = 8
+# Bits of a bitmap of ids for each of them, and of the largest bitmap
+BITS, MOST_BITS = 16, 1 << 26
 # Rounds in which nodes are compared around their centres, at most
 ROUNDS = 16
 
@@ -292,8 +300,27 @@ def _shared_keys(table: pa.Table) -> pa.Table:
                      "node": pa.array(node, pa.int64())})
 
 
+def _marked(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``rows`` and ``_in``: false only where the row's hash ``_h`` is none of ``hashes``, judged by a bitmap.
+
+    The bitmap is bounded; with more hashes than it has room for, more rows are taken for members.
+    """
+    size = 1 << 15
+    while size < min(MOST_BITS, BITS * hashes.count()):
+        size *= 2
+    spot = F.pmod(F.col("_h"), F.lit(size))
+    bits = (hashes.select(F.shiftright(spot, 15).alias("_b"), spot.bitwiseAND(F.lit((1 << 15) - 1)).alias("_p"))
+            .groupBy("_b").agg(F.bitmap_construct_agg("_p").alias("_m")))
+    at = spot.bitwiseAND(F.lit((1 << 15) - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_m"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("_b", F.shiftright(spot, 15)).join(F.broadcast(bits), "_b", "left")
+            .withColumn("_in", F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1, F.lit(False))).drop("_b", "_m"))
+
+
 def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node, shingles`` for the wanted nodes, from one document of each."""
+    """``node, shingles`` for the wanted nodes, from one document of each, written."""
+    wanted = written(wanted, "jaccard-wanted")
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _slices(batch):
@@ -304,8 +331,12 @@ def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     [pa.array([f for f, _ in found], pa.int64()),
                      pa.array([s for _, s in found], pa.list_(pa.int64()))], names=["node", "shingles"])
 
+    rows = rows.withColumn("_h", F.xxhash64("doc_id"))
+    rows = _marked(rows, wanted.select(F.xxhash64("doc_id").alias("_h"))).filter("_in").drop("_h", "_in")
     joined = rows.join(wanted.select(F.col("doc_id").alias("_d"), "node"), F.col("doc_id").eqNullSafe(F.col("_d")))
-    return joined.select("node", "text").mapInArrow(build, "node bigint, shingles array<bigint>")
+    sets = written(joined.select("node", "text").mapInArrow(build, "node bigint, shingles array<bigint>"), "jaccard-sets")
+    discard(wanted)
+    return sets
 
 
 def _centres(index: DataFrame) -> DataFrame:
@@ -357,7 +388,7 @@ def _star(keyed: DataFrame, rows: DataFrame, one_each: DataFrame, words: int, nu
                    "centre"))
     near = _linked(F.col("n"), F.col("nc"), _hamming("sketch", "sc"), num, den)
     pairs = written(pairs.filter(near).select("centre", "node"), "jaccard-pairs")
-    sets = written(_sets(rows, _wanted(pairs, one_each), words), "jaccard-sets")
+    sets = _sets(rows, _wanted(pairs, one_each), words)
     return _verified(pairs, sets, num, den), sets
 
 
@@ -378,7 +409,7 @@ def _linked(na, nb, differ, num: int, den: int):
 
 
 def rounds_for(pairs: int, nodes: int) -> int:
-    """Rounds for ``pairs`` of a node and a centre: each moves about as many sets as there are nodes."""
+    """Rounds for ``pairs`` of a node and a centre: each takes about ``nodes`` of them."""
     return min(ROUNDS, max(1, -(-pairs // max(1, nodes))))
 
 
@@ -405,11 +436,21 @@ def _tokens(around: DataFrame, have: DataFrame, one_each: DataFrame, num: int, d
     return tokens
 
 
+def _paired(members: DataFrame) -> DataFrame:
+    """Pairs ``x, y`` (x < y) of nodes of one key in different components, for keys with few members ``key, node, c``."""
+    return (members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "c"))).alias("m"))
+            .select(F.explode(F.expr("flatten(transform(m, (a, i) -> transform(filter(slice(m, i + 2, size(m)), "
+                                     "b -> b.c <> a.c), b -> struct(a.node AS x, b.node AS y))))")).alias("p"))
+            .select("p.x", "p.y").distinct())
+
+
 def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFrame, one_each: DataFrame, words: int,
              num: int, den: int) -> DataFrame:
-    """Links ``a, b`` between nodes around one centre that no link joins yet.
+    """Links ``a, b`` between nodes of one key, beside its centre, that no link joins yet.
 
-    Let x and y differ from their centre in dx >= dy shingles, r = (1 - t) / (1 + t),
+    Where a key has few of them (``PAIRED``), their sketches are compared pair by
+    pair, and no set is moved for a pair that these rule out.  The nodes of the
+    other keys are compared around their centres.  Let x and y differ from their centre in dx >= dy shingles, r = (1 - t) / (1 + t),
     and D the most by which linked sets of their sizes differ.  If they are
     linked, but not both linked with the centre, they share at least one of these
     differences, at least (1 - r) dy / 2, and at least (dx + dy - D) / 2 >= dx - D.
@@ -425,14 +466,18 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
     known = (keyed.filter("node <> centre").join(label, "node", "left")
              .select("key", "centre", "node", F.coalesce("c", "node").alias("c")))
     # only keys that hold more than one component beside the centre can link anything new
-    open_keys = (known.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h")).filter("_l <> _h")
-                 .select("key"))
-    around = written(known.join(open_keys, "key").select("centre", "node", "c").distinct(), "jaccard-open")
+    open_keys = (known.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h"), F.count(F.lit(1)).alias("_n"))
+                 .filter("_l <> _h").select("key", (F.col("_n") > PAIRED).alias("many")))
+    open_ = written(known.join(open_keys, "key"), "jaccard-open")
     discard(keyed)
+    few = written(_paired(open_.filter("NOT many")), "jaccard-few")
+    around = written(open_.filter("many").select("centre", "node", "c").distinct(), "jaccard-around")
+    discard(open_)
     missing = _wanted(around, one_each).join(sets.select("node"), "node", "left_anti")
-    more = written(_sets(rows, missing, words), "jaccard-sets")
+    more = _sets(rows, missing, words)
     have = sets.unionByName(more)
-    rounds = rounds_for(*around.agg(F.count(F.lit(1)), F.count_distinct("node")).first())
+    # a round moves the sets of at most half as many pairs as there are nodes at all
+    rounds = rounds_for(around.count(), one_each.count() // 2)
     turn = F.pmod(F.xxhash64("centre"), F.lit(rounds))
     parts = [_tokens(around.filter(turn == k), have, one_each, num, den) for k in range(rounds)]
     discard(around)
@@ -446,16 +491,20 @@ def _between(keyed: DataFrame, groups: DataFrame, sets: DataFrame, rows: DataFra
              .filter((F.col("c") != F.col("cy")) & F.expr("dy < d OR (dy = d AND y < x)")
                      & _linked(F.col("n"), F.col("ny"), F.col("d") - F.col("dy"), num, den)
                      & _linked(F.col("n"), F.col("ny"), apart, num, den))
-             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).unionByName(few).distinct())
     side = lambda n: one_each.select(F.col("node").alias(n), F.col("n").alias(f"n{n}"),
                                      F.col("sketch").alias(f"s{n}"))
     found = written(found.join(side("x"), "x").join(side("y"), "y")
                     .filter(_linked(F.col("nx"), F.col("ny"), _hamming("sx", "sy"), num, den))
                     .select(F.col("x").alias("centre"), F.col("y").alias("node")), "jaccard-found")
-    for table in parts:
+    for table in (*parts, few):
         discard(table)
-    links = _verified(found, have, num, den)
-    for table in (sets, more):
+    missing = _wanted(found, one_each).join(have.select("node"), "node", "left_anti")
+    last = _sets(rows, missing, words)
+    ends = found.select("node").unionByName(found.select(F.col("centre").alias("node")))
+    asked = _marked(have.unionByName(last).withColumn("_h", F.xxhash64("node")), ends.select(F.xxhash64("node").alias("_h")))
+    links = _verified(found, asked.filter("_in").drop("_h", "_in"), num, den)
+    for table in (sets, more, last):
         discard(table)
     return links
 
@@ -540,12 +589,20 @@ def drop_near_copies(docs: DataFrame, *, words: int = 5, threshold: tuple[int, i
     mark = F.xxhash64(text_of(text_col))
     is_lead = lambda t: docs[id_col].eqNullSafe(t["_lead"]) & (mark == t["_mark"])
     empty = nodes.filter("n = 0").select(F.col("doc_id").alias("_lead"), F.col("mark").alias("_mark")).distinct()
+    # a row that leads nothing, or repeats, may have to go; all others stay without a look at the leads
+    alike = F.col("doc_id").eqNullSafe(F.col("_lead")) & (F.col("mark") == F.col("_mark"))
+    goes = nodes.filter("n > 0").join(lead, alike, "left_anti").select("doc_id", "mark")
+    goes = written(goes.unionByName(same.toDF("doc_id", "mark")).select(F.xxhash64("doc_id", "mark").alias("_h")).distinct(), "jaccard-goes")
+    spread = _marked(docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"),
+                                 F.xxhash64(F.col(id_col), mark).alias("_h")), goes)
+    sure = spread.filter("NOT _in").select("_row.*")
+    docs = spread.filter("_in").select("_row.*")
     if not same.head(1):
         stay = lead.unionByName(empty)
-        return docs.join(stay, is_lead(stay), "left_semi")
+        return sure.unionByName(docs.join(stay, is_lead(stay), "left_semi"))
     once = lead.alias("l").join(same.alias("r"), F.col("l._lead").eqNullSafe(F.col("r._lead"))
                                 & (F.col("l._mark") == F.col("r._mark")), "left_anti").unionByName(empty)
     some = (docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_d"), mark.alias("_m"))
             .join(same, F.col("_d").eqNullSafe(F.col("_lead")) & (F.col("_m") == F.col("_mark")), "left_semi")
             .groupBy("_d", "_m").agg(F.first("_row").alias("_row")).select("_row.*"))
-    return docs.join(once, is_lead(once), "left_semi").unionByName(some)
+    return sure.unionByName(docs.join(once, is_lead(once), "left_semi")).unionByName(some)

@@ -15,6 +15,7 @@ import numpy as np
 import pytest
 import tiktoken
 from public_tokenizers import PATTERN, path
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from carestar.llm import exact_dedup as exact_dedup_module
@@ -278,6 +279,44 @@ def test_nodes_around_their_centres_take_turns(spark, monkeypatch):
     assert len(seen) == 3 and sum(seen) == asked[0][0] > 0
 
 
+def test_keys_of_few_nodes_are_compared_by_sketches(spark, monkeypatch):
+    """No set goes round a centre for them, and the result is that of the other way."""
+    seen, tokens = [], jaccard_join._tokens
+    monkeypatch.setattr(jaccard_join, "_tokens", lambda around, *a: seen.append(around.count()) or tokens(around, *a))
+    docs = []
+    for g in range(6):
+        for v in range(2):
+            # halves of one text: far from the others of the group, near each other
+            t = [f"g{g}_{k}" for k in range(60)] + [f"g{g}_{v}_{k}" for k in range(60)]
+            docs += [(len(docs) + i, " ".join(t[:100 + i] + ["x"] + t[101 + i:])) for i in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = lambda: sorted(tuple(r) for r in jaccard_components(df, words=5, threshold=(80, 100)).collect())
+    want = brute_components(docs, 5, 80, 100)
+    assert got() == want and sum(seen) == 0
+    monkeypatch.setattr(jaccard_join, "PAIRED", 0)
+    assert got() == want and sum(seen) > 0
+
+
+def test_a_bitmap_rules_out_rows_that_are_not_wanted(spark, monkeypatch):
+    rows = spark.range(20_000).withColumn("_h", F.xxhash64("id"))
+    wanted = rows.filter("id % 50 = 0").select("_h")
+    inside = [r.id for r in jaccard_join._marked(rows, wanted).filter("_in").collect()]
+    assert {i for i in inside if i % 50 == 0} == set(range(0, 20_000, 50)) and 400 <= len(inside) < 1000
+    assert not jaccard_join._marked(rows, wanted.filter("false")).filter("_in").count()
+    monkeypatch.setattr(jaccard_join, "MOST_BITS", 1 << 15)      # more members than bits: nobody is lost
+    everyone = jaccard_join._marked(rows, rows.select("_h"))
+    assert everyone.count() == everyone.filter("_in").count() == 20_000
+
+
+def test_exact_dedup_moves_a_text_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(exact_dedup_module, "written", lambda df, name: plans.append(df) or df)
+    drop_exact_copies(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string"))
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert re.search(r" _own#\d+[,\]]", plan[at + 1]) and not re.search(r" _norm#\d+[,\]]", plan[at + 1])
+
+
 def test_a_finished_write_leaves_no_shuffle_files(spark):
     dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
     files = lambda: {n for d in dirs for _, _, names in os.walk(d) for n in names if n.startswith("shuffle_")}
